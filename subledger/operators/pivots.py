@@ -24,7 +24,7 @@ def count_pivot(
     """
     known = df.where(F.col(index).isNotNull() & F.col(category).isNotNull())
     grouped = known.groupBy(index)
-    table = (grouped.pivot(category, list(values)) if values is not None else grouped.pivot(category)).agg(F.count("*"))
+    table = (grouped.pivot(category, list(values)) if values is not None else grouped.pivot(category)).agg(F.count(F.lit(1)))
     if labels is not None:
         table = table.toDF(index, *labels)
     if total is not None:

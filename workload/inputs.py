@@ -261,15 +261,14 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
             once.alias("onetime"), (F.array(*again) if again else F.array().cast("array<string>")).alias("recurring")
         ).alias("charges")
 
-    added = F.when(ln == 1, F.to_json(F.array(plan("a", charges(True, 2)))))
-    added = added.when(ln == 2, F.to_json(F.array(plan("a"))))
-    added = added.when(ln.isin(3, 5), F.to_json(F.array(plan("a", charges(True, 0)), plan("b", charges(False, 1)))))
-    added = added.when(ln == 4, F.to_json(F.array(plan("a", charges(False, 0)))))
-    added = added.otherwise(F.lit("[]"))
-    removed = F.when(ln % 2 == 0, F.to_json(F.array(plan("x"), plan("y")))).otherwise(F.lit("[]"))
-    kept = F.when(
-        ln % 3 == 0, F.to_json(F.array(plan("e", F.lit("live").alias("ratePlanStatus"))))
-    ).otherwise(F.lit("[]"))
+    def listed(*plans: Column) -> Column:
+        return F.concat(F.lit("["), F.concat_ws(",", *[F.to_json(p) for p in plans]), F.lit("]"))
+
+    added = F.when(ln == 1, listed(plan("a", charges(True, 2)))).when(ln == 2, listed(plan("a")))
+    added = added.when(ln.isin(3, 5), listed(plan("a", charges(True, 0)), plan("b", charges(False, 1))))
+    added = added.when(ln == 4, listed(plan("a", charges(False, 0)))).otherwise(F.lit("[]"))
+    removed = F.when(ln % 2 == 0, listed(plan("x"), plan("y"))).otherwise(F.lit("[]"))
+    kept = F.when(ln % 3 == 0, listed(plan("e", F.lit("live").alias("ratePlanStatus")))).otherwise(F.lit("[]"))
     kind = F.element_at(F.array(*map(F.lit, ["change", "reactivate", "update", "buy", ""])), (ok % 5 + 1).cast("int"))
     meta = F.concat(
         F.lit('{"domain":"'),

@@ -36,7 +36,7 @@ DISC_OK = """(amend_type IS NULL OR NOT ((amend_type = 'RemoveProduct' AND amend
      OR (amend_type = 'NewProduct' AND amend_eff > d) OR term_start > d))"""
 DISC_OK_KEEP = """(amend_type IS NULL OR NOT (coalesce(amend_type = 'RemoveProduct' AND amend_eff <= d, false)
      OR coalesce(amend_type = 'NewProduct' AND amend_eff > d, false) OR coalesce(term_start > d, false)))"""
-GONE = "(SELECT g.sub_name FROM z g WHERE g.rp_created < d AND g.cancelled < d)"
+NOT_GONE = """NOT EXISTS (SELECT 1 FROM z g WHERE g.sub_name = z.sub_name AND g.rp_created < d AND g.cancelled < d)"""
 ACTIVE_MONTHS = f"WITH {FACTS_SQL}, {ACTIVE.format(spine=MONTHS_SQL)}"
 
 
@@ -69,20 +69,17 @@ def active_daily(spark, sf_dir):
 
 # Branches a to d of the rule for new rows. The dates a branch can hit are
 # found by equality, the rest of its conditions are as stated per date.
-NEW_ROWS = f"""ended AS (
-  SELECT sub_name, min(greatest(rp_created, cancelled)) AS first_ended FROM z
-  WHERE rp_created IS NOT NULL AND cancelled IS NOT NULL GROUP BY sub_name),
-new_rows AS (
+NEW_ROWS = f"""new_rows AS (
   SELECT d, 0 AS chg, z.* FROM z JOIN {DAYS_SQL} ON rp_created = d WHERE term_start <= d AND sub_version = 1
   UNION ALL
   SELECT d, 0, z.* FROM z JOIN {DAYS_SQL} ON term_start = d WHERE rp_created < d AND sub_version = 1
-    AND sub_name NOT IN (SELECT sub_name FROM ended WHERE first_ended < d)
+    AND {NOT_GONE}
   UNION ALL
   SELECT d, 1, z.* FROM z JOIN {DAYS_SQL} ON rp_created = d WHERE amend_type = 'NewProduct' AND amend_eff <= d
     AND amend_sub_id = prev_id
   UNION ALL
   SELECT d, 1, z.* FROM z JOIN {DAYS_SQL} ON amend_eff = d WHERE amend_type = 'NewProduct' AND rp_created < d
-    AND amend_sub_id = prev_id AND sub_name NOT IN (SELECT sub_name FROM ended WHERE first_ended < d))"""
+    AND amend_sub_id = prev_id AND {NOT_GONE})"""
 NEW_DAILY = f"""SELECT {_date()} AS report_date, product_name, rp_name, count(*) AS "new",
   CAST(sum(chg) AS BIGINT) AS new_changed, CAST(coalesce(sum(mrr), 0) AS DOUBLE) AS mrr_new,
   CAST(coalesce(sum(tcv), 0) AS DOUBLE) AS tcv_new FROM new_rows GROUP BY d, product_name, rp_name"""
@@ -98,7 +95,7 @@ CANCELLED_ROWS = f"""cancelled_rows AS (
     AND amend_eff <= d AND amend_sub_id = prev_id
   UNION ALL
   SELECT d, 1, z.* FROM z JOIN {DAYS_SQL} ON amend_eff = d WHERE amend_type = 'RemoveProduct' AND rp_created < d
-    AND amend_sub_id = prev_id AND sub_name NOT IN (SELECT sub_name FROM ended WHERE first_ended < d)
+    AND amend_sub_id = prev_id AND {NOT_GONE}
   UNION ALL
   SELECT d, 0, z.* FROM z JOIN {DAYS_SQL} ON rp_created = d WHERE cancelled <= d AND {DISC_OK}
   UNION ALL
@@ -108,7 +105,7 @@ CANCELLED_DAILY = f"""SELECT {_date()} AS report_date, product_name, rp_name, co
   CAST(sum(tcv) AS DOUBLE) AS tcv_cancelled FROM cancelled_rows GROUP BY d, product_name, rp_name"""
 
 
-@query("cancelled_daily", f"WITH {FACTS_SQL}, {NEW_ROWS}, {CANCELLED_ROWS} {CANCELLED_DAILY}")
+@query("cancelled_daily", f"WITH {FACTS_SQL}, {CANCELLED_ROWS} {CANCELLED_DAILY}")
 def cancelled_daily(spark, sf_dir):
     return daily.cancelled_daily(inputs.facts(spark, sf_dir), DAYS)
 
