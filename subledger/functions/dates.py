@@ -68,9 +68,13 @@ class Spine:
             floor = F.when(F.dayofmonth(floor) == 1, floor).otherwise(F.add_months(F.trunc(floor, "MM"), 1))
         return F.when(floor <= F.lit(self.end), floor)
 
-    def explode(self, lo: Column, hi: Column | None = None) -> Column:
-        """One row per report date in ``[lo, hi)``; a null ``hi`` is open."""
-        return F.explode(self._between(lo, hi))
+    def expand(self, df: DataFrame, lo: Column, hi: Column | None = None, name: str = "report_date") -> DataFrame:
+        """Each row once per report date in ``[lo, hi)``; a null ``hi`` is open.
+
+        The outer explode keeps Spark from testing each list of dates before
+        it expands it, which would build the list twice.
+        """
+        return df.select("*", F.explode_outer(self._between(lo, hi)).alias(name)).where(F.col(name).isNotNull())
 
     def _between(self, lo: Column, hi: Column | None) -> Column:
         stop = F.lit(self.end)

@@ -38,8 +38,28 @@ CHANGE, REACTIVATE, UPDATE = "change", "reactivate", "update"
 _ROW = f"struct<grain:string,plan:struct<{_PLAN},ratePlanStatus:string>,charge:{_CHARGE}>"
 
 
-def _parse(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn("_cart", F.from_json(F.col(column), CART_SCHEMA, {"mode": "PERMISSIVE"}))
+def _subscriptions(
+    df: DataFrame, column: str, keep: Sequence[str], wanted=None, bare_carts: bool = False
+) -> DataFrame:
+    """A row per subscription of the wanted carts: ``keep``, ``_cart``, ``_s``.
+
+    The type is tested inside the exploded value. As a filter Spark would move
+    it, and the test for empty lists, in front of the parse and parse the text
+    once more for each.
+    """
+    carts = df.select(*keep, F.from_json(F.col(column), CART_SCHEMA, {"mode": "PERMISSIVE"}).alias("_cart"))
+    listed = F.col("_cart.subscriptions")
+    if bare_carts:
+        listed = F.coalesce(listed, F.array(F.lit(None).cast(_SUBSCRIPTION)))
+    if wanted is not None:
+        listed = F.when(wanted(F.col("_cart.type")), listed)
+    subs = carts.select(*keep, "_cart", F.posexplode_outer(listed).alias("_n", "_s"))
+    return subs.where(F.col("_n").isNotNull())
+
+
+def _rows(subs: DataFrame, keep: Sequence[str], grains: Column) -> DataFrame:
+    rows = subs.select(*keep, "_cart", "_s", F.explode_outer(grains).alias("_r"))
+    return rows.where(F.col("_r").isNotNull())
 
 
 def _plan(plan: Column, status: bool = False) -> Column:
@@ -160,14 +180,13 @@ def flatten_carts_new(
     empty, and a subscription without plans, give no row. Fields a document
     lacks are empty strings, fields of another kind of row are null.
     """
-    carts = _parse(df, column).where(type_not_in(F.col("_cart.type"), (CHANGE, REACTIVATE, UPDATE)))
-    subs = carts.select(*keep, "_cart", F.explode("_cart.subscriptions").alias("_s"))
+    subs = _subscriptions(df, column, keep, lambda kind: type_not_in(kind, (CHANGE, REACTIVATE, UPDATE)))
     grains = F.concat(
         _charge_rows(F.col("_s.addRatePlans")),
         _each(F.col("_s.removeRatePlans"), lambda p: _row("remove", _plan(p))),
         _each(F.col("_s.existingRatePlans"), lambda p: _row("existing", _plan(p, status=True))),
     )
-    rows = subs.select(*keep, "_cart", "_s", F.explode(grains).alias("_r"))
+    rows = _rows(subs, keep, grains)
     removed, existing = F.col("_r.grain") == "remove", F.col("_r.grain") == "existing"
     extra = [F.col("_cart.meta.whois.businessId").alias("business_id")] if business_id else []
     return rows.select(
@@ -198,8 +217,7 @@ def flatten_carts_change(
 ) -> DataFrame:
     """One row per subscription of the change carts, with the last added, the
     last removed and the last existing plan; null where a list is empty."""
-    carts = _parse(df, column).where(type_in(F.col("_cart.type"), (CHANGE,)))
-    subs = carts.select(*keep, "_cart", F.explode("_cart.subscriptions").alias("_s"))
+    subs = _subscriptions(df, column, keep, lambda kind: type_in(kind, (CHANGE,)))
 
     def last(items: str, prefix: str, fields: Sequence[tuple[str, str]]) -> list[Column]:
         plan = F.try_element_at(F.col(f"_s.{items}"), F.lit(-1))
@@ -232,8 +250,8 @@ def flatten_carts_reactivate(
     ``bare_carts`` keeps a cart that has no list of subscriptions as one row,
     ``bare_subscriptions`` a subscription without added plans.
     """
-    carts = _parse(df, column).where(type_in(F.col("_cart.type"), (REACTIVATE,)))
-    rows = _plan_rows(carts, keep, bare_carts, bare_subscriptions)
+    subs = _subscriptions(df, column, keep, lambda kind: type_in(kind, (REACTIVATE,)), bare_carts)
+    rows = _plan_rows(subs, keep, bare_carts, bare_subscriptions)
     known = F.col("_s").isNotNull()
     return rows.select(
         *keep,
@@ -259,7 +277,8 @@ def flatten_carts_all(
     bare_subscriptions: bool = True,
 ) -> DataFrame:
     """Charges of the added plans of every cart, whatever its type."""
-    rows = _plan_rows(_parse(df, column), keep, bare_carts=False, bare_subscriptions=bare_subscriptions)
+    subs = _subscriptions(df, column, keep)
+    rows = _plan_rows(subs, keep, bare_carts=False, bare_subscriptions=bare_subscriptions)
     return rows.select(
         *keep,
         blank_if_null(F.col("_cart.id")).alias("cart_id"),
@@ -274,21 +293,16 @@ def flatten_carts_all(
     )
 
 
-def _plan_rows(carts: DataFrame, keep: Sequence[str], bare_carts: bool, bare_subscriptions: bool) -> DataFrame:
-    listed = F.col("_cart.subscriptions")
-    if bare_carts:
-        nothing = F.array(F.lit(None).cast(_SUBSCRIPTION))
-        listed = F.when(listed.isNull(), nothing).otherwise(listed)
-    subs = carts.select(*keep, "_cart", F.explode(listed).alias("_s"))
+def _plan_rows(subs: DataFrame, keep: Sequence[str], bare_carts: bool, bare_subscriptions: bool) -> DataFrame:
     plans = F.col("_s.addRatePlans")
     grains = _charge_rows(plans)
-    header = F.array(F.lit(None).cast(_ROW))
+    header = F.array(_row("header", F.lit(None)))
     if bare_carts:
         grains = F.when(F.col("_s").isNull(), header).otherwise(grains)
     if bare_subscriptions:
         no_plans = F.col("_s").isNotNull() & (plans.isNull() | (F.size(plans) == 0))
         grains = F.when(no_plans, header).otherwise(grains)
-    return subs.select(*keep, "_cart", "_s", F.explode(grains).alias("_r"))
+    return _rows(subs, keep, grains)
 
 
 # Refund item fields, the column each one fills, and its type.
@@ -319,7 +333,8 @@ def flatten_refund_items(df: DataFrame, column: str = "invoice_items", created:
     gives no row.
     """
     schema = "array<struct<" + ",".join(f"{name}:string" for name, _, _ in _REFUND_ITEM) + ">>"
-    items = df.withColumn("_i", F.explode(F.from_json(F.col(column), schema)))
+    listed = df.withColumn("_i", F.explode_outer(F.from_json(F.col(column), schema)))
+    items = listed.where(F.col("_i").isNotNull())
     filled = {alias for _, alias, _ in _REFUND_ITEM}
     own = [c for c in df.columns if c != column and c not in filled]
     fields = [

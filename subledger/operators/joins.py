@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subledger.functions.dates import Spine
+
 
 def join_indicator(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str = "matched") -> DataFrame:
     """Left join with a flag that tells whether a partner was found.
@@ -50,11 +52,9 @@ def all_matched(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.bool_and(flag).alias("_all")).where("_all").drop("_all")
 
 
-def period_days(periods: DataFrame, name: str, start: str, end: str, spine, day: str = "report_date") -> DataFrame:
+def period_days(periods: DataFrame, name: str, start: str, end: str, spine: Spine, day: str = "report_date") -> DataFrame:
     """Days of the spine with the period that contains them."""
-    return periods.select(
-        F.col(name), F.col(start), F.col(end), spine.explode(F.col(start), F.date_add(F.col(end), 1)).alias(day)
-    )
+    return spine.expand(periods.select(name, start, end), F.col(start), F.date_add(F.col(end), 1), day)
 
 
 def unique_period_days(days: DataFrame, name: str, day: str = "report_date") -> DataFrame:

@@ -110,7 +110,9 @@ def _churn_sides(facts, snapshots, window, cols, exclude, exclude_like):
     if window is None:
         # A disconnect belongs to the snapshots of its month up to its day.
         day = F.col("cancel_date")
-        ended = ended.select(*on, "cancel_date", snapshots.explode(month_start(day), F.date_add(day, 1)).alias("snapshot_date"))
+        ended = snapshots.expand(
+            ended.select(*on, "cancel_date"), month_start(day), F.date_add(day, 1), "snapshot_date"
+        )
         on = ["snapshot_date", *on]
     return active, ended, on
 

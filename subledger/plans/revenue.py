@@ -91,10 +91,8 @@ def revenue_to_date(
         F.coalesce(F.lead("_at").over(in_period), F.date_add("_last", 1)).alias("_until"),
         F.sum("_sum").over(in_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_total"),
     )
-    return running.select(
-        spine.explode(F.col("_at"), F.col("_until")).alias("report_date"),
-        *by,
-        F.coalesce(F.col("_total"), F.lit(0)).alias(amount),
+    return spine.expand(running, F.col("_at"), F.col("_until")).select(
+        "report_date", *by, F.coalesce(F.col("_total"), F.lit(0)).alias(amount)
     )
 
 

@@ -38,6 +38,16 @@ def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[
     return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in names}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer tasks than that.
+
+    For costly work per row on a table of few row groups. A table that is
+    large for the cluster is read by enough tasks and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_database(spark: SparkSession, url: str, table: str, predicates: Sequence[str], properties: Mapping[str, str]) -> DataFrame:
     """Database table over JDBC, one partition per predicate."""
     return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
