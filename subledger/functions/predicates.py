@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from subledger.columns import DEFAULT_COLUMNS, NEW_PRODUCT, REMOVE_PRODUCT, UPDATE_PRODUCT, SubscriptionColumns
+from subledger.functions.dates import latest_of
 
 
 def cancel_ok(on: Column, cols: SubscriptionColumns = DEFAULT_COLUMNS) -> Column:
@@ -49,6 +50,15 @@ def disconnect_ok(
     return kind.isNull() | ~(gone | later | not_started)
 
 
+def disconnect_date(cols: SubscriptionColumns = DEFAULT_COLUMNS) -> Column:
+    """The one date on which a cancelled row can count as a disconnect.
+
+    Created on the date and cancelled by then, or created before and cancelled
+    on the date: both put it on the later of the two.
+    """
+    return latest_of(F.to_date(cols.rate_plan_created), F.col(cols.cancelled).cast("date"))
+
+
 def without_names(name: Column, equal_to: Iterable[str] = (), like: Iterable[str] = ()) -> Column:
     """Name equals none of the values and matches none of the patterns."""
     test = F.lit(True)

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Iterable, Sequence
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subledger.columns import DEFAULT_COLUMNS, SubscriptionColumns
-from subledger.functions.dates import Spine, as_date, month_end, month_start
-from subledger.functions.predicates import disconnect_ok, without_names
-from subledger.operators.joins import all_matched
+from subledger.functions.dates import Spine, as_date, month_start
+from subledger.functions.predicates import disconnect_date, disconnect_ok, without_names
 from subledger.operators.keys import first_per_key
-from subledger.plans.daily import active_snapshot, disconnect_date
+from subledger.operators.ranges import expand_runs, runs_by_date, totals_by_date
+from subledger.operators.snapshot import active_ranges
 
 
 def disconnect_rows(
@@ -55,22 +56,16 @@ def churned_accounts(
     date to the end of its month. Equal pairs of active and disconnect rows
     are one row with their number in ``row_count``.
     """
-    active, ended, on = _churn_sides(facts, snapshots, window, cols, exclude, exclude_like)
-    subs = ["snapshot_date", cols.account, cols.sub_name]
-    plans = active.groupBy(*subs, cols.family, cols.product, cols.rate_plan).agg(F.count("*").alias("_active"))
+    plans = [cols.account, cols.sub_name, cols.family, cols.product, cols.rate_plan]
+    active = _active(facts, snapshots, cols, exclude, exclude_like)
+    ended, on = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
+    held = _held(active, plans, snapshots, ended, cols)
+    lost = _lost_accounts(active, ended, on, snapshots, cols)
     ends = ended.groupBy(*on, "cancel_date").agg(F.count("*").alias("_ended"))
-    lost = _lost_accounts(active, ended, on, cols)
     return (
-        plans.join(lost, ["snapshot_date", cols.account], "left_semi")
+        held.join(lost, ["snapshot_date", cols.account], "left_semi")
         .join(ends, on)
-        .select(
-            *subs,
-            cols.family,
-            cols.product,
-            cols.rate_plan,
-            "cancel_date",
-            (F.col("_active") * F.col("_ended")).alias("row_count"),
-        )
+        .select("snapshot_date", *plans, "cancel_date", (F.col("_active") * F.col("_ended")).alias("row_count"))
     )
 
 
@@ -83,50 +78,72 @@ def accounts_cancelled_daily(
     exclude_like: Iterable[str] = (),
 ) -> DataFrame:
     """Churned accounts counted per cancellation date."""
-    active, ended, on = _churn_sides(facts, snapshots, window, cols, exclude, exclude_like)
-    subs = active.select("snapshot_date", cols.account, cols.sub_name).distinct()
-    lost = _lost_accounts(active, ended, on, cols)
+    subs = [cols.account, cols.sub_name]
+    active = _active(facts, snapshots, cols, exclude, exclude_like)
+    ended, on = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
+    held = _held(active, subs, snapshots, ended, cols)
+    lost = _lost_accounts(active, ended, on, snapshots, cols)
     pairs = (
-        subs.join(lost, ["snapshot_date", cols.account], "left_semi")
+        held.join(lost, ["snapshot_date", cols.account], "left_semi")
         .join(ended.select(*on, "cancel_date").distinct(), on)
         .select(cols.account, "cancel_date")
     )
     return pairs.groupBy("cancel_date").agg(F.countDistinct(cols.account).alias("accounts_cancelled"))
 
 
-def _churn_sides(facts, snapshots, window, cols, exclude, exclude_like):
-    """Active rows per snapshot, disconnects, and the columns they meet on."""
-    kept = facts.where(without_names(F.col(cols.product), exclude, exclude_like))
-    # The latest version is looked up among all rows, excluded ones as well.
-    active = active_snapshot(facts, snapshots, cols).where(
-        without_names(F.col(cols.product), exclude, exclude_like)
-    ).withColumnRenamed("report_date", "snapshot_date")
+def _active(facts, snapshots, cols, exclude, exclude_like) -> DataFrame:
+    """Active rows with their ranges of snapshot dates.
+
+    The latest version is looked up among all rows, excluded ones as well.
+    """
+    return active_ranges(facts, snapshots, cols).where(without_names(F.col(cols.product), exclude, exclude_like))
+
+
+def _held(active: DataFrame, keys, snapshots: Spine, ended: DataFrame, cols) -> DataFrame:
+    """Active rows counted per snapshot date and key, for subscriptions that
+    disconnect at some time; others cannot take part."""
+    subs = [cols.account, cols.sub_name]
+    touched = active.join(ended.select(*subs).distinct(), subs, "left_semi")
+    return totals_by_date(touched, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active", name="snapshot_date")
+
+
+def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> tuple[DataFrame, list[str]]:
+    """Disconnects in the window, and the columns that tie them to a snapshot."""
     if window is not None:
         days = Spine(*window)
     else:
         days = replace(snapshots, end=_last_of_month(snapshots.end), step="day")
-    ended = disconnect_rows(kept, days, cols).withColumnRenamed("report_date", "cancel_date")
     on = [cols.account, cols.sub_name]
-    if window is None:
-        # A disconnect belongs to the snapshots of its month up to its day.
-        day = F.col("cancel_date")
-        ended = snapshots.expand(
-            ended.select(*on, "cancel_date"), month_start(day), F.date_add(day, 1), "snapshot_date"
-        )
-        on = ["snapshot_date", *on]
-    return active, ended, on
+    ended = disconnect_rows(facts, days, cols, exclude=exclude, exclude_like=exclude_like).select(
+        *on, F.col("report_date").alias("cancel_date")
+    )
+    if window is not None:
+        return ended, on
+    # A disconnect belongs to the snapshots of its month up to its day.
+    day = F.col("cancel_date")
+    return snapshots.expand(ended, month_start(day), F.date_add(day, 1), "snapshot_date"), ["snapshot_date", *on]
+
 
+def _lost_accounts(
+    active: DataFrame, ended: DataFrame, on: Sequence[str], snapshots: Spine, cols: SubscriptionColumns
+) -> DataFrame:
+    """Snapshot dates and accounts all of whose active subscriptions disconnect.
 
-def _lost_accounts(active: DataFrame, ended: DataFrame, on: Sequence[str], cols: SubscriptionColumns) -> DataFrame:
-    subs = active.select("snapshot_date", cols.account, cols.sub_name).distinct()
-    found = ended.select(*on).distinct().withColumn("_found", F.lit(True))
-    flagged = subs.join(found, list(on), "left").withColumn("_found", F.coalesce("_found", F.lit(False)))
-    return all_matched(flagged, ["snapshot_date", cols.account], "_found")
+    That is the case where the account has as many active subscriptions with a
+    disconnect as it has active subscriptions.
+    """
+    account = ["snapshot_date", cols.account]
+    subs = runs_by_date(active, [cols.account, cols.sub_name], F.col("_lo"), F.col("_hi"), snapshots, "_rows")
+    every = totals_by_date(subs, [cols.account], F.col("_at"), F.col("_until"), snapshots, "_every", name=account[0])
+    touched = subs.join(ended.select(cols.account, cols.sub_name).distinct(), [cols.account, cols.sub_name], "left_semi")
+    found = expand_runs(touched, snapshots, account[0])
+    if account[0] in on:
+        found = found.join(ended.select(*on).distinct(), list(on), "left_semi")
+    matched = found.groupBy(*account).agg(F.count("*").alias("_found"))
+    return every.join(matched, account).where(F.col("_every") == F.col("_found")).select(*account)
 
 
 def _last_of_month(day: date) -> date:
-    import calendar
-
     return day.replace(day=calendar.monthrange(day.year, day.month)[1])
 
 

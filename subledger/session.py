@@ -19,6 +19,9 @@ def build_session(app_name: str = "subledger", master: str | None = None, **conf
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Ranges and documents grow many times over after a shuffle, so small
+        # shuffle partitions are worth a task of their own.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
     )
     if master:
