@@ -55,7 +55,7 @@ class Spine:
         return cls(as_of - dt.timedelta(days=first), as_of - dt.timedelta(days=last))
 
     def frame(self, spark: SparkSession, name: str = "report_date") -> DataFrame:
-        return spark.range(1).select(F.explode(self._between(F.lit(self.start), None)).alias(name))
+        return self.expand(spark.range(1).select(), F.lit(self.start), name=name)
 
     def contains(self, date: Column) -> Column:
         inside = date.between(F.lit(self.start), F.lit(self.end))
@@ -63,26 +63,26 @@ class Spine:
 
     def on_or_after(self, date: Column) -> Column:
         """First report date not before ``date``; null when there is none."""
-        floor = F.when(date.isNotNull(), F.greatest(date, F.lit(self.start)))
+        start, end = F.lit(self.start), F.lit(self.end)
+        floor = F.when(date < start, start).otherwise(date)
         if self.step == "month":
-            floor = F.when(F.dayofmonth(floor) == 1, floor).otherwise(F.add_months(F.trunc(floor, "MM"), 1))
-        return F.when(floor <= F.lit(self.end), floor)
+            floor = F.trunc(F.date_sub(F.add_months(floor, 1), 1), "MM")
+        return F.when(floor <= end, floor)
 
     def expand(self, df: DataFrame, lo: Column, hi: Column | None = None, name: str = "report_date") -> DataFrame:
         """Each row once per report date in ``[lo, hi)``; a null ``hi`` is open.
 
-        The outer explode keeps Spark from testing each list of dates before
-        it expands it, which would build the list twice.
+        The bounds are columns of their own, and the explode is an outer one:
+        otherwise Spark writes the bounds out wherever they are used and tests
+        each list of dates before it expands it, building the list twice.
         """
-        return df.select("*", F.explode_outer(self._between(lo, hi)).alias(name)).where(F.col(name).isNotNull())
-
-    def _between(self, lo: Column, hi: Column | None) -> Column:
-        stop = F.lit(self.end)
-        if hi is not None:
-            stop = F.least(F.date_sub(hi, 1), stop)
-        first = self.on_or_after(lo)
-        step = "INTERVAL 1 DAY" if self.step == "day" else "INTERVAL 1 MONTH"
-        return F.when(first <= stop, F.sequence(first, stop, F.expr(step)))
+        last = F.lit(self.end) if hi is None else F.least(F.date_sub(hi, 1), F.lit(self.end))
+        bounded = df.select("*", self.on_or_after(lo).alias("_first"), last.alias("_last"))
+        dates = F.when(F.col("_first") <= F.col("_last"), self._sequence(F.col("_first"), F.col("_last")))
+        return bounded.select(*df.columns, F.explode_outer(dates).alias(name)).where(F.col(name).isNotNull())
+
+    def _sequence(self, first: Column, last: Column) -> Column:
+        return F.sequence(first, last, F.expr("INTERVAL 1 DAY" if self.step == "day" else "INTERVAL 1 MONTH"))
 
 
 def month_start(date: Column) -> Column:
