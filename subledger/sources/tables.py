@@ -12,23 +12,29 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from subledger.operators.merge import delete_keys, upsert
 
 _SNAPSHOT = "snapshot="
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished snapshots, oldest first."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    root = jvm.Path(path)
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path; empty when it does not exist."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not fs.exists(root):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    numbers = sorted(int(n[len(_SNAPSHOT):]) for n in names if n.startswith(_SNAPSHOT))
-    return [n for n in numbers if fs.exists(jvm.Path(f"{path}/{_SNAPSHOT}{n}/_SUCCESS"))]
+    return [n for n in names if not n.startswith((".", "_"))]
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished snapshots, oldest first."""
+    numbers = sorted(int(n[len(_SNAPSHOT) :]) for n in _folders(spark, path) if n.startswith(_SNAPSHOT))
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    fs = done(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [n for n in numbers if fs.exists(done(f"{path}/{_SNAPSHOT}{n}/_SUCCESS"))]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -95,21 +101,24 @@ def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], partit
     if updates.isEmpty():
         return
     target = _partitions_of(spark, path, updates, partition)
-    merged = upsert(target, updates, keys, **how) if target is not None else upsert(
-        spark.createDataFrame([], updates.schema), updates, keys, **how
-    )
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
+    if target is None:
+        target = spark.createDataFrame([], updates.schema)
+    writer = upsert(target, updates, keys, **how).write.mode("overwrite").partitionBy(partition)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _partitions_of(spark: SparkSession, path: str, updates: DataFrame, partition: str) -> DataFrame | None:
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException:
+    """Partitions of the table which the updates touch; None for no table.
+
+    The values become a filter on directories, so other partitions are not
+    listed for reading. There are as many as directories the write commits.
+    """
+    if not _folders(spark, path):
         return None
-    table = table.withColumn(partition, F.col(partition).cast(updates.schema[partition].dataType))
-    touched = updates.select(partition).distinct()
-    return table.join(touched, partition, "left_semi")
+    found = spark.read.parquet(path).schema
+    typed = T.StructType([updates.schema[partition] if f.name == partition else f for f in found.fields])
+    touched = [row[0] for row in updates.select(partition).distinct().collect()]
+    return spark.read.schema(typed).parquet(path).where(F.col(partition).isin(touched))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
