@@ -150,7 +150,7 @@ def extract_meta(spark, sf_dir):
 @query(
     "extract_order_meta",
     """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS meta_item, o_totalprice AS meta_unit_price,
-    o_orderpriority AS meta_info, CASE WHEN o_orderkey % 2 = 0 THEN 5.0 END AS meta_licenses FROM orders""",
+    o_orderpriority AS meta_info, CASE WHEN o_orderkey % 2 = 0 THEN CAST(5 AS DOUBLE) END AS meta_licenses FROM orders""",
 )
 def extract_order_meta(spark, sf_dir):
     k = F.col("o_orderkey")

@@ -29,12 +29,12 @@ def _dedupe_sql(direction: str) -> str:
   WHERE rn = 1"""
 
 
-@query("dedupe_last", _dedupe_sql("DESC"))
+@query("dedupe_last", _dedupe_sql("DESC"), ints=("l_linenumber",))
 def dedupe_last(spark, sf_dir):
     return keys.dedupe(_lines(spark, sf_dir), LINE_KEY, ["l_shipdate"], keep="last")
 
 
-@query("dedupe_first", _dedupe_sql("ASC"))
+@query("dedupe_first", _dedupe_sql("ASC"), ints=("l_linenumber",))
 def dedupe_first(spark, sf_dir):
     return keys.dedupe(_lines(spark, sf_dir), LINE_KEY, ["l_shipdate"], keep="first")
 
@@ -45,7 +45,7 @@ def dedupe_last_turn(spark, sf_dir):
     return keys.dedupe(inputs.load(spark, sf_dir, "conversations"), ["conv_id"], ["turn"])
 
 
-@query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber, l_suppkey FROM lineitem")
+@query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber, l_suppkey FROM lineitem", ints=("l_linenumber",))
 def distinct_rows(spark, sf_dir):
     lines = inputs.load(spark, sf_dir, "lineitem")
     return lines.select("l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey").distinct()
@@ -70,6 +70,7 @@ def first_per_key(spark, sf_dir):
 @query(
     "assert_unique",
     """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    ints=("l_linenumber",),
 )
 def key_violations(spark, sf_dir):
     orders = inputs.load(spark, sf_dir, "orders")
@@ -113,6 +114,7 @@ def fill_sentinel_text(spark, sf_dir):
     "fill_and_replace",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag = 'N' THEN 1 ELSE l_linenumber END AS filled,
   nullif(CASE WHEN l_returnflag = 'N' THEN 1 ELSE l_linenumber END, 1) AS replaced FROM lineitem""",
+    ints=("l_linenumber", "filled", "replaced"),
 )
 def fill_and_replace(spark, sf_dir):
     rows = inputs.load(spark, sf_dir, "lineitem").select(
@@ -227,6 +229,7 @@ def insert_ignore(spark, sf_dir):
   SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM b
   UNION ALL SELECT l_orderkey, l_linenumber, NULL, 0 FROM t
   WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.l_orderkey = t.l_orderkey AND b.l_linenumber = t.l_linenumber)""",
+    ints=("l_linenumber",),
 )
 def upsert_composite(spark, sf_dir):
     lines = inputs.load(spark, sf_dir, "lineitem")

@@ -14,8 +14,11 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under a name, its result in plain types."""
+def query(name: str, sql: str | None = None, ints: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+    """Register a query under a name, its result in plain types.
+
+    ``ints`` names columns which the SQL yields as 32 bit integers.
+    """
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +26,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            wide = ", ".join(f'CAST("{c}" AS BIGINT) AS "{c}"' for c in ints)
+            ORACLE[name] = f"SELECT * REPLACE ({wide}) FROM ({sql})" if ints else sql
         return fn
 
     return register

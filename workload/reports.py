@@ -49,6 +49,7 @@ def _date(column: str = "d") -> str:
     ACTIVE_MONTHS
     + f""" SELECT {_date()} AS report_date, account_id, sub_name, sub_version, rp_id, product_name, rp_name,
   CAST(mrr AS DOUBLE) AS mrr, CAST(tcv AS DOUBLE) AS tcv FROM active""",
+    ints=("sub_version",),
 )
 def active_snapshot(spark, sf_dir):
     rows = daily.active_snapshot(inputs.facts(spark, sf_dir), MONTHS)

@@ -101,6 +101,7 @@ def period_lookup(spark, sf_dir):
   LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey LEFT JOIN region ON cn.n_regionkey = r_regionkey
   LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey
   LEFT JOIN part ON l_partkey = p_partkey""",
+    ints=("l_linenumber",),
 )
 def star_extract(spark, sf_dir):
     """A line with everything it points at, nations under two roles."""
@@ -189,6 +190,7 @@ def invoice_payments(spark, sf_dir):
     p_brand AS sku, 'MD' AS original_region, '20852' AS original_code
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
   WHERE l_shipdate >= DATE '1998-01-01'""",
+    ints=("l_linenumber",),
 )
 def tax_items(spark, sf_dir):
     line, part, supplier = _load(spark, sf_dir, "lineitem", "part", "supplier")
@@ -225,6 +227,7 @@ def contacts(spark, sf_dir):
 @query(
     "product_rate_plans",
     """SELECT p_partkey AS id, p_name AS name, p_brand AS plan_number, p_size AS term FROM part WHERE p_size >= 10""",
+    ints=("term",),
 )
 def product_rate_plans(spark, sf_dir):
     (part,) = _load(spark, sf_dir, "part")
@@ -265,6 +268,7 @@ def subscription_fact(spark, sf_dir):
   LEFT JOIN supplier a ON l_suppkey = a.s_suppkey LEFT JOIN supplier b ON l_linenumber = b.s_suppkey
   LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN part ON l_partkey = p_partkey
   WHERE CAST(l_shipdate AS DATE) > DATE '1999-01-01'""",
+    ints=("l_linenumber",),
 )
 def audit_export(spark, sf_dir):
     """One table in two roles, and a dimension that hangs off another."""
@@ -294,6 +298,7 @@ def audit_export(spark, sf_dir):
     p_name AS product, r.c_name AS save_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN part ON l_partkey = p_partkey LEFT JOIN (SELECT * FROM customer WHERE c_acctbal < 0) r ON o_custkey = r.c_custkey
   WHERE CAST(o_orderdate AS DATE) > DATE '1998-01-01'""",
+    ints=("l_linenumber",),
 )
 def survey_summary(spark, sf_dir):
     line, orders, supplier, part, customer = _load(
@@ -565,6 +570,7 @@ def like_and_greater(spark, sf_dir):
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(nullif(l_returnflag, 'N'), l_linestatus) AS flag,
   CASE WHEN l_quantity < 10 THEN 'low' WHEN l_quantity < 30 THEN 'mid' ELSE 'high' END AS band,
   l_quantity * 2 + 1 AS twice FROM lineitem""",
+    ints=("l_linenumber",),
 )
 def case_and_coalesce(spark, sf_dir):
     (line,) = _load(spark, sf_dir, "lineitem")
