@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subledger.functions.dates import parse_timestamp
+from subledger.functions.scalars import to_number
+
 
 def fill_sentinel(df: DataFrame, value, as_string: bool = False) -> DataFrame:
     """Nulls of every column replaced by one value.
@@ -41,8 +44,6 @@ def clean_text(text: Column) -> Column:
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The named columns that exist as doubles; what is no number is null."""
-    from subledger.functions.scalars import to_number
-
     return df.withColumns({c: to_number(F.col(c)) for c in columns if c in df.columns})
 
 
@@ -52,7 +53,7 @@ def normalise_timestamps(df: DataFrame, columns: Sequence[str], as_date: bool =
     for c in columns:
         if c in df.columns:
             is_text = isinstance(df.schema[c].dataType, T.StringType)
-            ts = F.try_to_timestamp(F.col(c)) if is_text else F.col(c).cast("timestamp")
+            ts = parse_timestamp(F.col(c)) if is_text else F.col(c).cast("timestamp")
             parsed[c] = ts.cast("date") if as_date else ts
     return df.withColumns(parsed) if parsed else df
 

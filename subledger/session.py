@@ -8,11 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "subledger", master: str | None = None, **conf) -> SparkSession:
+# Shuffle data one task should take in.
+_TASK_BYTES = 256 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "subledger", master: str | None = None, shuffle_bytes: int | None = None, **conf
+) -> SparkSession:
     """Session with the settings the library relies on.
 
-    Shuffle partition counts are left to the cluster unless given: adaptive
-    execution coalesces small partitions and splits skewed join partitions.
+    ``shuffle_bytes`` is the size of the largest shuffle to expect; the number
+    of shuffle partitions follows from it. Without it the cluster's setting
+    stands. Adaptive execution merges partitions that turn out small and
+    splits those of a join that turn out large.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -26,11 +34,18 @@ def build_session(app_name: str = "subledger", master: str | None = None, **conf
     )
     if master:
         builder = builder.master(master)
+    if shuffle_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffle_bytes)))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def shuffle_partitions(shuffle_bytes: int, least: int = 8) -> int:
+    """Partitions that keep a shuffle of this size in task-sized pieces."""
+    return max(least, -(-shuffle_bytes // _TASK_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 

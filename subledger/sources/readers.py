@@ -72,12 +72,22 @@ def read_since(
     """Source rows past a mark; with ``limit`` the first page of them.
 
     A page is cut in the order of the mark and the tie columns, which must
-    make it total, so the next read can go on from the page's last mark.
+    make it total.
     """
     rows = df.where(past_mark(column, mark, inclusive, by_day))
     return rows if limit is None else rows.orderBy(column, *tie).limit(limit)
 
 
+def read_after(df: DataFrame, order: Sequence[str], last: Sequence, limit: int) -> DataFrame:
+    """The page after a row: up to ``limit`` rows that follow the values
+    ``last`` in a total order. Rows with equal marks may lie on both sides."""
+    follows = F.lit(False)
+    for name, value in reversed(list(zip(order, last))):
+        follows = (F.col(name) > value) | ((F.col(name) == value) & follows)
+    # The leading column alone bounds the scan.
+    return df.where(F.col(order[0]) >= last[0]).where(follows).orderBy(*order).limit(limit)
+
+
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:
     """The mark a batch leaves behind: one row, null for an empty batch."""
     return df.agg(F.max(column).alias("value"))

@@ -8,7 +8,8 @@ its key is upserted in place: only partitions the batch touches are rewritten.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,17 +72,32 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(f"{path}/{_SNAPSHOT}{done[-1]}")
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The batch computed once, however often the load looks at it."""
+    if df.is_cached:
+        yield df
+        return
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], **how) -> None:
     """Keyed upsert into a table, which is created by its first batch.
 
     Takes the options of :func:`subledger.operators.merge.upsert`. An empty
-    batch writes nothing.
+    batch writes nothing. The whole table is written anew: for a table much
+    larger than its batches see :func:`upsert_partitions`.
     """
     spark = updates.sparkSession
-    if updates.isEmpty():
-        return
-    target = read_table(spark, path) if table_exists(spark, path) else spark.createDataFrame([], updates.schema)
-    replace_table(upsert(target, updates, keys, **how), path)
+    with _kept(updates) as batch:
+        if batch.isEmpty():
+            return
+        target = read_table(spark, path) if table_exists(spark, path) else spark.createDataFrame([], batch.schema)
+        replace_table(upsert(target, batch, keys, **how), path)
 
 
 def delete_from_table(doomed: DataFrame, path: str, keys: Sequence[str]) -> None:
@@ -98,13 +114,17 @@ def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], partit
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
     spark = updates.sparkSession
-    if updates.isEmpty():
-        return
-    target = _partitions_of(spark, path, updates, partition)
-    if target is None:
-        target = spark.createDataFrame([], updates.schema)
-    writer = upsert(target, updates, keys, **how).write.mode("overwrite").partitionBy(partition)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    with _kept(updates) as batch:
+        if batch.isEmpty():
+            return
+        target = _partitions_of(spark, path, batch, partition)
+        if target is None:
+            target = spark.createDataFrame([], batch.schema)
+        # Gathers a partition's rows for few files, and splits a partition
+        # that holds far more than the others between tasks.
+        merged = upsert(target, batch, keys, **how).hint("rebalance", partition)
+        writer = merged.write.mode("overwrite").partitionBy(partition)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _partitions_of(spark: SparkSession, path: str, updates: DataFrame, partition: str) -> DataFrame | None:

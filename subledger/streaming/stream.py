@@ -39,12 +39,10 @@ def run_upsert_stream(
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        batch.persist()
         if partition is None:
             upsert_table(batch, path, keys, order=order)
         else:
             upsert_partitions(batch, path, keys, partition, order=order)
-        batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(load)

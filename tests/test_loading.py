@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from subledger.session import scratch_path, shared_dir
+from subledger.session import scratch_path, shared_dir, shuffle_partitions
 from subledger.sources import readers, tables
 from subledger.streaming import incremental, stream
 
@@ -25,6 +25,11 @@ def test_shared_dir_is_the_configured_one(spark):
     assert spark.conf.get("spark.checkpoint.dir") == folder == shared_dir(spark)
 
 
+def test_shuffle_partitions_follow_the_size():
+    assert shuffle_partitions(1) == 8
+    assert shuffle_partitions(1 << 40) == 4096
+
+
 def test_replace_reads_its_own_table(spark, path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     tables.replace_table(df, path)
@@ -108,6 +113,20 @@ def test_read_since_variants(spark):
     assert [r.k for r in readers.read_since(df, "t", mark, limit=2, tie=["k"]).collect()] == [1, 2]
 
 
+def test_pages_cover_equal_marks_once(spark):
+    df = spark.createDataFrame([(k, k // 4) for k in range(10)], "k int, t int")
+    pages, last = [], None
+    while True:
+        page = df.orderBy("t", "k").limit(3) if last is None else readers.read_after(df, ["t", "k"], last, 3)
+        rows = [(r.t, r.k) for r in page.collect()]
+        if not rows:
+            break
+        pages.append(rows)
+        last = rows[-1]
+    assert [len(p) for p in pages] == [3, 3, 3, 1]
+    assert [k for p in pages for _, k in p] == list(range(10))
+
+
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_incremental_halves_equal_the_whole(spark, path, inclusive):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i // 2), f"v{i}") for i in range(20)]

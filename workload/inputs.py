@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subledger.functions.dates import Spine
+from subledger.functions.dates import Spine, iso_date
 from subledger.sources.readers import spread
 
 # Report dates: every order date, and the months around them.
@@ -36,7 +36,7 @@ def present(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = iso_date(c)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, T.DecimalType):

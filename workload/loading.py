@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from subledger.functions.dates import iso_instant
 from subledger.functions.scalars import to_number
 from subledger.operators import cleaning, keys, merge
 from subledger.session import scratch_path
@@ -151,7 +152,7 @@ def coerce_numeric(spark, sf_dir):
   strftime(ts, '%Y-%m-%d') AS created_day, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS instant FROM events""",
 )
 def normalise_timestamps(spark, sf_dir):
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    iso = iso_instant(F.col("ts"))
     rows = inputs.load(spark, sf_dir, "events").select(
         "event_id", F.when(F.col("event_type") != "error", iso).otherwise("not a date").alias("created"),
         iso.alias("created_day"), iso.alias("instant"),
@@ -351,6 +352,17 @@ def read_since_page(spark, sf_dir):
     return readers.read_since(orders, "o_orderdate", F.lit("1998-01-01").cast("date"), limit=500, tie=["o_orderkey"])
 
 
+@query(
+    "read_next_page",
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders
+  WHERE (CAST(o_orderdate AS DATE), o_orderkey) > (DATE '1998-01-05', 5000) ORDER BY CAST(o_orderdate AS DATE), o_orderkey LIMIT 500""",
+)
+def read_next_page(spark, sf_dir):
+    orders = inputs.load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    last = [F.lit("1998-01-05").cast("date"), F.lit(5000)]
+    return readers.read_after(orders, ["o_orderdate", "o_orderkey"], last, limit=500)
+
+
 @query("high_water_mark", "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS value FROM events")
 def high_water_mark(spark, sf_dir):
     return readers.high_water_mark(inputs.load(spark, sf_dir, "events"), "ts")
