@@ -14,18 +14,17 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
     """One row per key: the first or last in the given order.
 
     Columns outside the order break ties, so the result is the same on every
-    run. The row is picked by a min/max of structs, which combines before the
-    shuffle; a key holding most of the rows sends one row per input task.
+    run. Spark limits each key to its first row before the shuffle and again
+    after it, so a key holding most of the rows sends one row per input task.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
-    rest = [c for c in df.columns if c not in keys and c not in order]
     if len(keys) == len(df.columns):
         return df.distinct()
-    ranked = F.struct(*[F.col(c) for c in order if c not in keys], *[F.col(c) for c in rest])
-    pick = F.max(ranked) if keep == "last" else F.min(ranked)
-    best = df.groupBy(*keys).agg(pick.alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    ranked = [*order, *(c for c in df.columns if c not in keys and c not in order)]
+    direction = F.desc if keep == "last" else F.asc
+    in_order = Window.partitionBy(*keys).orderBy(*[direction(c) for c in ranked])
+    return df.withColumn("_rank", F.row_number().over(in_order)).where("_rank = 1").drop("_rank")
 
 
 def first_per_key(

@@ -103,8 +103,9 @@ def _held(active: DataFrame, keys, snapshots: Spine, ended: DataFrame, cols) ->
     """Active rows counted per snapshot date and key, for subscriptions that
     disconnect at some time; others cannot take part."""
     subs = [cols.account, cols.sub_name]
-    touched = active.join(ended.select(*subs).distinct(), subs, "left_semi")
-    return totals_by_date(touched, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active", name="snapshot_date")
+    runs = runs_by_date(active, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active")
+    touched = runs.join(ended.select(*subs).distinct(), subs, "left_semi")
+    return expand_runs(touched, snapshots, "snapshot_date")
 
 
 def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> tuple[DataFrame, list[str]]:

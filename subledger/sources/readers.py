@@ -38,14 +38,18 @@ def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[
     return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in names}
 
 
+# Scan tasks up to which moving the rows costs little: some 2 GB by default.
+_FEW_TASKS = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan has fewer tasks than that.
+    """Rows over all cores when a small scan leaves most of them idle.
 
-    For costly work per row on a table of few row groups. A table that is
-    large for the cluster is read by enough tasks and stays as it is.
+    For costly work per row on a table of few row groups. A scan of more than
+    a handful of tasks stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, _FEW_TASKS) else df
 
 
 def read_database(spark: SparkSession, url: str, table: str, predicates: Sequence[str], properties: Mapping[str, str]) -> DataFrame:
