@@ -57,14 +57,14 @@ def churned_accounts(
     are one row with their number in ``row_count``.
     """
     plans = [cols.account, cols.sub_name, cols.family, cols.product, cols.rate_plan]
-    active = _active(facts, snapshots, cols, exclude, exclude_like)
     ended, on = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
-    held = _held(active, plans, snapshots, ended, cols)
-    lost = _lost_accounts(active, ended, on, snapshots, cols)
-    ends = ended.groupBy(*on, "cancel_date").agg(F.count("*").alias("_ended"))
+    held = _active_runs(facts, plans, snapshots, cols, exclude, exclude_like)
+    subs = runs_by_date(held, plans[:2], F.col("_at"), F.col("_until"), snapshots, "_active")
+    lost = _lost_accounts(subs, ended, on, snapshots, cols)
     return (
-        held.join(lost, ["snapshot_date", cols.account], "left_semi")
-        .join(ends, on)
+        _expand_touched(held, ended, snapshots, cols)
+        .join(lost, ["snapshot_date", cols.account], "left_semi")
+        .join(ended, on)
         .select("snapshot_date", *plans, "cancel_date", (F.col("_active") * F.col("_ended")).alias("row_count"))
     )
 
@@ -78,46 +78,46 @@ def accounts_cancelled_daily(
     exclude_like: Iterable[str] = (),
 ) -> DataFrame:
     """Churned accounts counted per cancellation date."""
-    subs = [cols.account, cols.sub_name]
-    active = _active(facts, snapshots, cols, exclude, exclude_like)
     ended, on = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
-    held = _held(active, subs, snapshots, ended, cols)
-    lost = _lost_accounts(active, ended, on, snapshots, cols)
+    subs = _active_runs(facts, [cols.account, cols.sub_name], snapshots, cols, exclude, exclude_like)
+    lost = _lost_accounts(subs, ended, on, snapshots, cols)
     pairs = (
-        held.join(lost, ["snapshot_date", cols.account], "left_semi")
-        .join(ended.select(*on, "cancel_date").distinct(), on)
+        _expand_touched(subs, ended, snapshots, cols)
+        .join(lost, ["snapshot_date", cols.account], "left_semi")
+        .join(ended, on)
         .select(cols.account, "cancel_date")
     )
     return pairs.groupBy("cancel_date").agg(F.countDistinct(cols.account).alias("accounts_cancelled"))
 
 
-def _active(facts, snapshots, cols, exclude, exclude_like) -> DataFrame:
-    """Active rows with their ranges of snapshot dates.
+def _active_runs(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFrame:
+    """Active rows counted per key over stretches of snapshot dates.
 
     The latest version is looked up among all rows, excluded ones as well.
     """
-    return active_ranges(facts, snapshots, cols).where(without_names(F.col(cols.product), exclude, exclude_like))
+    active = active_ranges(facts, snapshots, cols).where(without_names(F.col(cols.product), exclude, exclude_like))
+    return runs_by_date(active, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active")
 
 
-def _held(active: DataFrame, keys, snapshots: Spine, ended: DataFrame, cols) -> DataFrame:
-    """Active rows counted per snapshot date and key, for subscriptions that
-    disconnect at some time; others cannot take part."""
+def _expand_touched(runs: DataFrame, ended: DataFrame, snapshots: Spine, cols: SubscriptionColumns) -> DataFrame:
+    """Snapshot dates of subscriptions that disconnect at some time; others
+    cannot take part and are not written out."""
     subs = [cols.account, cols.sub_name]
-    runs = runs_by_date(active, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active")
-    touched = runs.join(ended.select(*subs).distinct(), subs, "left_semi")
-    return expand_runs(touched, snapshots, "snapshot_date")
+    return expand_runs(runs.join(ended.select(*subs).distinct(), subs, "left_semi"), snapshots, "snapshot_date")
 
 
 def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> tuple[DataFrame, list[str]]:
-    """Disconnects in the window, and the columns that tie them to a snapshot."""
+    """Disconnects counted per subscription and day, and the columns that tie
+    them to a snapshot."""
     if window is not None:
         days = Spine(*window)
     else:
         days = replace(snapshots, end=_last_of_month(snapshots.end), step="day")
     on = [cols.account, cols.sub_name]
-    ended = disconnect_rows(facts, days, cols, exclude=exclude, exclude_like=exclude_like).select(
-        *on, F.col("report_date").alias("cancel_date")
-    )
+    rows = disconnect_rows(facts, days, cols, exclude=exclude, exclude_like=exclude_like)
+    ended = rows.groupBy(*on, F.col("report_date").alias("cancel_date")).agg(F.count("*").alias("_ended"))
+    # Keeps the count in every use, so that all uses share one aggregation.
+    ended = ended.where("_ended > 0")
     if window is not None:
         return ended, on
     # A disconnect belongs to the snapshots of its month up to its day.
@@ -126,7 +126,7 @@ def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> tuple
 
 
 def _lost_accounts(
-    active: DataFrame, ended: DataFrame, on: Sequence[str], snapshots: Spine, cols: SubscriptionColumns
+    subs: DataFrame, ended: DataFrame, on: Sequence[str], snapshots: Spine, cols: SubscriptionColumns
 ) -> DataFrame:
     """Snapshot dates and accounts all of whose active subscriptions disconnect.
 
@@ -134,10 +134,8 @@ def _lost_accounts(
     disconnect as it has active subscriptions.
     """
     account = ["snapshot_date", cols.account]
-    subs = runs_by_date(active, [cols.account, cols.sub_name], F.col("_lo"), F.col("_hi"), snapshots, "_rows")
     every = totals_by_date(subs, [cols.account], F.col("_at"), F.col("_until"), snapshots, "_every", name=account[0])
-    touched = subs.join(ended.select(cols.account, cols.sub_name).distinct(), [cols.account, cols.sub_name], "left_semi")
-    found = expand_runs(touched, snapshots, account[0])
+    found = _expand_touched(subs, ended, snapshots, cols)
     if account[0] in on:
         found = found.join(ended.select(*on).distinct(), list(on), "left_semi")
     matched = found.groupBy(*account).agg(F.count("*").alias("_found"))

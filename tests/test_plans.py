@@ -43,6 +43,15 @@ def test_deduplication_cuts_keys_before_the_shuffle(spark, data):
     assert text.index("WindowGroupLimit") < text.index("Exchange hashpartitioning") < text.rindex("WindowGroupLimit")
 
 
+def test_churn_shares_its_aggregations(spark, data):
+    df = QUERIES["churned_accounts"](spark, data)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Latest versions, active rows and disconnects read the facts once each.
+    assert final.count("FileScan parquet [o_orderkey") <= 3
+    assert "ReusedExchange" in final
+
+
 def test_small_updates_do_not_shuffle_the_target(spark):
     from subledger.operators.merge import upsert
 
