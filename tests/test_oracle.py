@@ -8,8 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.conftest import DATA
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from workload.registry import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -49,5 +48,10 @@ def test_matches_sql(spark, duck, name):
     assert canonical(df.columns, df.collect()) == canonical(columns, result.fetchall())
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLE.items() <= contract.oracle_sql().items()
+
+
 def test_entry(spark):
     assert contract.entry(spark).head() is not None
