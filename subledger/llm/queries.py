@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subledger.llm import bpe, decontaminate, quality, secrets, sharding, token_counts, urls
+from subledger.llm import bpe, decontaminate, licenses, near_dup, quality, secrets, sharding, token_counts, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,31 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Pages of one archive file, and what befalls the second replica of it: bytes
+#: of one page length are damaged, pages of another are lost.
+FILE_PAGES = 1_000
+DAMAGED, LOST = (97, 5), (301, 7)
+
+
+def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a damaged replica of the archive that the pages make up."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    content = F.concat_ws("\n", "url", "html")
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    damaged = F.when(size % DAMAGED[0] == DAMAGED[1], F.concat(F.lit("\x00"), F.substr(content, F.lit(2)))).otherwise(content)
+    file = F.format_string("crawl-%06d", F.coalesce(F.floor(F.col("page_id") / FILE_PAGES), F.lit(-1)))
+    placed = pages.withColumns({"file": file, "lost": size % LOST[0] == LOST[1], "record": F.col("page_id")})
+
+    def manifest(content: Column) -> DataFrame:
+        # A file's records follow each other; one task places a file's entries, not its contents.
+        rows = warc.hashed_records(placed, content, ["file", "record", "lost"])
+        before = Window.partitionBy("file").orderBy("record", "digest").rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+
+    ours, theirs = manifest(content), manifest(damaged).where("not lost")
+    return warc.audit(ours.drop("lost"), theirs.drop("lost"))
+
+
 def tokenizer(name: str) -> str:
     """Where the file of a public tokenizer is."""
     import public_tokenizers
@@ -93,6 +118,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.license_scan(documents, licenses.known_licenses(spark))
+    return found.select("doc_id", "text_digest", "license", F.array_join("notices", ",").alias("notices"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 SHARDS = 24
 
 
@@ -124,10 +159,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_secret_scan,
+        op2_warc_fixity,
         op3_token_counts,
         op4_quality_rules,
         op5_url_filter,
         op6_byte_bpe,
+        op7_license_scan,
+        op8_near_duplicates,
         op9_rendezvous_shards,
         op10_decontaminate,
     )
