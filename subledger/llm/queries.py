@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subledger.llm import bpe, decontaminate, licenses, near_dup, quality, secrets, sharding, token_counts, urls, warc
+from subledger.llm import (
+    bpe,
+    decontaminate,
+    licenses,
+    near_dup,
+    oracle,
+    quality,
+    secrets,
+    sharding,
+    token_counts,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,4 +183,12 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+#: The others have no SQL: tests hold them against the libraries or brute force.
+ORACLE: dict[str, str] = {
+    "op1_secret_scan": oracle.SECRETS,
+    "op2_warc_fixity": oracle.fixity(FILE_PAGES, DAMAGED, LOST),
+    "op4_quality_rules": oracle.QUALITY,
+    "op5_url_filter": oracle.url_filter(URL_RULES, LISTED_SITES),
+    "op7_license_scan": oracle.license_scan(),
+    "op10_decontaminate": oracle.DECONTAMINATE,
+}

@@ -76,7 +76,14 @@ def bloom_filter(listed: DataFrame, key: str, bits_per_url: int = BITS_PER_URL)
     return marks.groupBy("_block").agg(*words), blocks
 
 
-def on_list(df: DataFrame, key: str, listed: DataFrame, listed_key: str, flag: str = "listed") -> DataFrame:
+def on_list(
+    df: DataFrame,
+    key: str,
+    listed: DataFrame,
+    listed_key: str,
+    flag: str = "listed",
+    bits_per_url: int = BITS_PER_URL,
+) -> DataFrame:
     """All rows of ``df`` with ``flag``: whether the key is one of the listed.
 
     The filter lets possible hits pass to an exact join by key that removes
@@ -88,7 +95,7 @@ def on_list(df: DataFrame, key: str, listed: DataFrame, listed_key: str, flag: s
     """
     df = without(df, flag)
     block, maybe, here = fresh(df, "_block", "_maybe", "_key")
-    filter_, blocks = bloom_filter(listed, listed_key)
+    filter_, blocks = bloom_filter(listed, listed_key, bits_per_url)
     filter_ = filter_.select(F.col("_block").alias(block), F.struct(*(f"_w{i}" for i in range(WORDS))).alias(maybe))
     if blocks <= BROADCAST_BLOCKS:
         filter_ = F.broadcast(filter_)
