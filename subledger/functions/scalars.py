@@ -6,9 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Java reads a letter after a number as its type: ``12F`` or ``5d``.
+_NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|nan|inf(inity)?)$"
+
+
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a number becomes null."""
-    return F.trim(text.cast("string")).try_cast("double")
+    bare = F.trim(text.cast("string"))
+    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 
 def to_flag(text: Column) -> Column:

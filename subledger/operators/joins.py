@@ -43,8 +43,9 @@ def not_in(left: DataFrame, column: str, values: DataFrame) -> DataFrame:
     v = values.select(F.col(values.columns[0]).alias("_v"))
     known = v.where(F.col("_v").isNotNull()).distinct()
     kept = left.join(known, left[column] == F.col("_v"), "left_anti")
-    total, non_null = v.agg(F.count("*")).scalar(), v.agg(F.count("_v")).scalar()
-    return kept.where((total == 0) | ((total == non_null) & F.col(column).isNotNull()))
+    # Of the values there is one row, with both counts.
+    counts = v.agg(F.struct(F.count("*").alias("all"), F.count("_v").alias("known"))).scalar()
+    return kept.where((counts["all"] == 0) | ((counts["all"] == counts["known"]) & F.col(column).isNotNull()))
 
 
 def all_matched(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:

@@ -25,10 +25,11 @@ def upsert(
 ) -> DataFrame:
     """Target after ``INSERT … ON CONFLICT (keys)`` of the updates.
 
-    ``mode='update'`` overwrites all columns of a row already there, or only
-    ``update_cols``; ``mode='ignore'`` leaves such a row alone. Of several
-    updates with one key the last in ``order`` counts. New columns of the
-    updates extend the target, missing ones are null in inserted rows.
+    ``mode='update'`` overwrites the columns that the updates have in a row
+    already there, or only ``update_cols``; ``mode='ignore'`` leaves such a row
+    alone. Of several updates with one key the last in ``order`` counts. New
+    columns of the updates extend the target; columns that they lack keep
+    their values, and are null in inserted rows.
     """
     if mode not in ("update", "ignore"):
         raise ValueError("mode must be 'update' or 'ignore'")
@@ -36,6 +37,8 @@ def upsert(
     batch = dedupe(updates, keys, order, keep="last")
     if mode == "ignore":
         return _concat(target, _absent(batch, target, keys))
+    if update_cols is None and not set(target.columns) <= set(batch.columns):
+        update_cols = [c for c in batch.columns if c not in keys]
     if update_cols is None:
         return _concat(target.join(batch.select(keys), keys, "left_anti"), batch)
     target = evolve_schema(target, batch)

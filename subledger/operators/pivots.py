@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+OTHER = "other"
+
+
 def count_pivot(
     df: DataFrame,
     index: str,
@@ -15,22 +18,32 @@ def count_pivot(
     values: Sequence | None = None,
     labels: Sequence[str] | None = None,
     total: str | None = None,
+    other: str = OTHER,
 ) -> DataFrame:
     """Rows counted per index value and category, one column per category.
 
     Rows without an index value or category are left out. A pair that does
-    not occur is null. ``values`` names the categories; without it Spark looks
-    them up first. ``total`` adds the row total under that name.
+    not occur is null. Without ``values`` every category that occurs has a
+    column; Spark looks them up first. With ``values`` those have one each,
+    named by ``labels`` if given, and ``other`` counts the rows of all other
+    categories. ``total`` adds the row total under that name; it is counted
+    from the rows and not from the cells.
     """
     known = df.where(F.col(index).isNotNull() & F.col(category).isNotNull())
-    grouped = known.groupBy(index)
-    table = (grouped.pivot(category, list(values)) if values is not None else grouped.pivot(category)).agg(F.count(F.lit(1)))
-    if labels is not None:
-        table = table.toDF(index, *labels)
-    if total is not None:
+    counts = [F.count(F.lit(1)).alias(total)] if total is not None else []
+    if values is None:
+        if labels is not None:
+            raise ValueError("labels go with values")
+        table = known.groupBy(index).pivot(category).agg(F.count(F.lit(1)))
         cells = [c for c in table.columns if c != index]
-        table = table.withColumn(total, sum((F.coalesce(F.col(c), F.lit(0)) for c in cells), F.lit(0).cast("bigint")))
-    return table
+        # Every category has a column here, so the cells are the rows.
+        row = sum((F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in cells), F.lit(0).cast("bigint"))
+        return table.withColumn(total, row) if total is not None else table
+    names = list(labels) if labels is not None else [str(v) for v in values]
+    named = F.col(category).isin(list(values))
+    tests = [*((n, F.col(category) == v) for n, v in zip(names, values, strict=True)), (other, ~named)]
+    cells = [F.nullif(F.count_if(test), F.lit(0)).alias(name) for name, test in tests]
+    return known.groupBy(index).agg(*cells, *counts)
 
 
 def with_total_row(table: DataFrame, index: str, label: str = "Total") -> DataFrame:

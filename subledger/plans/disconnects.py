@@ -14,7 +14,7 @@ from subledger.columns import DEFAULT_COLUMNS, SubscriptionColumns
 from subledger.functions.dates import Spine, as_date, month_start
 from subledger.functions.predicates import disconnect_date, disconnect_ok, without_names
 from subledger.operators.keys import first_per_key
-from subledger.operators.ranges import expand_runs, runs_by_date, totals_by_date
+from subledger.operators.ranges import runs_by_date
 from subledger.operators.snapshot import active_ranges
 
 
@@ -55,18 +55,25 @@ def churned_accounts(
     fixes the dates of the disconnects; without it they run from the snapshot
     date to the end of its month. Equal pairs of active and disconnect rows
     are one row with their number in ``row_count``.
+
+    Everything is worked out on stretches of dates. A subscription's days of
+    disconnects, at most one a date, meet its active rows as one list, and
+    dates and days are written out last, spread by rate plan: so a
+    subscription that holds most rows is written by many tasks.
     """
     plans = [cols.account, cols.sub_name, cols.family, cols.product, cols.rate_plan]
-    ended, on = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
+    ended = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
     held = _active_runs(facts, plans, snapshots, cols, exclude, exclude_like)
     subs = runs_by_date(held, plans[:2], F.col("_at"), F.col("_until"), snapshots, "_active")
-    lost = _lost_accounts(subs, ended, on, snapshots, cols)
-    return (
-        _expand_touched(held, ended, snapshots, cols)
-        .join(lost, ["snapshot_date", cols.account], "left_semi")
-        .join(ended, on)
-        .select("snapshot_date", *plans, "cancel_date", (F.col("_active") * F.col("_ended")).alias("row_count"))
-    )
+    lost = _lost_stretches(subs, ended, snapshots, window, cols)
+    days = ended.groupBy(*plans[:2]).agg(F.collect_list(F.struct("cancel_date", "_ended")).alias("_days"))
+    kept = _cut(held, lost, [cols.account]).join(days, plans[:2])
+    pairs = kept.repartition(*plans).select(*plans, "_active", "_at", "_until", F.explode("_days").alias("_day"))
+    pairs = pairs.select(*plans, "_active", "_at", "_until", "_day.cancel_date", "_day._ended")
+    if window is None:
+        pairs = _cut_to_month(pairs, snapshots)
+    dated = snapshots.expand(pairs, F.col("_at"), F.col("_until"), "snapshot_date")
+    return dated.select("snapshot_date", *plans, "cancel_date", (F.col("_active") * F.col("_ended")).alias("row_count"))
 
 
 def accounts_cancelled_daily(
@@ -78,16 +85,17 @@ def accounts_cancelled_daily(
     exclude_like: Iterable[str] = (),
 ) -> DataFrame:
     """Churned accounts counted per cancellation date."""
-    ended, on = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
-    subs = _active_runs(facts, [cols.account, cols.sub_name], snapshots, cols, exclude, exclude_like)
-    lost = _lost_accounts(subs, ended, on, snapshots, cols)
-    pairs = (
-        _expand_touched(subs, ended, snapshots, cols)
-        .join(lost, ["snapshot_date", cols.account], "left_semi")
-        .join(ended, on)
-        .select(cols.account, "cancel_date")
-    )
-    return pairs.groupBy("cancel_date").agg(F.countDistinct(cols.account).alias("accounts_cancelled"))
+    ended = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
+    on = [cols.account, cols.sub_name]
+    subs = _active_runs(facts, on, snapshots, cols, exclude, exclude_like)
+    kept = _cut(subs, _lost_stretches(subs, ended, snapshots, window, cols), [cols.account])
+    if window is not None:
+        # Any snapshot will do, so a subscription counts once.
+        pairs = kept.select(*on).distinct().join(ended, on)
+    else:
+        pairs = _cut_to_month(kept.join(ended, on), snapshots)
+    pairs = pairs.select(cols.account, "cancel_date").distinct()
+    return pairs.groupBy("cancel_date").agg(F.count(F.lit(1)).alias("accounts_cancelled"))
 
 
 def _active_runs(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFrame:
@@ -99,47 +107,65 @@ def _active_runs(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFra
     return runs_by_date(active, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active")
 
 
-def _expand_touched(runs: DataFrame, ended: DataFrame, snapshots: Spine, cols: SubscriptionColumns) -> DataFrame:
-    """Snapshot dates of subscriptions that disconnect at some time; others
-    cannot take part and are not written out."""
-    subs = [cols.account, cols.sub_name]
-    return expand_runs(runs.join(ended.select(*subs).distinct(), subs, "left_semi"), snapshots, "snapshot_date")
-
-
-def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> tuple[DataFrame, list[str]]:
-    """Disconnects counted per subscription and day, and the columns that tie
-    them to a snapshot."""
+def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> DataFrame:
+    """Disconnects counted per subscription and day."""
     if window is not None:
         days = Spine(*window)
     else:
         days = replace(snapshots, end=_last_of_month(snapshots.end), step="day")
-    on = [cols.account, cols.sub_name]
     rows = disconnect_rows(facts, days, cols, exclude=exclude, exclude_like=exclude_like)
-    ended = rows.groupBy(*on, F.col("report_date").alias("cancel_date")).agg(F.count("*").alias("_ended"))
+    ended = rows.groupBy(cols.account, cols.sub_name, F.col("report_date").alias("cancel_date"))
     # Keeps the count in every use, so that all uses share one aggregation.
-    ended = ended.where("_ended > 0")
-    if window is not None:
-        return ended, on
-    # A disconnect belongs to the snapshots of its month up to its day.
+    return ended.agg(F.count("*").alias("_ended")).where("_ended > 0")
+
+
+def _cut(runs: DataFrame, bounds: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Parts of the runs that lie within the stretches ``[_lo, _hi)`` of their key."""
+    at, until = F.greatest("_at", "_lo"), F.least("_until", "_hi")
+    met = runs.join(bounds, list(on)).withColumn("_until", until).withColumn("_at", at).drop("_lo", "_hi")
+    return met.where(F.col("_until").isNull() | (F.col("_at") < F.col("_until")))
+
+
+def _month_bounds(snapshots: Spine) -> list:
+    """A disconnect belongs to the snapshots of its month up to its day."""
     day = F.col("cancel_date")
-    return snapshots.expand(ended, month_start(day), F.date_add(day, 1), "snapshot_date"), ["snapshot_date", *on]
+    return [
+        snapshots.on_or_after(month_start(day)).alias("_lo"),
+        snapshots.on_or_after(F.date_add(day, 1)).alias("_hi"),
+    ]
+
 
+def _cut_to_month(pairs: DataFrame, snapshots: Spine) -> DataFrame:
+    bounded = pairs.select("*", *_month_bounds(snapshots)).where("_lo IS NOT NULL")
+    at, until = F.greatest("_at", "_lo"), F.least("_until", "_hi")
+    cut = bounded.withColumn("_until", until).withColumn("_at", at).drop("_lo", "_hi")
+    return cut.where(F.col("_until").isNull() | (F.col("_at") < F.col("_until")))
 
-def _lost_accounts(
-    subs: DataFrame, ended: DataFrame, on: Sequence[str], snapshots: Spine, cols: SubscriptionColumns
+
+def _lost_stretches(
+    subs: DataFrame, ended: DataFrame, snapshots: Spine, window: tuple[date, date] | None, cols: SubscriptionColumns
 ) -> DataFrame:
-    """Snapshot dates and accounts all of whose active subscriptions disconnect.
+    """Stretches ``[_lo, _hi)`` of snapshot dates on which all active
+    subscriptions of an account disconnect.
 
-    That is the case where the account has as many active subscriptions with a
-    disconnect as it has active subscriptions.
+    Those are the dates on which as many of the account's subscriptions are
+    active and disconnect as are active at all.
     """
-    account = ["snapshot_date", cols.account]
-    every = totals_by_date(subs, [cols.account], F.col("_at"), F.col("_until"), snapshots, "_every", name=account[0])
-    found = _expand_touched(subs, ended, snapshots, cols)
-    if account[0] in on:
-        found = found.join(ended.select(*on).distinct(), list(on), "left_semi")
-    matched = found.groupBy(*account).agg(F.count("*").alias("_found"))
-    return every.join(matched, account).where(F.col("_every") == F.col("_found")).select(*account)
+    on = [cols.account, cols.sub_name]
+    if window is not None:
+        found = subs.join(ended.select(*on), on, "left_semi")
+    else:
+        # The last disconnect of a month holds for all earlier snapshots of it.
+        months = ended.groupBy(*on, month_start(F.col("cancel_date")).alias("_month"))
+        months = months.agg(F.max("cancel_date").alias("cancel_date")).drop("_month")
+        found = _cut(subs, months.select(*on, *_month_bounds(snapshots)).where("_lo IS NOT NULL"), on)
+    steps = subs.select(cols.account, "_at", "_until", F.lit(1).alias("_e"), F.lit(0).alias("_f")).unionByName(
+        found.select(cols.account, "_at", "_until", F.lit(0).alias("_e"), F.lit(1).alias("_f"))
+    )
+    sums = {"_every": F.col("_e"), "_found": F.col("_f")}
+    runs = runs_by_date(steps, [cols.account], F.col("_at"), F.col("_until"), snapshots, "_n", sums)
+    lost = runs.where((F.col("_every") == F.col("_found")) & (F.col("_every") > 0))
+    return lost.select(cols.account, F.col("_at").alias("_lo"), F.col("_until").alias("_hi"))
 
 
 def _last_of_month(day: date) -> date:

@@ -18,20 +18,30 @@ GRAND_TOTAL = "grand_total"
 
 
 def pivot_term_type(df: DataFrame, cols: SubscriptionColumns = DEFAULT_COLUMNS, day: str = "report_date") -> DataFrame:
+    """Counts per term type; types beyond the known ones are counted as ``other``."""
     return count_pivot(df, day, cols.term_type, TERM_TYPES, total=GRAND_TOTAL)
 
 
 def pivot_renewal_term(
-    df: DataFrame, terms: Sequence[int], cols: SubscriptionColumns = DEFAULT_COLUMNS, day: str = "report_date"
+    df: DataFrame,
+    terms: Sequence[int] | None = None,
+    cols: SubscriptionColumns = DEFAULT_COLUMNS,
+    day: str = "report_date",
 ) -> DataFrame:
-    """Counts per renewal term; a missing term counts as 1."""
-    labels = [f"term_{t}" for t in terms]
+    """Counts per renewal term; a missing term counts as 1. Terms that aren't
+    named are counted as ``other``; without names each term has a column."""
+    labels = [f"term_{t}" for t in terms] if terms is not None else None
     return count_pivot(fill_column(df, cols.renewal_term, 1), day, cols.renewal_term, terms, labels, GRAND_TOTAL)
 
 
 def pivot_status(
-    df: DataFrame, statuses: Sequence[str], cols: SubscriptionColumns = DEFAULT_COLUMNS, day: str = "report_date"
+    df: DataFrame,
+    statuses: Sequence[str] | None = None,
+    cols: SubscriptionColumns = DEFAULT_COLUMNS,
+    day: str = "report_date",
 ) -> DataFrame:
+    """Counts per status: a column for each one that occurs, or for the named
+    ones and one for all others."""
     return count_pivot(df, day, cols.status, statuses, total=GRAND_TOTAL)
 
 
@@ -65,7 +75,9 @@ def daily_revenue(
     )
 
 
-def adds_pivots(adds: DataFrame, terms: Sequence[int], statuses: Sequence[str], cols=DEFAULT_COLUMNS) -> dict:
+def adds_pivots(
+    adds: DataFrame, terms: Sequence[int] | None = None, statuses: Sequence[str] | None = None, cols=DEFAULT_COLUMNS
+) -> dict[str, DataFrame]:
     """The sheets that go with the adds extract, by name."""
     return {
         "raw_data": adds,
@@ -79,7 +91,9 @@ def adds_pivots(adds: DataFrame, terms: Sequence[int], statuses: Sequence[str],
     }
 
 
-def disconnect_pivots(rows: DataFrame, terms: Sequence[int], statuses: Sequence[str], cols=DEFAULT_COLUMNS) -> dict:
+def disconnect_pivots(
+    rows: DataFrame, terms: Sequence[int] | None = None, statuses: Sequence[str] | None = None, cols=DEFAULT_COLUMNS
+) -> dict[str, DataFrame]:
     """The sheets that go with the disconnect extract, by name."""
     return {
         "raw_data": rows,

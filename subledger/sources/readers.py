@@ -11,16 +11,38 @@ from pyspark.sql import types as T
 from subledger.functions.dates import as_date
 
 
+#: Fixed values. The marker tells a null from an empty text in files written
+#: here, and is a private-use character that texts don't hold; a field that is
+#: empty without quotes is null as well.
+CSV_OPTIONS = {"header": True, "escape": '"', "nullValue": "\ue000", "emptyValue": ""}
+
+BAD_ROW = "_bad_row"
+
+
 def read_export(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    multiline: bool = True,
+    bad_rows: str = "fail",
 ) -> DataFrame:
     """CSV export with a header line. Without a schema all columns are text.
 
-    ``multiline`` is for exports with line breaks inside quoted fields; such
-    files are read by one task each.
+    Quoted fields may hold line breaks, so a file is read by one task; with
+    ``multiline=False`` files without such fields are split between tasks. A
+    row that doesn't fit the schema fails the read, or with
+    ``bad_rows='keep'`` is kept with its text in the column ``_bad_row``.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    return reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    if bad_rows not in ("fail", "keep"):
+        raise ValueError("bad_rows must be 'fail' or 'keep'")
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multiline)
+    if schema is None:
+        return reader.option("mode", "FAILFAST").csv(path)
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if bad_rows == "fail":
+        return reader.option("mode", "FAILFAST").schema(kind).csv(path)
+    kind = T.StructType([*kind.fields, T.StructField(BAD_ROW, T.StringType())])
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW).schema(kind).csv(path)
 
 
 def read_records(spark: SparkSession, path: str, record: T.StructType | str) -> DataFrame:
@@ -38,20 +60,6 @@ def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[
     return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in names}
 
 
-# Scan tasks up to which moving the rows costs little: some 2 GB by default.
-_FEW_TASKS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when a small scan leaves most of them idle.
-
-    For costly work per row on a table of few row groups. A scan of more than
-    a handful of tasks stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, _FEW_TASKS) else df
-
-
 def read_database(spark: SparkSession, url: str, table: str, predicates: Sequence[str], properties: Mapping[str, str]) -> DataFrame:
     """Database table over JDBC, one partition per predicate."""
     return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))

@@ -1,13 +1,18 @@
 """Parquet tables with replace, append and keyed upsert.
 
-A plain table is a folder of numbered snapshots. A writer adds the next one
-and readers take the newest that Spark finished (``_SUCCESS``), so a job that
-dies half way leaves the table as it was. A table partitioned by a column of
-its key is upserted in place: only partitions the batch touches are rewritten.
+A table is a folder of data folders and of versions. A version is one small
+file that names the table's data folders and its schema; it is put in place by
+a rename that fails if the version exists, so of two writers one is told, a
+job that dies half way leaves the table as it was, and readers know every
+column, whichever load brought it. A table partitioned by a column of its key
+keeps one data folder and is upserted in place: only partitions that the batch
+touches are read and written.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -15,74 +20,181 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subledger.operators.merge import delete_keys, upsert
+from subledger.operators.merge import delete_keys, landing_type, upsert
+from subledger.sources.readers import CSV_OPTIONS
 
-_SNAPSHOT = "snapshot="
+_VERSIONS = "_versions"
+_PARTS = "parts"
+# Versions whose data stays: the newest, and the one that running readers may still use.
+KEPT_VERSIONS = 2
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below a path; empty when it does not exist."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return [n for n in names if not n.startswith((".", "_"))]
+class _Files:
+    """The file system that holds a table."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark._jvm
+        self.root = path.rstrip("/")
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self.fs = self.at("").getFileSystem(conf)
+        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), conf)
+        self.gateway = spark.sparkContext._gateway
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished snapshots, oldest first."""
-    numbers = sorted(int(n[len(_SNAPSHOT) :]) for n in _folders(spark, path) if n.startswith(_SNAPSHOT))
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    fs = done(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return [n for n in numbers if fs.exists(done(f"{path}/{_SNAPSHOT}{n}/_SUCCESS"))]
+    def at(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.at(name))
+
+    def names(self, folder: str) -> list[str]:
+        return [s.getPath().getName() for s in self.fs.listStatus(self.at(folder))] if self.exists(folder) else []
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self.at(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put_new(self, name: str, text: str) -> bool:
+        """A file with this text; false if the name is taken."""
+        draft = f"{_VERSIONS}/.draft-{uuid.uuid4().hex}"
+        stream = self.fs.create(self.at(draft), False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        options = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            self.context.rename(self.context.makeQualified(self.at(draft)), self.context.makeQualified(self.at(name)), options)
+        except Exception as error:
+            if not self.exists(name):
+                raise
+            self.fs.delete(self.at(draft), False)
+            if "FileAlreadyExists" not in str(error):
+                raise
+            return False
+        return True
+
+    def drop(self, name: str) -> None:
+        self.fs.delete(self.at(name), True)
+
+
+def _numbers(files: _Files) -> list[int]:
+    return sorted(int(n.removesuffix(".json")) for n in files.names(_VERSIONS) if n.endswith(".json") and n[0] != ".")
+
+
+def _version(files: _Files, number: int) -> dict:
+    return json.loads(files.read(f"{_VERSIONS}/{number}.json"))
+
+
+def _newest(files: _Files) -> tuple[int, dict | None]:
+    numbers = _numbers(files)
+    return (numbers[-1], _version(files, numbers[-1])) if numbers else (0, None)
+
+
+def _schema(version: dict) -> T.StructType:
+    return T.StructType.fromJson(version["schema"])
+
+
+def _landing(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, landing_type(f.dataType)) for f in schema])
+
+
+def _commit(files: _Files, number: int, data: Sequence[str], schema: T.StructType, partition: str | None = None) -> bool:
+    text = json.dumps({"data": list(data), "schema": schema.jsonValue(), "partition": partition})
+    return files.put_new(f"{_VERSIONS}/{number}.json", text)
+
+
+def _drop_old(files: _Files) -> None:
+    """Versions before those that stay, and the data that only they name."""
+    numbers = _numbers(files)
+    used = {d for n in numbers[-KEPT_VERSIONS:] for d in _version(files, n)["data"]}
+    for n in numbers[:-KEPT_VERSIONS]:
+        for name in set(_version(files, n)["data"]) - used:
+            files.drop(name)
+        files.drop(f"{_VERSIONS}/{n}.json")
+
+
+def _conflict(path: str) -> RuntimeError:
+    return RuntimeError(f"another writer changed {path} meanwhile; load again")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_snapshots(spark, path))
+    return bool(_numbers(_Files(spark, path)))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    done = _snapshots(spark, path)
-    if not done:
+    """The newest version with all its columns, null where a file lacks them."""
+    files = _Files(spark, path)
+    _, version = _newest(files)
+    if version is None:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.parquet(f"{path}/{_SNAPSHOT}{done[-1]}")
+    return spark.read.schema(_schema(version)).parquet(*(f"{files.root}/{d}" for d in version["data"]))
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns in the types the table has for them."""
+    kinds = {f.name: f.dataType for f in schema}
+    return df.select([F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in df.columns])
+
+
+def _widened(schema: T.StructType, batch: T.StructType) -> T.StructType:
+    new = [f for f in _landing(batch) if f.name not in schema.names]
+    return T.StructType([*schema.fields, *new])
+
+
+def _write(files: _Files, df: DataFrame, schema: T.StructType) -> str:
+    name = f"data-{uuid.uuid4().hex}"
+    _typed(df, schema).write.parquet(f"{files.root}/{name}")
+    return name
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """The table's content becomes ``df``, which may read the table itself."""
-    done = _snapshots(df.sparkSession, path)
-    number = done[-1] + 1 if done else 1
-    df.write.mode("overwrite").parquet(f"{path}/{_SNAPSHOT}{number}")
+    """The table's content becomes ``df``, which may read the table itself.
+
+    Raises if another writer committed since ``df``'s load began here.
+    """
+    files = _Files(df.sparkSession, path)
+    number, _ = _newest(files)
+    schema = _landing(df.schema)
+    name = _write(files, df, schema)
+    if not _commit(files, number + 1, [name], schema):
+        files.drop(name)
+        raise _conflict(path)
+    _drop_old(files)
 
 
 def append_table(df: DataFrame, path: str) -> None:
-    """Rows added; columns the table lacks are added, nothing is rewritten."""
-    done = _snapshots(df.sparkSession, path)
-    if not done:
-        return replace_table(df, path)
-    df.write.mode("append").parquet(f"{path}/{_SNAPSHOT}{done[-1]}")
-
+    """Rows added; columns the table lacks are added, nothing is rewritten.
 
-def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """Table whose files may differ in columns, after appends of new ones."""
-    done = _snapshots(spark, path)
-    if not done:
-        raise FileNotFoundError(f"no table at {path}")
-    return spark.read.option("mergeSchema", True).parquet(f"{path}/{_SNAPSHOT}{done[-1]}")
+    Appends of several writers all land, one after another.
+    """
+    files = _Files(df.sparkSession, path)
+    number, version = _newest(files)
+    schema = _widened(_schema(version) if version else T.StructType(), df.schema)
+    name = _write(files, df, schema)
+    while not _commit(files, number + 1, [*(version["data"] if version else []), name], schema):
+        number, version = _newest(files)
+        if _widened(_schema(version), df.schema) != schema:
+            files.drop(name)
+            raise _conflict(path)
+    _drop_old(files)
 
 
 @contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
-    """The batch computed once, however often the load looks at it."""
+def _staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """The batch written once beside the table and read from there, however
+    often the load looks at it; so it needs no executor to stay alive."""
     if df.is_cached:
         yield df
         return
-    df.persist()
+    files = _Files(df.sparkSession, path)
+    name = f"_staging-{uuid.uuid4().hex}"
+    schema = _landing(df.schema)
+    _typed(df, schema).write.parquet(f"{files.root}/{name}")
     try:
-        yield df
+        yield df.sparkSession.read.schema(schema).parquet(f"{files.root}/{name}")
     finally:
-        df.unpersist()
+        files.drop(name)
 
 
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], **how) -> None:
@@ -93,11 +205,13 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], **how) -> N
     larger than its batches see :func:`upsert_partitions`.
     """
     spark = updates.sparkSession
-    with _kept(updates) as batch:
-        if batch.isEmpty():
-            return
-        target = read_table(spark, path) if table_exists(spark, path) else spark.createDataFrame([], batch.schema)
-        replace_table(upsert(target, batch, keys, **how), path)
+    if updates.isEmpty():
+        return
+    if not table_exists(spark, path):
+        nothing = spark.createDataFrame([], _landing(updates.schema))
+        return replace_table(upsert(nothing, updates, keys, **how), path)
+    with _staged(updates, path) as batch:
+        replace_table(upsert(read_table(spark, path), batch, keys, **how), path)
 
 
 def delete_from_table(doomed: DataFrame, path: str, keys: Sequence[str]) -> None:
@@ -106,43 +220,51 @@ def delete_from_table(doomed: DataFrame, path: str, keys: Sequence[str]) -> None
 
 
 def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], partition: str, **how) -> None:
-    """Keyed upsert into a folder partitioned by one column of the key.
+    """Keyed upsert into a table partitioned by one column of the key.
 
-    Partitions without an update are neither read nor written, so the cost is
-    that of the dates in the batch and not of the table.
+    Partitions without an update are not listed, read or written, so the cost
+    is that of the dates in the batch and not of the table. A null partition
+    value is refused.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
+    if updates.isEmpty():
+        return
     spark = updates.sparkSession
-    with _kept(updates) as batch:
-        if batch.isEmpty():
-            return
-        target = _partitions_of(spark, path, batch, partition)
-        if target is None:
-            target = spark.createDataFrame([], batch.schema)
+    files = _Files(spark, path)
+    with _staged(updates, path) as batch:
+        # As many values as directories the write commits.
+        touched = [r[0] for r in batch.select(F.col(partition).cast("string")).distinct().collect()]
+        if None in touched:
+            raise ValueError(f"null in {partition}, by which the table is partitioned")
+        number, version = _newest(files)
+        known = _schema(version) if version else T.StructType()
+        schema = _widened(known, batch.schema)
+        if schema != known and not _commit(files, number + 1, [_PARTS], schema, partition):
+            raise _conflict(path)
+        target = _partitions(spark, files, schema, partition, touched)
         # Gathers a partition's rows for few files, and splits a partition
         # that holds far more than the others between tasks.
-        merged = upsert(target, batch, keys, **how).hint("rebalance", partition)
+        merged = _typed(upsert(target, batch, keys, **how), schema).hint("rebalance", partition)
         writer = merged.write.mode("overwrite").partitionBy(partition)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{files.root}/{_PARTS}")
 
 
-def _partitions_of(spark: SparkSession, path: str, updates: DataFrame, partition: str) -> DataFrame | None:
-    """Partitions of the table which the updates touch; None for no table.
-
-    The values become a filter on directories, so other partitions are not
-    listed for reading. There are as many as directories the write commits.
-    """
-    if not _folders(spark, path):
-        return None
-    found = spark.read.parquet(path).schema
-    typed = T.StructType([updates.schema[partition] if f.name == partition else f for f in found.fields])
-    touched = [row[0] for row in updates.select(partition).distinct().collect()]
-    return spark.read.schema(typed).parquet(path).where(F.col(partition).isin(touched))
+def _partitions(spark: SparkSession, files: _Files, schema: T.StructType, partition: str, values: Sequence[str]) -> DataFrame:
+    """The table's rows in the partitions of these values, by their directories."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folders = [f"{_PARTS}/{partition}={escaped(v)}" for v in values]
+    there = [f"{files.root}/{f}" for f in folders if files.exists(f)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{files.root}/{_PARTS}").parquet(*there)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV that :func:`subledger.sources.readers.read_export` reads back as it
+    was: line breaks, quotes, outer spaces, empty texts and nulls included."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**CSV_OPTIONS, **kept, quoteAll=True).csv(path)
 
 
 def write_report_bundle(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.sources.readers import high_water_mark, read_since
-from subledger.sources.tables import append_table, read_table, table_exists, upsert_table
+from subledger.sources.readers import high_water_mark, past_mark, read_since
+from subledger.sources.tables import append_table, read_table, table_exists, upsert_partitions, upsert_table
 
 CONTROL_SCHEMA = "object string, value string"
 
@@ -37,15 +37,23 @@ def incremental_load(
     inclusive: bool = True,
     by_day: bool = False,
     mode: str = "upsert",
+    partition: str | None = None,
 ) -> str:
     """Source rows past the stored mark into the target; returns the new mark.
 
     The mark is written after the load. A load that fails, or is run twice,
     reads the same rows again and the upsert makes that harmless, which is
-    also why rows equal to the mark are read by default.
+    also why rows equal to the mark are read by default. An append leaves out
+    rows whose key the target holds from the stored mark on, so it needs keys
+    too. With ``partition``, one of the keys, an upsert rewrites the touched
+    partitions only, which is the way for targets much larger than a batch.
     """
     if mode not in ("upsert", "append"):
         raise ValueError("mode must be 'upsert' or 'append'")
+    if not keys:
+        raise ValueError("a load that can be repeated needs keys")
+    if partition is not None and mode == "append":
+        raise ValueError("a partitioned target is upserted")
     last = read_mark(spark, control, name, default)
     limit = F.lit(last).cast(source.schema[mark].dataType)
     batch = read_since(source, mark, limit, inclusive, by_day)
@@ -55,7 +63,12 @@ def incremental_load(
     # The batch ends at the mark reached, also when rows arrive meanwhile.
     batch = batch.where(F.col(mark) <= F.lit(reached).cast(source.schema[mark].dataType))
     if mode == "append":
+        if table_exists(spark, target):
+            loaded = read_table(spark, target).where(past_mark(mark, limit, by_day=by_day))
+            batch = batch.join(loaded.select(*keys), list(keys), "left_anti")
         append_table(batch, target)
+    elif partition is not None:
+        upsert_partitions(batch, target, keys, partition, order=[mark])
     else:
         upsert_table(batch, target, keys, order=[mark])
     write_mark(spark, control, name, reached)

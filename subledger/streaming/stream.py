@@ -19,11 +19,6 @@ def stream_parquet(spark: SparkSession, folder: str, schema, pattern: str = "*.p
     )
 
 
-def drop_repeats(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """Rows whose key was not seen within the lateness; state stays bounded."""
-    return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
-
-
 def run_upsert_stream(
     stream: DataFrame,
     path: str,
@@ -34,8 +29,10 @@ def run_upsert_stream(
 ) -> None:
     """Everything available now into the table, then stop.
 
-    A micro-batch that is repeated after a failure writes the same rows again.
-    With ``partition`` only the touched partitions are rewritten.
+    A micro-batch that is repeated after a failure writes the same rows again,
+    and so do repeated rows: the key decides, and no row is too late. Within a
+    batch the last in ``order`` counts, among batches the later one. With
+    ``partition`` only the touched partitions are rewritten.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:

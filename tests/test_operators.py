@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from subledger import Spine
 from subledger.functions import dates, scalars
 from subledger.operators import cleaning, joins, keys, merge, pivots
+from subledger.plans.pivots import pivot_renewal_term
 
 
 def tuples(df):
@@ -144,9 +145,9 @@ def test_pivot_leaves_nulls_out_and_totals(spark):
     rows = [("d1", "x"), ("d1", "x"), ("d1", None), (None, "x"), ("d2", "y"), ("d3", None)]
     df = spark.createDataFrame(rows, "d string, c string")
     table = pivots.count_pivot(df, "d", "c", ["x", "y"], total="all")
-    assert tuples(table) == [("d1", 2, None, 2), ("d2", None, 1, 1)]
+    assert tuples(table) == [("d1", 2, None, None, 2), ("d2", None, 1, None, 1)]
     assert tuples(pivots.count_pivot(df, "d", "c")) == [("d1", 2, None), ("d2", None, 1)]
-    assert ("Total", 2, 1, 3) in tuples(pivots.with_total_row(table, "d"))
+    assert ("Total", 2, 1, None, 3) in tuples(pivots.with_total_row(table, "d"))
     sums = spark.createDataFrame([("d1", None), ("d2", 1.5), (None, 9.0)], "d string, m double")
     assert tuples(pivots.grouped_sums(sums, ["d"], "m", "m")) == [("d1", 0.0), ("d2", 1.5)]
 
@@ -208,3 +209,29 @@ def test_latest_of_needs_every_date(spark):
     df = spark.sql("select date'2024-01-01' a, date'2024-01-02' b, cast(null as date) c")
     got = df.select(dates.latest_of(F.col("a"), F.col("b")), dates.latest_of(F.col("a"), F.col("c"))).head()
     assert (str(got[0]), got[1]) == ("2024-01-02", None)
+
+
+def test_upsert_keeps_columns_the_batch_lacks(spark):
+    target = spark.createDataFrame([(1, "p", 10), (2, "q", 20)], "k int, a string, b int")
+    batch = spark.createDataFrame([(2, "x"), (3, "y")], "k int, a string")
+    got = sorted(tuple(r) for r in merge.upsert(target, batch, ["k"]).collect())
+    assert got == [(1, "p", 10), (2, "x", 20), (3, "y", None)]
+
+
+def test_letters_do_not_make_numbers(spark):
+    texts = ["12F", "5d", "12", " 1e3 ", "-.5", "1.", "abc", "", None, "0x1", "1e", "٣"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(scalars.to_number(F.col("t"))).collect()]
+    assert got == [None, None, 12.0, 1000.0, -0.5, 1.0, None, None, None, None, None, None]
+
+
+def test_pivots_count_every_row(spark):
+    rows = [("d", "A"), ("d", "B"), ("d", "OTHER"), ("e", "OTHER"), ("d", None), (None, "A")]
+    df = spark.createDataFrame(rows, "d string, c string")
+    got = pivots.count_pivot(df, "d", "c", ["A", "B", "C"], total="all")
+    assert got.columns == ["d", "A", "B", "C", "other", "all"]
+    assert tuples(got) == [("d", 1, 1, None, 1, 3), ("e", None, None, None, 1, 1)]
+    found = pivots.count_pivot(df, "d", "c", total="all")
+    assert tuples(found.select("d", "A", "B", "OTHER", "all")) == [("d", 1, 1, 1, 3), ("e", None, None, 1, 1)]
+    terms = spark.createDataFrame([("d", t) for t in (1, 12, 24, None)], "report_date string, renewal_term int")
+    assert tuples(pivot_renewal_term(terms, [12, 24])) == [("d", 1, 1, 2, 4)]

@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.functions.dates import Spine, iso_date
-from subledger.sources.readers import spread
 
-# Report dates: every order date, and the months around them.
-DAYS = Spine.of("1995-01-01", "2001-08-31")
-MONTHS = Spine.of("1995-01-01", "2001-08-31", "month")
-DAYS_SQL = "(SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-31', INTERVAL 1 DAY)) AS DATE) AS d)"
-MONTHS_SQL = "(SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-31', INTERVAL 1 MONTH)) AS DATE) AS d)"
+# Report dates: every date the data has. The last orders end in mid 2002.
+DAYS = Spine.of("1995-01-01", "2002-12-31")
+MONTHS = Spine.of("1995-01-01", "2002-12-31", "month")
+DAYS_SQL = "(SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS DATE) AS d)"
+MONTHS_SQL = "(SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2002-12-31', INTERVAL 1 MONTH)) AS DATE) AS d)"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +50,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versioned subscription fact: a row per order line."""
     k, od = F.col("o_orderkey"), F.to_date("o_orderdate")
     orders = load(spark, sf_dir, "orders")
-    lines = spread(load(spark, sf_dir, "lineitem"))
+    lines = load(spark, sf_dir, "lineitem")
     parts = load(spark, sf_dir, "part")
 
     def shift(days: Column) -> Column:
@@ -290,7 +289,7 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ln == 6, "").otherwise(F.concat(F.lit(',"subscriptions":['), subscription, F.lit("]"))),
         F.lit("}"),
     )
-    line = spread(load(spark, sf_dir, "lineitem"))
+    line = load(spark, sf_dir, "lineitem")
     return line.select(
         F.concat_ws("-", text(ok), text(ln), text(pk), text(F.col("l_suppkey"))).alias("id"),
         F.to_date("l_shipdate").alias("created_at"),
@@ -338,7 +337,7 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items = F.when(ln % 3 == 0, F.lit("[]")).when(ln % 3 == 1, F.to_json(F.array(item("x"))))
     items = items.otherwise(F.to_json(F.array(item("x"), item("y"))))
-    return spread(load(spark, sf_dir, "lineitem")).select(
+    return load(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), ln.cast("string")).alias("id"),
         F.lit("parent").alias("subscription_id"),
         money("l_extendedprice").alias("amount"),

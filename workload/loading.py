@@ -10,7 +10,7 @@ from subledger.operators import cleaning, keys, merge
 from subledger.session import scratch_path
 from subledger.sources import readers, tables
 from subledger.streaming.incremental import incremental_load
-from subledger.streaming.stream import drop_repeats, run_upsert_stream, stream_parquet
+from subledger.streaming.stream import run_upsert_stream, stream_parquet
 from workload import inputs
 from workload.registry import query
 
@@ -137,13 +137,15 @@ def clean_strings(spark, sf_dir):
 @query(
     "coerce_numeric",
     """SELECT page_id, try_cast(regexp_extract(url, '/([^/?]*)([?].*)?$', 1) AS DOUBLE) AS tail,
-  try_cast(html AS DOUBLE) AS html FROM pages""",
+  try_cast(html AS DOUBLE) AS html, CASE WHEN page_id % 2 = 0 THEN page_id::DOUBLE END AS code FROM pages""",
 )
 def coerce_numeric(spark, sf_dir):
     pages = inputs.load(spark, sf_dir, "pages")
     tail = F.regexp_extract("url", r"/([^/?]*)([?].*)?$", 1)
-    rows = pages.select("page_id", tail.alias("tail"), "html")
-    return cleaning.coerce_numbers(rows, ["tail", "html", "absent"])
+    suffix = F.when(F.col("page_id") % 2 == 0, "").otherwise("F")
+    code = F.concat(F.col("page_id").cast("string"), suffix)
+    rows = pages.select("page_id", tail.alias("tail"), "html", code.alias("code"))
+    return cleaning.coerce_numbers(rows, ["tail", "html", "code", "absent"])
 
 
 @query(
@@ -163,14 +165,14 @@ def normalise_timestamps(spark, sf_dir):
 
 @query(
     "rename_labels",
-    """SELECT o_orderkey AS rp_id, strftime(o_orderdate, '%Y-%m-%d') AS rp_created, 'MD' AS original_region FROM orders""",
+    """SELECT o_orderkey AS rp_id, strftime(o_orderdate, '%Y-%m-%d') AS rp_created, 'north' AS original_region FROM orders""",
 )
 def rename_labels(spark, sf_dir):
     export = inputs.load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Rate Plan: ID"), F.to_date("o_orderdate").alias("Rate Plan: Created Date"), "o_custkey"
     )
     labels = {"Rate Plan: ID": "rp_id", "Rate Plan: Created Date": "rp_created", "Account: ID": "account_id"}
-    return cleaning.rename_labels(export, labels).drop("o_custkey").withColumn("original_region", F.lit("MD"))
+    return cleaning.rename_labels(export, labels).drop("o_custkey").withColumn("original_region", F.lit("north"))
 
 
 # Merges: orders before 1999 are the target, orders from 1998 on the updates.
@@ -253,6 +255,16 @@ def evolve_schema(spark, sf_dir):
     return merge.append(target, rows)
 
 
+@query(
+    "upsert_missing_columns",
+    f"""WITH {TARGET_SQL}, {UPDATES_SQL} SELECT o_orderkey, t.o_custkey, coalesce(u.o_totalprice, t.o_totalprice) AS o_totalprice,
+  coalesce(u.o_orderstatus, t.o_orderstatus) AS o_orderstatus FROM t FULL JOIN u USING (o_orderkey)""",
+)
+def upsert_missing_columns(spark, sf_dir):
+    """Updates without a column leave that column's values as they are."""
+    return merge.upsert(_target(spark, sf_dir), _updates(spark, sf_dir).drop("o_custkey"), ["o_orderkey"])
+
+
 @query("delete_keys", f"WITH {TARGET_SQL}, {UPDATES_SQL} SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM u)")
 def delete_keys(spark, sf_dir):
     return merge.delete_keys(_target(spark, sf_dir), _updates(spark, sf_dir), ["o_orderkey"])
@@ -281,7 +293,25 @@ def table_append(spark, sf_dir):
     path = scratch_path(spark, "orders")
     tables.append_table(_target(spark, sf_dir).select("o_orderkey", "o_totalprice"), path)
     tables.append_table(_updates(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice"), path)
-    return tables.read_evolving(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
+    return tables.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(
+    "append_evolve_upsert",
+    f"""WITH {TARGET_SQL}, {UPDATES_SQL} SELECT o_orderkey, u.o_custkey, CASE WHEN u.o_orderkey % 5 = 0 THEN 0 ELSE coalesce(u.o_totalprice, t.o_totalprice) END AS o_totalprice
+  FROM t FULL JOIN u USING (o_orderkey) WHERE u.o_orderkey IS NULL OR t.o_orderkey IS NULL
+  UNION ALL SELECT o_orderkey, NULL, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE t.o_totalprice END FROM t JOIN u USING (o_orderkey)
+  UNION ALL SELECT o_orderkey, u.o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE u.o_totalprice END FROM t JOIN u USING (o_orderkey)""",
+)
+def append_evolve_upsert(spark, sf_dir):
+    """A column that an append adds is still there after an upsert without it."""
+    path = scratch_path(spark, "orders")
+    updates = _updates(spark, sf_dir)
+    tables.append_table(_target(spark, sf_dir).select("o_orderkey", "o_totalprice"), path)
+    tables.append_table(updates.select("o_orderkey", "o_custkey", "o_totalprice"), path)
+    free = updates.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
+    tables.upsert_table(free, path, ["o_orderkey"])
+    return tables.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query(
@@ -300,18 +330,36 @@ def partition_upsert(spark, sf_dir):
     path = scratch_path(spark, "by_month")
     tables.upsert_partitions(revenue, path, key, "ship_month")
     tables.upsert_partitions(counted, path, key, "ship_month", update_cols=["lines_1998"])
-    return spark.read.schema("l_suppkey bigint, revenue decimal(28,2), lines_1998 bigint, ship_month string").parquet(path)
+    return tables.read_table(spark, path)
 
 
 @query(
-    "csv_round_trip",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders",
+    "partition_upsert_new_column",
+    """SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, l_suppkey, count(*) AS lines,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (strftime(l_shipdate, '%Y-%m') >= '1998') AS DOUBLE) AS revenue
+  FROM lineitem GROUP BY ALL""",
 )
+def partition_upsert_new_column(spark, sf_dir):
+    """A column that one load adds stays when the next load lacks it."""
+    lines = inputs.load(spark, sf_dir, "lineitem").withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM"))
+    key = ["ship_month", "l_suppkey"]
+    counted = lines.groupBy(*key).agg(F.count("*").alias("lines"))
+    late = lines.where(F.col("ship_month") >= "1998").groupBy(*key)
+    path = scratch_path(spark, "by_month")
+    tables.upsert_partitions(counted.withColumn("lines", F.lit(0).cast("bigint")), path, key, "ship_month")
+    tables.upsert_partitions(late.agg(F.sum(inputs.money("l_extendedprice")).alias("revenue")), path, key, "ship_month")
+    tables.upsert_partitions(counted, path, key, "ship_month")
+    return tables.read_table(spark, path)
+
+
+@query("csv_round_trip", "SELECT doc_id, text, nullif(lang, 'de') AS lang, CASE WHEN lang = 'fr' THEN '' ELSE source END AS source, n_chars FROM documents")
 def csv_round_trip(spark, sf_dir):
+    """Texts with line breaks, nulls and empty texts through a CSV export."""
     path = scratch_path(spark, "export")
-    rows = inputs.load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate")
-    )
+    rows = inputs.load(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.nullif("lang", F.lit("de")).alias("lang"),
+        F.when(F.col("lang") == "fr", "").otherwise(F.col("source")).alias("source"), "n_chars",
+    )
     tables.write_csv(rows, path)
     return readers.read_export(spark, path, rows.schema)
 
@@ -382,23 +430,51 @@ def incremental(spark, sf_dir):
     return tables.read_table(spark, target)
 
 
+@query("incremental_append", EVENTS_SQL)
+def incremental_append(spark, sf_dir):
+    """Appends of loads that overlap on the mark, the last one run twice."""
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    target, control = scratch_path(spark, "events"), scratch_path(spark, "control")
+    half = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    for source in (half, events, events):
+        incremental_load(spark, source, target, control, "events", "ts", ["event_id"], default="1970-01-01", mode="append")
+    return tables.read_table(spark, target)
+
+
+@query("incremental_load_partitioned", EVENTS_SQL)
+def incremental_partitioned(spark, sf_dir):
+    """The events loaded in two runs into a table by day; an empty load changes nothing."""
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    target, control = scratch_path(spark, "events"), scratch_path(spark, "control")
+    half = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    for source in (half, events, events.where("false")):
+        incremental_load(
+            spark, source, target, control, "events", "ts", ["event_id", "day"], default="1970-01-01", partition="day"
+        )
+    return tables.read_table(spark, target).drop("day")
+
+
 @query("streaming_upsert", EVENTS_SQL)
 def streaming_upsert(spark, sf_dir):
-    """The event file as a stream, upserted by day."""
-    schema = inputs.load(spark, sf_dir, "events").schema
-    stream = stream_parquet(spark, sf_dir, schema, pattern="events.parquet")
-    stream = drop_repeats(stream.withColumn("ts", F.col("ts").cast("timestamp")), ["event_id"], "ts", "1 day")
-    stream = stream.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("props")
+    """Event files as a stream, a file a batch, the latest events first, upserted by day."""
+    events = inputs.load(spark, sf_dir, "events").drop("props").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    landed = scratch_path(spark, "landed")
+    for low, high in (("2024-01-21", "9"), ("0", "2024-01-11"), ("2024-01-11", "2024-01-21")):
+        events.where((F.col("day") >= low) & (F.col("day") < high)).write.mode("append").parquet(landed)
+    stream = stream_parquet(spark, landed, events.schema, files_per_batch=1)
     path = scratch_path(spark, "events")
     run_upsert_stream(stream, path, scratch_path(spark, "progress"), ["event_id", "day"], ["ts"], partition="day")
-    return spark.read.schema(stream.schema).parquet(path).drop("day")
+    return tables.read_table(spark, path).drop("day")
 
 
 @query(
     "tax_postal_codes",
-    """SELECT s_suppkey, try_cast(CASE WHEN s_nationkey % 2 = 0 THEN CAST(20000 + s_nationkey AS VARCHAR) ELSE 'K1A' END AS DOUBLE)
+    """SELECT s_suppkey, try_cast(CASE WHEN s_nationkey % 2 = 0 THEN CAST(20000 + s_nationkey AS VARCHAR) ELSE '12' || 'FDf'[1 + s_suppkey % 3] END AS DOUBLE)
   AS postal_code FROM supplier""",
 )
 def tax_postal_codes(spark, sf_dir):
-    code = F.when(F.col("s_nationkey") % 2 == 0, (F.col("s_nationkey") + 20000).cast("string")).otherwise("K1A")
+    letter = F.substr(F.lit("FDf"), (F.col("s_suppkey") % 3 + 1).cast("int"), F.lit(1))
+    code = F.when(F.col("s_nationkey") % 2 == 0, (F.col("s_nationkey") + 20000).cast("string"))
+    code = code.otherwise(F.concat(F.lit("12"), letter))
     return inputs.load(spark, sf_dir, "supplier").select("s_suppkey", to_number(code).alias("postal_code"))

@@ -160,7 +160,7 @@ def disconnects_created_only(spark, sf_dir):
     return rows.select(DISCONNECT_COLUMNS)
 
 
-WINDOW = (dt.date(1995, 1, 1), dt.date(2001, 8, 31))
+WINDOW = (dt.date(1995, 1, 1), dt.date(2002, 12, 31))
 CHURN_FIXED = f"""{ACTIVE_MONTHS}, {disconnect_sql(DISC_OK, EXCLUDED)},
 kept AS (SELECT * FROM active WHERE {EXCLUDED}),
 merged AS (
@@ -264,21 +264,20 @@ def adds_without_regroup(spark, sf_dir):
     return rows.select("rp_id", "sub_name", "product_name", "tcv", F.to_date("rp_created").alias("rp_created"))
 
 
-def _pivot_sql(source: str, column: str, cells: dict[str, str]) -> str:
-    counted = ", ".join(
-        f"nullif(count(*) FILTER ({column} = {value}), 0) AS \"{label}\"" for label, value in cells.items()
-    )
-    total = ", ".join(f"{value}" for value in cells.values())
-    return f"""SELECT {_date('report_date')} AS report_date, {counted},
-  count(*) FILTER ({column} IN ({total})) AS grand_total
+def _pivot_sql(source: str, column: str, cells: dict[str, str], other: bool = True) -> str:
+    """Every row counts in the total, and in a cell of its own or the other one."""
+    counted = [f"nullif(count(*) FILTER ({column} = {value}), 0) AS \"{label}\"" for label, value in cells.items()]
+    if other:
+        counted.append(f"nullif(count(*) FILTER ({column} NOT IN ({', '.join(cells.values())})), 0) AS other")
+    return f"""SELECT {_date('report_date')} AS report_date, {", ".join(counted)}, count(*) AS grand_total
   FROM {source} WHERE report_date IS NOT NULL AND {column} IS NOT NULL GROUP BY report_date"""
 
 
-TERMS = [1, 2, 3, 4, 5, 6, 7]
-STATUSES = ["Active", "Cancelled"]
+# Usual terms; the sample holds terms from 1 to 7, so some are named and some are not.
+TERMS = [1, 2, 3, 12, 24, 36]
 TERM_CELLS = {"EVERGREEN": "'EVERGREEN'", "TERMED": "'TERMED'"}
 RENEWAL_CELLS = {f"term_{t}": str(t) for t in TERMS}
-STATUS_CELLS = {s: f"'{s}'" for s in STATUSES}
+STATUS_CELLS = {s: f"'{s}'" for s in ("Active", "Cancelled")}
 
 
 @query("pivot_term_type", f"{ADDS_SQL} {_pivot_sql('adds', 'term_type', TERM_CELLS)}")
@@ -291,16 +290,17 @@ def pivot_renewal_term(spark, sf_dir):
     return pivots.pivot_renewal_term(_adds(spark, sf_dir), TERMS)
 
 
-@query("pivot_status", f"{ADDS_SQL} {_pivot_sql('adds', 'sub_status', STATUS_CELLS)}")
+@query("pivot_status", f"{ADDS_SQL} {_pivot_sql('adds', 'sub_status', STATUS_CELLS, other=False)}")
 def pivot_status(spark, sf_dir):
-    return pivots.pivot_status(_adds(spark, sf_dir), STATUSES)
+    """A column for each status that occurs."""
+    return pivots.pivot_status(_adds(spark, sf_dir))
 
 
 @query(
     "pivot_total_row",
     f"""{ADDS_SQL}, p AS ({_pivot_sql('adds', 'term_type', TERM_CELLS)})
   SELECT * FROM p UNION ALL SELECT 'Total', CAST(sum("EVERGREEN") AS BIGINT), CAST(sum("TERMED") AS BIGINT),
-  CAST(sum(grand_total) AS BIGINT) FROM p""",
+  CAST(sum(other) AS BIGINT), CAST(sum(grand_total) AS BIGINT) FROM p""",
 )
 def pivot_total_row(spark, sf_dir):
     return with_total_row(pivots.pivot_term_type(_adds(spark, sf_dir)), "report_date")
@@ -345,11 +345,11 @@ def daily_revenue(spark, sf_dir):
 @query(
     "disconnect_pivot_status",
     f"""WITH {FACTS_SQL}, {disconnect_sql(DISC_OK_KEEP)}, g AS (SELECT d AS report_date, * FROM gone)
-  {_pivot_sql('g', 'sub_status', STATUS_CELLS)}""",
+  {_pivot_sql('g', 'sub_status', {"Cancelled": "'Cancelled'"})}""",
 )
 def disconnect_pivot_status(spark, sf_dir):
     rows = disconnects.disconnect_rows(inputs.facts(spark, sf_dir), DAYS, null_semantics="pandas")
-    return pivots.disconnect_pivots(rows, TERMS, STATUSES)["statuses"]
+    return pivots.disconnect_pivots(rows, TERMS, ["Cancelled"])["statuses"]
 
 
 @query(
@@ -359,7 +359,7 @@ def disconnect_pivot_status(spark, sf_dir):
 )
 def disconnect_pivot_renewal_term(spark, sf_dir):
     rows = disconnects.disconnect_rows(inputs.facts(spark, sf_dir), DAYS, null_semantics="pandas")
-    return pivots.disconnect_pivots(rows, TERMS, STATUSES)["renewal_terms"]
+    return pivots.disconnect_pivots(rows, TERMS)["renewal_terms"]
 
 
 BY_PLAN_ORDER = ["rp_created", "sub_id", "plan_id", "ship_date", "tcv", "quantity", "supp_key"]
