@@ -12,19 +12,21 @@ from __future__ import annotations
 import base64
 import json
 import os
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from subledger.llm.columns import col, text_of, without
 
-# Texts that one result batch comes from; bounds the memory of a task.
-BATCH_CHARS = 1 << 20
+# Bytes of the texts that one result batch comes from; bounds the memory of a task.
+BATCH_BYTES = 1 << 20
 # Entries that a worker remembers of pieces and of neighbours each.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 LONGEST_REMEMBERED = 60  # characters: under 256 tokens
 
 
@@ -134,21 +136,19 @@ class Vocabulary:
             self._shorter[token] = next(((ids[text[:n]], n) for n in lengths), None)
         return self._shorter[token]
 
-    def _longest(self, piece: str, at: int) -> tuple[int, int]:
-        """The longest token that starts at a place; each byte is a token, so one does."""
-        return next(self.automaton.iter_long(piece, at))[1]
-
     def encode(self, piece: str) -> list[int]:
         """Ids of one piece, given as its UTF-8 bytes in Latin-1."""
         if self.merges is None and piece in self.ids:
             return [self.ids[piece]]
-        size, known = len(piece), self._beside
+        size, known, matches = len(piece), self._beside, self.automaton.iter_long
         out: list[int] = []
         lengths: list[int] = []
         closed = set()  # places from which the end can't be reached
         at, last = 0, -1
-        match = self._longest(piece, 0) if size else None
+        longest = matches(piece)  # one after another: each byte is a token
+        match = next(longest)[1] if size else None
         while at < size:
+            first = match
             while match is not None:
                 token, length = match
                 if at + length not in closed:
@@ -161,14 +161,16 @@ class Vocabulary:
                     raise ValueError("no sequence of tokens fits")
                 closed.add(at)
                 at -= lengths.pop()
-                match = self.shorter(out.pop())
+                match, longest = self.shorter(out.pop()), None
                 last = out[-1] if out else -1
                 continue
             out.append(token)
             lengths.append(length)
             at, last = at + length, token
             if at < size:
-                match = self._longest(piece, at)
+                if match is not first or longest is None:
+                    longest = matches(piece, at)
+                match = next(longest)[1]
         return out
 
     def prefix_counts(self, piece: str) -> list[int]:
@@ -226,11 +228,11 @@ def latin(piece: str) -> str:
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], size_of: Callable) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``BATCH_CHARS``, a row at least."""
+    """The same rows in batches of about ``BATCH_BYTES``, a row at least."""
     for batch in batches:
         start, held = 0, 0
         for i, size in enumerate(size_of(batch)):
-            if held and held + size > BATCH_CHARS:
+            if held and held + size > BATCH_BYTES:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size or 1
@@ -258,8 +260,12 @@ def lists_of(rows: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
 
-def _text_sizes(batch: pa.RecordBatch) -> list[int]:
-    return [len(x) for x in batch.columns[-1].to_pylist()]
+def text_sizes(batch: pa.RecordBatch) -> list[int]:
+    return pc.binary_length(batch.columns[-1]).to_pylist()
+
+
+def _list_sizes(batch: pa.RecordBatch) -> list[int]:
+    return (4 * pc.fill_null(pc.list_value_length(batch.columns[-1]), 0).to_numpy()).tolist()
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -277,10 +283,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
         def make() -> tuple:
             vocabulary = Vocabulary(*source.value)
-            return regex.compile(pattern), Remembered(lambda p: np.array(vocabulary.encode(latin(p)), np.int32).tobytes())
+            return regex.compile(pattern), Remembered(lambda p: array("i", vocabulary.encode(latin(p))).tobytes())
 
         matcher, encoded = once(("ids", path, pattern), make)
-        for batch in small_batches(batches, _text_sizes):
+        for batch in small_batches(batches, text_sizes):
             found = [b"".join([encoded[p] for p in matcher.findall(t)]) for t in batch.columns[-1].to_pylist()]
             yield replace_last(batch, lists_of(found))
 
@@ -296,18 +302,25 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     source = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> dict[int, bytes]:
-            vocabulary = Vocabulary(*source.value)
-            return {i: t.encode("latin-1") for i, t in vocabulary.tokens.items()}
-
-        tokens = once(("bytes", path), make)
-
-        def sizes(batch: pa.RecordBatch) -> list[int]:
-            return [4 * (n or 0) for n in batch.columns[-1].value_lengths().to_pylist()]
-
-        for batch in small_batches(batches, sizes):
-            rows = batch.columns[-1].to_pylist()
-            found = [None if r is None else b"".join(map(tokens.__getitem__, r)) for r in rows]
-            yield replace_last(batch, pa.array(found, pa.binary()))
+        def make() -> tuple[np.ndarray, pa.Array]:
+            tokens = Vocabulary(*source.value).tokens
+            place = np.full(max(tokens) + 1, -1)
+            place[list(tokens)] = np.arange(len(tokens))
+            return place, pa.array([t.encode("latin-1") for t in tokens.values()], pa.binary())
+
+        place, tokens = once(("bytes", path), make)
+        for batch in small_batches(batches, _list_sizes):
+            rows = batch.columns[-1]
+            ids = rows.flatten().to_numpy(zero_copy_only=False)
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(place) or place[ids].min() < 0):
+                raise ValueError("an id that the vocabulary lacks")
+            # The tokens one after another are the rows one after another.
+            pieces = tokens.take(pa.array(place[ids]))
+            at = np.frombuffer(pieces.buffers()[1], np.int32, len(ids) + 1) if len(ids) else np.zeros(1, np.int32)
+            counts = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+            ends = at[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
+            data = pieces.buffers()[2] if len(ids) else pa.py_buffer(b"")
+            found = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), data])
+            yield replace_last(batch, pc.if_else(rows.is_valid(), found, pa.scalar(None, pa.binary())))
 
     return with_column(df, decoded, T.BinaryType(), col(ids).cast("array<int>"), run)

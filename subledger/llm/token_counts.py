@@ -115,10 +115,7 @@ def prefix_counts(df: DataFrame, path: str, text: str = "text", counts: str = "p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = bpe.once(("counts", path), lambda: PrefixCounter(bpe.Vocabulary(*source.value)))
 
-        def sizes(batch: pa.RecordBatch) -> list[int]:
-            return [len(x) for x in batch.columns[-1].to_pylist()]
-
-        for batch in bpe.small_batches(batches, sizes):
+        for batch in bpe.small_batches(batches, bpe.text_sizes):
             rows = [counter.counts(t) for t in batch.columns[-1].to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
             values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
