@@ -18,19 +18,24 @@ _CHARGE = "struct<id:string,name:string,chargeId:string,billingId:string,chargeM
 _PLAN = "ratePlanId:string,productId:string,type:string,family:string"
 _META = "domain:string,paymentToken:string,oacs:string,pvtreg:string,businessId:string,action:string,prOrderable:string"
 
-# ``charges`` is a map, so that an empty object can be told from one whose
-# charge lists are empty.
+# Lists are read as the texts of their elements and each element on its own,
+# so an element that isn't as it should be takes no other with it. What of a
+# text didn't fit its schema is told by ``_bad``. ``charges`` is a map of
+# texts, so that an empty object can be told from one whose charge lists are
+# empty, and charges of other kinds don't matter.
+_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 _SUBSCRIPTION = (
     "struct<id:string,baseProductId:string,subscriptionNumber:string,previousSubscriptionNumber:string,"
-    f"meta:struct<{_META}>,"
-    f"addRatePlans:array<struct<{_PLAN},charges:map<string,array<{_CHARGE}>>>>,"
-    f"removeRatePlans:array<struct<{_PLAN}>>,"
-    f"existingRatePlans:array<struct<{_PLAN},ratePlanStatus:string>>>"
+    f"meta:struct<{_META}>,addRatePlans:array<string>,removeRatePlans:array<string>,"
+    "existingRatePlans:array<string>,_bad:string>"
 )
+_LISTED_PLAN = f"struct<{_PLAN},ratePlanStatus:string,charges:map<string,string>,_bad:string>"
+_LISTED_CHARGE = _CHARGE.removesuffix(">") + ",_bad:string>"
 CART_SCHEMA = (
     "struct<id:string,type:string,promo:string,meta:struct<flow:string,whois:struct<businessId:string>>,"
-    f"user:struct<userId:string>,subscriptions:array<{_SUBSCRIPTION}>>"
+    "user:struct<userId:string>,subscriptions:array<string>,_bad:string>"
 )
+_CHARGE_KINDS = ("onetime", "recurring")
 
 # Fixed values of the cart type field.
 CHANGE, REACTIVATE, UPDATE = "change", "reactivate", "update"
@@ -38,6 +43,23 @@ CHANGE, REACTIVATE, UPDATE = "change", "reactivate", "update"
 _ROW = f"struct<grain:string,plan:struct<{_PLAN},ratePlanStatus:string>,charge:{_CHARGE}>"
 
 
+def _is_object(text: Column) -> Column:
+    return F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
+
+
+def _objects(texts: Column, schema: str) -> Column:
+    """Each element that is an object, read by itself."""
+    return F.transform(F.filter(texts, _is_object), lambda t: F.from_json(t, schema, _BAD))
+
+
+def _plans(name: str) -> Column:
+    return _objects(F.col(f"_s.{name}"), _LISTED_PLAN)
+
+
+def _charges(plan: Column, kind: str) -> Column:
+    return _objects(F.from_json(plan["charges"][kind], "array<string>"), _LISTED_CHARGE)
+
+
 def _subscriptions(
     df: DataFrame, column: str, keep: Sequence[str], wanted=None, bare_carts: bool = False
 ) -> DataFrame:
@@ -45,18 +67,62 @@ def _subscriptions(
 
     The type is tested inside the exploded value. As a filter Spark would move
     it, and the test for empty lists, in front of the parse and parse the text
-    once more for each.
+    once more for each. Text that is no document, and list elements that are
+    no subscriptions, give no row here but one of :func:`bad_carts`.
     """
-    carts = df.select(*keep, F.from_json(F.col(column), CART_SCHEMA, {"mode": "PERMISSIVE"}).alias("_cart"))
-    listed = F.col("_cart.subscriptions")
+    carts = df.select(*keep, F.from_json(F.col(column), CART_SCHEMA, _BAD).alias("_cart"))
+    listed = _objects(F.col("_cart.subscriptions"), _SUBSCRIPTION)
     if bare_carts:
-        listed = F.coalesce(listed, F.array(F.lit(None).cast(_SUBSCRIPTION)))
+        # A document that ends too early is none, and no cart without subscriptions.
+        whole = F.col("_cart._bad").isNull()
+        listed = F.coalesce(listed, F.when(whole, F.array(F.lit(None).cast(_SUBSCRIPTION))))
     if wanted is not None:
         listed = F.when(wanted(F.col("_cart.type")), listed)
     subs = carts.select(*keep, "_cart", F.posexplode_outer(listed).alias("_n", "_s"))
     return subs.where(F.col("_n").isNotNull())
 
 
+def _problem(level: str, text: Column) -> Column:
+    return F.struct(F.lit(level).alias("level"), text.cast("string").alias("text"))
+
+
+def _unread(texts: Column, schema: str, level: str) -> Column:
+    """Elements that are no objects, and objects that don't fit."""
+
+    def bad(text: Column) -> Column:
+        return F.when(_is_object(text), F.from_json(text, schema, _BAD)["_bad"].isNotNull()).otherwise(True)
+
+    found = F.transform(F.filter(texts, bad), lambda t: _problem(level, t))
+    return F.coalesce(found, F.array().cast("array<struct<level:string,text:string>>"))
+
+
+def bad_carts(df: DataFrame, column: str = "cart", keep: Sequence[str] = ("id", "created_at", "modified_at")) -> DataFrame:
+    """What can't be read of cart documents, a row each: ``level`` (document,
+    subscription, plan or charge) and ``text``.
+
+    Text that is no document has one row and nothing below it. Elsewhere a row
+    is an element that is no object, which has no rows in the flat tables, or
+    an object of which some field has the wrong kind and is read as missing.
+    Null text has no row.
+    """
+    carts = df.select(*keep, F.col(column).alias("_t"), F.from_json(F.col(column), CART_SCHEMA, _BAD).alias("_cart"))
+    texts = F.col("_cart.subscriptions")
+
+    def below(sub: Column) -> Column:
+        lists = [sub[f"{name}RatePlans"] for name in ("add", "remove", "existing")]
+        plans = F.flatten(F.transform(_objects(lists[0], _LISTED_PLAN), lambda p: F.concat(*(
+            _unread(F.from_json(p["charges"][kind], "array<string>"), _LISTED_CHARGE, "charge") for kind in _CHARGE_KINDS
+        ))))
+        none = F.array().cast("array<struct<level:string,text:string>>")
+        return F.concat(*(_unread(x, _LISTED_PLAN, "plan") for x in lists), F.coalesce(plans, none))
+
+    inner = F.flatten(F.transform(_objects(texts, _SUBSCRIPTION), below))
+    none = F.array().cast("array<struct<level:string,text:string>>")
+    found = F.concat(_unread(texts, _SUBSCRIPTION, "subscription"), F.coalesce(inner, none))
+    bad = F.when(F.col("_cart._bad").isNotNull(), F.array(_problem("document", F.col("_t")))).otherwise(found)
+    return carts.select(*keep, F.explode(bad).alias("_p")).select(*keep, "_p.level", "_p.text")
+
+
 def _rows(subs: DataFrame, keep: Sequence[str], grains: Column) -> DataFrame:
     rows = subs.select(*keep, "_cart", "_s", F.explode_outer(grains).alias("_r"))
     return rows.where(F.col("_r").isNotNull())
@@ -70,8 +136,8 @@ def _plan(plan: Column, status: bool = False) -> Column:
 
 
 def _row(grain: str, plan: Column, charge: Column | None = None) -> Column:
-    value = F.lit(None) if charge is None else charge
-    return F.struct(F.lit(grain).alias("grain"), plan.alias("plan"), value.cast(_CHARGE).alias("charge")).cast(_ROW)
+    value = F.lit(None).cast(_CHARGE) if charge is None else charge.dropFields("_bad").cast(_CHARGE)
+    return F.struct(F.lit(grain).alias("grain"), plan.alias("plan"), value.alias("charge")).cast(_ROW)
 
 
 def _none() -> Column:
@@ -88,8 +154,8 @@ def _charge_rows(add_plans: Column) -> Column:
     def rows(plan: Column) -> Column:
         charges = plan["charges"]
         listed = F.concat(
-            _each(charges["onetime"], lambda c: _row("onetime", _plan(plan), c)),
-            _each(charges["recurring"], lambda c: _row("recurring", _plan(plan), c)),
+            _each(_charges(plan, "onetime"), lambda c: _row("onetime", _plan(plan), c)),
+            _each(_charges(plan, "recurring"), lambda c: _row("recurring", _plan(plan), c)),
         )
         bare = charges.isNull() | (F.size(charges) == 0)
         return F.when(bare, F.array(_row("plan", _plan(plan)))).otherwise(listed)
@@ -182,9 +248,9 @@ def flatten_carts_new(
     """
     subs = _subscriptions(df, column, keep, lambda kind: type_not_in(kind, (CHANGE, REACTIVATE, UPDATE)))
     grains = F.concat(
-        _charge_rows(F.col("_s.addRatePlans")),
-        _each(F.col("_s.removeRatePlans"), lambda p: _row("remove", _plan(p))),
-        _each(F.col("_s.existingRatePlans"), lambda p: _row("existing", _plan(p, status=True))),
+        _charge_rows(_plans("addRatePlans")),
+        _each(_plans("removeRatePlans"), lambda p: _row("remove", _plan(p))),
+        _each(_plans("existingRatePlans"), lambda p: _row("existing", _plan(p, status=True))),
     )
     rows = _rows(subs, keep, grains)
     removed, existing = F.col("_r.grain") == "remove", F.col("_r.grain") == "existing"
@@ -220,9 +286,11 @@ def flatten_carts_change(
     subs = _subscriptions(df, column, keep, lambda kind: type_in(kind, (CHANGE,)))
 
     def last(items: str, prefix: str, fields: Sequence[tuple[str, str]]) -> list[Column]:
-        plan = F.try_element_at(F.col(f"_s.{items}"), F.lit(-1))
+        plan = F.col(f"_{items}")
         return [F.when(plan.isNotNull(), blank_if_null(plan[n])).alias(prefix + alias) for n, alias in fields]
 
+    lists = ("addRatePlans", "removeRatePlans", "existingRatePlans")
+    subs = subs.select(*keep, "_cart", "_s", *(F.try_element_at(_plans(x), F.lit(-1)).alias(f"_{x}") for x in lists))
     return subs.select(
         *keep,
         blank_if_null(F.col("_cart.type")).alias("cart_type"),
@@ -295,7 +363,7 @@ def flatten_carts_all(
 
 def _plan_rows(subs: DataFrame, keep: Sequence[str], bare_carts: bool, bare_subscriptions: bool) -> DataFrame:
     plans = F.col("_s.addRatePlans")
-    grains = _charge_rows(plans)
+    grains = _charge_rows(_plans("addRatePlans"))
     header = F.array(_row("header", F.lit(None)))
     if bare_carts:
         grains = F.when(F.col("_s").isNull(), header).otherwise(grains)
@@ -326,14 +394,29 @@ _REFUND_ITEM = [
 ]
 
 
+_ITEM_SCHEMA = "struct<" + ",".join(f"{name}:string" for name, _, _ in _REFUND_ITEM) + ",_bad:string>"
+
+
+def bad_refund_items(df: DataFrame, column: str = "invoice_items", keep: Sequence[str] = ("id",)) -> DataFrame:
+    """What can't be read of refunds' item lists, a row each: ``level``
+    (document or item) and ``text``. Null text has no row."""
+    texts = F.from_json(F.col(column), "array<string>")
+    # Text that is no list may read as an empty one or as none.
+    broken = F.col(column).isNotNull() & F.get_json_object(column, "$").isNull()
+    broken = broken | ~F.ltrim(column).startswith("[")
+    document = F.array(_problem("document", F.col(column)))
+    rows = df.select(*keep, F.explode(F.when(broken, document).otherwise(_unread(texts, _ITEM_SCHEMA, "item"))).alias("_p"))
+    return rows.select(*keep, "_p.level", "_p.text")
+
+
 def flatten_refund_items(df: DataFrame, column: str = "invoice_items", created: str = "created_at") -> DataFrame:
     """One row per invoice item of a refund, next to the refund's own fields.
 
     The item's subscription id replaces the refund's; a refund without items
-    gives no row.
+    gives no row. Elements that are no items are left to :func:`bad_refund_items`.
     """
-    schema = "array<struct<" + ",".join(f"{name}:string" for name, _, _ in _REFUND_ITEM) + ">>"
-    listed = df.withColumn("_i", F.explode_outer(F.from_json(F.col(column), schema)))
+    texts = F.from_json(F.col(column), "array<string>")
+    listed = df.withColumn("_i", F.explode_outer(_objects(texts, _ITEM_SCHEMA)))
     items = listed.where(F.col("_i").isNotNull())
     filled = {alias for _, alias, _ in _REFUND_ITEM}
     own = [c for c in df.columns if c != column and c not in filled]

@@ -33,18 +33,28 @@ def first_per_key(
     order: Sequence[str],
     first: Sequence[str],
     sums: Sequence[str] = (),
+    never_null: Sequence[str] = (),
 ) -> DataFrame:
     """Per key the first known value of each column, and sums (0 if all null).
 
-    Rows with a null key are dropped.
+    Columns in ``never_null`` come from the first row as a whole, so the order
+    columns are carried once for all of them, and once for each other column.
+    A null in such a column is an error. Rows with a null key are dropped.
     """
     seen = df.where(_all_known(keys))
+    places = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
+    whole = [c for c in first if c in set(never_null)]
     picks = [
-        F.min(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("_v"))))["_v"].alias(c)
+        F.min(F.when(F.col(c).isNotNull(), F.struct(*places, F.col(c).alias("_v"))))["_v"].alias(c)
         for c in first
+        if c not in whole
     ]
+    if whole:
+        picks.append(F.min(F.struct(*places, *whole)).alias("_first"))
     totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums]
-    return seen.groupBy(*keys).agg(*picks, *totals)
+    grouped = seen.groupBy(*keys).agg(*picks, *totals)
+    taken = {c: F.coalesce(F.col(f"_first.{c}"), F.raise_error(F.lit(f"{c} is null")).cast(df.schema[c].dataType)) for c in whole}
+    return grouped.select(*keys, *(taken[c].alias(c) if c in taken else F.col(c) for c in [*first, *sums]))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

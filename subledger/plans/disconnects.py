@@ -178,6 +178,7 @@ def disconnect_extract(
     end,
     cols: SubscriptionColumns = DEFAULT_COLUMNS,
     order: Sequence[str] | None = None,
+    never_null: Sequence[str] = (),
 ) -> DataFrame:
     """Rate plans that ended around a window, with their attributes and sums.
 
@@ -187,7 +188,7 @@ def disconnect_extract(
     created, cancelled = F.to_date(cols.rate_plan_created), F.col(cols.cancelled)
     start, end = as_date(start), as_date(end)
     inside = ((created >= start) & (cancelled <= end)) | ((created < start) & (cancelled >= start))
-    return _by_rate_plan(facts.where(inside), cols, order)
+    return _by_rate_plan(facts.where(inside), cols, order, never_null)
 
 
 def cancel_details(
@@ -197,13 +198,18 @@ def cancel_details(
     end,
     cols: SubscriptionColumns = DEFAULT_COLUMNS,
     order: Sequence[str] | None = None,
+    never_null: Sequence[str] = (),
 ) -> DataFrame:
     """Rate plans whose amendment was created in the window."""
     day = F.col(amended)
-    return _by_rate_plan(facts.where((day >= as_date(start)) & (day <= as_date(end))), cols, order)
+    return _by_rate_plan(facts.where((day >= as_date(start)) & (day <= as_date(end))), cols, order, never_null)
 
 
-def _by_rate_plan(rows: DataFrame, cols: SubscriptionColumns, order: Sequence[str] | None) -> DataFrame:
-    attributes = [c for c in rows.columns if c not in (cols.rate_plan_id, cols.mrr, cols.tcv)]
-    grouped = first_per_key(rows, [cols.rate_plan_id], order or [cols.rate_plan_created], attributes, [cols.mrr, cols.tcv])
+def _by_rate_plan(
+    rows: DataFrame, cols: SubscriptionColumns, order: Sequence[str] | None, never_null: Sequence[str]
+) -> DataFrame:
+    measures = [cols.mrr, cols.tcv]
+    attributes = [c for c in rows.columns if c not in (cols.rate_plan_id, *measures)]
+    order = order or [cols.rate_plan_created]
+    grouped = first_per_key(rows, [cols.rate_plan_id], order, attributes, measures, never_null)
     return grouped.withColumn("report_date", F.to_date(cols.rate_plan_created))

@@ -44,14 +44,18 @@ def adds_extract(
     order: Sequence[str],
     cols: SubscriptionColumns = DEFAULT_COLUMNS,
     revenue: str = "charge_amount",
+    never_null: Sequence[str] = (),
     **rules,
 ) -> DataFrame:
-    """Additions per rate plan: first known attributes, summed measures."""
+    """Additions per rate plan: first known attributes, summed measures.
+
+    ``never_null`` names attributes without nulls, see :func:`first_per_key`.
+    """
     rows = adds_rows(items, start, cols, **rules).withColumnRenamed(revenue, "total_adds_revenue")
     order = [*order]
     measures = [cols.mrr, cols.tcv, "total_adds_revenue"]
     attributes = [c for c in rows.columns if c not in (cols.rate_plan_id, *measures)]
-    grouped = first_per_key(rows, [cols.rate_plan_id], order, attributes, measures)
+    grouped = first_per_key(rows, [cols.rate_plan_id], order, attributes, measures, never_null)
     return grouped.withColumn("report_date", F.to_date(cols.rate_plan_created))
 
 

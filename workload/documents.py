@@ -125,7 +125,8 @@ def flatten_carts_all(spark, sf_dir):
     l_extendedprice AS charge_amount, tag AS charge_name, l_quantity AS quantity, l_tax AS tax_amount,
     CAST(l_suppkey AS VARCHAR) AS product_id, CASE WHEN l_linenumber = 2 THEN 'Recurring' END AS charge_type,
     CAST(NULL AS DOUBLE) AS unit_price, strftime(l_shipdate, '%Y-%m-%d') AS created_date
-  FROM lineitem JOIN (VALUES (1, 'x'), (2, 'x'), (2, 'y')) t(rest, tag) ON l_linenumber % 3 = rest""",
+  FROM lineitem JOIN (VALUES (1, 'x'), (2, 'x'), (2, 'y')) t(rest, tag) ON l_linenumber % 3 = rest
+  WHERE l_orderkey % 89 <> 0""",
 )
 def flatten_refund_items(spark, sf_dir):
     rows = flatten.flatten_refund_items(inputs.refunds(spark, sf_dir))
@@ -135,6 +136,26 @@ def flatten_refund_items(spark, sf_dir):
     )
 
 
+@query(
+    "bad_carts",
+    """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id,
+    CASE WHEN l_orderkey % 89 = 0 THEN 'document' ELSE 'subscription' END AS level FROM lineitem
+  WHERE l_orderkey % 89 = 0 OR (l_orderkey % 13 = 0 AND l_linenumber <> 6)""",
+)
+def bad_carts(spark, sf_dir):
+    """What the flatteners of carts couldn't read."""
+    return flatten.bad_carts(inputs.carts(spark, sf_dir), keep=("id",)).select("id", "level")
+
+
+@query(
+    "bad_refund_items",
+    """SELECT l_orderkey || '-' || l_linenumber AS id, CASE WHEN l_orderkey % 89 = 0 THEN 'document' ELSE 'item' END AS level
+  FROM lineitem WHERE l_orderkey % 89 = 0 OR (l_orderkey % 13 = 0 AND l_linenumber % 3 <> 0)""",
+)
+def bad_refund_items(spark, sf_dir):
+    return flatten.bad_refund_items(inputs.refunds(spark, sf_dir), keep=("id",)).select("id", "level")
+
+
 @query(
     "extract_meta",
     """SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS meta_k,

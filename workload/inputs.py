@@ -24,6 +24,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lines_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines dealt by their order, as the join with orders wants them;
+    what is derived from them row by row is so spread over all tasks."""
+    return load(spark, sf_dir, "lineitem").repartition("l_orderkey")
+
+
 def money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)")
 
@@ -50,7 +56,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versioned subscription fact: a row per order line."""
     k, od = F.col("o_orderkey"), F.to_date("o_orderdate")
     orders = load(spark, sf_dir, "orders")
-    lines = load(spark, sf_dir, "lineitem")
+    lines = lines_by_order(spark, sf_dir)
     parts = load(spark, sf_dir, "part")
 
     def shift(days: Column) -> Column:
@@ -111,6 +117,14 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Attributes of the fact that no row lacks.
+KNOWN = [
+    "account_id", "sub_name", "sub_id", "sub_version", "sub_status", "term_type", "term_start", "term_end", "sub_created",
+    "rp_name", "rp_created", "product_name", "product_family", "plan_id", "amend_created", "charged_through", "currency",
+    "display_name", "quantity", "ship_date", "part_key", "supp_key",
+]
+
+
 # The same fact for the checking SQL: ``z`` is a name for WITH.
 FACTS_SQL = """z AS (
   SELECT 'A' || (o_custkey % 1000) AS account_id,
@@ -224,6 +238,11 @@ periods AS (
   FROM lineitem)"""
 
 
+# Orders whose carts end too early, and those whose carts list something else
+# before their subscription.
+BROKEN_CART, BROKEN_SUBSCRIPTION = 89, 13
+
+
 def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cart document per order line, of the shape its keys decide."""
     ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
@@ -282,14 +301,17 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"addRatePlans":'), added, F.lit(',"removeRatePlans":'), removed,
         F.lit(',"existingRatePlans":'), kept, F.lit("}"),
     )
+    broken = F.when(ok % BROKEN_SUBSCRIPTION == 0, '"no subscription",').otherwise("")
     document = F.concat(
         F.lit('{"id":"c'), text(ok), F.lit('","type":"'), kind, F.lit('","promo":"p'), text(ln),
         F.lit('","meta":{"flow":"web","whois":{"businessId":"b'), text(F.col("l_suppkey")),
         F.lit('"}},"user":{"userId":"u'), text(pk), F.lit('"}'),
-        F.when(ln == 6, "").otherwise(F.concat(F.lit(',"subscriptions":['), subscription, F.lit("]"))),
-        F.lit("}"),
+        F.when(ln == 6, "").otherwise(F.concat(F.lit(',"subscriptions":['), broken, subscription, F.lit("]"))),
+        F.when(ok % BROKEN_CART != 0, "}").otherwise(""),
     )
-    line = load(spark, sf_dir, "lineitem")
+    # Charges of a kind that nobody reads, next to the others.
+    document = F.replace(document, F.lit('"charges":{"onetime"'), F.lit('"charges":{"usage":5,"onetime"'))
+    line = lines_by_order(spark, sf_dir)
     return line.select(
         F.concat_ws("-", text(ok), text(ln), text(pk), text(F.col("l_suppkey"))).alias("id"),
         F.to_date("l_shipdate").alias("created_at"),
@@ -309,7 +331,7 @@ CARTS_SQL = """l AS (
          'u' || l_partkey AS uid, CAST(l_partkey AS VARCHAR) AS pk, CAST(l_suppkey AS VARCHAR) AS sk,
          l_returnflag AS ptype, l_linestatus AS family,
          l_extendedprice AS actual, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS price, l_discount AS disc
-  FROM lineitem),
+  FROM lineitem WHERE l_orderkey % 89 <> 0),
 plans AS (  -- added plans: tag, onetime charges, recurring charges; -1 = plan without charges
   SELECT * FROM (VALUES (1, 'a', 1, 2), (2, 'a', -1, -1), (3, 'a', 1, 0), (3, 'b', 0, 1), (5, 'a', 1, 0), (5, 'b', 0, 1),
                         (4, 'a', 0, 0)) p(pln, tag, n_once, n_rec)),
@@ -337,7 +359,10 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items = F.when(ln % 3 == 0, F.lit("[]")).when(ln % 3 == 1, F.to_json(F.array(item("x"))))
     items = items.otherwise(F.to_json(F.array(item("x"), item("y"))))
-    return load(spark, sf_dir, "lineitem").select(
+    # Some lists hold something else before their items, and some end too early.
+    items = F.when(F.col("l_orderkey") % 13 == 0, F.regexp_replace(items, r"^\[\{", '["no item",{')).otherwise(items)
+    items = F.when(F.col("l_orderkey") % 89 == 0, F.substr(items, F.lit(1), F.length(items) - 1)).otherwise(items)
+    return lines_by_order(spark, sf_dir).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), ln.cast("string")).alias("id"),
         F.lit("parent").alias("subscription_id"),
         money("l_extendedprice").alias("amount"),

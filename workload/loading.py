@@ -65,7 +65,7 @@ def first_per_key(spark, sf_dir):
         F.nullif("l_returnflag", F.lit("N")).alias("l_shipmode"),
     )
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_price"]
-    return keys.first_per_key(rows, ["l_orderkey"], order, ["l_shipmode", "l_partkey"], ["l_price"])
+    return keys.first_per_key(rows, ["l_orderkey"], order, ["l_shipmode", "l_partkey"], ["l_price"], ["l_partkey"])
 
 
 @query(

@@ -232,6 +232,7 @@ def _adds(spark, sf_dir):
         "1995-01-01",
         order=["sub_id", "plan_id", "ship_date", "tcv", "quantity", "supp_key"],
         test_names={"display_name": ["qa-%"]},
+        never_null=[*inputs.KNOWN, "item_created"],
     )
 
 
@@ -387,7 +388,7 @@ BY_PLAN_COLUMNS = ["rp_id", "sub_name", "product_name", "renewal_term", "cancell
 )
 def disconnect_extract(spark, sf_dir):
     rows = disconnects.disconnect_extract(
-        inputs.facts(spark, sf_dir), "1998-01-01", "1998-06-30", order=BY_PLAN_ORDER
+        inputs.facts(spark, sf_dir), "1998-01-01", "1998-06-30", order=BY_PLAN_ORDER, never_null=inputs.KNOWN
     )
     return rows.select(BY_PLAN_COLUMNS)
 
@@ -398,7 +399,8 @@ def disconnect_extract(spark, sf_dir):
 )
 def cancel_customer_details(spark, sf_dir):
     rows = disconnects.cancel_details(
-        inputs.facts(spark, sf_dir), "amend_created", "1997-04-01", "1998-04-30", order=BY_PLAN_ORDER
+        inputs.facts(spark, sf_dir), "amend_created", "1997-04-01", "1998-04-30",
+        order=BY_PLAN_ORDER, never_null=inputs.KNOWN,
     )
     return rows.select(BY_PLAN_COLUMNS)
 
