@@ -193,14 +193,14 @@ class Vocabulary:
 class Remembered(dict):
     """Results of a function of short texts; forgets all when it is full."""
 
-    def __init__(self, function: Callable):
+    def __init__(self, function: Callable, most: int = REMEMBERED):
         super().__init__()
-        self.function = function
+        self.function, self.most = function, most
 
     def __missing__(self, key):
         value = self.function(key)
         if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = value
         return value
@@ -227,12 +227,14 @@ def latin(piece: str) -> str:
     return piece.encode("utf-8").decode("latin-1")
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], size_of: Callable) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``BATCH_BYTES``, a row at least."""
+def small_batches(
+    batches: Iterator[pa.RecordBatch], size_of: Callable, most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most about ``most``, a row at least."""
     for batch in batches:
         start, held = 0, 0
         for i, size in enumerate(size_of(batch)):
-            if held and held + size > BATCH_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size or 1

@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,8 @@ BANDS, BAND_ROWS = 32, 6
 GROUP_NODES, GROUP_SHINGLES = 512, 4_000_000
 # Rows of 30 bytes that may be sent to every executor, 6 MB; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
+# The same for rows of 8 bytes.
+BROADCAST_BANDS = 500_000
 
 _U = np.uint64
 _WORD = re.compile(r"\w+")
@@ -75,13 +78,17 @@ def _words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+# Bytes of the texts that are signed at once, and words whose hashes a worker remembers.
+SIGNED_BYTES, WORDS = 1 << 18, 200_000
+
+
 def _sizes(batch: pa.RecordBatch) -> list[int]:
-    """Characters, or what as many darts weigh: a short text gets as many as a long one."""
-    return [max(len(x), 4_000) for x in batch.columns[-1].to_pylist()]
+    """Bytes, or what as many darts weigh: a short text gets as many as a long one."""
+    return np.maximum(pc.binary_length(batch.columns[-1]).to_numpy(), 4_000).tolist()
 
 
 def _hashes() -> dict[str, int]:
-    return once(("words",), lambda: Remembered(_word_hash))
+    return once(("words",), lambda: Remembered(_word_hash, WORDS))
 
 
 def _signed(df: DataFrame, key: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
@@ -89,7 +96,7 @@ def _signed(df: DataFrame, key: str, text: str, size: int, bands: int, rows: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
-        for batch in small_batches(batches, _sizes):
+        for batch in small_batches(batches, _sizes, SIGNED_BYTES):
             names = [_words_of(t) for t in batch.columns[-1].to_pylist()]
             sets = [_counted(shingles(n, size, hashes)) if n else (np.zeros(0, _U), np.zeros(0)) for n in names]
             owners = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
@@ -113,7 +120,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
-        for batch in small_batches(batches, _sizes):
+        for batch in small_batches(batches, _sizes, SIGNED_BYTES):
             names = [n for t in batch.columns[-1].to_pylist() if (n := _words_of(t))]
             sets = [_expanded(shingles(n, size, hashes)).view(np.int64) for n in names]
             nodes = pa.array([_nodes(n) for n in names], pa.binary())
@@ -255,8 +262,11 @@ def near_duplicates(
     signed = _signed(df, key, text, size, bands, rows).checkpoint()
     held = signed.where("_node IS NOT NULL")
     marks = held.select(F.explode("_bands").alias("_band"), "_node")
-    shared = marks.groupBy("_band").agg(F.min("_node").alias("_a"), F.max("_node").alias("_b")).where("_a <> _b")
-    members = marks.join(shared.select("_band"), "_band").distinct().checkpoint()
+    # Two nodes of a band differ in a 64-bit hash, which is counted faster than they are.
+    hashed = held.select(F.explode("_bands").alias("_band"), F.xxhash64("_node").alias("_h"))
+    shared = hashed.groupBy("_band").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a <> _b")
+    shared = shared.select("_band").checkpoint()
+    members = marks.join(_near(shared, shared.count() <= BROADCAST_BANDS), "_band").distinct().checkpoint()
     wanted = members.select("_node").distinct()
     keys = held.join(wanted, "_node").groupBy("_node").agg(F.first("_key").alias("_k"))
     keys = keys.select("_k").distinct().checkpoint()
