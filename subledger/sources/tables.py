@@ -268,8 +268,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_report_bundle(
-    sheets: Mapping[str, DataFrame], path: str, write: Callable[[DataFrame, str], None] = write_csv
+    extract: DataFrame,
+    sheets: Callable[[DataFrame], Mapping[str, DataFrame]],
+    path: str,
+    write: Callable[[DataFrame, str], None] = write_csv,
 ) -> None:
-    """Each named result in its own folder below ``path``."""
-    for name, sheet in sheets.items():
-        write(sheet, f"{path.rstrip('/')}/{name}")
+    """An extract and the results made from it, each in its own folder below
+    ``path``. The extract is computed once: the results read what was stored."""
+    root = path.rstrip("/")
+    extract.write.mode("overwrite").parquet(f"{root}/_extract")
+    for name, sheet in sheets(extract.sparkSession.read.parquet(f"{root}/_extract")).items():
+        write(sheet, f"{root}/{name}")

@@ -154,7 +154,7 @@ def test_bad_rows_fail_or_are_kept(spark, path):
 
 def test_csv_bundle_and_records(spark, path):
     df = spark.createDataFrame([(1, 'say "hi", x'), (2, None)], "k int, v string")
-    tables.write_report_bundle({"a": df, "b": df.where("k = 1")}, path)
+    tables.write_report_bundle(df, lambda stored: {"a": stored, "b": stored.where("k = 1")}, path)
     assert tuples(readers.read_export(spark, f"{path}/a", "k int, v string")) == tuples(df)
     assert tuples(readers.read_export(spark, f"{path}/b")) == [("1", 'say "hi", x')]
     lines = [json.dumps({"records": [{"Id": 1, "Owner": {"Name": "n"}}, {"Id": 2}]}), json.dumps({"records": []})]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from subledger.functions.dates import iso_instant
+from subledger import Spine
+from subledger.functions.dates import iso_instant, parse_timestamp
 from subledger.functions.scalars import to_number
 from subledger.operators import cleaning, keys, merge
 from subledger.session import scratch_path
@@ -364,23 +367,6 @@ def csv_round_trip(spark, sf_dir):
     return readers.read_export(spark, path, rows.schema)
 
 
-@query(
-    "report_bundle",
-    """SELECT l_returnflag, count(*) AS lines, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY l_returnflag""",
-)
-def report_bundle(spark, sf_dir):
-    """Two results written side by side, read back and put together."""
-    lines = inputs.load(spark, sf_dir, "lineitem").groupBy("l_returnflag")
-    path = scratch_path(spark, "bundle")
-    sheets = {
-        "lines": lines.agg(F.count("*").alias("lines")),
-        "orders": lines.agg(F.countDistinct("l_orderkey").alias("orders")),
-    }
-    tables.write_report_bundle(sheets, path)
-    counts = readers.read_export(spark, f"{path}/lines", sheets["lines"].schema)
-    return counts.join(readers.read_export(spark, f"{path}/orders", sheets["orders"].schema), "l_returnflag")
-
-
 @query(
     "read_since",
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-15'""",
@@ -411,6 +397,24 @@ def read_next_page(spark, sf_dir):
     return readers.read_after(orders, ["o_orderdate", "o_orderkey"], last, limit=500)
 
 
+@query(
+    "lookback_window",
+    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'""",
+)
+def lookback_window(spark, sf_dir):
+    """Events of the ten days before a date."""
+    window = Spine.lookback(dt.date(2024, 1, 20), 10)
+    events = inputs.load(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
+    return events.where(window.contains(F.col("day")))
+
+
+@query("strict_timestamps", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events")
+def strict_timestamps(spark, sf_dir):
+    """Text to timestamps, where text that is none would be an error."""
+    events = inputs.load(spark, sf_dir, "events").select("event_id", iso_instant(F.col("ts")).alias("ts"))
+    return events.withColumn("ts", parse_timestamp(F.col("ts"), strict=True))
+
+
 @query("high_water_mark", "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS value FROM events")
 def high_water_mark(spark, sf_dir):
     return readers.high_water_mark(inputs.load(spark, sf_dir, "events"), "ts")
@@ -421,11 +425,11 @@ EVENTS_SQL = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,
 
 @query("incremental_load", EVENTS_SQL)
 def incremental(spark, sf_dir):
-    """The events loaded in two runs that overlap on the mark's day."""
+    """The events loaded in two runs that overlap on the mark's day, and a run without rows."""
     events = inputs.load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     target, control = scratch_path(spark, "events"), scratch_path(spark, "control")
     half = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    for source in (half, events):
+    for source in (half, events, events.where("false")):
         incremental_load(spark, source, target, control, "events", "ts", ["event_id"], default="1970-01-01")
     return tables.read_table(spark, target)
 

@@ -7,8 +7,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from subledger.plans import customers, daily, disconnects, pivots, revenue
 from subledger.operators.pivots import with_total_row
+from subledger.plans import customers, daily, disconnects, pivots, revenue
+from subledger.session import scratch_path
+from subledger.sources.readers import read_export
+from subledger.sources.tables import write_report_bundle
 from workload import inputs
 from workload.inputs import (
     CONTACTS_SQL,
@@ -363,6 +366,48 @@ def disconnect_pivot_renewal_term(spark, sf_dir):
     return pivots.disconnect_pivots(rows, TERMS)["renewal_terms"]
 
 
+SHEETS_SQL = f"""SELECT report_date, "EVERGREEN", "TERMED", term_types.other AS other_types, {", ".join(f'"{c}"' for c in RENEWAL_CELLS)},
+  renewal_terms.other AS other_terms, renewal_terms.grand_total AS rows"""
+
+
+@query(
+    "report_bundle",
+    f"""{ADDS_SQL}, term_types AS ({_pivot_sql('adds', 'term_type', TERM_CELLS)}),
+  renewal_terms AS ({_pivot_sql('adds', 'coalesce(renewal_term, 1)', RENEWAL_CELLS)}),
+  revenue AS (SELECT {_date('report_date')} AS report_date, CAST(sum(total_adds_revenue) AS DOUBLE) AS total_adds_revenue FROM adds GROUP BY ALL)
+  {SHEETS_SQL}, total_adds_revenue FROM term_types JOIN renewal_terms USING (report_date) JOIN revenue USING (report_date)""",
+)
+def report_bundle(spark, sf_dir):
+    """The adds extract and its pivots written as one bundle, and three sheets read back."""
+    path = scratch_path(spark, "adds")
+    write_report_bundle(_adds(spark, sf_dir), lambda adds: pivots.adds_pivots(adds, TERMS), path)
+    return _sheets(spark, path).join(
+        read_export(spark, f"{path}/daily_revenue", "report_date date, subscription_count bigint, total_adds_revenue decimal(28,2)"),
+        "report_date",
+    ).drop("subscription_count")
+
+
+def _sheets(spark, path):
+    terms = [*RENEWAL_CELLS, "other_terms", "rows"]
+    types = read_export(spark, f"{path}/term_types", "report_date date, EVERGREEN bigint, TERMED bigint, other_types bigint, all bigint")
+    kinds = ", ".join(f"{c} bigint" for c in terms)
+    return types.drop("all").join(read_export(spark, f"{path}/renewal_terms", f"report_date date, {kinds}"), "report_date")
+
+
+@query(
+    "disconnect_bundle",
+    f"""WITH {FACTS_SQL}, {disconnect_sql(DISC_OK_KEEP)}, g AS (SELECT d AS report_date, * FROM gone),
+  term_types AS ({_pivot_sql('g', 'term_type', TERM_CELLS)}),
+  renewal_terms AS ({_pivot_sql('g', 'coalesce(renewal_term, 1)', RENEWAL_CELLS)})
+  {SHEETS_SQL} FROM term_types JOIN renewal_terms USING (report_date)""",
+)
+def disconnect_bundle(spark, sf_dir):
+    rows = disconnects.disconnect_rows(inputs.facts(spark, sf_dir), DAYS, null_semantics="pandas")
+    path = scratch_path(spark, "disconnects")
+    write_report_bundle(rows, lambda stored: pivots.disconnect_pivots(stored, TERMS), path)
+    return _sheets(spark, path)
+
+
 BY_PLAN_ORDER = ["rp_created", "sub_id", "plan_id", "ship_date", "tcv", "quantity", "supp_key"]
 
 
