@@ -12,6 +12,7 @@ from subledger.functions.dates import as_date
 from subledger.functions.scalars import last_label, to_number
 from subledger.operators.cleaning import fill_sentinel, normalise_timestamps
 from subledger.operators.joins import Dimension, star_join
+from subledger.operators.keys import first_per_key
 
 
 def incremental_extract(
@@ -60,14 +61,14 @@ def subscription_fact(
     """Rate plans with summed MRR, TCV and the revenue billed for them.
 
     Charges and invoice items are summed per rate plan on their own before
-    they meet, so neither side multiplies the other.
+    they meet, so neither side multiplies the other. Charges are grouped by
+    the rate plan alone; attributes are those of its first charge, in the
+    order of the attributes, and must not be null.
     """
     kept = charges.where((F.to_date(cols.rate_plan_created) >= as_date(start)) & (F.col(cols.currency) == currency))
     if first_version_only:
         kept = kept.where(F.col(cols.version) == 1)
-    plans = kept.groupBy(cols.rate_plan_id, *attributes).agg(
-        F.sum(cols.mrr).alias(cols.mrr), F.sum(cols.tcv).alias(cols.tcv)
-    )
+    plans = first_per_key(kept, [cols.rate_plan_id], attributes, attributes, [cols.mrr, cols.tcv], attributes)
     billed = invoice_items.groupBy(F.col(item_plan).alias(cols.rate_plan_id)).agg(
         F.sum(charge_amount).alias("total_adds_revenue")
     )

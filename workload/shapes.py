@@ -239,8 +239,11 @@ def product_rate_plans(spark, sf_dir):
 @query(
     "subscription_fact",
     f"""WITH {FACTS_SQL}, plans AS (
-    SELECT rp_id, sub_name, product_name, rp_created, sum(mrr) AS mrr, sum(tcv) AS tcv FROM z
-    WHERE rp_created >= DATE '1995-06-01' AND currency = 'USD' AND sub_version = 1 GROUP BY ALL),
+    SELECT rp_id, arg_min(sub_name, (sub_name, product_name, rp_created)) AS sub_name,
+      arg_min(product_name, (sub_name, product_name, rp_created)) AS product_name,
+      arg_min(rp_created, (sub_name, product_name, rp_created)) AS rp_created,
+      coalesce(sum(mrr), 0) AS mrr, coalesce(sum(tcv), 0) AS tcv FROM z
+    WHERE rp_created >= DATE '1995-06-01' AND currency = 'USD' AND sub_version = 1 GROUP BY rp_id),
   billed AS (SELECT l_orderkey || '-' || l_linenumber AS rp_id, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total_adds_revenue
     FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1)
   SELECT rp_id, sub_name, product_name, strftime(rp_created, '%Y-%m-%d') AS report_date, CAST(mrr AS DOUBLE) AS mrr,
