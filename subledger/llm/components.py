@@ -1,4 +1,4 @@
-"""Connected components by least labels, in rounds of joins."""
+"""Connected components by hooking and contraction, in rounds of joins."""
 
 from __future__ import annotations
 
@@ -8,27 +8,51 @@ from pyspark.sql import functions as F
 from subledger.session import shared_dir
 
 
+def _to_roots(parents: DataFrame) -> DataFrame:
+    """Each node's root: paths shrink by halves until none is longer than one step."""
+    while True:
+        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("further"))
+        jumped = parents.join(above, "parent").select("node", F.col("parent").alias("old"), "further").checkpoint()
+        parents = jumped.select("node", F.col("further").alias("parent"))
+        if jumped.where("old <> further").isEmpty():
+            return parents
+
+
+def _renamed(edges: DataFrame, parents: DataFrame) -> DataFrame:
+    """Edges between the roots of their ends."""
+    a = parents.select(F.col("node").alias("a"), F.col("parent").alias("ra"))
+    b = parents.select(F.col("node").alias("b"), F.col("parent").alias("rb"))
+    return edges.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+
+
+def _one_way(edges: DataFrame) -> DataFrame:
+    least, most = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    return edges.where("a <> b").select(least, most).distinct().checkpoint()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, label)`` of all nodes of an undirected graph; the label is the
     least node of the component.
 
-    Each round takes the least label among neighbours and then that label's
-    own label, so paths shrink by halves. Rounds end when no label changes.
-    Lineage is cut in every round in the shared folder; only counts reach the
-    driver. Null ends and loops are left out, repeated edges count once.
+    In each round every node hooks onto its least neighbour, nodes take the
+    roots of the trees that this makes, and the edges between roots are the
+    next round's graph, which is much smaller. Lineage is cut in the shared
+    folder; the driver learns only whether a table is empty. Null ends and
+    loops are left out, repeated edges count once.
     """
     shared_dir(edges.sparkSession)
-    one_way = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    both = one_way.union(one_way.select("b", "a")).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-    labels = labels.select("node", F.least("node", "least").alias("label")).checkpoint()
+    left = _one_way(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL"))
+    labels = None
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        told = labels.join(near, F.col("node") == F.col("a")).select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("to")
-        )
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("further"))
-        told = told.join(jump, "to").select("node", "old", F.least("to", "further").alias("label")).checkpoint()
-        labels = told.select("node", "label")
-        if told.where("label <> old").isEmpty():
+        both = left.union(left.select("b", "a"))
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+        parents = _to_roots(near.select("node", F.least("node", "near").alias("parent")).checkpoint())
+        if labels is None:
+            labels = parents.withColumnRenamed("parent", "label")
+        else:
+            further = parents.select(F.col("node").alias("label"), "parent")
+            labels = labels.join(further, "label", "left").select("node", F.coalesce("parent", "label").alias("label"))
+            labels = labels.checkpoint()
+        left = _one_way(_renamed(left, parents))
+        if left.isEmpty():
             return labels

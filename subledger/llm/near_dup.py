@@ -2,10 +2,12 @@
 
 Texts with the same words are one node from the start, so copies never meet.
 Nodes that share a band form buckets; buckets that share nodes form families.
-A family of bounded size is compared as a whole, in one group. A larger one is
-split: members are held against one member of each bucket, and only buckets
-that this leaves in several parts are compared further, in blocks of bounded
-size. All links found are exact; classes are their connected components.
+A family of bounded size is compared as a whole, in one group. In a larger one
+members are first held against the most central member of each of their
+buckets; parts that this links need no comparison within themselves, and the
+rest is compared in blocks of bounded size: blocks of a family, or of each of
+its buckets if the family is very large. All links found are exact; classes
+are their connected components.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 32, 6
 # A family or block that one task compares, in nodes and in shingles.
 GROUP_NODES, GROUP_SHINGLES = 512, 4_000_000
+# A family whose blocks all meet; in a larger one only those of a bucket do.
+FAMILY_NODES = 16_384
 # Rows of 30 bytes that may be sent to every executor, 6 MB; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 # The same for rows of 8 bytes.
@@ -174,8 +178,14 @@ def _near(df: DataFrame, few: bool) -> DataFrame:
 
 
 def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes: int) -> DataFrame:
-    """Links of families too large for one group; ``members`` are ``(_band, _node)``."""
-    hubs = members.groupBy("_band").agg(F.min_by("_node", F.xxhash64("_node", "_band")).alias("_hub"))
+    """Links of families too large for one group.
+
+    ``members`` are ``(_band, _node, _family, _whole)``; ``_whole`` tells
+    families that are compared as such and not bucket by bucket.
+    """
+    degrees = members.groupBy("_node").agg(F.count(F.lit(1)).alias("_degree"))
+    central = F.max_by("_node", F.struct("_degree", "_node")).alias("_hub")
+    hubs = members.join(degrees, "_node").groupBy("_band").agg(central)
     pairs = members.join(hubs, "_band").where("_node <> _hub").select("_node", "_hub").distinct()
     held = pairs.join(sets, "_node").join(
         sets.select(F.col("_node").alias("_hub"), F.col("_set").alias("_hubs")), "_hub"
@@ -185,56 +195,58 @@ def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes:
     star = held.where(shared >= F.lit(similarity) * whole - 1e-9)
     star = star.select(F.col("_node").alias("a"), F.col("_hub").alias("b")).checkpoint()
     labels = components(star)
-    told = members.join(labels, F.col("_node") == F.col("node"), "left").select(
-        "_band", "_node", F.coalesce("label", "_node").alias("_part")
-    )
-    # Buckets in several parts: large parts have blocks of their own, the others share blocks.
-    parts = told.groupBy("_band", "_part").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    open_ = parts.groupBy("_band").agg(
+    group = F.when(F.col("_whole"), F.xxhash64("_family")).otherwise(F.xxhash64("_band")).alias("_group")
+    told = members.select(group, "_node").distinct().join(labels, F.col("_node") == F.col("node"), "left")
+    told = told.select("_group", "_node", F.coalesce("label", "_node").alias("_part"))
+    # Groups in several parts: large parts have blocks of their own, the others share blocks.
+    parts = told.groupBy("_group", "_part").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    open_ = parts.groupBy("_group").agg(
         F.count(F.lit(1)).alias("_parts"), F.sum(F.when(F.col("_n") < nodes // 2, F.col("_n"))).alias("_rest")
     )
-    open_ = open_.where("_parts > 1").select("_band", F.coalesce("_rest", F.lit(0)).alias("_rest"))
-    parts = parts.join(open_, "_band")
+    open_ = open_.where("_parts > 1").select("_group", F.coalesce("_rest", F.lit(0)).alias("_rest"))
+    parts = parts.join(open_, "_group")
     own = F.col("_n") >= nodes // 2
     parts = parts.select(
-        "_band", "_part", F.when(own, F.col("_part")).otherwise(F.lit(b"")).alias("_own"),
+        "_group", "_part", F.when(own, F.col("_part")).otherwise(F.lit(b"")).alias("_own"),
         F.ceil(F.when(own, F.col("_n")).otherwise(F.col("_rest")) / F.lit(nodes // 2)).alias("_blocks"),
     )
-    placed = told.join(parts, ["_band", "_part"]).select(
-        "_band", "_node", "_part", "_own", F.pmod(F.xxhash64("_node", F.lit(7)), F.col("_blocks")).alias("_block")
+    placed = told.join(parts, ["_group", "_part"]).select(
+        "_group", "_node", "_part", "_own", F.pmod(F.xxhash64("_node", F.lit(7)), F.col("_blocks")).alias("_block")
     )
     placed = placed.checkpoint()
-    blocks = placed.select("_band", "_own", "_block").distinct()
-    other = blocks.select("_band", F.col("_own").alias("_own2"), F.col("_block").alias("_block2"))
+    blocks = placed.select("_group", "_own", "_block").distinct()
+    other = blocks.select("_group", F.col("_own").alias("_own2"), F.col("_block").alias("_block2"))
     apart = (F.col("_own") != F.col("_own2")) | (F.col("_own") == F.lit(b""))
-    met = blocks.join(other, "_band").where(apart & (F.struct("_own", "_block") <= F.struct("_own2", "_block2")))
-    pair = F.xxhash64("_band", "_own", "_block", "_own2", "_block2").alias("_pair")
+    met = blocks.join(other, "_group").where(apart & (F.struct("_own", "_block") <= F.struct("_own2", "_block2")))
+    pair = F.xxhash64("_group", "_own", "_block", "_own2", "_block2").alias("_pair")
     same = (F.col("_own") == F.col("_own2")) & (F.col("_block") == F.col("_block2"))
     second = met.where(~same).select(
-        "_band", F.col("_own2").alias("_own"), F.col("_block2").alias("_block"), pair, F.lit(False).alias("_left")
+        "_group", F.col("_own2").alias("_own"), F.col("_block2").alias("_block"), pair, F.lit(False).alias("_left")
     )
-    sides = met.select("_band", "_own", "_block", pair, F.lit(True).alias("_left")).unionByName(second)
-    rows = placed.join(sides, ["_band", "_own", "_block"])
+    sides = met.select("_group", "_own", "_block", pair, F.lit(True).alias("_left")).unionByName(second)
+    rows = placed.join(sides, ["_group", "_own", "_block"])
     rows = rows.select("_pair", "_node", F.hex("_part").alias("_part"), "_left")
     blocks = rows.join(sets, "_node").select("_pair", "_node", "_part", "_left", "_set")
     return star.unionByName(blocks.groupBy("_pair").applyInArrow(_linking(similarity), _EDGES))
 
 
-def _found_links(members: DataFrame, sets: DataFrame, similarity: float, nodes: int) -> DataFrame:
+def _found_links(members: DataFrame, sets: DataFrame, similarity: float, nodes: int, widest: int) -> DataFrame:
     least = members.groupBy("_band").agg(F.min("_node").alias("_least"))
     chains = members.join(least, "_band").select(F.col("_node").alias("a"), F.col("_least").alias("b"))
     families = components(chains)
     sized = families.join(sets.select("_node", F.size("_set").alias("_n")), F.col("node") == F.col("_node"))
     sizes = sized.groupBy("label").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("_n").alias("_all"))
     small = (F.col("_nodes") <= nodes) & (F.col("_all") <= GROUP_SHINGLES)
-    families = families.join(sizes.select("label", small.alias("_small")), "label").checkpoint()
+    families = families.join(sizes.select("label", "_nodes", small.alias("_small")), "label").checkpoint()
     grouped = families.where("_small").join(sets, F.col("node") == F.col("_node"))
     grouped = grouped.select("label", "_node", F.hex("_node").alias("_part"), F.lit(True).alias("_left"), "_set")
     links = grouped.groupBy("label").applyInArrow(_linking(similarity), _EDGES)
-    large = families.where("not _small").select(F.col("node").alias("_node"))
+    large = families.where("not _small").select(
+        F.col("node").alias("_node"), F.col("label").alias("_family"), (F.col("_nodes") <= widest).alias("_whole")
+    )
     if large.isEmpty():
         return links
-    split = members.join(large, "_node").select("_band", "_node").checkpoint()
+    split = members.join(large, "_node").select("_band", "_node", "_family", "_whole").checkpoint()
     return links.unionByName(_large_links(split, sets, similarity, nodes))
 
 
@@ -247,6 +259,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = BAND_ROWS,
     group_nodes: int = GROUP_NODES,
+    family_nodes: int = FAMILY_NODES,
 ) -> DataFrame:
     """One row ``(key, class_id, class_size)`` for each row of ``df``.
 
@@ -256,7 +269,8 @@ def near_duplicates(
     the same words are linked; a text of fewer words is one run. A text without
     a word (null, empty, punctuation) is alone in its class, with its own key
     as the id. Keys may repeat and may be null; other columns don't matter.
-    ``group_nodes`` is the size from which a family is compared in blocks.
+    A family of more than ``group_nodes`` is compared in blocks, and one of more
+    than ``family_nodes`` bucket by bucket; neither changes what is found.
     """
     shared_dir(df.sparkSession)
     signed = _signed(df, key, text, size, bands, rows).checkpoint()
@@ -274,7 +288,7 @@ def near_duplicates(
     texts = df.select(col(key).alias("_key"), text_of(text).alias("_text"))
     texts = texts.join(_near(keys, few), F.col("_key").eqNullSafe(F.col("_k")), "left_semi").select("_text")
     sets = _sets(texts, size).dropDuplicates(["_node"]).join(wanted, "_node", "left_semi").checkpoint()
-    links = _found_links(members, sets, similarity, group_nodes).checkpoint()
+    links = _found_links(members, sets, similarity, group_nodes, family_nodes).checkpoint()
     labels = components(links)
     classed = signed.join(labels, F.col("_node") == F.col("node"), "left").select(
         "_key", F.coalesce("label", "_node").alias("_class")

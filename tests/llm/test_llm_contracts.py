@@ -154,8 +154,9 @@ def test_list_is_joined_exactly(spark):
     assert sorted(r.page_id for r in found.collect()) == sorted(r.page_id for r in targets.collect())
 
 
-def test_families_in_blocks(spark, documents):
-    """Families split into buckets and blocks have the classes of families compared whole."""
+@pytest.mark.parametrize("widest", [0, 1000])
+def test_families_in_blocks(spark, documents, widest):
+    """Families split into buckets or blocks have the classes of families compared whole."""
     df = spark.createDataFrame(documents, "doc_id long, text string")
-    got = near_dup.near_duplicates(df, group_nodes=4).collect()
+    got = near_dup.near_duplicates(df, group_nodes=4, family_nodes=widest).collect()
     assert {r.doc_id: (r.class_id, r.class_size) for r in got} == plain.classes(documents)
