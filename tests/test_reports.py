@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from subledger import Spine
 from subledger.operators.snapshot import latest_version_on, version_ranges
@@ -305,6 +306,36 @@ def test_churn(sample, spark, window, spine):
     assert Counter({tuple(r[:-1]): r.row_count for r in found}) == churned
 
 
+def test_churn_of_a_subscription_with_a_third_of_the_rows(spark):
+    """Pairs are written after the rows are dealt by rate plan, and only distinct ones."""
+    n, names = 30_000, 200
+    text = ["account_id", "sub_name", "sub_id", "sub_status", "term_type", "rp_id", "amend_sub_id", "prev_id"]
+    hot = F.col("id") % 3 == 0
+    sub = F.when(hot, "S0").otherwise(F.concat(F.lit("S"), (F.col("id") % 5000 + 1).cast("string")))
+    facts = spark.range(n).select(
+        *(F.lit("x").alias(c) for c in text if c != "sub_name" and c != "account_id"),
+        sub.alias("sub_name"), F.concat(F.lit("A"), sub).alias("account_id"), F.lit(1).alias("sub_version"),
+        F.lit(1).alias("renewal_term"), F.lit(DAY0 - dt.timedelta(days=9)).alias("term_start"),
+        F.lit(dt.datetime(2023, 12, 1)).alias("sub_created"), F.lit(dt.datetime(2023, 12, 1)).alias("rp_created"),
+        F.date_add(F.lit(DAY0), (F.col("id") % 59).cast("int")).alias("cancelled"),
+        (F.col("id") % names).cast("string").alias("product_name"), F.lit("f").alias("product_family"),
+        F.lit("r").alias("rp_name"), F.lit(None).cast("string").alias("amend_type"),
+        F.lit(None).cast("date").alias("amend_eff"),
+    )
+    spine, window = Spine(DAY0, DAY0 + dt.timedelta(days=5)), (DAY0, DAY0 + dt.timedelta(days=58))
+    df = disconnects.churned_accounts(facts, spine, window)
+    got = Counter((r.snapshot_date, r.row_count) for r in df.where("sub_name = 'S0'").collect())
+    rows = [(i % 59, i % names) for i in range(0, n, 3)]
+    days = Counter(day for day, _ in rows)
+    expected = Counter()
+    for d in range(6):
+        for active in Counter(name for day, name in rows if day > d).values():
+            expected.update((DAY0 + dt.timedelta(days=d), active * ended) for ended in days.values())
+    assert got == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode(_days") < plan.index("Exchange hashpartitioning(account_id") < plan.index("collect_list")
+
+
 def test_demographics(sample, spark):
     df, rows = sample
     places = [("A0", "X", None, "c"), ("A0", "X", "s", "c"), ("A0", "X", "s", "d"), ("A0", "X", "s", "d"),
