@@ -87,7 +87,9 @@ def star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     """Fact with the columns of its dimensions, joined in the order given.
 
     A table may take part under several roles, and a dimension may hang off
-    columns that an earlier one brought in.
+    columns that an earlier one brought in. Rows that point at nothing would
+    all meet on the null key of a left join, so there a second key deals them
+    by their contents; it is 0 for all others and for the table.
     """
     joined = fact
     for i, dim in enumerate(dimensions):
@@ -99,7 +101,16 @@ def star_join(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
         if dim.distinct:
             table = table.distinct()
         test: Column = F.lit(True)
+        if dim.how == "left":
+            lost = F.lit(False)
+            for near in dim.on:
+                lost = lost | joined[near].isNull()
+            spread = F.when(lost, F.xxhash64(*[joined[c] for c in joined.columns])).otherwise(0)
+            joined = joined.withColumn(f"_n{i}", spread)
+            # Not a literal, which Spark would take out of the join's keys.
+            table = table.withColumn(f"_z{i}", F.pmod(F.xxhash64(*keys.values()), F.lit(1)).cast("long"))
+            test = joined[f"_n{i}"] == table[f"_z{i}"]
         for near, far in dim.on.items():
             test = test & (joined[near] == table[keys[far]])
-        joined = joined.join(table, test, dim.how).drop(*keys.values())
+        joined = joined.join(table, test, dim.how).drop(*keys.values(), f"_n{i}", f"_z{i}")
     return joined

@@ -1,6 +1,7 @@
 """Keys, merges, joins, pivots, cleaning, dates."""
 
 import datetime as dt
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -235,3 +236,13 @@ def test_pivots_count_every_row(spark):
     assert tuples(found.select("d", "A", "B", "OTHER", "all")) == [("d", 1, 1, 1, 3), ("e", None, None, 1, 1)]
     terms = spark.createDataFrame([("d", t) for t in (1, 12, 24, None)], "report_date string, renewal_term int")
     assert tuples(pivot_renewal_term(terms, [12, 24])) == [("d", 1, 1, 2, 4)]
+
+
+def test_rows_that_point_at_nothing_are_dealt_out(spark):
+    """A fact of which most keys are null is not gathered in one partition."""
+    fact = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
+    table = spark.range(0, 1000, 20).select(F.col("id").alias("key"), F.lit("x").alias("v"))
+    joined = joins.star_join(fact, [joins.Dimension(table.hint("merge"), {"k": "key"}, {"v": "v"})])
+    assert joined.columns == ["id", "k", "v"] and joined.count() == 1000 and joined.where("v = 'x'").count() == 50
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [" in plan and re.search(r"hashpartitioning\(_n0#\d+L, k#\d+L|hashpartitioning\(k#\d+L, _n0#\d+L", plan)
