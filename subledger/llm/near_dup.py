@@ -133,8 +133,9 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "_node binary, _set array<bigint>")
 
 
-def _links(sets: list[np.ndarray], parts: list, similarity: float, left: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Pairs that link parts not linked before: a forest, never all pairs.
+def _linked(sets: list[np.ndarray], parts: list, similarity: float, left: np.ndarray) -> tuple[list, np.ndarray]:
+    """Pairs that link parts not linked before, a forest and never all pairs,
+    and a number for each member that those it is linked with share.
 
     ``left`` marks the members that are held against all others; members of
     one part are linked already.
@@ -145,8 +146,8 @@ def _links(sets: list[np.ndarray], parts: list, similarity: float, left: np.ndar
     order = np.argsort(codes, kind="stable")
     holders, starts = owners[order], np.searchsorted(codes[order], np.arange(len(elements) + 1))
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    _, root = np.unique(np.array(parts, dtype=object).astype(str), return_inverse=True)
-    root = root.astype(np.int64)
+    _, root = np.unique(np.array(parts), return_inverse=True)
+    pairs = []
     for i in np.flatnonzero(left):
         mine = codes[bounds[i] : bounds[i + 1]]
         counts = starts[mine + 1] - starts[mine]
@@ -156,20 +157,41 @@ def _links(sets: list[np.ndarray], parts: list, similarity: float, left: np.ndar
         for j in np.flatnonzero(similar):
             if root[j] != root[i]:
                 root[root == root[j]] = root[i]
-                yield int(i), int(j)
+                pairs.append((int(i), int(j)))
+    return pairs, root
+
+
+def _members(table: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
+    return table["_node"].to_pylist(), [x.values.to_numpy(zero_copy_only=False) for x in table["_set"]]
 
 
 def _linking(similarity: float) -> Callable[[pa.Table], pa.Table]:
+    """Links between the parts of a pair of blocks."""
+
     def run(table: pa.Table) -> pa.Table:
-        nodes, parts = table["_node"].to_pylist(), table["_part"].to_pylist()
-        sets = [np.asarray(x.values.to_numpy(zero_copy_only=False)) for x in table["_set"]]
-        found = list(_links(sets, parts, similarity, np.array(table["_left"].to_pylist(), bool)))
-        ends = ([nodes[i] for i, _ in found], [nodes[j] for _, j in found])
+        nodes, sets = _members(table)
+        pairs, _ = _linked(sets, table["_part"].to_pylist(), similarity, np.array(table["_left"].to_pylist(), bool))
+        ends = ([nodes[i] for i, _ in pairs], [nodes[j] for _, j in pairs])
         return pa.table({"a": pa.array(ends[0], pa.binary()), "b": pa.array(ends[1], pa.binary())})
 
     return run
 
 
+def _classing(similarity: float) -> Callable[[pa.Table], pa.Table]:
+    """Classes of a family: all its links are between its members."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, sets = _members(table)
+        _, root = _linked(sets, list(range(len(nodes))), similarity, np.ones(len(nodes), bool))
+        least: dict[int, bytes] = {}
+        for node, r in zip(nodes, root.tolist(), strict=True):
+            least[r] = min(node, least.get(r, node))
+        labels = [least[r] for r in root.tolist()]
+        return pa.table({"node": pa.array(nodes, pa.binary()), "label": pa.array(labels, pa.binary())})
+
+    return run
+
+
 _EDGES = "a binary, b binary"
 
 
@@ -230,7 +252,8 @@ def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes:
     return star.unionByName(blocks.groupBy("_pair").applyInArrow(_linking(similarity), _EDGES))
 
 
-def _found_links(members: DataFrame, sets: DataFrame, similarity: float, nodes: int, widest: int) -> DataFrame:
+def _classes(members: DataFrame, sets: DataFrame, similarity: float, nodes: int, widest: int) -> DataFrame:
+    """``(node, label)``: the class of every node that shares a bucket with another."""
     least = members.groupBy("_band").agg(F.min("_node").alias("_least"))
     chains = members.join(least, "_band").select(F.col("_node").alias("a"), F.col("_least").alias("b"))
     families = components(chains)
@@ -238,16 +261,15 @@ def _found_links(members: DataFrame, sets: DataFrame, similarity: float, nodes:
     sizes = sized.groupBy("label").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("_n").alias("_all"))
     small = (F.col("_nodes") <= nodes) & (F.col("_all") <= GROUP_SHINGLES)
     families = families.join(sizes.select("label", "_nodes", small.alias("_small")), "label").checkpoint()
-    grouped = families.where("_small").join(sets, F.col("node") == F.col("_node"))
-    grouped = grouped.select("label", "_node", F.hex("_node").alias("_part"), F.lit(True).alias("_left"), "_set")
-    links = grouped.groupBy("label").applyInArrow(_linking(similarity), _EDGES)
+    grouped = families.where("_small").join(sets, F.col("node") == F.col("_node")).select("label", "_node", "_set")
+    classes = grouped.groupBy("label").applyInArrow(_classing(similarity), "node binary, label binary")
     large = families.where("not _small").select(
         F.col("node").alias("_node"), F.col("label").alias("_family"), (F.col("_nodes") <= widest).alias("_whole")
     )
     if large.isEmpty():
-        return links
+        return classes
     split = members.join(large, "_node").select("_band", "_node", "_family", "_whole").checkpoint()
-    return links.unionByName(_large_links(split, sets, similarity, nodes))
+    return classes.unionByName(components(_large_links(split, sets, similarity, nodes)))
 
 
 def near_duplicates(
@@ -288,11 +310,10 @@ def near_duplicates(
     texts = df.select(col(key).alias("_key"), text_of(text).alias("_text"))
     texts = texts.join(_near(keys, few), F.col("_key").eqNullSafe(F.col("_k")), "left_semi").select("_text")
     sets = _sets(texts, size).dropDuplicates(["_node"]).join(wanted, "_node", "left_semi").checkpoint()
-    links = _found_links(members, sets, similarity, group_nodes, family_nodes).checkpoint()
-    labels = components(links)
+    labels = _classes(members, sets, similarity, group_nodes, family_nodes)
     classed = signed.join(labels, F.col("_node") == F.col("node"), "left").select(
         "_key", F.coalesce("label", "_node").alias("_class")
-    )
+    ).checkpoint()
     alone = classed.where("_class IS NULL").select(
         F.col("_key").alias(key), F.col("_key").alias("class_id"), F.lit(1).cast("long").alias("class_size")
     )

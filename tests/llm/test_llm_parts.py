@@ -156,8 +156,8 @@ def test_links_join_all_similar_pairs():
             n = len(np.intersect1d(sets[i], sets[j]))
             if n >= 0.8 * (200 - n):
                 up[root(i)] = root(j)
-    links = list(near_dup._links(sets, list(range(60)), 0.8, np.ones(60, bool)))
-    assert len(links) == 60 - len({root(i) for i in range(60)})
+    links, numbers = near_dup._linked(sets, list(range(60)), 0.8, np.ones(60, bool))
+    assert len(links) == 60 - len({root(i) for i in range(60)}) == 60 - len(set(numbers.tolist()))
     assert all(root(i) == root(j) for i, j in links)
 
 
@@ -170,7 +170,12 @@ def test_components(spark):
         for a, b in edges:
             if a is not None and a != b:
                 label[a] = label[b] = min(label[a], label[b])
-    assert got == label
+    least = {}
+    for node, name in got.items():
+        assert label[node] == label[name]
+        least.setdefault(label[node], name)
+        assert least[label[node]] == name
+    assert got.keys() == label.keys()
 
 
 def test_winnowing_keeps_a_gram_of_every_shared_passage(spark):
