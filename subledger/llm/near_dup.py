@@ -34,10 +34,10 @@ SIMILARITY = 0.8
 #: 192 coordinates: a pair of similarity 0.8 shares no band in 6 of 100,000 cases.
 BANDS, BAND_ROWS = 32, 6
 # A family or block that one task compares, in nodes and in shingles.
-GROUP_NODES, GROUP_SHINGLES = 512, 4_000_000
+GROUP_NODES, GROUP_SHINGLES = 4_096, 2_000_000
 # A family whose blocks all meet; in a larger one only those of a bucket do.
 FAMILY_NODES = 16_384
-# Rows of 30 bytes that may be sent to every executor, 6 MB; more are joined by shuffle.
+# Rows of 80 bytes that may be sent to every executor, 16 MB; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 # The same for rows of 8 bytes.
 BROADCAST_BANDS = 500_000
@@ -96,7 +96,7 @@ def _hashes() -> dict[str, int]:
 
 
 def _signed(df: DataFrame, key: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """``(_key, _node, _bands)`` of every row of ``df``."""
+    """``(_key, _node, _n, _bands)`` of every row of ``df``; ``_n`` runs of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
@@ -107,30 +107,33 @@ def _signed(df: DataFrame, key: str, text: str, size: int, bands: int, rows: int
             elements, weights = (np.concatenate(x) for x in zip(*sets, strict=True))
             keys = band_keys(dart_minhash(elements, weights.astype(float), owners, len(sets), bands * rows), bands)
             listed = [k if n else None for k, n in zip(keys, names, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.columns[0], pa.array([_nodes(n) for n in names], pa.binary()), pa.array(listed, pa.list_(pa.int64()))],
-                names=["_key", "_node", "_bands"],
-            )
+            nodes, runs = pa.array([_nodes(n) for n in names], pa.binary()), [max(1, len(n) - size + 1) for n in names]
+            columns = [batch.columns[0], nodes, pa.array(runs, pa.int64()), pa.array(listed, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_node", "_n", "_bands"])
 
     kind = df.select(col(key)).schema[0].dataType
     schema = T.StructType([
-        T.StructField("_key", kind), T.StructField("_node", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType()))
+        T.StructField("_key", kind), T.StructField("_node", T.BinaryType()), T.StructField("_n", T.LongType()),
+        T.StructField("_bands", T.ArrayType(T.LongType())),
     ])
     return df.select(col(key).alias("_key"), text_of(text).alias("_text")).mapInArrow(run, schema)
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """``(_node, _set)`` of rows that end in a text."""
+    """``(_node, _family, _set)`` of ``(_node, _family, _text)``, of rows whose text is that node's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
         for batch in small_batches(batches, _sizes, SIGNED_BYTES):
-            names = [n for t in batch.columns[-1].to_pylist() if (n := _words_of(t))]
-            sets = [_expanded(shingles(n, size, hashes)).view(np.int64) for n in names]
-            nodes = pa.array([_nodes(n) for n in names], pa.binary())
-            yield pa.RecordBatch.from_arrays([nodes, pa.array(sets, pa.list_(pa.int64()))], names=["_node", "_set"])
+            nodes, families, listed = (c.to_pylist() for c in batch.columns)
+            names = [_words_of(t) for t in listed]
+            here = [i for i, n in enumerate(names) if _nodes(n) == nodes[i]]
+            sets = [_expanded(shingles(names[i], size, hashes)).view(np.int64) for i in here]
+            ends = [pa.array([x[i] for i in here], pa.binary()) for x in (nodes, families)]
+            columns = [*ends, pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_node", "_family", "_set"])
 
-    return texts.mapInArrow(run, "_node binary, _set array<bigint>")
+    return texts.mapInArrow(run, "_node binary, _family binary, _set array<bigint>")
 
 
 def _linked(sets: list[np.ndarray], parts: list, similarity: float, left: np.ndarray) -> tuple[list, np.ndarray]:
@@ -148,7 +151,14 @@ def _linked(sets: list[np.ndarray], parts: list, similarity: float, left: np.nda
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     _, root = np.unique(np.array(parts), return_inverse=True)
     pairs = []
-    for i in np.flatnonzero(left):
+    # The member that shares most goes first. What it links needs no turn of
+    # its own: whoever is not linked to it is held against all of them.
+    shares = np.add.reduceat(np.diff(starts)[codes], bounds[:-1]) / sizes
+    turns = sorted(np.flatnonzero(left).tolist(), key=lambda i: -shares[i])
+    whole = bool(left.all())
+    for turn, i in enumerate(turns):
+        if whole and turn and root[i] == root[turns[0]]:
+            continue
         mine = codes[bounds[i] : bounds[i + 1]]
         counts = starts[mine + 1] - starts[mine]
         at = np.repeat(starts[mine] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
@@ -252,24 +262,18 @@ def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes:
     return star.unionByName(blocks.groupBy("_pair").applyInArrow(_linking(similarity), _EDGES))
 
 
-def _classes(members: DataFrame, sets: DataFrame, similarity: float, nodes: int, widest: int) -> DataFrame:
-    """``(node, label)``: the class of every node that shares a bucket with another."""
-    least = members.groupBy("_band").agg(F.min("_node").alias("_least"))
-    chains = members.join(least, "_band").select(F.col("_node").alias("a"), F.col("_least").alias("b"))
-    families = components(chains)
-    sized = families.join(sets.select("_node", F.size("_set").alias("_n")), F.col("node") == F.col("_node"))
-    sizes = sized.groupBy("label").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("_n").alias("_all"))
-    small = (F.col("_nodes") <= nodes) & (F.col("_all") <= GROUP_SHINGLES)
-    families = families.join(sizes.select("label", "_nodes", small.alias("_small")), "label").checkpoint()
-    grouped = families.where("_small").join(sets, F.col("node") == F.col("_node")).select("label", "_node", "_set")
-    classes = grouped.groupBy("label").applyInArrow(_classing(similarity), "node binary, label binary")
-    large = families.where("not _small").select(
-        F.col("node").alias("_node"), F.col("label").alias("_family"), (F.col("_nodes") <= widest).alias("_whole")
-    )
-    if large.isEmpty():
-        return classes
-    split = members.join(large, "_node").select("_band", "_node", "_family", "_whole").checkpoint()
-    return classes.unionByName(components(_large_links(split, sets, similarity, nodes)))
+def _candidates(held: DataFrame, families: DataFrame, nodes: int, widest: int) -> DataFrame:
+    """A row for each node of a family: ``_key`` of one of its rows, ``_again``
+    if that key is repeated, and how its family is compared."""
+    rows = held.join(families.select(F.col("node").alias("_node"), F.col("label").alias("_family")), "_node")
+    rows = rows.groupBy("_node", "_family", "_n", "_key").agg(F.count(F.lit(1)).alias("_c"))
+    picked = rows.groupBy("_node", "_family", "_n").agg(F.min(F.struct("_c", "_key")).alias("_p"))
+    sizes = picked.groupBy("_family").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("_n").alias("_all"))
+    return picked.join(sizes, "_family").select(
+        "_node", "_family", F.col("_p._key").alias("_k"), (F.col("_p._c") > 1).alias("_again"),
+        ((F.col("_nodes") <= nodes) & (F.col("_all") <= GROUP_SHINGLES)).alias("_small"),
+        (F.col("_nodes") <= widest).alias("_whole"),
+    )
 
 
 def near_duplicates(
@@ -303,14 +307,24 @@ def near_duplicates(
     shared = hashed.groupBy("_band").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a <> _b")
     shared = shared.select("_band").checkpoint()
     members = marks.join(_near(shared, shared.count() <= BROADCAST_BANDS), "_band").distinct().checkpoint()
-    wanted = members.select("_node").distinct()
-    keys = held.join(wanted, "_node").groupBy("_node").agg(F.first("_key").alias("_k"))
-    keys = keys.select("_k").distinct().checkpoint()
-    few = keys.count() <= BROADCAST_ROWS
+    least = members.groupBy("_band").agg(F.min("_node").alias("_least"))
+    families = components(members.join(least, "_band").select(F.col("_node").alias("a"), F.col("_least").alias("b")))
+    found = _candidates(held, families, group_nodes, family_nodes).checkpoint()
     texts = df.select(col(key).alias("_key"), text_of(text).alias("_text"))
-    texts = texts.join(_near(keys, few), F.col("_key").eqNullSafe(F.col("_k")), "left_semi").select("_text")
-    sets = _sets(texts, size).dropDuplicates(["_node"]).join(wanted, "_node", "left_semi").checkpoint()
-    labels = _classes(members, sets, similarity, group_nodes, family_nodes)
+
+    def sets_of(part: DataFrame) -> DataFrame:
+        near = _near(part.select("_node", "_family", "_k"), part.count() <= BROADCAST_ROWS)
+        rows = texts.join(near, F.col("_key").eqNullSafe(F.col("_k"))).select("_node", "_family", "_text")
+        sets = _sets(rows, size)
+        return sets if part.where("_again").isEmpty() else sets.dropDuplicates(["_node"])
+
+    small, large = found.where("_small"), found.where("not _small")
+    labels = sets_of(small).groupBy("_family").applyInArrow(_classing(similarity), "node binary, label binary")
+    if not large.isEmpty():
+        split = members.join(large.select("_node", "_family", "_whole"), "_node")
+        split = split.select("_band", "_node", "_family", "_whole").checkpoint()
+        links = _large_links(split, sets_of(large).select("_node", "_set").checkpoint(), similarity, group_nodes)
+        labels = labels.unionByName(components(links))
     classed = signed.join(labels, F.col("_node") == F.col("node"), "left").select(
         "_key", F.coalesce("label", "_node").alias("_class")
     ).checkpoint()
