@@ -63,15 +63,16 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    kept = ["doc_id", "lang", "source"]
+    (digest,) = fresh(docs, "_digest")
+    signed = docs.select(*(col(c) for c in kept), "text", F.sha2(text_of("text"), 256).alias(digest))
+    encoded = bpe.encode(signed, path, public_tokenizers.PATTERN, keep=[*kept, digest])
     decoded = bpe.decode(encoded, path)
     return decoded.select(
-        "doc_id",
-        "lang",
-        "source",
+        *(col(c) for c in kept),
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
-        (F.col("decoded") == text_of("text").cast("binary")).alias("decodes"),
+        (F.sha2("decoded", 256) == col(digest)).alias("decodes"),
     )
 
 

@@ -13,12 +13,12 @@ import base64
 import json
 import os
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from subledger.llm.columns import col, text_of, without
@@ -26,7 +26,7 @@ from subledger.llm.columns import col, text_of, without
 # Bytes of the texts that one result batch comes from; bounds the memory of a task.
 BATCH_BYTES = 1 << 20
 # Entries that a worker remembers of pieces and of neighbours each.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 60  # characters: under 256 tokens
 
 
@@ -242,13 +242,17 @@ def small_batches(
             yield batch.slice(start)
 
 
-def with_column(df: DataFrame, name: str, kind: T.DataType, inputs, function: Callable) -> DataFrame:
-    """``df`` and a column that ``function`` makes of batches. ``inputs`` is
-    what it sees as the batch's last column."""
-    df = without(df, name)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
-    arrow = df.select(*(col(c) for c in df.columns), inputs.alias(name))
-    return arrow.mapInArrow(function, schema)
+def with_column(
+    df: DataFrame, name: str, kind: T.DataType, inputs: Column, function: Callable, keep: Sequence[str] | None
+) -> DataFrame:
+    """Columns of ``df``, or those in ``keep``, and one that ``function`` makes of batches.
+
+    ``inputs`` is the batch's last column, which the new one replaces; what
+    isn't kept isn't sent back, and a column that is both is sent once more.
+    """
+    kept = without(df, name).columns if keep is None else [c for c in keep if c.lower() != name.lower()]
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, kind)])
+    return df.select(*(col(c) for c in kept), inputs.alias(name)).mapInArrow(function, schema)
 
 
 def replace_last(batch: pa.RecordBatch, values: pa.Array) -> pa.RecordBatch:
@@ -270,8 +274,11 @@ def _list_sizes(batch: pa.RecordBatch) -> list[int]:
     return (4 * pc.fill_null(pc.list_value_length(batch.columns[-1]), 0).to_numpy()).tolist()
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """All rows and columns of ``df`` with the token ids of each whole text.
+def encode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """All rows of ``df``, and its columns or those in ``keep``, with the token
+    ids of each whole text.
 
     Each match of ``pattern`` is encoded apart, without special tokens. Null
     and empty texts have no ids; what the pattern doesn't match is left out.
@@ -292,11 +299,14 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
             found = [b"".join([encoded[p] for p in matcher.findall(t)]) for t in batch.columns[-1].to_pylist()]
             yield replace_last(batch, lists_of(found))
 
-    return with_column(df, ids, T.ArrayType(T.IntegerType()), text_of(text), run)
+    return with_column(df, ids, T.ArrayType(T.IntegerType()), text_of(text), run, keep)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """All rows and columns of ``df`` with the bytes that the ids stand for.
+def decode(
+    df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """All rows of ``df``, and its columns or those in ``keep``, with the bytes
+    that the ids stand for.
 
     Null ids give null, no ids no bytes, and an id that the vocabulary lacks
     is an error. An input column named as the output gives way.
@@ -325,4 +335,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
             found = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), data])
             yield replace_last(batch, pc.if_else(rows.is_valid(), found, pa.scalar(None, pa.binary())))
 
-    return with_column(df, decoded, T.BinaryType(), col(ids).cast("array<int>"), run)
+    return with_column(df, decoded, T.BinaryType(), col(ids).cast("array<int>"), run, keep)

@@ -77,12 +77,13 @@ TOKEN_LIMIT = 512
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_counts.prefix_counts(documents, tokenizer("byte_bpe_50k.json"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", size)
+    counted = token_counts.prefix_counts(documents, tokenizer("byte_bpe_50k.json"), keep=["doc_id", "n_bytes"])
     counts = F.col("prefix_tokens")
     return counted.select(
         "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_bytes",
         token_counts.tokens_of(counts).alias("n_tokens"),
         (token_counts.tokens_of(counts) > TOKEN_LIMIT).alias("over_limit"),
         token_counts.longest_within(counts, TOKEN_LIMIT).alias("chars_within_limit"),
@@ -120,7 +121,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = tokenizer("byte_bpe_multi_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(documents, path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    encoded = bpe.encode(documents, path, public_tokenizers.PATTERN, keep=["doc_id"])
     decoded = bpe.decode(encoded, path)
     return decoded.select(
         "doc_id",

@@ -100,10 +100,13 @@ class PrefixCounter:
         return np.concatenate(parts).astype(np.int32)
 
 
-def prefix_counts(df: DataFrame, path: str, text: str = "text", counts: str = "prefix_tokens") -> DataFrame:
-    """All rows and columns of ``df`` with an array of the exact token counts
-    of every prefix of each whole text, in code points: element i (from 0) is
-    the count of the first i characters, the last one that of the text.
+def prefix_counts(
+    df: DataFrame, path: str, text: str = "text", counts: str = "prefix_tokens", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """All rows of ``df``, and its columns or those in ``keep``, with an array of
+    the exact token counts of every prefix of each whole text, in code points:
+    element i (from 0) is the count of the first i characters, the last one
+    that of the text.
 
     Null and empty texts have the one count 0. The strings of special tokens
     count as one token each, as the library has it by default; a text cut
@@ -121,7 +124,7 @@ def prefix_counts(df: DataFrame, path: str, text: str = "text", counts: str = "p
             values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
             yield bpe.replace_last(batch, pa.ListArray.from_arrays(pa.array(offsets), values))
 
-    return bpe.with_column(df, counts, T.ArrayType(T.IntegerType()), text_of(text), run)
+    return bpe.with_column(df, counts, T.ArrayType(T.IntegerType()), text_of(text), run, keep)
 
 
 def tokens_of(counts: Column, characters: Column | None = None) -> Column:
