@@ -66,8 +66,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = ["doc_id", "lang", "source"]
     (digest,) = fresh(docs, "_digest")
     signed = docs.select(*(col(c) for c in kept), "text", F.sha2(text_of("text"), 256).alias(digest))
-    encoded = bpe.encode(signed, path, public_tokenizers.PATTERN, keep=[*kept, digest])
-    decoded = bpe.decode(encoded, path)
+    decoded = bpe.round_trip(signed, path, public_tokenizers.PATTERN, keep=[*kept, digest])
     return decoded.select(
         *(col(c) for c in kept),
         F.size("ids").cast("long").alias("n_tokens"),

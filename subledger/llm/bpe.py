@@ -217,6 +217,39 @@ def once(key: tuple, make: Callable[[], object]):
     return _loaded[key]
 
 
+class Coder:
+    """Encodes and decodes columns of a batch."""
+
+    def __init__(self, source: tuple[bytes, str], pattern: str | None = None):
+        import regex
+
+        vocabulary = Vocabulary(*source)
+        self.matcher = regex.compile(pattern) if pattern is not None else None
+        self.pieces = Remembered(lambda p: array("i", vocabulary.encode(latin(p))).tobytes())
+        tokens = vocabulary.tokens
+        self.place = np.full(max(tokens) + 1, -1)
+        self.place[list(tokens)] = np.arange(len(tokens))
+        self.tokens = pa.array([t.encode("latin-1") for t in tokens.values()], pa.binary())
+
+    def encoded(self, texts: pa.Array) -> pa.ListArray:
+        pieces, matches = self.pieces, self.matcher.findall
+        return lists_of([b"".join([pieces[p] for p in matches(t)]) for t in texts.to_pylist()])
+
+    def decoded(self, rows: pa.ListArray) -> pa.Array:
+        ids = rows.flatten().to_numpy(zero_copy_only=False)
+        if not len(ids):
+            return pc.if_else(rows.is_valid(), pa.scalar(b"", pa.binary()), pa.scalar(None, pa.binary()))
+        if ids.min() < 0 or ids.max() >= len(self.place) or self.place[ids].min() < 0:
+            raise ValueError("an id that the vocabulary lacks")
+        # The tokens one after another are the rows one after another.
+        pieces = self.tokens.take(pa.array(self.place[ids]))
+        at = np.frombuffer(pieces.buffers()[1], np.int32, len(ids) + 1)
+        counts = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+        ends = at[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
+        found = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pieces.buffers()[2]])
+        return pc.if_else(rows.is_valid(), found, pa.scalar(None, pa.binary()))
+
+
 def read_vocabulary(path: str) -> tuple[bytes, str]:
     """Contents and kind of a vocabulary file, read on the driver and sent to the tasks."""
     with open(path, "rb") as file:
@@ -288,16 +321,9 @@ def encode(
     source = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        def make() -> tuple:
-            vocabulary = Vocabulary(*source.value)
-            return regex.compile(pattern), Remembered(lambda p: array("i", vocabulary.encode(latin(p))).tobytes())
-
-        matcher, encoded = once(("ids", path, pattern), make)
+        coder = once(("coder", path, pattern), lambda: Coder(source.value, pattern))
         for batch in small_batches(batches, text_sizes):
-            found = [b"".join([encoded[p] for p in matcher.findall(t)]) for t in batch.columns[-1].to_pylist()]
-            yield replace_last(batch, lists_of(found))
+            yield replace_last(batch, coder.encoded(batch.columns[-1]))
 
     return with_column(df, ids, T.ArrayType(T.IntegerType()), text_of(text), run, keep)
 
@@ -314,25 +340,33 @@ def decode(
     source = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> tuple[np.ndarray, pa.Array]:
-            tokens = Vocabulary(*source.value).tokens
-            place = np.full(max(tokens) + 1, -1)
-            place[list(tokens)] = np.arange(len(tokens))
-            return place, pa.array([t.encode("latin-1") for t in tokens.values()], pa.binary())
-
-        place, tokens = once(("bytes", path), make)
+        coder = once(("coder", path, None), lambda: Coder(source.value))
         for batch in small_batches(batches, _list_sizes):
-            rows = batch.columns[-1]
-            ids = rows.flatten().to_numpy(zero_copy_only=False)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(place) or place[ids].min() < 0):
-                raise ValueError("an id that the vocabulary lacks")
-            # The tokens one after another are the rows one after another.
-            pieces = tokens.take(pa.array(place[ids]))
-            at = np.frombuffer(pieces.buffers()[1], np.int32, len(ids) + 1) if len(ids) else np.zeros(1, np.int32)
-            counts = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
-            ends = at[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
-            data = pieces.buffers()[2] if len(ids) else pa.py_buffer(b"")
-            found = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), data])
-            yield replace_last(batch, pc.if_else(rows.is_valid(), found, pa.scalar(None, pa.binary())))
+            yield replace_last(batch, coder.decoded(batch.columns[-1]))
 
     return with_column(df, decoded, T.BinaryType(), col(ids).cast("array<int>"), run, keep)
+
+
+def round_trip(
+    df: DataFrame,
+    path: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """What :func:`encode` and then :func:`decode` give, by one worker a task."""
+    source = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = once(("coder", path, pattern), lambda: Coder(source.value, pattern))
+        for batch in small_batches(batches, text_sizes):
+            found = coder.encoded(batch.columns[-1])
+            columns = [*batch.columns[:-1], found, coder.decoded(found)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], ids, decoded])
+
+    kept = without(df, ids, decoded).columns if keep is None else list(keep)
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    schema = schema.add(decoded, T.BinaryType())
+    return df.select(*(col(c) for c in kept), text_of(text).alias(ids)).mapInArrow(run, schema)

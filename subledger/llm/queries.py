@@ -121,8 +121,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = tokenizer("byte_bpe_multi_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(documents, path, public_tokenizers.PATTERN, keep=["doc_id"])
-    decoded = bpe.decode(encoded, path)
+    decoded = bpe.round_trip(documents, path, public_tokenizers.PATTERN, keep=["doc_id"])
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
