@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.columns import col, fresh, text_of, without
+from subledger.llm.columns import col, fresh, let, text_of, without
 
 #: Spellings that license matching guidelines hold to be equal.
 SPELLINGS = (
@@ -95,19 +95,33 @@ KNOWN = (
 BROADCAST_ROWS = 200_000
 
 
+def _any_of(names: Sequence[str]) -> str:
+    """A pattern of all these words, by first letter, so that most places fail at once."""
+    rest: dict[str, list[str]] = {}
+    for name in names:
+        rest.setdefault(name[0], []).append(name[1:])
+    return r"\b(?:" + "|".join(f"{first}(?:{'|'.join(more)})" for first, more in rest.items()) + r")\b"
+
+
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, words only, equal spellings; may be empty."""
-    bare = F.regexp_replace(F.lower(text), r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$", " ")
-    out = F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
-    changed = out
-    for theirs, ours in SPELLINGS:
-        changed = F.regexp_replace(changed, rf"\b{theirs}\b", ours)
-    return F.when(out.rlike(r"\b(" + "|".join(s for s, _ in SPELLINGS) + r")\b"), changed).otherwise(out)
+    lower = F.lower(text)
+    lines = F.regexp_replace(lower, r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$", " ")
+    named = F.contains(lower, F.lit("copyright")) | F.contains(lower, F.lit("(c)"))
+    named = named | F.contains(lower, F.lit("©")) | F.contains(lower, F.lit("all rights reserved"))
+    bare = F.when(named, lines).otherwise(lower)
+    def spelled(out: Column) -> Column:
+        changed = out
+        for theirs, ours in SPELLINGS:
+            changed = F.regexp_replace(changed, rf"\b{theirs}\b", ours)
+        return F.when(out.rlike(_any_of([s for s, _ in SPELLINGS])), changed).otherwise(out)
+
+    return let(F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " ")), spelled)
 
 
 def digest(text: Column) -> Column:
     """Of the canonical text; null if nothing is left of it."""
-    return F.sha2(F.nullif(canonical(text), F.lit("")), 256)
+    return let(canonical(text), lambda c: F.when(c != "", F.sha2(c, 256)))
 
 
 def known_licenses(spark: SparkSession, texts: Sequence[tuple[str, str]] = KNOWN) -> DataFrame:
@@ -136,8 +150,9 @@ def license_scan(df: DataFrame, known: DataFrame, key: str = "doc_id", text: str
     if lookup.count() <= BROADCAST_ROWS:
         lookup = F.broadcast(lookup)
     identity = F.struct(col(key).cast("string").alias("k"), F.md5(text_of(text)).alias("t"))
-    noted = df.select(identity.alias(same), F.explode(F.array_distinct(F.split(text_of(text), "\n"))).alias("_line"))
-    noted = noted.where(F.col("_line").rlike(r"[\p{L}\p{N}]")).select(same, digest(F.col("_line")).alias("_digest"))
+    # Digests are made before the lines become rows: later ones would be made again to test them.
+    lines_of = F.array_distinct(F.split(text_of(text), "\n"))
+    noted = df.select(identity.alias(same), F.explode(F.transform(lines_of, digest)).alias("_digest"))
     noted = noted.join(lookup, "_digest").groupBy(col(same)).agg(F.sort_array(F.collect_set("_license")).alias(lines))
     rows = df.withColumns({"text_digest": digest(text_of(text)), same: identity})
     rows = rows.join(lookup.select(F.col("_digest").alias(here), F.col("_license").alias("license")), F.col("text_digest") == col(here), "left")
