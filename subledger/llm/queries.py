@@ -104,8 +104,9 @@ URL_RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Sites whose pages make up the list of blocked URLs: the tables hold no such list.
-LISTED_SITES = ("spam-farm", "cheap-pills")
+#: Sites whose pages make up the list of blocked URLs: the tables hold no such
+#: list, and these are all the junk sites among their pages.
+LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
