@@ -96,7 +96,7 @@ def _hashes() -> dict[str, int]:
 
 
 def _signed(df: DataFrame, key: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """``(_key, _node, _n, _bands)`` of every row of ``df``; ``_n`` runs of words."""
+    """``(_key, _hash, _node, _n, _bands)`` of every row of ``df``; ``_n`` runs of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
@@ -108,15 +108,20 @@ def _signed(df: DataFrame, key: str, text: str, size: int, bands: int, rows: int
             keys = band_keys(dart_minhash(elements, weights.astype(float), owners, len(sets), bands * rows), bands)
             listed = [k if n else None for k, n in zip(keys, names, strict=True)]
             nodes, runs = pa.array([_nodes(n) for n in names], pa.binary()), [max(1, len(n) - size + 1) for n in names]
-            columns = [batch.columns[0], nodes, pa.array(runs, pa.int64()), pa.array(listed, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_node", "_n", "_bands"])
+            columns = [*batch.columns[:2], nodes, pa.array(runs, pa.int64()), pa.array(listed, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_hash", "_node", "_n", "_bands"])
 
     kind = df.select(col(key)).schema[0].dataType
     schema = T.StructType([
-        T.StructField("_key", kind), T.StructField("_node", T.BinaryType()), T.StructField("_n", T.LongType()),
-        T.StructField("_bands", T.ArrayType(T.LongType())),
+        T.StructField("_key", kind), T.StructField("_hash", T.LongType()), T.StructField("_node", T.BinaryType()),
+        T.StructField("_n", T.LongType()), T.StructField("_bands", T.ArrayType(T.LongType())),
     ])
-    return df.select(col(key).alias("_key"), text_of(text).alias("_text")).mapInArrow(run, schema)
+    return _texts(df, key, text).mapInArrow(run, schema)
+
+
+def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``(_key, _hash, _text)`` of every row; the hash tells rows of one key apart."""
+    return df.select(col(key).alias("_key"), F.xxhash64(text_of(text)).alias("_hash"), text_of(text).alias("_text"))
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -263,14 +268,14 @@ def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes:
 
 
 def _candidates(held: DataFrame, families: DataFrame, nodes: int, widest: int) -> DataFrame:
-    """A row for each node of a family: ``_key`` of one of its rows, ``_again``
-    if that key is repeated, and how its family is compared."""
+    """A row for each node of a family: ``_key`` and ``_hash`` of one of its
+    rows, ``_again`` if such a row is repeated, and how its family is compared."""
     rows = held.join(families.select(F.col("node").alias("_node"), F.col("label").alias("_family")), "_node")
-    rows = rows.groupBy("_node", "_family", "_n", "_key").agg(F.count(F.lit(1)).alias("_c"))
-    picked = rows.groupBy("_node", "_family", "_n").agg(F.min(F.struct("_c", "_key")).alias("_p"))
+    rows = rows.groupBy("_node", "_family", "_n", "_key", "_hash").agg(F.count(F.lit(1)).alias("_c"))
+    picked = rows.groupBy("_node", "_family", "_n").agg(F.min(F.struct("_c", "_key", "_hash")).alias("_p"))
     sizes = picked.groupBy("_family").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("_n").alias("_all"))
     return picked.join(sizes, "_family").select(
-        "_node", "_family", F.col("_p._key").alias("_k"), (F.col("_p._c") > 1).alias("_again"),
+        "_node", "_family", F.col("_p._key").alias("_k"), F.col("_p._hash").alias("_h"), (F.col("_p._c") > 1).alias("_again"),
         ((F.col("_nodes") <= nodes) & (F.col("_all") <= GROUP_SHINGLES)).alias("_small"),
         (F.col("_nodes") <= widest).alias("_whole"),
     )
@@ -310,11 +315,13 @@ def near_duplicates(
     least = members.groupBy("_band").agg(F.min("_node").alias("_least"))
     families = components(members.join(least, "_band").select(F.col("_node").alias("a"), F.col("_least").alias("b")))
     found = _candidates(held, families, group_nodes, family_nodes).checkpoint()
-    texts = df.select(col(key).alias("_key"), text_of(text).alias("_text"))
+    texts = _texts(df, key, text)
 
     def sets_of(part: DataFrame) -> DataFrame:
-        near = _near(part.select("_node", "_family", "_k"), part.count() <= BROADCAST_ROWS)
-        rows = texts.join(near, F.col("_key").eqNullSafe(F.col("_k"))).select("_node", "_family", "_text")
+        near = _near(part.select("_node", "_family", "_k", "_h"), part.count() <= BROADCAST_ROWS)
+        # By the hash too: a row meets its own node only, however many rows share its key.
+        own = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h"))
+        rows = texts.join(near, own).select("_node", "_family", "_text")
         sets = _sets(rows, size)
         return sets if part.where("_again").isEmpty() else sets.dropDuplicates(["_node"])
 
