@@ -214,11 +214,28 @@ def _near(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+def _blocks(told: DataFrame, nodes: int) -> DataFrame:
+    """``(_group, _part, _own, _blocks)`` of ``(_group, _node, _n, _part)``: the
+    number of blocks that a part has of its own or that all smaller ones share.
+    Groups of one part are linked already and have none."""
+    # Its share of a block in nodes or in runs, whichever is more.
+    share = F.greatest(F.count(F.lit(1)) / F.lit(nodes // 2), F.sum("_n") / F.lit(GROUP_SHINGLES // 2))
+    parts = told.groupBy("_group", "_part").agg(share.alias("_share")).checkpoint()
+    own = F.col("_share") >= 1
+    open_ = parts.groupBy("_group").agg(F.count(F.lit(1)).alias("_parts"), F.sum(F.when(~own, F.col("_share"))).alias("_rest"))
+    open_ = open_.where("_parts > 1").select("_group", F.coalesce("_rest", F.lit(0)).alias("_rest"))
+    return parts.join(open_, "_group").select(
+        "_group", "_part", F.when(own, F.col("_part")).otherwise(F.lit(b"")).alias("_own"),
+        F.ceil(F.when(own, F.col("_share")).otherwise(F.col("_rest"))).alias("_blocks"),
+    )
+
+
 def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes: int) -> DataFrame:
     """Links of families too large for one group.
 
-    ``members`` are ``(_band, _node, _family, _whole)``; ``_whole`` tells
-    families that are compared as such and not bucket by bucket.
+    ``members`` are ``(_band, _node, _n, _family, _whole)``; ``_whole`` tells
+    families that are compared as such and not bucket by bucket. Two blocks
+    that meet hold about ``nodes`` nodes and ``GROUP_SHINGLES`` runs at most.
     """
     degrees = members.groupBy("_node").agg(F.count(F.lit(1)).alias("_degree"))
     central = F.max_by("_node", F.struct("_degree", "_node")).alias("_hub")
@@ -233,20 +250,10 @@ def _large_links(members: DataFrame, sets: DataFrame, similarity: float, nodes:
     star = star.select(F.col("_node").alias("a"), F.col("_hub").alias("b")).checkpoint()
     labels = components(star)
     group = F.when(F.col("_whole"), F.xxhash64("_family")).otherwise(F.xxhash64("_band")).alias("_group")
-    told = members.select(group, "_node").distinct().join(labels, F.col("_node") == F.col("node"), "left")
-    told = told.select("_group", "_node", F.coalesce("label", "_node").alias("_part"))
+    told = members.select(group, "_node", "_n").distinct().join(labels, F.col("_node") == F.col("node"), "left")
+    told = told.select("_group", "_node", "_n", F.coalesce("label", "_node").alias("_part"))
     # Groups in several parts: large parts have blocks of their own, the others share blocks.
-    parts = told.groupBy("_group", "_part").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    open_ = parts.groupBy("_group").agg(
-        F.count(F.lit(1)).alias("_parts"), F.sum(F.when(F.col("_n") < nodes // 2, F.col("_n"))).alias("_rest")
-    )
-    open_ = open_.where("_parts > 1").select("_group", F.coalesce("_rest", F.lit(0)).alias("_rest"))
-    parts = parts.join(open_, "_group")
-    own = F.col("_n") >= nodes // 2
-    parts = parts.select(
-        "_group", "_part", F.when(own, F.col("_part")).otherwise(F.lit(b"")).alias("_own"),
-        F.ceil(F.when(own, F.col("_n")).otherwise(F.col("_rest")) / F.lit(nodes // 2)).alias("_blocks"),
-    )
+    parts = _blocks(told, nodes)
     placed = told.join(parts, ["_group", "_part"]).select(
         "_group", "_node", "_part", "_own", F.pmod(F.xxhash64("_node", F.lit(7)), F.col("_blocks")).alias("_block")
     )
@@ -275,7 +282,7 @@ def _candidates(held: DataFrame, families: DataFrame, nodes: int, widest: int) -
     picked = rows.groupBy("_node", "_family", "_n").agg(F.min(F.struct("_c", "_key", "_hash")).alias("_p"))
     sizes = picked.groupBy("_family").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("_n").alias("_all"))
     return picked.join(sizes, "_family").select(
-        "_node", "_family", F.col("_p._key").alias("_k"), F.col("_p._hash").alias("_h"), (F.col("_p._c") > 1).alias("_again"),
+        "_node", "_n", "_family", F.col("_p._key").alias("_k"), F.col("_p._hash").alias("_h"), (F.col("_p._c") > 1).alias("_again"),
         ((F.col("_nodes") <= nodes) & (F.col("_all") <= GROUP_SHINGLES)).alias("_small"),
         (F.col("_nodes") <= widest).alias("_whole"),
     )
@@ -328,8 +335,8 @@ def near_duplicates(
     small, large = found.where("_small"), found.where("not _small")
     labels = sets_of(small).groupBy("_family").applyInArrow(_classing(similarity), "node binary, label binary")
     if not large.isEmpty():
-        split = members.join(large.select("_node", "_family", "_whole"), "_node")
-        split = split.select("_band", "_node", "_family", "_whole").checkpoint()
+        split = members.join(large.select("_node", "_n", "_family", "_whole"), "_node")
+        split = split.select("_band", "_node", "_n", "_family", "_whole").checkpoint()
         links = _large_links(split, sets_of(large).select("_node", "_set").checkpoint(), similarity, group_nodes)
         labels = labels.unionByName(components(links))
     classed = signed.join(labels, F.col("_node") == F.col("node"), "left").select(

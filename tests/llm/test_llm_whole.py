@@ -31,3 +31,13 @@ def test_rows_of_one_key_meet_only_their_own_node(spark, monkeypatch):
     got = sorted(r.class_size for r in near_dup.near_duplicates(df).collect())
     assert got == [2] * 38 + [3] * 3
     assert sum(seen) <= len(texts) + 1
+
+
+def test_blocks_are_bounded_in_runs(spark, monkeypatch):
+    """Few nodes with many runs of words get as many blocks as their runs fill."""
+    monkeypatch.setattr(near_dup, "GROUP_SHINGLES", 1_000)
+    told = [(1, bytes([i]), 100, bytes([i])) for i in range(40)] + [(1, bytes([50 + i]), 300, b"p") for i in range(10)]
+    told += [(2, bytes([i]), 1, bytes([i])) for i in range(6)] + [(3, b"a", 9_000, b"a"), (3, b"b", 9_000, b"a")]
+    df = spark.createDataFrame(told, "_group long, _node binary, _n long, _part binary")
+    found = {(r._group, bytes(r._own), r._blocks) for r in near_dup._blocks(df, 8).collect()}
+    assert found == {(1, b"", 10), (1, b"p", 6), (2, b"", 2)}
