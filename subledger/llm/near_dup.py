@@ -307,8 +307,10 @@ def near_duplicates(
     the same words are linked; a text of fewer words is one run. A text without
     a word (null, empty, punctuation) is alone in its class, with its own key
     as the id. Keys may repeat and may be null; other columns don't matter.
-    A family of more than ``group_nodes`` is compared in blocks, and one of more
-    than ``family_nodes`` bucket by bucket; neither changes what is found.
+    A family of more than ``group_nodes`` is compared in blocks, which doesn't
+    change what is found. In one of more than ``family_nodes`` only members of
+    a bucket are compared: a pair that shares no band is linked by itself in a
+    smaller family, and not in such a one.
     """
     shared_dir(df.sparkSession)
     signed = _signed(df, key, text, size, bands, rows).checkpoint()
