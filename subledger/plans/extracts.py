@@ -57,18 +57,20 @@ def subscription_fact(
     charge_amount: str = "charge_amount",
     currency: str = "USD",
     first_version_only: bool = True,
+    never_null: Sequence[str] = (),
 ) -> DataFrame:
     """Rate plans with summed MRR, TCV and the revenue billed for them.
 
     Charges and invoice items are summed per rate plan on their own before
     they meet, so neither side multiplies the other. Charges are grouped by
-    the rate plan alone; attributes are those of its first charge, in the
-    order of the attributes, and must not be null.
+    the rate plan alone; each attribute is the first one known, in the order of
+    the attributes, null if none is. Those in ``never_null`` come from the first
+    charge as a whole, which is narrower; a null in one of them is an error.
     """
     kept = charges.where((F.to_date(cols.rate_plan_created) >= as_date(start)) & (F.col(cols.currency) == currency))
     if first_version_only:
         kept = kept.where(F.col(cols.version) == 1)
-    plans = first_per_key(kept, [cols.rate_plan_id], attributes, attributes, [cols.mrr, cols.tcv], attributes)
+    plans = first_per_key(kept, [cols.rate_plan_id], attributes, attributes, [cols.mrr, cols.tcv], never_null)
     billed = invoice_items.groupBy(F.col(item_plan).alias(cols.rate_plan_id)).agg(
         F.sum(charge_amount).alias("total_adds_revenue")
     )

@@ -255,8 +255,9 @@ def subscription_fact(spark, sf_dir):
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("rp_id"),
         inputs.money("l_extendedprice").alias("charge_amount"),
     )
+    attributes = ["sub_name", "product_name", "rp_created"]
     rows = extracts.subscription_fact(
-        inputs.facts(spark, sf_dir), items, "1995-06-01", ["sub_name", "product_name", "rp_created"]
+        inputs.facts(spark, sf_dir), items, "1995-06-01", attributes, never_null=attributes
     )
     return rows.drop("rp_created")
 
