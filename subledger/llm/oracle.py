@@ -154,3 +154,79 @@ n AS (SELECT rid, string_agg(DISTINCT name, ',' ORDER BY name) AS notices
       WHERE c <> '' GROUP BY rid)
 SELECT doc_id, CASE WHEN e.c <> '' THEN sha256(e.c) END AS text_digest, name AS license, coalesce(notices, '') AS notices
 FROM e LEFT JOIN k ON e.c = k.c AND e.c <> '' LEFT JOIN n USING (rid)"""
+
+
+def hard_negatives(scale: int, every: int, positives: int, negatives: int, window: tuple[int, int]) -> str:
+    low, high = window
+    return f"""
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.vector, b.vector)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id % {every} = 0 AND a.vec_id <> b.vec_id
+),
+positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {positives}
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND {low} * positive_score <= 100 * score AND 100 * score <= {high} * positive_score
+QUALIFY rank <= {negatives}
+"""
+
+
+def prefix_trie(family: int, shared: int) -> str:
+    byte = "list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce([4294967295] || list_transform(string_split(id::VARCHAR, ''), lambda s: ascii(s)::BIGINT), lambda c, b: {byte}), 4294967295)"
+    return f"""
+WITH original AS (
+    SELECT conv_id AS id,
+           list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+given AS (SELECT id, turns, {crc} % {shared} AS h FROM original),
+rebuilt AS (
+    SELECT g.id, list_concat(coalesce(f.turns[1:g.h], []), g.turns[g.h + 1:]) AS turns
+    FROM given g LEFT JOIN original f ON f.id = g.id - g.id % {family}
+),
+-- The path of a node is told by the digests of its turns.
+coded AS (
+    SELECT id, turns,
+           list_transform(turns, lambda t: md5(length(t.role)::VARCHAR || ':' || t.role || t.text)) AS codes
+    FROM rebuilt
+),
+prefixes AS (SELECT id, turns, codes, unnest(range(0, len(codes) + 1)) AS depth FROM coded),
+nodes AS (
+    SELECT md5(array_to_string(codes[1:depth], ',')) AS node, depth, min(id) AS conv_id, count(*) AS n_convs,
+           min(CASE WHEN depth = 0 THEN NULL ELSE md5(array_to_string(codes[1:depth - 1], ',')) END) AS up,
+           min(CASE WHEN depth = 0 THEN 0 ELSE length(turns[depth].text) END) AS chars,
+           any_value(codes[1:depth]) AS path,
+           sha256(coalesce(string_agg(id::VARCHAR, ',' ORDER BY id) FILTER (len(codes) = depth), '')) AS ends_sha256
+    FROM prefixes GROUP BY ALL
+),
+-- GROUP BY ALL takes the node and its depth.
+children AS (SELECT up AS node, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+above AS (
+    SELECT unnest(list_transform(range(0, depth + 1), lambda d: md5(array_to_string(path[1:d], ',')))) AS node,
+           n_children, n_convs, chars
+    FROM counted
+),
+sums AS (
+    SELECT node, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+    FROM above GROUP BY node
+)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s USING (node) LEFT JOIN nodes p ON p.node = c.up
+"""

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from subledger.llm import (
     bpe,
     decontaminate,
+    hard_negatives,
+    hnsw,
     licenses,
     near_dup,
     oracle,
+    prefix_trie,
     quality,
     secrets,
     sharding,
@@ -168,6 +171,37 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: One component of 256 is a step of the mined integer vectors.
+SCALE = 256
+ANCHORS, POSITIVES, NEGATIVES, HARDNESS = 100, 5, 10, (30, 90)
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(hard_negatives.usable(F.col("embedding")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
+    given = rows.select("vec_id", moved.alias("label"), steps.alias("vector"))
+    return hard_negatives.hard_negatives(given, ANCHORS, POSITIVES, NEGATIVES, *HARDNESS)
+
+
+NEIGHBOUR_QUERIES, NEIGHBOURS = 50, 5
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest_rows(table(spark, sf_dir, "embeddings"), NEIGHBOUR_QUERIES, NEIGHBOURS)
+
+
+#: Conversations of one family share their first turns, fewer than so many.
+FAMILY, SHARED_TURNS = 100, 6
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns, FAMILY, SHARED_TURNS)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -181,6 +215,9 @@ QUERIES: dict[str, Query] = {
         op8_near_duplicates,
         op9_rendezvous_shards,
         op10_decontaminate,
+        op11_hard_negatives,
+        op12_nearest_neighbours,
+        op13_prefix_trie,
     )
 }
 
@@ -192,4 +229,6 @@ ORACLE: dict[str, str] = {
     "op5_url_filter": oracle.url_filter(URL_RULES, LISTED_SITES),
     "op7_license_scan": oracle.license_scan(),
     "op10_decontaminate": oracle.DECONTAMINATE,
+    "op11_hard_negatives": oracle.hard_negatives(SCALE, ANCHORS, POSITIVES, NEGATIVES, HARDNESS),
+    "op13_prefix_trie": oracle.prefix_trie(FAMILY, SHARED_TURNS),
 }
