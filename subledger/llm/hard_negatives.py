@@ -264,6 +264,8 @@ def search_slice(blocks: DataFrame, anchors: dict[str, np.ndarray], requests: di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, r = sent.value
+        if not len(r["anchor"]):
+            return
         windows = Windows(a, r["anchor"], r["low"], r["high"], same, k)
         for found in _blocks(batches):
             windows.look(*found)

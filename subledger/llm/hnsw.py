@@ -345,6 +345,8 @@ def search_slice(index: DataFrame, queries: pa.Table, k: int, beam: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, places, query_ids, raw = sent.value
+        if not raw:
+            return
         vectors = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
         exact = unit(vectors)
         units = exact.astype(np.float32)
