@@ -18,24 +18,24 @@ _CHARGE = "struct<id:string,name:string,chargeId:string,billingId:string,chargeM
 _PLAN = "ratePlanId:string,productId:string,type:string,family:string"
 _META = "domain:string,paymentToken:string,oacs:string,pvtreg:string,businessId:string,action:string,prOrderable:string"
 
-# Lists are read as the texts of their elements and each element on its own,
-# so an element that isn't as it should be takes no other with it. What of a
-# text didn't fit its schema is told by ``_bad``. ``charges`` is a map of
-# texts, so that an empty object can be told from one whose charge lists are
-# empty, and charges of other kinds don't matter.
-_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+# A document's text is parsed once, to a variant; everything else is taken out
+# of that by path and type. What isn't of the type asked for is null, and takes
+# nothing else with it. ``charges`` is a map, so that an empty object can be
+# told from one whose charge lists are empty, and charges of other kinds don't
+# matter.
+_LISTED_PLAN = f"struct<{_PLAN},ratePlanStatus:string,charges:map<string,variant>>"
 _SUBSCRIPTION = (
     "struct<id:string,baseProductId:string,subscriptionNumber:string,previousSubscriptionNumber:string,"
-    f"meta:struct<{_META}>,addRatePlans:array<string>,removeRatePlans:array<string>,"
-    "existingRatePlans:array<string>,_bad:string>"
+    f"meta:struct<{_META}>,addRatePlans:array<{_LISTED_PLAN}>,removeRatePlans:array<{_LISTED_PLAN}>,"
+    f"existingRatePlans:array<{_LISTED_PLAN}>>"
 )
-_LISTED_PLAN = f"struct<{_PLAN},ratePlanStatus:string,charges:map<string,string>,_bad:string>"
-_LISTED_CHARGE = _CHARGE.removesuffix(">") + ",_bad:string>"
 CART_SCHEMA = (
     "struct<id:string,type:string,promo:string,meta:struct<flow:string,whois:struct<businessId:string>>,"
-    "user:struct<userId:string>,subscriptions:array<string>,_bad:string>"
+    "user:struct<userId:string>>"
 )
 _CHARGE_KINDS = ("onetime", "recurring")
+# An object of any kind, and a list of anything.
+_OBJECT, _LIST = "struct<_:string>", "array<variant>"
 
 # Fixed values of the cart type field.
 CHANGE, REACTIVATE, UPDATE = "change", "reactivate", "update"
@@ -43,21 +43,17 @@ CHANGE, REACTIVATE, UPDATE = "change", "reactivate", "update"
 _ROW = f"struct<grain:string,plan:struct<{_PLAN},ratePlanStatus:string>,charge:{_CHARGE}>"
 
 
-def _is_object(text: Column) -> Column:
-    return F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
-
-
-def _objects(texts: Column, schema: str) -> Column:
-    """Each element that is an object, read by itself."""
-    return F.transform(F.filter(texts, _is_object), lambda t: F.from_json(t, schema, _BAD))
+def _present(items: Column) -> Column:
+    """Elements of the type asked for; the others were read as null."""
+    return F.filter(items, lambda x: x.isNotNull())
 
 
 def _plans(name: str) -> Column:
-    return _objects(F.col(f"_s.{name}"), _LISTED_PLAN)
+    return _present(F.col(f"_s.{name}"))
 
 
 def _charges(plan: Column, kind: str) -> Column:
-    return _objects(F.from_json(plan["charges"][kind], "array<string>"), _LISTED_CHARGE)
+    return _present(F.try_variant_get(plan["charges"][kind], "$", f"array<{_CHARGE}>"))
 
 
 def _subscriptions(
@@ -70,12 +66,13 @@ def _subscriptions(
     once more for each. Text that is no document, and list elements that are
     no subscriptions, give no row here but one of :func:`bad_carts`.
     """
-    carts = df.select(*keep, F.from_json(F.col(column), CART_SCHEMA, _BAD).alias("_cart"))
-    listed = _objects(F.col("_cart.subscriptions"), _SUBSCRIPTION)
+    parsed = df.select(*keep, F.try_parse_json(F.col(column)).alias("_v"))
+    carts = parsed.select(*keep, "_v", F.try_variant_get("_v", "$", CART_SCHEMA).alias("_cart"))
+    listed = _present(F.try_variant_get("_v", "$.subscriptions", f"array<{_SUBSCRIPTION}>"))
     if bare_carts:
-        # A document that ends too early is none, and no cart without subscriptions.
-        whole = F.col("_cart._bad").isNull()
-        listed = F.coalesce(listed, F.when(whole, F.array(F.lit(None).cast(_SUBSCRIPTION))))
+        given = F.try_variant_get("_v", "$.subscriptions", "variant")
+        bare = F.col("_cart").isNotNull() & (given.isNull() | F.is_variant_null(given))
+        listed = F.coalesce(listed, F.when(bare, F.array(F.lit(None).cast(_SUBSCRIPTION))))
     if wanted is not None:
         listed = F.when(wanted(F.col("_cart.type")), listed)
     subs = carts.select(*keep, "_cart", F.posexplode_outer(listed).alias("_n", "_s"))
@@ -86,40 +83,71 @@ def _problem(level: str, text: Column) -> Column:
     return F.struct(F.lit(level).alias("level"), text.cast("string").alias("text"))
 
 
-def _unread(texts: Column, schema: str, level: str) -> Column:
-    """Elements that are no objects, and objects that don't fit."""
+def _no_problems() -> Column:
+    return F.array().cast("array<struct<level:string,text:string>>")
+
+
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", _OBJECT).isNotNull()
+
+
+def _unfit(value: Column, path: str, kind: str) -> Column:
+    """Whether something stands at a path that isn't of this kind."""
+    found = F.try_variant_get(value, path, "variant")
+    there = found.isNotNull() & ~F.is_variant_null(found)
+    return F.coalesce(there & F.try_variant_get(found, "$", kind).isNull(), F.lit(False))
+
+
+def _elements(value: Column, path: str) -> Column:
+    return F.coalesce(F.try_variant_get(value, path, _LIST), F.array().cast(_LIST))
+
 
-    def bad(text: Column) -> Column:
-        return F.when(_is_object(text), F.from_json(text, schema, _BAD)["_bad"].isNotNull()).otherwise(True)
+def _unread(values: Column, level: str, fields: Mapping[str, str]) -> Column:
+    """Elements that are no objects, and objects with a field of another kind."""
 
-    found = F.transform(F.filter(texts, bad), lambda t: _problem(level, t))
-    return F.coalesce(found, F.array().cast("array<struct<level:string,text:string>>"))
+    def bad(value: Column) -> Column:
+        out = ~_is_object(value)
+        for path, kind in fields.items():
+            out = out | _unfit(value, path, kind)
+        return out
+
+    return F.transform(F.filter(values, bad), lambda v: _problem(level, v))
+
+
+# Fields of a cart document and its parts that aren't plain values.
+_CART_FIELDS = {"$.meta": _OBJECT, "$.meta.whois": _OBJECT, "$.user": _OBJECT, "$.subscriptions": _LIST}
+_LISTS = ("addRatePlans", "removeRatePlans", "existingRatePlans")
+_SUBSCRIPTION_FIELDS = {"$.meta": _OBJECT} | {f"$.{name}": _LIST for name in _LISTS}
+_PLAN_KINDS = {"$.charges": _OBJECT} | {f"$.charges.{kind}": _LIST for kind in _CHARGE_KINDS}
 
 
 def bad_carts(df: DataFrame, column: str = "cart", keep: Sequence[str] = ("id", "created_at", "modified_at")) -> DataFrame:
     """What can't be read of cart documents, a row each: ``level`` (document,
     subscription, plan or charge) and ``text``.
 
-    Text that is no document has one row and nothing below it. Elsewhere a row
-    is an element that is no object, which has no rows in the flat tables, or
-    an object of which some field has the wrong kind and is read as missing.
-    Null text has no row.
+    Text that is no JSON object has one row and nothing below it; that includes
+    an object that names a key twice. Elsewhere a row is an element that is no
+    object, which has no rows in the flat tables, or an object of which some
+    field has the wrong kind and is read as missing. Null text has no row.
     """
-    carts = df.select(*keep, F.col(column).alias("_t"), F.from_json(F.col(column), CART_SCHEMA, _BAD).alias("_cart"))
-    texts = F.col("_cart.subscriptions")
+    carts = df.select(*keep, F.col(column).alias("_t"), F.try_parse_json(F.col(column)).alias("_v"))
+    document = F.col("_v")
 
     def below(sub: Column) -> Column:
-        lists = [sub[f"{name}RatePlans"] for name in ("add", "remove", "existing")]
-        plans = F.flatten(F.transform(_objects(lists[0], _LISTED_PLAN), lambda p: F.concat(*(
-            _unread(F.from_json(p["charges"][kind], "array<string>"), _LISTED_CHARGE, "charge") for kind in _CHARGE_KINDS
-        ))))
-        none = F.array().cast("array<struct<level:string,text:string>>")
-        return F.concat(*(_unread(x, _LISTED_PLAN, "plan") for x in lists), F.coalesce(plans, none))
-
-    inner = F.flatten(F.transform(_objects(texts, _SUBSCRIPTION), below))
-    none = F.array().cast("array<struct<level:string,text:string>>")
-    found = F.concat(_unread(texts, _SUBSCRIPTION, "subscription"), F.coalesce(inner, none))
-    bad = F.when(F.col("_cart._bad").isNotNull(), F.array(_problem("document", F.col("_t")))).otherwise(found)
+        plans = [_unread(_elements(sub, f"$.{name}"), "plan", _PLAN_KINDS if name == _LISTS[0] else {}) for name in _LISTS]
+        charges = F.transform(
+            _elements(sub, f"$.{_LISTS[0]}"),
+            lambda plan: F.concat(
+                *(_unread(_elements(plan, f"$.charges.{kind}"), "charge", {"$.priceDetails": _OBJECT}) for kind in _CHARGE_KINDS)
+            ),
+        )
+        return F.concat(*plans, F.coalesce(F.flatten(charges), _no_problems()))
+
+    listed = _elements(document, "$.subscriptions")
+    inner = F.coalesce(F.flatten(F.transform(listed, below)), _no_problems())
+    found = F.concat(_unread(F.array(document), "document", _CART_FIELDS), _unread(listed, "subscription", _SUBSCRIPTION_FIELDS), inner)
+    whole = F.array(_problem("document", F.col("_t")))
+    bad = F.when(_is_object(document), found).when(F.col("_t").isNotNull(), whole)
     return carts.select(*keep, F.explode(bad).alias("_p")).select(*keep, "_p.level", "_p.text")
 
 
@@ -136,7 +164,7 @@ def _plan(plan: Column, status: bool = False) -> Column:
 
 
 def _row(grain: str, plan: Column, charge: Column | None = None) -> Column:
-    value = F.lit(None).cast(_CHARGE) if charge is None else charge.dropFields("_bad").cast(_CHARGE)
+    value = F.lit(None).cast(_CHARGE) if charge is None else charge
     return F.struct(F.lit(grain).alias("grain"), plan.alias("plan"), value.alias("charge")).cast(_ROW)
 
 
@@ -289,8 +317,7 @@ def flatten_carts_change(
         plan = F.col(f"_{items}")
         return [F.when(plan.isNotNull(), blank_if_null(plan[n])).alias(prefix + alias) for n, alias in fields]
 
-    lists = ("addRatePlans", "removeRatePlans", "existingRatePlans")
-    subs = subs.select(*keep, "_cart", "_s", *(F.try_element_at(_plans(x), F.lit(-1)).alias(f"_{x}") for x in lists))
+    subs = subs.select(*keep, "_cart", "_s", *(F.try_element_at(_plans(x), F.lit(-1)).alias(f"_{x}") for x in _LISTS))
     return subs.select(
         *keep,
         blank_if_null(F.col("_cart.type")).alias("cart_type"),
@@ -394,19 +421,17 @@ _REFUND_ITEM = [
 ]
 
 
-_ITEM_SCHEMA = "struct<" + ",".join(f"{name}:string" for name, _, _ in _REFUND_ITEM) + ",_bad:string>"
+_ITEM_SCHEMA = "struct<" + ",".join(f"{name}:string" for name, _, _ in _REFUND_ITEM) + ">"
 
 
 def bad_refund_items(df: DataFrame, column: str = "invoice_items", keep: Sequence[str] = ("id",)) -> DataFrame:
     """What can't be read of refunds' item lists, a row each: ``level``
     (document or item) and ``text``. Null text has no row."""
-    texts = F.from_json(F.col(column), "array<string>")
-    # Text that is no list may read as an empty one or as none.
-    broken = F.col(column).isNotNull() & F.get_json_object(column, "$").isNull()
-    broken = broken | ~F.ltrim(column).startswith("[")
-    document = F.array(_problem("document", F.col(column)))
-    rows = df.select(*keep, F.explode(F.when(broken, document).otherwise(_unread(texts, _ITEM_SCHEMA, "item"))).alias("_p"))
-    return rows.select(*keep, "_p.level", "_p.text")
+    rows = df.select(*keep, F.col(column).alias("_t"), F.try_parse_json(F.col(column)).alias("_v"))
+    listed = F.try_variant_get("_v", "$", _LIST)
+    whole = F.when(F.col("_t").isNotNull(), F.array(_problem("document", F.col("_t"))))
+    bad = F.when(listed.isNotNull(), _unread(listed, "item", {})).otherwise(whole)
+    return rows.select(*keep, F.explode(bad).alias("_p")).select(*keep, "_p.level", "_p.text")
 
 
 def flatten_refund_items(df: DataFrame, column: str = "invoice_items", created: str = "created_at") -> DataFrame:
@@ -415,8 +440,8 @@ def flatten_refund_items(df: DataFrame, column: str = "invoice_items", created:
     The item's subscription id replaces the refund's; a refund without items
     gives no row. Elements that are no items are left to :func:`bad_refund_items`.
     """
-    texts = F.from_json(F.col(column), "array<string>")
-    listed = df.withColumn("_i", F.explode_outer(_objects(texts, _ITEM_SCHEMA)))
+    parsed = F.try_variant_get(F.try_parse_json(F.col(column)), "$", f"array<{_ITEM_SCHEMA}>")
+    listed = df.withColumn("_i", F.explode_outer(parsed))
     items = listed.where(F.col("_i").isNotNull())
     filled = {alias for _, alias, _ in _REFUND_ITEM}
     own = [c for c in df.columns if c != column and c not in filled]
@@ -427,32 +452,33 @@ def flatten_refund_items(df: DataFrame, column: str = "invoice_items", created:
     return items.select(*own, *fields, F.to_date(created).alias("created_date"))
 
 
+def _path_of(dotted: str) -> str:
+    """A dotted path as Spark's variant functions write it."""
+    return "$" + "".join(f"['{name}']" for name in dotted.split("."))
+
+
 def extract_json(
     df: DataFrame, column: str, fields: Mapping[str, tuple[str, str]], drop_source: bool = True
 ) -> DataFrame:
     """JSON text to columns: ``{name: (dotted path, type)}``, parsed once.
 
-    Missing keys, null text and text that is no JSON give null.
+    Missing keys, null text and text that is no JSON give null; rows with the
+    latter are also rows of :func:`bad_json`.
     """
-    tree: dict = {}
-    for path, _ in fields.values():
-        node = tree
-        *parents, leaf = path.split(".")
-        for p in parents:
-            node = node.setdefault(p, {})
-        node.setdefault(leaf, None)
-
-    def kind(node) -> T.DataType:
-        if node is None:
-            return T.StringType()
-        return T.StructType([T.StructField(n, kind(child)) for n, child in node.items()])
-
-    parsed = df.withColumn("_json", F.from_json(F.col(column), kind(tree)))
-    leaves = {n: F.col(f"_json.{path}").try_cast(to) for n, (path, to) in fields.items()}
+    parsed = df.withColumn("_json", F.try_parse_json(F.col(column)))
+    leaves = {
+        n: F.try_variant_get("_json", _path_of(path), "string").try_cast(to) for n, (path, to) in fields.items()
+    }
     out = parsed.withColumns(leaves).drop("_json")
     return out.drop(column) if drop_source else out
 
 
+def bad_json(df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
+    """Rows whose text is no JSON object: ``keep`` and the text. Null text has no row."""
+    text = F.col(column)
+    return df.where(text.isNotNull() & ~_is_object(F.try_parse_json(text))).select(*keep, text.alias("text"))
+
+
 def flatten_struct(df: DataFrame, sep: str = ".", drop: Sequence[str] = ("attributes",)) -> DataFrame:
     """Struct columns to one column per leaf, named by its path; arrays stay."""
 

@@ -171,3 +171,35 @@ def test_flatten_struct_names_and_drops(spark):
         "attributes struct<t string>, Id int, Owner struct<Id int, Role struct<Name string>>, Tags array<int>",
     )
     assert flatten.flatten_struct(df).columns == ["Id", "Owner.Id", "Owner.Role.Name", "Tags"]
+
+
+def test_bad_carts_name_every_level(spark):
+    good = {"subscriptions": [sub(addRatePlans=[plan("a", charges={"onetime": [charge("o")], "usage": 5})])]}
+    documents = carts(
+        spark,
+        good,
+        {"meta": "x", "subscriptions": ["none", 5, sub(meta=[1], removeRatePlans="x")]},
+        {"subscriptions": [sub(addRatePlans=["p", plan("b", charges="c"), plan("c", charges={"onetime": ["q", {"priceDetails": 1}]})])]},
+        {"subscriptions": [sub(addRatePlans=[plan("d", charges={"recurring": 7})], existingRatePlans=[None])]},
+        "{broken",
+        '{"id": 1, "id": 2}',
+        "[1]",
+    )
+    got = sorted((r["id"], r["level"]) for r in rows(flatten.bad_carts(documents, keep=("id",))))
+    assert got == [
+        (1, "document"), (1, "subscription"), (1, "subscription"), (1, "subscription"),
+        (2, "charge"), (2, "charge"), (2, "plan"), (2, "plan"), (3, "plan"), (3, "plan"),
+        (4, "document"), (5, "document"), (6, "document"),
+    ]
+    empty = spark.createDataFrame([(1, None)], "id int, cart string")
+    assert rows(flatten.bad_carts(empty, keep=("id",))) == []
+
+
+def test_each_document_is_parsed_once(spark, capsys):
+    flatten.flatten_carts_new(carts(spark, {}), keep=KEEP).explain("formatted")
+    assert capsys.readouterr().out.count("parseJson(") == 1
+
+
+def test_bad_json(spark):
+    df = spark.createDataFrame([(1, '{"a": 5}'), (2, None), (3, "[]"), (4, "{broken"), (5, "")], "id int, meta string")
+    assert sorted(r["id"] for r in rows(flatten.bad_json(df, "meta", ["id"]))) == [3, 4, 5]

@@ -163,6 +163,42 @@ def test_csv_bundle_and_records(spark, path):
     assert [(r.Id, r.Owner and r.Owner.Name) for r in got.orderBy("Id").collect()] == [(1, "n"), (2, None)]
 
 
+def test_columns_are_read_by_name(spark, path):
+    """Files with other column orders, with more columns, and with fewer."""
+
+    def land(name, *lines):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{path}/{name}")
+
+    land("a b", "id,name", "1,a")
+    land("c", "name,id,more", '"b\n1",2,x', "c,3,y")
+    kept = "id int, name string"
+    assert tuples(readers.read_export(spark, f"{path}/*", kept)) == [(1, "a"), (2, "b\n1"), (3, "c")]
+    everything = readers.read_export(spark, f"{path}/*").select("id", "name", "more")
+    assert tuples(everything) == [("1", "a", None), ("2", "b\n1", "x"), ("3", "c", "y")]
+    land("d", "id", "4")
+    with pytest.raises(ValueError, match="lacks the columns name"):
+        readers.read_export(spark, f"{path}/*", kept)
+    land("e", "name,id", "x,none")
+    found = readers.read_export(spark, f"{path}/[ace]*", kept, bad_rows="keep")
+    assert [r[readers.BAD_ROW] for r in found.collect() if r[readers.BAD_ROW]] == ["x,none"]
+
+
+def test_records_that_cannot_be_read(spark, path):
+    lines = [
+        '{"records": [{"id": 1, "o": {"n": "a"}}, "none", {"id": "x", "o": {"n": "b"}}, {"id": 2, "o": "c"}]}',
+        '{"records": [{"id": 3}', '{"records": {"id": 4}}', "", "  ", '{"other": 1}', '[{"id": 5}]', '{"records": []}',
+    ]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(path)
+    record = "id long, o struct<n: string>"
+    kept = readers.read_records(spark, path, record, bad_records="keep").collect()
+    assert sorted((r.id is None, r.id or 0, r.o and r.o.n) for r in kept) == [(False, 1, "a"), (False, 2, None), (True, 0, "b")]
+    bad = sorted((r.level, r.text) for r in readers.unread_records(spark, path, record).collect())
+    assert [level for level, _ in bad] == ["document"] * 4 + ["record"] * 3
+    assert {t for level, t in bad if level == "record"} == {"none", '{"id":"x","o":{"n":"b"}}', '{"id":2,"o":"c"}'}
+    with pytest.raises(Exception, match="can't read as records"):
+        readers.read_records(spark, path, record).collect()
+
+
 def test_read_since_variants(spark):
     rows = [(i, dt.datetime(2024, 1, 1, 12) + dt.timedelta(hours=12 * i)) for i in range(5)]
     df = spark.createDataFrame(rows, "k int, t timestamp")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from subledger.functions.scalars import last_label
 from subledger.operators import flatten
-from subledger.sources.readers import read_records
+from subledger.sources.readers import read_records, unread_records
 from subledger.session import scratch_path
 from workload import inputs
 from workload.inputs import CARTS_SQL
@@ -168,12 +168,7 @@ def extract_meta(spark, sf_dir):
     )
 
 
-@query(
-    "extract_order_meta",
-    """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS meta_item, o_totalprice AS meta_unit_price,
-    o_orderpriority AS meta_info, CASE WHEN o_orderkey % 2 = 0 THEN CAST(5 AS DOUBLE) END AS meta_licenses FROM orders""",
-)
-def extract_order_meta(spark, sf_dir):
+def _order_meta(spark, sf_dir):
     k = F.col("o_orderkey")
     meta = F.to_json(
         F.struct(
@@ -183,9 +178,29 @@ def extract_order_meta(spark, sf_dir):
             F.struct(F.col("o_totalprice").alias("unitPrice")).alias("priceDetails"),
         )
     )
-    orders = inputs.load(spark, sf_dir, "orders").select("o_orderkey", meta.alias("meta"))
+    return inputs.load(spark, sf_dir, "orders").select("o_orderkey", meta.alias("meta"))
+
+
+@query(
+    "bad_meta",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'no json' ELSE '[5]' END AS text FROM orders
+  WHERE o_orderkey % 11 = 0 OR o_orderkey % 17 = 0""",
+)
+def bad_meta(spark, sf_dir):
+    """Orders whose metadata can't be read, next to those whose can."""
+    k = F.col("o_orderkey")
+    broken = F.when(k % 11 == 0, "no json").when(k % 17 == 0, "[5]").otherwise(F.col("meta"))
+    return flatten.bad_json(_order_meta(spark, sf_dir).withColumn("meta", broken), "meta", ["o_orderkey"])
+
+
+@query(
+    "extract_order_meta",
+    """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS meta_item, o_totalprice AS meta_unit_price,
+    o_orderpriority AS meta_info, CASE WHEN o_orderkey % 2 = 0 THEN CAST(5 AS DOUBLE) END AS meta_licenses FROM orders""",
+)
+def extract_order_meta(spark, sf_dir):
     return flatten.extract_json(
-        orders,
+        _order_meta(spark, sf_dir),
         "meta",
         {
             "meta_item": ("itemID", "string"),
@@ -234,6 +249,51 @@ def read_json_records(spark, sf_dir):
     return flatten.flatten_struct(read_records(spark, path, records.schema))
 
 
+# Customers whose lines are cut short, and those before whom a list holds something else.
+CUT_LINE, NO_RECORD = 11, 7
+
+
+def _landed_records(spark, sf_dir):
+    """Record documents of which some can't be read, and the type of a record."""
+    records, key = _records(spark, sf_dir), F.col("Id")
+    line = F.to_json(F.struct(F.array(F.struct("*")).alias("records")))
+    line = F.when(key % NO_RECORD == 0, F.replace(line, F.lit('"records":['), F.lit('"records":["none",{"Id":"x"},'))).otherwise(line)
+    line = F.when(key % CUT_LINE == 0, F.left(line, F.length(line) - 1)).otherwise(line)
+    path = scratch_path(spark, "records")
+    records.select(line.alias("value")).write.text(path)
+    return path, records.schema
+
+
+@query(
+    "read_records_kept",
+    f"""WITH c AS (
+    SELECT c_custkey AS "Id", c_name AS "Name", n_name AS "Address.State", r_name AS "Address.Region.Name"
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE c_custkey % {CUT_LINE} <> 0)
+  SELECT * FROM c UNION ALL SELECT NULL, NULL, NULL, NULL FROM c WHERE "Id" % {NO_RECORD} = 0""",
+)
+def read_records_kept(spark, sf_dir):
+    """Records of documents of which some can't be read."""
+    path, record = _landed_records(spark, sf_dir)
+    return flatten.flatten_struct(read_records(spark, path, record, bad_records="keep"))
+
+
+@query(
+    "bad_records",
+    f"""SELECT CASE WHEN n = 0 THEN 'document' ELSE 'record' END AS level, CASE n WHEN 1 THEN 'none' WHEN 2 THEN '{{"Id":"x"}}' END AS text,
+    CASE WHEN n = 0 THEN c_name END AS customer
+  FROM customer, (VALUES (0), (1), (2)) t(n)
+  WHERE CASE WHEN n = 0 THEN c_custkey % {CUT_LINE} = 0 ELSE c_custkey % {CUT_LINE} <> 0 AND c_custkey % {NO_RECORD} = 0 END""",
+)
+def bad_records(spark, sf_dir):
+    """What couldn't be read of them: whose line it is, or the record's text."""
+    level, text = F.col("level"), F.col("text")
+    name = F.regexp_extract(text, '"Name":"([^"]*)"', 1)
+    return unread_records(spark, *_landed_records(spark, sf_dir)).select(
+        level, F.when(level == "record", text).alias("text"), F.when(level == "document", name).alias("customer")
+    )
+
+
 @query(
     "raw_copy",
     """SELECT event_id, props, CASE WHEN value < 1 THEN '###' ELSE event_type END AS event_type FROM events""",

@@ -367,6 +367,17 @@ def csv_round_trip(spark, sf_dir):
     return readers.read_export(spark, path, rows.schema)
 
 
+@query("csv_by_name", "SELECT doc_id, lang, source, CASE WHEN doc_id % 3 < 2 THEN n_chars END AS n_chars FROM documents")
+def csv_by_name(spark, sf_dir):
+    """An export whose files have their columns in different orders, and not all the same ones."""
+    path = scratch_path(spark, "export")
+    rows = inputs.load(spark, sf_dir, "documents")
+    for part, columns in enumerate((["doc_id", "lang", "source", "n_chars"], ["n_chars", "source", "text", "doc_id", "lang"], ["source", "doc_id", "lang"])):
+        tables.write_csv(rows.where(F.col("doc_id") % 3 == part).select(columns), f"{path}/part={part}")
+    read = readers.read_export(spark, f"{path}/*")
+    return read.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
+
+
 @query(
     "read_since",
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-15'""",
