@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Database of intermediate tables.
+SCRATCH_DATABASE = "subledger_scratch"
 # Shuffle data one task should take in.
 _TASK_BYTES = 256 * 1024 * 1024
 
@@ -69,3 +71,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing else writes there."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A fresh name of a catalog table whose files lie below the shared folder."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tables"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{folder}'")
+    return f"{SCRATCH_DATABASE}.{label}_{uuid.uuid4().hex}"

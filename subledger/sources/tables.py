@@ -1,225 +1,156 @@
-"""Parquet tables with replace, append and keyed upsert.
-
-A table is a folder of data folders and of versions. A version is one small
-file that names the table's data folders and its schema; it is put in place by
-a rename that fails if the version exists, so of two writers one is told, a
-job that dies half way leaves the table as it was, and readers know every
-column, whichever load brought it. A table partitioned by a column of its key
-keeps one data folder and is upserted in place: only partitions that the batch
-touches are read and written.
+"""Catalog tables with replace, append and keyed upsert; CSV and bundles.
+
+Tables are Spark's own: their schema, partitions and place are in the catalog,
+and rows are put there by ``saveAsTable`` and ``insertInto``. As with any such
+table there is one writer at a time. Names are ``database.table``.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.operators.merge import delete_keys, landing_type, upsert
+from subledger.session import scratch_table
 from subledger.sources.readers import CSV_OPTIONS
 
-_VERSIONS = "_versions"
-_PARTS = "parts"
-# Versions whose data stays: the newest, and the one that running readers may still use.
-KEPT_VERSIONS = 2
-
-
-class _Files:
-    """The file system that holds a table."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.jvm = spark._jvm
-        self.root = path.rstrip("/")
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        self.fs = self.at("").getFileSystem(conf)
-        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), conf)
-        self.gateway = spark.sparkContext._gateway
-
-    def at(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-
-    def exists(self, name: str) -> bool:
-        return self.fs.exists(self.at(name))
-
-    def names(self, folder: str) -> list[str]:
-        return [s.getPath().getName() for s in self.fs.listStatus(self.at(folder))] if self.exists(folder) else []
-
-    def read(self, name: str) -> str:
-        stream = self.fs.open(self.at(name))
-        try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def put_new(self, name: str, text: str) -> bool:
-        """A file with this text; false if the name is taken."""
-        draft = f"{_VERSIONS}/.draft-{uuid.uuid4().hex}"
-        stream = self.fs.create(self.at(draft), False)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        options = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            self.context.rename(self.context.makeQualified(self.at(draft)), self.context.makeQualified(self.at(name)), options)
-        except Exception as error:
-            if not self.exists(name):
-                raise
-            self.fs.delete(self.at(draft), False)
-            if "FileAlreadyExists" not in str(error):
-                raise
-            return False
-        return True
-
-    def drop(self, name: str) -> None:
-        self.fs.delete(self.at(name), True)
-
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+#: Column by which tables of hashed buckets are partitioned.
+BUCKET = "_bucket"
 
-def _numbers(files: _Files) -> list[int]:
-    return sorted(int(n.removesuffix(".json")) for n in files.names(_VERSIONS) if n.endswith(".json") and n[0] != ".")
 
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
 
-def _version(files: _Files, number: int) -> dict:
-    return json.loads(files.read(f"{_VERSIONS}/{number}.json"))
 
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """All rows and columns, null where older files lack a column.
 
-def _newest(files: _Files) -> tuple[int, dict | None]:
-    numbers = _numbers(files)
-    return (numbers[-1], _version(files, numbers[-1])) if numbers else (0, None)
-
-
-def _schema(version: dict) -> T.StructType:
-    return T.StructType.fromJson(version["schema"])
+    Files are listed anew: a stream or another session may have written some.
+    """
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def _landing(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, landing_type(f.dataType)) for f in schema])
 
 
-def _commit(files: _Files, number: int, data: Sequence[str], schema: T.StructType, partition: str | None = None) -> bool:
-    text = json.dumps({"data": list(data), "schema": schema.jsonValue(), "partition": partition})
-    return files.put_new(f"{_VERSIONS}/{number}.json", text)
-
-
-def _drop_old(files: _Files) -> None:
-    """Versions before those that stay, and the data that only they name."""
-    numbers = _numbers(files)
-    used = {d for n in numbers[-KEPT_VERSIONS:] for d in _version(files, n)["data"]}
-    for n in numbers[:-KEPT_VERSIONS]:
-        for name in set(_version(files, n)["data"]) - used:
-            files.drop(name)
-        files.drop(f"{_VERSIONS}/{n}.json")
-
-
-def _conflict(path: str) -> RuntimeError:
-    return RuntimeError(f"another writer changed {path} meanwhile; load again")
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_numbers(_Files(spark, path)))
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version with all its columns, null where a file lacks them."""
-    files = _Files(spark, path)
-    _, version = _newest(files)
-    if version is None:
-        raise FileNotFoundError(f"no table at {path}")
-    return spark.read.schema(_schema(version)).parquet(*(f"{files.root}/{d}" for d in version["data"]))
-
-
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in the types the table has for them."""
-    kinds = {f.name: f.dataType for f in schema}
-    return df.select([F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in df.columns])
-
+    """The schema's columns in its order and types, null where ``df`` lacks one."""
+    given = set(df.columns)
+    return df.select(
+        [(F.col(f"`{f.name}`") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
 
-def _widened(schema: T.StructType, batch: T.StructType) -> T.StructType:
-    new = [f for f in _landing(batch) if f.name not in schema.names]
-    return T.StructType([*schema.fields, *new])
 
+def _create(df: DataFrame, name: str, partition: str | None = None, buckets: int | None = None, keys: Sequence[str] = ()) -> None:
+    writer = _typed(df, _landing(df.schema)).write.format("parquet")
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(name)
 
-def _write(files: _Files, df: DataFrame, schema: T.StructType) -> str:
-    name = f"data-{uuid.uuid4().hex}"
-    _typed(df, schema).write.parquet(f"{files.root}/{name}")
-    return name
 
+def replace_table(df: DataFrame, name: str, buckets: int | None = None, keys: Sequence[str] = ()) -> None:
+    """The table's content and columns become those of ``df``, which may read the table.
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """The table's content becomes ``df``, which may read the table itself.
-
-    Raises if another writer committed since ``df``'s load began here.
+    The new content is written whole as a table beside the old one before it
+    takes its name, so a job that dies while writing leaves the old one as it
+    was. With ``buckets`` rows are stored by a hash of ``keys``, and joins on
+    them need not shuffle the table.
     """
-    files = _Files(df.sparkSession, path)
-    number, _ = _newest(files)
-    schema = _landing(df.schema)
-    name = _write(files, df, schema)
-    if not _commit(files, number + 1, [name], schema):
-        files.drop(name)
-        raise _conflict(path)
-    _drop_old(files)
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        return _create(df, name, buckets=buckets, keys=keys)
+    fresh = f"{name}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    _create(df, fresh, buckets=buckets, keys=keys)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Rows added; columns the table lacks are added, nothing is rewritten.
+def _widen(spark: SparkSession, name: str, batch: T.StructType) -> T.StructType:
+    """The table's schema after it got the batch's new columns; no file is rewritten."""
+    known = set(spark.table(name).columns)
+    if new := [f for f in _landing(batch) if f.name not in known]:
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+    return spark.table(name).schema
 
-    Appends of several writers all land, one after another.
-    """
-    files = _Files(df.sparkSession, path)
-    number, version = _newest(files)
-    schema = _widened(_schema(version) if version else T.StructType(), df.schema)
-    name = _write(files, df, schema)
-    while not _commit(files, number + 1, [*(version["data"] if version else []), name], schema):
-        number, version = _newest(files)
-        if _widened(_schema(version), df.schema) != schema:
-            files.drop(name)
-            raise _conflict(path)
-    _drop_old(files)
+
+def append_table(df: DataFrame, name: str) -> None:
+    """Rows added; columns that the table lacks are added, nothing is rewritten."""
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        return _create(df, name)
+    _typed(df, _widen(spark, name, df.schema)).write.insertInto(name)
 
 
 @contextmanager
-def _staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
-    """The batch written once beside the table and read from there, however
-    often the load looks at it; so it needs no executor to stay alive."""
-    if df.is_cached:
-        yield df
-        return
-    files = _Files(df.sparkSession, path)
-    name = f"_staging-{uuid.uuid4().hex}"
-    schema = _landing(df.schema)
-    _typed(df, schema).write.parquet(f"{files.root}/{name}")
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The batch as a table of its own, however often the load looks at it; so it
+    needs no executor to stay alive. The table goes when the load is done."""
+    spark = df.sparkSession
+    name = scratch_table(spark, "staged")
+    _create(df, name)
     try:
-        yield df.sparkSession.read.schema(schema).parquet(f"{files.root}/{name}")
+        yield spark.table(name)
     finally:
-        files.drop(name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], **how) -> None:
+def upsert_table(updates: DataFrame, name: str, keys: Sequence[str], buckets: int | None = None, **how) -> None:
     """Keyed upsert into a table, which is created by its first batch.
 
     Takes the options of :func:`subledger.operators.merge.upsert`. An empty
-    batch writes nothing. The whole table is written anew: for a table much
-    larger than its batches see :func:`upsert_partitions`.
+    batch writes nothing. The whole table is written anew, with ``buckets`` by
+    a hash of the key, so that its rows needn't move to meet the next batch;
+    for a table much larger than its batches see :func:`upsert_partitions` and
+    :func:`upsert_bucketed`.
     """
     spark = updates.sparkSession
     if updates.isEmpty():
         return
-    if not table_exists(spark, path):
+    if not table_exists(spark, name):
         nothing = spark.createDataFrame([], _landing(updates.schema))
-        return replace_table(upsert(nothing, updates, keys, **how), path)
-    with _staged(updates, path) as batch:
-        replace_table(upsert(read_table(spark, path), batch, keys, **how), path)
+        return replace_table(upsert(nothing, updates, keys, **how), name, buckets, keys)
+    with staged(updates) as batch:
+        replace_table(upsert(read_table(spark, name), batch, keys, **how), name, buckets, keys)
 
 
-def delete_from_table(doomed: DataFrame, path: str, keys: Sequence[str]) -> None:
+def delete_from_table(doomed: DataFrame, name: str, keys: Sequence[str]) -> None:
     spark = doomed.sparkSession
-    replace_table(delete_keys(read_table(spark, path), doomed, keys), path)
+    replace_table(delete_keys(read_table(spark, name), doomed, keys), name)
+
+
+def in_partitions(spark: SparkSession, name: str, partition: str, values: Sequence) -> DataFrame:
+    """The table's rows in these partitions; the catalog lists no others."""
+    return spark.table(name).where(F.col(partition).isin(list(values)))
 
 
-def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], partition: str, **how) -> None:
+def overwrite_partitions(df: DataFrame, name: str, partition: str) -> None:
+    """The partitions that ``df`` has rows of become these rows; others aren't touched.
+
+    ``df`` may read the table: partitions are replaced once all is written. The
+    rebalance gathers a partition's rows for few files, and splits a partition
+    that holds far more than the others between tasks.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        _typed(df, spark.table(name).schema).hint("rebalance", partition).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+
+
+def upsert_partitions(updates: DataFrame, name: str, keys: Sequence[str], partition: str, **how) -> None:
     """Keyed upsert into a table partitioned by one column of the key.
 
     Partitions without an update are not listed, read or written, so the cost
@@ -231,33 +162,35 @@ def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], partit
     if updates.isEmpty():
         return
     spark = updates.sparkSession
-    files = _Files(spark, path)
-    with _staged(updates, path) as batch:
+    with staged(updates) as batch:
         # As many values as directories the write commits.
-        touched = [r[0] for r in batch.select(F.col(partition).cast("string")).distinct().collect()]
+        touched = [r[0] for r in batch.select(partition).distinct().collect()]
         if None in touched:
             raise ValueError(f"null in {partition}, by which the table is partitioned")
-        number, version = _newest(files)
-        known = _schema(version) if version else T.StructType()
-        schema = _widened(known, batch.schema)
-        if schema != known and not _commit(files, number + 1, [_PARTS], schema, partition):
-            raise _conflict(path)
-        target = _partitions(spark, files, schema, partition, touched)
-        # Gathers a partition's rows for few files, and splits a partition
-        # that holds far more than the others between tasks.
-        merged = _typed(upsert(target, batch, keys, **how), schema).hint("rebalance", partition)
-        writer = merged.write.mode("overwrite").partitionBy(partition)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{files.root}/{_PARTS}")
-
-
-def _partitions(spark: SparkSession, files: _Files, schema: T.StructType, partition: str, values: Sequence[str]) -> DataFrame:
-    """The table's rows in the partitions of these values, by their directories."""
-    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    folders = [f"{_PARTS}/{partition}={escaped(v)}" for v in values]
-    there = [f"{files.root}/{f}" for f in folders if files.exists(f)]
-    if not there:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", f"{files.root}/{_PARTS}").parquet(*there)
+        if not table_exists(spark, name):
+            nothing = spark.createDataFrame([], batch.schema)
+            merged = upsert(nothing, batch, keys, **how)
+            return _create(merged.hint("rebalance", partition), name, partition)
+        _widen(spark, name, batch.schema)
+        overwrite_partitions(upsert(in_partitions(spark, name, partition, touched), batch, keys, **how), name, partition)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def upsert_bucketed(updates: DataFrame, name: str, keys: Sequence[str], buckets: int, **how) -> None:
+    """Keyed upsert into a table of any key, partitioned by a hash of it.
+
+    Only buckets that hold a key of the batch are listed, read and written, so
+    a batch of few keys costs a few buckets and not the table. ``buckets`` must
+    stay the same for the table's life; 128 MB of rows a bucket is a good size.
+    Takes the options of :func:`subledger.operators.merge.upsert`; the table
+    has the column ``_bucket`` besides its own.
+    """
+    if how.get("update_cols") is not None:
+        how = how | {"update_cols": [c for c in how["update_cols"] if c != BUCKET]}
+    upsert_partitions(updates.withColumn(BUCKET, bucket_of(keys, buckets)), name, [*keys, BUCKET], BUCKET, **how)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -47,6 +47,7 @@ def incremental_load(
     rows whose key the target holds from the stored mark on, so it needs keys
     too. With ``partition``, one of the keys, an upsert rewrites the touched
     partitions only, which is the way for targets much larger than a batch.
+    ``target`` and ``control`` are names of catalog tables.
     """
     if mode not in ("upsert", "append"):
         raise ValueError("mode must be 'upsert' or 'append'")

@@ -21,13 +21,13 @@ def stream_parquet(spark: SparkSession, folder: str, schema, pattern: str = "*.p
 
 def run_upsert_stream(
     stream: DataFrame,
-    path: str,
+    name: str,
     checkpoint: str,
     keys: Sequence[str],
     order: Sequence[str] = (),
     partition: str | None = None,
 ) -> None:
-    """Everything available now into the table, then stop.
+    """Everything available now into a catalog table, then stop.
 
     A micro-batch that is repeated after a failure writes the same rows again,
     and so do repeated rows: the key decides, and no row is too late. Within a
@@ -37,9 +37,9 @@ def run_upsert_stream(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         if partition is None:
-            upsert_table(batch, path, keys, order=order)
+            upsert_table(batch, name, keys, order=order)
         else:
-            upsert_partitions(batch, path, keys, partition, order=order)
+            upsert_partitions(batch, name, keys, partition, order=order)
 
     query = (
         stream.writeStream.foreachBatch(load)

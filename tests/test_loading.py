@@ -2,12 +2,11 @@
 
 import datetime as dt
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from subledger.session import scratch_path, shared_dir, shuffle_partitions
+from subledger.session import scratch_path, scratch_table, shared_dir, shuffle_partitions
 from subledger.sources import readers, tables
 from subledger.streaming import incremental, stream
 
@@ -21,6 +20,11 @@ def path(spark):
     return scratch_path(spark, "test")
 
 
+@pytest.fixture
+def name(spark):
+    return scratch_table(spark, "test")
+
+
 def test_shared_dir_is_the_configured_one(spark):
     folder = shared_dir(spark)
     assert spark.conf.get("spark.checkpoint.dir") == folder == shared_dir(spark)
@@ -31,108 +35,118 @@ def test_shuffle_partitions_follow_the_size():
     assert shuffle_partitions(1 << 40) == 4096
 
 
-def test_replace_reads_its_own_table(spark, path):
+def test_replace_reads_its_own_table(spark, name):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    tables.replace_table(df, path)
-    tables.replace_table(tables.read_table(spark, path).where("k = 2"), path)
-    assert tuples(tables.read_table(spark, path)) == [(2, "b")]
-
-
-def test_unfinished_data_is_not_read(spark, path):
-    tables.replace_table(spark.createDataFrame([(1,)], "k int"), path)
-    spark.createDataFrame([(2,)], "k int").write.parquet(f"{path}/data-of-a-dead-job")
-    assert tuples(tables.read_table(spark, path)) == [(1,)]
-    tables.replace_table(spark.createDataFrame([(3,)], "k int"), path)
-    assert tuples(tables.read_table(spark, path)) == [(3,)]
-
-
-def test_two_writers_do_not_overwrite_each_other(spark, path, monkeypatch):
-    one = spark.createDataFrame([(1,)], "k int")
-    tables.replace_table(one, path)
-    write, rival = tables._write, spark.createDataFrame([(2,)], "k int")
-
-    def slow(*args):
-        monkeypatch.setattr(tables, "_write", write)
-        tables.append_table(rival, path)
-        return write(*args)
-
-    monkeypatch.setattr(tables, "_write", slow)
-    with pytest.raises(RuntimeError):
-        tables.replace_table(one, path)
-    assert tuples(tables.read_table(spark, path)) == [(1,), (2,)]
-    monkeypatch.setattr(tables, "_write", slow)
-    tables.append_table(spark.createDataFrame([(3,)], "k int"), path)
-    assert tuples(tables.read_table(spark, path)) == [(1,), (2,), (2,), (3,)]
-
-
-def test_old_versions_go(spark, path):
-    for k in range(5):
-        tables.replace_table(spark.createDataFrame([(k,)], "k int"), path)
-    folders = [n for n in os.listdir(path) if n.startswith("data-")]
-    assert len(folders) == tables.KEPT_VERSIONS
-    assert tuples(tables.read_table(spark, path)) == [(4,)]
-
-
-def test_columns_survive_loads_without_them(spark, path):
-    tables.append_table(spark.createDataFrame([(1,)], "k int"), path)
-    tables.append_table(spark.createDataFrame([(2, "keep")], "k int, v string"), path)
-    tables.upsert_table(spark.createDataFrame([(2,), (3,)], "k int"), path, ["k"])
-    assert tuples(tables.read_table(spark, path)) == [(1, None), (2, "keep"), (3, None)]
-    tables.delete_from_table(spark.createDataFrame([(1,)], "k int"), path, ["k"])
-    assert tuples(tables.read_table(spark, path)) == [(2, "keep"), (3, None)]
-
-
-def test_partition_keeps_columns_and_refuses_null(spark, path):
-    load = lambda rows, kind: tables.upsert_partitions(spark.createDataFrame(rows, kind), path, ["p", "k"], "p")
+    tables.replace_table(df, name)
+    tables.replace_table(tables.read_table(spark, name).where("k = 2"), name)
+    assert tuples(tables.read_table(spark, name)) == [(2, "b")]
+
+
+def test_replaced_table_has_the_new_columns_only(spark, name):
+    tables.replace_table(spark.createDataFrame([(1, "a")], "k int, v string"), name)
+    tables.replace_table(spark.createDataFrame([(2, 3)], "k int, n int"), name)
+    assert tuples(tables.read_table(spark, name)) == [(2, 3)]
+
+
+def test_a_load_that_fails_leaves_the_table(spark, name):
+    tables.replace_table(spark.createDataFrame([(1,), (2,)], "k int"), name)
+    broken = tables.read_table(spark, name).withColumn("k", F.when(F.col("k") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("k")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_table(broken, name)
+    assert tuples(tables.read_table(spark, name)) == [(1,), (2,)]
+    tables.replace_table(spark.createDataFrame([(3,)], "k int"), name)
+    assert tuples(tables.read_table(spark, name)) == [(3,)]
+
+
+def test_bucketed_storage_needs_no_shuffle_of_the_table(spark, name, capsys):
+    rows = spark.range(1000).selectExpr("id AS k", "id * 2 AS v")
+    tables.upsert_table(rows, name, ["k"], buckets=4)
+    tables.upsert_table(spark.createDataFrame([(5, 0), (1000, 1)], "k long, v long"), name, ["k"], buckets=4)
+    got = tables.read_table(spark, name)
+    assert got.count() == 1001 and got.where("k IN (5, 1000)").agg(F.sum("v")).first()[0] == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got.join(got.groupBy("k").count(), "k").explain("simple")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in capsys.readouterr().out
+
+
+def test_bucketed_upsert_reads_and_writes_touched_buckets_only(spark, name):
+    def files():
+        return {r.f for r in tables.read_table(spark, name).select(F.input_file_name().alias("f")).collect()}
+
+    tables.upsert_bucketed(spark.range(500).selectExpr("id AS k", "'old' AS v"), name, ["k"], 8)
+    before = files()
+    batch = spark.createDataFrame([(7, "new")], "k long, v string")
+    touched = [r[0] for r in batch.select(tables.bucket_of(["k"], 8)).collect()]
+    target = tables.in_partitions(spark, name, tables.BUCKET, touched)
+    assert {f.split(f"{tables.BUCKET}=")[1].split("/")[0] for f in target.inputFiles()} == {str(touched[0])}
+    tables.upsert_bucketed(batch, name, ["k"], 8)
+    assert {f for f in before if f"{tables.BUCKET}={touched[0]}/" not in f} == {f for f in files() if f"{tables.BUCKET}={touched[0]}/" not in f}
+    got = tables.read_table(spark, name)
+    assert got.count() == 500 and tuples(got.where("v = 'new'").select("k")) == [(7,)]
+    tables.upsert_bucketed(batch.withColumn("w", F.lit(1)).drop("v"), name, ["k"], 8)
+    assert tuples(tables.read_table(spark, name).where("k = 7").select("k", "v", "w")) == [(7, "new", 1)]
+
+
+def test_columns_survive_loads_without_them(spark, name):
+    tables.append_table(spark.createDataFrame([(1,)], "k int"), name)
+    tables.append_table(spark.createDataFrame([(2, "keep")], "k int, v string"), name)
+    tables.upsert_table(spark.createDataFrame([(2,), (3,)], "k int"), name, ["k"])
+    assert tuples(tables.read_table(spark, name)) == [(1, None), (2, "keep"), (3, None)]
+    tables.delete_from_table(spark.createDataFrame([(1,)], "k int"), name, ["k"])
+    assert tuples(tables.read_table(spark, name)) == [(2, "keep"), (3, None)]
+
+
+def test_partition_keeps_columns_and_refuses_null(spark, name):
+    load = lambda rows, kind: tables.upsert_partitions(spark.createDataFrame(rows, kind), name, ["p", "k"], "p")
     load([("a", 1, "x"), ("b", 2, "x")], "p string, k int, v string")
     load([("b", 2, "keep")], "p string, k int, y string")
     load([("b", 3, "z")], "p string, k int, v string")
-    got = tables.read_table(spark, path).select("p", "k", "v", "y")
+    got = tables.read_table(spark, name).select("p", "k", "v", "y")
     assert tuples(got) == [("a", 1, "x", None), ("b", 2, "x", "keep"), ("b", 3, "z", None)]
     with pytest.raises(ValueError):
         load([(None, 4, "n")], "p string, k int, v string")
-    assert tuples(tables.read_table(spark, path)) == tuples(got.select("k", "v", "y", "p").select(*tables.read_table(spark, path).columns))
+    assert tuples(tables.read_table(spark, name)) == tuples(got.select("k", "v", "y", "p").select(*tables.read_table(spark, name).columns))
 
 
-def test_upsert_creates_then_merges_and_skips_empty(spark, path):
+def test_upsert_creates_then_merges_and_skips_empty(spark, name):
     schema = "k int, v string"
-    tables.upsert_table(spark.createDataFrame([], schema), path, ["k"])
-    assert not tables.table_exists(spark, path)
-    tables.upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], schema), path, ["k"])
-    tables.upsert_table(spark.createDataFrame([(2, "c"), (3, "d")], schema), path, ["k"])
-    assert tuples(tables.read_table(spark, path)) == [(1, "a"), (2, "c"), (3, "d")]
-    tables.delete_from_table(spark.createDataFrame([(1,)], "k int"), path, ["k"])
-    assert tuples(tables.read_table(spark, path)) == [(2, "c"), (3, "d")]
+    tables.upsert_table(spark.createDataFrame([], schema), name, ["k"])
+    assert not tables.table_exists(spark, name)
+    tables.upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], schema), name, ["k"])
+    tables.upsert_table(spark.createDataFrame([(2, "c"), (3, "d")], schema), name, ["k"])
+    assert tuples(tables.read_table(spark, name)) == [(1, "a"), (2, "c"), (3, "d")]
+    tables.delete_from_table(spark.createDataFrame([(1,)], "k int"), name, ["k"])
+    assert tuples(tables.read_table(spark, name)) == [(2, "c"), (3, "d")]
 
 
-def test_append_with_a_new_column(spark, path):
-    tables.append_table(spark.createDataFrame([(1,)], "k int"), path)
-    tables.append_table(spark.createDataFrame([(2, "x")], "k int, v string"), path)
-    assert tuples(tables.read_table(spark, path)) == [(1, None), (2, "x")]
+def test_append_with_a_new_column(spark, name):
+    tables.append_table(spark.createDataFrame([(1,)], "k int"), name)
+    tables.append_table(spark.createDataFrame([(2, "x")], "k int, v string"), name)
+    assert tuples(tables.read_table(spark, name)) == [(1, None), (2, "x")]
 
 
-def test_partition_upsert_leaves_other_partitions_alone(spark, path):
+def test_partition_upsert_leaves_other_partitions_alone(spark, name):
     schema = "d date, p string, active int, gone int"
     day = lambda n: dt.date(2024, 1, n)
     key = ["d", "p"]
     first = spark.createDataFrame([(day(1), "a", 1, None), (day(2), "a", 2, None)], schema)
-    tables.upsert_partitions(first, path, key, "d")
-    files = {r.f for r in tables.read_table(spark, path).select(F.input_file_name().alias("f")).collect()}
+    tables.upsert_partitions(first, name, key, "d")
+    files = {r.f for r in tables.read_table(spark, name).select(F.input_file_name().alias("f")).collect()}
     update = spark.createDataFrame([(day(2), "a", 7), (day(2), "b", 8), (day(3), "c", 9)], "d date, p string, gone int")
-    tables.upsert_partitions(update, path, key, "d", update_cols=["gone"])
-    got = tables.read_table(spark, path).select("d", "p", "active", "gone")
+    tables.upsert_partitions(update, name, key, "d", update_cols=["gone"])
+    got = tables.read_table(spark, name).select("d", "p", "active", "gone")
     assert tuples(got) == [(day(1), "a", 1, None), (day(2), "a", 2, 7), (day(2), "b", None, 8), (day(3), "c", None, 9)]
-    kept = {r.f for r in tables.read_table(spark, path).select(F.input_file_name().alias("f")).collect()}
+    kept = {r.f for r in tables.read_table(spark, name).select(F.input_file_name().alias("f")).collect()}
     assert {f for f in files if "d=2024-01-01" in f} <= kept
     with pytest.raises(ValueError):
-        tables.upsert_partitions(update, path, ["p"], "d")
+        tables.upsert_partitions(update, name, ["p"], "d")
 
 
-def test_partition_upsert_reads_touched_partitions_only(spark, path):
+def test_partition_upsert_reads_touched_partitions_only(spark, name):
     df = spark.createDataFrame([(dt.date(2024, 1, n), n) for n in range(1, 6)], "d date, v int")
-    tables.upsert_partitions(df, path, ["d"], "d")
-    files = tables._Files(spark, path)
-    touched = tables._partitions(spark, files, tables.read_table(spark, path).schema, "d", ["2024-01-02", "2024-02-01"])
+    tables.upsert_partitions(df, name, ["d"], "d")
+    touched = tables.in_partitions(spark, name, "d", [dt.date(2024, 1, 2), dt.date(2024, 2, 1)])
     assert [f for f in touched.inputFiles() if "d=2024-01-02" not in f] == []
     assert tuples(touched.select("v")) == [(2,)]
 
@@ -226,64 +240,64 @@ def test_pages_cover_equal_marks_once(spark):
 
 
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_incremental_halves_equal_the_whole(spark, path, inclusive):
+def test_incremental_halves_equal_the_whole(spark, name, inclusive):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i // 2), f"v{i}") for i in range(20)]
     df = spark.createDataFrame(rows, "k int, t timestamp, v string")
-    control = f"{path}/control"
+    control = f"{name}_control"
 
     def load(source, target):
         return incremental.incremental_load(spark, source, target, control, target, "t", ["k"], "1970-01-01", inclusive)
 
-    load(df, f"{path}/whole")
-    first = load(df.where("k < 10"), f"{path}/parts")
+    load(df, f"{name}_whole")
+    first = load(df.where("k < 10"), f"{name}_parts")
     assert first == "2024-01-01 04:00:00"
-    last = load(df, f"{path}/parts")
-    assert load(df, f"{path}/parts") == last
-    assert tuples(tables.read_table(spark, f"{path}/parts")) == tuples(tables.read_table(spark, f"{path}/whole"))
+    last = load(df, f"{name}_parts")
+    assert load(df, f"{name}_parts") == last
+    assert tuples(tables.read_table(spark, f"{name}_parts")) == tuples(tables.read_table(spark, f"{name}_whole"))
     assert incremental.read_mark(spark, control, "other", "none") == "none"
 
 
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_appends_that_are_repeated_add_nothing(spark, path, inclusive):
+def test_appends_that_are_repeated_add_nothing(spark, name, inclusive):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i // 2)) for i in range(9)]
     df = spark.createDataFrame(rows, "k int, t timestamp")
     for source in (df.where("k < 5"), df, df, df):
         incremental.incremental_load(
-            spark, source, f"{path}/t", f"{path}/c", "x", "t", ["k"], "1970-01-01", inclusive, mode="append"
+            spark, source, f"{name}_t", f"{name}_c", "x", "t", ["k"], "1970-01-01", inclusive, mode="append"
         )
-    got = [r.k for r in tables.read_table(spark, f"{path}/t").collect()]
+    got = [r.k for r in tables.read_table(spark, f"{name}_t").collect()]
     # Row 5 has the mark of row 4: only a load that includes its mark finds it.
     assert sorted(got) == [k for k in range(9) if inclusive or k != 5]
     with pytest.raises(ValueError):
-        incremental.incremental_load(spark, df, f"{path}/t", f"{path}/c", "x", "t", [], "1970-01-01", mode="append")
+        incremental.incremental_load(spark, df, f"{name}_t", f"{name}_c", "x", "t", [], "1970-01-01", mode="append")
 
 
-def test_incremental_load_into_partitions(spark, path):
+def test_incremental_load_into_partitions(spark, name):
     rows = [(i, dt.datetime(2024, 1, 1 + i // 3), f"d{i // 3}") for i in range(9)]
     df = spark.createDataFrame(rows, "k int, t timestamp, p string")
 
     def load(source):
         return incremental.incremental_load(
-            spark, source, f"{path}/t", f"{path}/c", "x", "t", ["k", "p"], "1970-01-01", partition="p"
+            spark, source, f"{name}_t", f"{name}_c", "x", "t", ["k", "p"], "1970-01-01", partition="p"
         )
 
     load(df.where("k < 7"))
-    before = {r.f for r in tables.read_table(spark, f"{path}/t").select(F.input_file_name().alias("f")).collect()}
+    before = {r.f for r in tables.read_table(spark, f"{name}_t").select(F.input_file_name().alias("f")).collect()}
     load(df)
-    after = {r.f for r in tables.read_table(spark, f"{path}/t").select(F.input_file_name().alias("f")).collect()}
+    after = {r.f for r in tables.read_table(spark, f"{name}_t").select(F.input_file_name().alias("f")).collect()}
     assert {f for f in before if "p=d2" not in f} <= after
-    assert sorted(r.k for r in tables.read_table(spark, f"{path}/t").collect()) == list(range(9))
+    assert sorted(r.k for r in tables.read_table(spark, f"{name}_t").collect()) == list(range(9))
 
 
-def test_incremental_without_new_rows_keeps_the_mark(spark, path):
+def test_incremental_without_new_rows_keeps_the_mark(spark, name):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "k int, t timestamp")
     mark = incremental.incremental_load(
-        spark, df, f"{path}/t", f"{path}/c", "x", "t", ["k"], "2025-01-01 00:00:00"
+        spark, df, f"{name}_t", f"{name}_c", "x", "t", ["k"], "2025-01-01 00:00:00"
     )
-    assert mark == "2025-01-01 00:00:00" and not tables.table_exists(spark, f"{path}/t")
+    assert mark == "2025-01-01 00:00:00" and not tables.table_exists(spark, f"{name}_t")
 
 
-def test_stream_upserts_new_files_once(spark, path):
+def test_stream_upserts_new_files_once(spark, path, name):
     schema = "k int, t timestamp, v string"
 
     def land(name, rows):
@@ -294,8 +308,8 @@ def test_stream_upserts_new_files_once(spark, path):
     def run():
         source = stream.stream_parquet(spark, f"{path}/in/*", schema)
         source = source.withColumn("day", F.date_format("t", "yyyy-MM-dd"))
-        stream.run_upsert_stream(source, f"{path}/out", f"{path}/progress", ["k", "day"], ["t", "v"], partition="day")
-        return tuples(tables.read_table(spark, f"{path}/out").select("k", "v", "day"))
+        stream.run_upsert_stream(source, name, f"{path}/progress", ["k", "day"], ["t", "v"], partition="day")
+        return tuples(tables.read_table(spark, name).select("k", "v", "day"))
 
     land("a", [(1, 1, "x"), (2, 2, "y"), (2, 2, "z")])
     assert run() == [(1, "x", "2024-01-01"), (2, "z", "2024-01-02")]

@@ -10,7 +10,7 @@ from subledger import Spine
 from subledger.functions.dates import iso_instant, parse_timestamp
 from subledger.functions.scalars import to_number
 from subledger.operators import cleaning, keys, merge
-from subledger.session import scratch_path
+from subledger.session import scratch_path, scratch_table
 from subledger.sources import readers, tables
 from subledger.streaming.incremental import incremental_load
 from subledger.streaming.stream import run_upsert_stream, stream_parquet
@@ -280,10 +280,10 @@ def delete_keys(spark, sf_dir):
 )
 def table_upsert(spark, sf_dir):
     """Replace, then upsert, then read the table back."""
-    path = scratch_path(spark, "orders")
-    tables.replace_table(_target(spark, sf_dir), path)
-    tables.upsert_table(_updates(spark, sf_dir), path, ["o_orderkey"])
-    return tables.read_table(spark, path)
+    name = scratch_table(spark, "orders")
+    tables.replace_table(_target(spark, sf_dir), name)
+    tables.upsert_table(_updates(spark, sf_dir), name, ["o_orderkey"])
+    return tables.read_table(spark, name)
 
 
 @query(
@@ -293,10 +293,10 @@ def table_upsert(spark, sf_dir):
 )
 def table_append(spark, sf_dir):
     """Append of a batch with a column the table does not have yet."""
-    path = scratch_path(spark, "orders")
-    tables.append_table(_target(spark, sf_dir).select("o_orderkey", "o_totalprice"), path)
-    tables.append_table(_updates(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice"), path)
-    return tables.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
+    name = scratch_table(spark, "orders")
+    tables.append_table(_target(spark, sf_dir).select("o_orderkey", "o_totalprice"), name)
+    tables.append_table(_updates(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice"), name)
+    return tables.read_table(spark, name).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query(
@@ -308,13 +308,13 @@ def table_append(spark, sf_dir):
 )
 def append_evolve_upsert(spark, sf_dir):
     """A column that an append adds is still there after an upsert without it."""
-    path = scratch_path(spark, "orders")
+    name = scratch_table(spark, "orders")
     updates = _updates(spark, sf_dir)
-    tables.append_table(_target(spark, sf_dir).select("o_orderkey", "o_totalprice"), path)
-    tables.append_table(updates.select("o_orderkey", "o_custkey", "o_totalprice"), path)
+    tables.append_table(_target(spark, sf_dir).select("o_orderkey", "o_totalprice"), name)
+    tables.append_table(updates.select("o_orderkey", "o_custkey", "o_totalprice"), name)
     free = updates.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
-    tables.upsert_table(free, path, ["o_orderkey"])
-    return tables.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
+    tables.upsert_table(free, name, ["o_orderkey"])
+    return tables.read_table(spark, name).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query(
@@ -330,10 +330,10 @@ def partition_upsert(spark, sf_dir):
         F.sum(inputs.money("l_extendedprice")).alias("revenue"), F.lit(0).cast("bigint").alias("lines_1998")
     )
     counted = lines.where(F.year("l_shipdate") == 1998).groupBy(*key).agg(F.count("*").alias("lines_1998"))
-    path = scratch_path(spark, "by_month")
-    tables.upsert_partitions(revenue, path, key, "ship_month")
-    tables.upsert_partitions(counted, path, key, "ship_month", update_cols=["lines_1998"])
-    return tables.read_table(spark, path)
+    name = scratch_table(spark, "by_month")
+    tables.upsert_partitions(revenue, name, key, "ship_month")
+    tables.upsert_partitions(counted, name, key, "ship_month", update_cols=["lines_1998"])
+    return tables.read_table(spark, name)
 
 
 @query(
@@ -348,11 +348,24 @@ def partition_upsert_new_column(spark, sf_dir):
     key = ["ship_month", "l_suppkey"]
     counted = lines.groupBy(*key).agg(F.count("*").alias("lines"))
     late = lines.where(F.col("ship_month") >= "1998").groupBy(*key)
-    path = scratch_path(spark, "by_month")
-    tables.upsert_partitions(counted.withColumn("lines", F.lit(0).cast("bigint")), path, key, "ship_month")
-    tables.upsert_partitions(late.agg(F.sum(inputs.money("l_extendedprice")).alias("revenue")), path, key, "ship_month")
-    tables.upsert_partitions(counted, path, key, "ship_month")
-    return tables.read_table(spark, path)
+    name = scratch_table(spark, "by_month")
+    tables.upsert_partitions(counted.withColumn("lines", F.lit(0).cast("bigint")), name, key, "ship_month")
+    tables.upsert_partitions(late.agg(F.sum(inputs.money("l_extendedprice")).alias("revenue")), name, key, "ship_month")
+    tables.upsert_partitions(counted, name, key, "ship_month")
+    return tables.read_table(spark, name)
+
+
+@query(
+    "upsert_bucketed",
+    f"""WITH {TARGET_SQL}, {UPDATES_SQL} SELECT * FROM u WHERE o_orderkey % 50 = 0
+  UNION ALL SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM u WHERE o_orderkey % 50 = 0)""",
+)
+def upsert_bucketed(spark, sf_dir):
+    """A batch of few keys into a table partitioned by a hash of its key."""
+    name = scratch_table(spark, "orders")
+    tables.upsert_bucketed(_target(spark, sf_dir), name, ["o_orderkey"], 16)
+    tables.upsert_bucketed(_updates(spark, sf_dir).where("o_orderkey % 50 = 0"), name, ["o_orderkey"], 16)
+    return tables.read_table(spark, name).drop(tables.BUCKET)
 
 
 @query("csv_round_trip", "SELECT doc_id, text, nullif(lang, 'de') AS lang, CASE WHEN lang = 'fr' THEN '' ELSE source END AS source, n_chars FROM documents")
@@ -438,7 +451,7 @@ EVENTS_SQL = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id,
 def incremental(spark, sf_dir):
     """The events loaded in two runs that overlap on the mark's day, and a run without rows."""
     events = inputs.load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    target, control = scratch_path(spark, "events"), scratch_path(spark, "control")
+    target, control = scratch_table(spark, "events"), scratch_table(spark, "control")
     half = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     for source in (half, events, events.where("false")):
         incremental_load(spark, source, target, control, "events", "ts", ["event_id"], default="1970-01-01")
@@ -449,7 +462,7 @@ def incremental(spark, sf_dir):
 def incremental_append(spark, sf_dir):
     """Appends of loads that overlap on the mark, the last one run twice."""
     events = inputs.load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    target, control = scratch_path(spark, "events"), scratch_path(spark, "control")
+    target, control = scratch_table(spark, "events"), scratch_table(spark, "control")
     half = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     for source in (half, events, events):
         incremental_load(spark, source, target, control, "events", "ts", ["event_id"], default="1970-01-01", mode="append")
@@ -461,7 +474,7 @@ def incremental_partitioned(spark, sf_dir):
     """The events loaded in two runs into a table by day; an empty load changes nothing."""
     events = inputs.load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     events = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    target, control = scratch_path(spark, "events"), scratch_path(spark, "control")
+    target, control = scratch_table(spark, "events"), scratch_table(spark, "control")
     half = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     for source in (half, events, events.where("false")):
         incremental_load(
@@ -478,9 +491,9 @@ def streaming_upsert(spark, sf_dir):
     for low, high in (("2024-01-21", "9"), ("0", "2024-01-11"), ("2024-01-11", "2024-01-21")):
         events.where((F.col("day") >= low) & (F.col("day") < high)).write.mode("append").parquet(landed)
     stream = stream_parquet(spark, landed, events.schema, files_per_batch=1)
-    path = scratch_path(spark, "events")
-    run_upsert_stream(stream, path, scratch_path(spark, "progress"), ["event_id", "day"], ["ts"], partition="day")
-    return tables.read_table(spark, path).drop("day")
+    name = scratch_table(spark, "events")
+    run_upsert_stream(stream, name, scratch_path(spark, "progress"), ["event_id", "day"], ["ts"], partition="day")
+    return tables.read_table(spark, name).drop("day")
 
 
 @query(
