@@ -69,6 +69,32 @@ class Spine:
             floor = F.trunc(F.date_sub(F.add_months(floor, 1), 1), "MM")
         return F.when(floor <= end, floor)
 
+    def size(self) -> int:
+        """Number of report dates."""
+        if self.step == "day":
+            return (self.end - self.start).days + 1
+        return max(0, self._month(self.end) - self._month(self._first()) + 1)
+
+    def _first(self) -> dt.date:
+        if self.step == "day" or self.start.day == 1:
+            return self.start
+        return (self.start.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+
+    @staticmethod
+    def _month(date: dt.date) -> int:
+        return date.year * 12 + date.month - 1
+
+    def position(self, date: Column) -> Column:
+        """Place of a report date among all, from 0."""
+        if self.step == "day":
+            return F.datediff(date, F.lit(self.start))
+        return F.year(date) * 12 + F.month(date) - 1 - self._month(self._first())
+
+    def date_at(self, position: Column) -> Column:
+        """The report date at a place."""
+        first = F.lit(self._first())
+        return F.date_add(first, position) if self.step == "day" else F.add_months(first, position)
+
     def expand(self, df: DataFrame, lo: Column, hi: Column | None = None, name: str = "report_date") -> DataFrame:
         """Each row once per report date in ``[lo, hi)``; a null ``hi`` is open.
 

@@ -7,14 +7,14 @@ from collections.abc import Iterable, Sequence
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.columns import DEFAULT_COLUMNS, SubscriptionColumns
 from subledger.functions.dates import Spine, as_date, month_start
 from subledger.functions.predicates import disconnect_date, disconnect_ok, without_names
+from subledger.operators.date_bits import all_words, dates_of, mask, positions, words
 from subledger.operators.keys import first_per_key
-from subledger.operators.ranges import runs_by_date
 from subledger.operators.snapshot import active_ranges
 
 
@@ -56,24 +56,29 @@ def churned_accounts(
     date to the end of its month. Equal pairs of active and disconnect rows
     are one row with their number in ``row_count``.
 
-    Everything is worked out on stretches of dates. A subscription's days of
-    disconnects, at most one a date, meet its active rows as one list, and
-    dates and days are written out last, spread by rate plan: so a
-    subscription that holds most rows is written by many tasks.
+    Everything is worked out on sets of snapshot dates, see
+    :mod:`subledger.operators.date_bits`. A subscription's days of disconnects,
+    at most one a date, meet its active rows as one list, and dates and days
+    are written out last, spread by rate plan: so a subscription that holds
+    most rows is written by many tasks.
     """
     plans = [cols.account, cols.sub_name, cols.family, cols.product, cols.rate_plan]
+    on = plans[:2]
     ended = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
-    held = _active_runs(facts, plans, snapshots, cols, exclude, exclude_like)
-    subs = runs_by_date(held, plans[:2], F.col("_at"), F.col("_until"), snapshots, "_active")
-    lost = _lost_stretches(subs, ended, snapshots, window, cols)
-    days = ended.groupBy(*plans[:2]).agg(F.collect_list(F.struct("cancel_date", "_ended")).alias("_days"))
-    kept = _cut(held, lost, [cols.account]).join(days, plans[:2])
-    pairs = kept.repartition(*plans).select(*plans, "_active", "_at", "_until", F.explode("_days").alias("_day"))
-    pairs = pairs.select(*plans, "_active", "_at", "_until", "_day.cancel_date", "_day._ended")
+    held = _active_words(facts, plans, snapshots, cols, exclude, exclude_like)
+    lost = _lost_words(held, ended, snapshots, window, cols)
+    days = ended.groupBy(*on).agg(F.collect_list(F.struct("cancel_date", "_ended")).alias("_days"))
+    kept = _kept(held, lost, cols).join(days, on)
+    dates = F.explode(dates_of(snapshots, F.col("_word"), F.col("_bits"))).alias("snapshot_date")
+    dealt = kept.repartition(*plans).select(dates, *plans, "_active", "_days")
+    # The days are those of the subscription, whichever row they come with.
+    counted = dealt.groupBy("snapshot_date", *plans).agg(F.sum("_active").alias("_active"), F.first("_days").alias("_days"))
+    found = F.col("_days")
     if window is None:
-        pairs = _cut_to_month(pairs, snapshots)
-    dated = snapshots.expand(pairs, F.col("_at"), F.col("_until"), "snapshot_date")
-    return dated.select("snapshot_date", *plans, "cancel_date", (F.col("_active") * F.col("_ended")).alias("row_count"))
+        month_end = F.last_day("snapshot_date")
+        found = F.filter(found, lambda d: d["cancel_date"].between(F.col("snapshot_date"), month_end))
+    pairs = counted.select("snapshot_date", *plans, "_active", F.explode(found).alias("_day"))
+    return pairs.select("snapshot_date", *plans, "_day.cancel_date", (F.col("_active") * F.col("_day._ended")).alias("row_count"))
 
 
 def accounts_cancelled_daily(
@@ -85,26 +90,29 @@ def accounts_cancelled_daily(
     exclude_like: Iterable[str] = (),
 ) -> DataFrame:
     """Churned accounts counted per cancellation date."""
-    ended = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
     on = [cols.account, cols.sub_name]
-    subs = _active_runs(facts, on, snapshots, cols, exclude, exclude_like)
-    kept = _cut(subs, _lost_stretches(subs, ended, snapshots, window, cols), [cols.account])
+    ended = _disconnects(facts, snapshots, window, cols, exclude, exclude_like)
+    held = _active_words(facts, on, snapshots, cols, exclude, exclude_like)
+    subs = held.groupBy(*on, "_word").agg(F.bit_or("_bits").alias("_bits"))
+    kept = _kept(subs, _lost_words(held, ended, snapshots, window, cols), cols)
     if window is not None:
         # Any snapshot will do, so a subscription counts once.
         pairs = kept.select(*on).distinct().join(ended, on)
     else:
-        pairs = _cut_to_month(kept.join(ended, on), snapshots)
+        pairs = _of_month(kept.join(ended, on), snapshots)
     pairs = pairs.select(cols.account, "cancel_date").distinct()
     return pairs.groupBy("cancel_date").agg(F.count(F.lit(1)).alias("accounts_cancelled"))
 
 
-def _active_runs(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFrame:
-    """Active rows counted per key over stretches of snapshot dates.
+def _active_words(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFrame:
+    """Active rows counted per key and range of snapshot dates, a row per word of dates.
 
     The latest version is looked up among all rows, excluded ones as well.
     """
     active = active_ranges(facts, snapshots, cols).where(without_names(F.col(cols.product), exclude, exclude_like))
-    return runs_by_date(active, keys, F.col("_lo"), F.col("_hi"), snapshots, "_active")
+    first, last = positions(snapshots, F.col("_lo"), F.col("_hi"))
+    ranges = active.select(*keys, first.alias("_first"), last.alias("_last")).where("_first <= _last")
+    return words(ranges.groupBy(*keys, "_first", "_last").agg(F.count("*").alias("_active")), "_first", "_last")
 
 
 def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> DataFrame:
@@ -119,53 +127,49 @@ def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> DataF
     return ended.agg(F.count("*").alias("_ended")).where("_ended > 0")
 
 
-def _cut(runs: DataFrame, bounds: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Parts of the runs that lie within the stretches ``[_lo, _hi)`` of their key."""
-    at, until = F.greatest("_at", "_lo"), F.least("_until", "_hi")
-    met = runs.join(bounds, list(on)).withColumn("_until", until).withColumn("_at", at).drop("_lo", "_hi")
-    return met.where(F.col("_until").isNull() | (F.col("_at") < F.col("_until")))
-
-
-def _month_bounds(snapshots: Spine) -> list:
+def _month_positions(snapshots: Spine) -> tuple[Column, Column]:
     """A disconnect belongs to the snapshots of its month up to its day."""
     day = F.col("cancel_date")
-    return [
-        snapshots.on_or_after(month_start(day)).alias("_lo"),
-        snapshots.on_or_after(F.date_add(day, 1)).alias("_hi"),
-    ]
+    return positions(snapshots, month_start(day), F.date_add(day, 1))
+
+
+def _of_month(pairs: DataFrame, snapshots: Spine) -> DataFrame:
+    """Bits of the snapshots that the pair's disconnect belongs to."""
+    first, last = _month_positions(snapshots)
+    cut = pairs.withColumns({"_first": first, "_last": last}).where("_first IS NOT NULL")
+    bits = F.col("_bits").bitwiseAND(mask(F.col("_first"), F.col("_last"), F.col("_word")))
+    return cut.withColumn("_bits", bits).drop("_first", "_last").where("_bits <> 0")
 
 
-def _cut_to_month(pairs: DataFrame, snapshots: Spine) -> DataFrame:
-    bounded = pairs.select("*", *_month_bounds(snapshots)).where("_lo IS NOT NULL")
-    at, until = F.greatest("_at", "_lo"), F.least("_until", "_hi")
-    cut = bounded.withColumn("_until", until).withColumn("_at", at).drop("_lo", "_hi")
-    return cut.where(F.col("_until").isNull() | (F.col("_at") < F.col("_until")))
+def _kept(held: DataFrame, lost: DataFrame, cols: SubscriptionColumns) -> DataFrame:
+    """Bits of the dates on which the account is lost."""
+    met = held.join(lost, [cols.account, "_word"])
+    return met.withColumn("_bits", F.col("_bits").bitwiseAND(F.col("_lost"))).drop("_lost").where("_bits <> 0")
 
 
-def _lost_stretches(
-    subs: DataFrame, ended: DataFrame, snapshots: Spine, window: tuple[date, date] | None, cols: SubscriptionColumns
+def _lost_words(
+    held: DataFrame, ended: DataFrame, snapshots: Spine, window: tuple[date, date] | None, cols: SubscriptionColumns
 ) -> DataFrame:
-    """Stretches ``[_lo, _hi)`` of snapshot dates on which all active
-    subscriptions of an account disconnect.
+    """Snapshot dates on which all active subscriptions of an account disconnect.
 
-    Those are the dates on which as many of the account's subscriptions are
-    active and disconnect as are active at all.
+    Those are the dates on which some subscription of it is active, and none
+    that is active has no disconnect.
     """
     on = [cols.account, cols.sub_name]
     if window is not None:
-        found = subs.join(ended.select(*on), on, "left_semi")
+        found = all_words(ended.select(*on).distinct(), snapshots)
     else:
-        # The last disconnect of a month holds for all earlier snapshots of it.
-        months = ended.groupBy(*on, month_start(F.col("cancel_date")).alias("_month"))
-        months = months.agg(F.max("cancel_date").alias("cancel_date")).drop("_month")
-        found = _cut(subs, months.select(*on, *_month_bounds(snapshots)).where("_lo IS NOT NULL"), on)
-    steps = subs.select(cols.account, "_at", "_until", F.lit(1).alias("_e"), F.lit(0).alias("_f")).unionByName(
-        found.select(cols.account, "_at", "_until", F.lit(0).alias("_e"), F.lit(1).alias("_f"))
+        first, last = _month_positions(snapshots)
+        found = words(ended.select(*on, first.alias("_first"), last.alias("_last")), "_first", "_last")
+    none = F.lit(0).cast("long")
+    both = held.select(*on, "_word", F.col("_bits").alias("_a"), none.alias("_d")).unionByName(
+        found.select(*on, "_word", none.alias("_a"), F.col("_bits").alias("_d"))
     )
-    sums = {"_every": F.col("_e"), "_found": F.col("_f")}
-    runs = runs_by_date(steps, [cols.account], F.col("_at"), F.col("_until"), snapshots, "_n", sums)
-    lost = runs.where((F.col("_every") == F.col("_found")) & (F.col("_every") > 0))
-    return lost.select(cols.account, F.col("_at").alias("_lo"), F.col("_until").alias("_hi"))
+    subs = both.groupBy(*on, "_word").agg(F.bit_or("_a").alias("_a"), F.bit_or("_d").alias("_d"))
+    stays = F.col("_a").bitwiseAND(F.bitwise_not("_d"))
+    accounts = subs.groupBy(cols.account, "_word").agg(F.bit_or("_a").alias("_any"), F.bit_or(stays).alias("_stays"))
+    lost = F.col("_any").bitwiseAND(F.bitwise_not("_stays"))
+    return accounts.select(cols.account, "_word", lost.alias("_lost")).where("_lost <> 0")
 
 
 def _last_of_month(day: date) -> date:
