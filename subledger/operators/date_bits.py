@@ -50,7 +50,9 @@ def all_words(df: DataFrame, spine: Spine) -> DataFrame:
     return df.select("*", F.explode(every).alias("_word"), _long(-1).alias("_bits"))
 
 
-def dates_of(spine: Spine, word: Column, bits: Column) -> Column:
-    """The report dates of a word's bits."""
-    places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.getbit(bits, i) == 1)
-    return F.transform(places, lambda i: spine.date_at(word * WORD + i))
+def by_date(df: DataFrame, spine: Spine, name: str) -> DataFrame:
+    """Each row once per report date of its bits, in place of ``_word`` and ``_bits``."""
+    rest = [c for c in df.columns if c not in ("_word", "_bits")]
+    places = df.select("*", F.explode(F.array(*(F.lit(i) for i in range(WORD)))).alias("_place"))
+    there = places.where(F.getbit("_bits", F.col("_place")) == 1)
+    return there.select(spine.date_at(F.col("_word") * WORD + F.col("_place")).alias(name), *rest)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from subledger.columns import DEFAULT_COLUMNS, SubscriptionColumns
 from subledger.functions.dates import Spine, as_date, month_start
 from subledger.functions.predicates import disconnect_date, disconnect_ok, without_names
-from subledger.operators.date_bits import all_words, dates_of, mask, positions, words
+from subledger.operators.date_bits import all_words, by_date, mask, positions, words
 from subledger.operators.keys import first_per_key
 from subledger.operators.snapshot import active_ranges
 
@@ -69,8 +69,7 @@ def churned_accounts(
     lost = _lost_words(held, ended, snapshots, window, cols)
     days = ended.groupBy(*on).agg(F.collect_list(F.struct("cancel_date", "_ended")).alias("_days"))
     kept = _kept(held, lost, cols).join(days, on)
-    dates = F.explode(dates_of(snapshots, F.col("_word"), F.col("_bits"))).alias("snapshot_date")
-    dealt = kept.repartition(*plans).select(dates, *plans, "_active", "_days")
+    dealt = by_date(kept.repartition(*plans), snapshots, "snapshot_date")
     # The days are those of the subscription, whichever row they come with.
     counted = dealt.groupBy("snapshot_date", *plans).agg(F.sum("_active").alias("_active"), F.first("_days").alias("_days"))
     found = F.col("_days")
@@ -112,7 +111,9 @@ def _active_words(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFr
     active = active_ranges(facts, snapshots, cols).where(without_names(F.col(cols.product), exclude, exclude_like))
     first, last = positions(snapshots, F.col("_lo"), F.col("_hi"))
     ranges = active.select(*keys, first.alias("_first"), last.alias("_last")).where("_first <= _last")
-    return words(ranges.groupBy(*keys, "_first", "_last").agg(F.count("*").alias("_active")), "_first", "_last")
+    counted = ranges.groupBy(*keys, "_first", "_last").agg(F.count("*").alias("_active"))
+    # As in _disconnects, for one aggregation in all uses.
+    return words(counted.where("_active > 0"), "_first", "_last")
 
 
 def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> DataFrame:

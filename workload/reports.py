@@ -501,6 +501,20 @@ def customer_demographics(spark, sf_dir):
     return customers.customer_demographics(inputs.facts(spark, sf_dir), inputs.contacts(spark, sf_dir), MONTHS)
 
 
+@query(
+    "demographics_rollup",
+    f"""{ACTIVE_MONTHS}, {CONTACTS_SQL},
+  held AS (SELECT d, account_id, sub_name, country, coalesce(state, '***') AS state, city FROM active JOIN contacts USING (account_id)
+    WHERE country IS NOT NULL)
+  SELECT {_date()} AS report_date, CAST(CASE WHEN GROUPING(country) = 1 THEN 3 WHEN GROUPING(state) = 1 THEN 2
+    WHEN GROUPING(city) = 1 THEN 1 ELSE 0 END AS BIGINT) AS level, country, state, city,
+    count(DISTINCT account_id) AS account_count, count(DISTINCT sub_name) AS subscription_count
+  FROM held GROUP BY d, ROLLUP (country, state, city)""",
+)
+def demographics_rollup(spark, sf_dir):
+    return customers.demographics_rollup(inputs.facts(spark, sf_dir), inputs.contacts(spark, sf_dir), MONTHS)
+
+
 @query(
     "demographics_rows",
     f"""{ACTIVE_MONTHS}, {CONTACTS_SQL}
