@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,14 @@ def upsert(
     already there, or only ``update_cols``; ``mode='ignore'`` leaves such a row
     alone. Of several updates with one key the last in ``order`` counts. New
     columns of the updates extend the target; columns that they lack keep
-    their values, and are null in inserted rows.
+    their values, and are null in inserted rows. An inserted row has all the
+    columns of the updates, also those outside ``update_cols``. A null in a key
+    is an error, as it would be a new row each time.
     """
     if mode not in ("update", "ignore"):
         raise ValueError("mode must be 'update' or 'ignore'")
     keys = list(keys)
-    batch = dedupe(updates, keys, order, keep="last")
+    batch = dedupe(_known(updates, keys), keys, order, keep="last")
     if mode == "ignore":
         return _concat(target, _absent(batch, target, keys))
     if update_cols is None and not set(target.columns) <= set(batch.columns):
@@ -50,7 +52,18 @@ def upsert(
             for c in target.columns
         ]
     )
-    return _concat(changed, _absent(batch.select(*keys, *taken), target, keys))
+    return _concat(changed, _absent(batch, target, keys))
+
+
+def _known(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch, which raises when it is read if a key is null."""
+    wrong = F.raise_error(F.lit(f"null in the key {', '.join(keys)}"))
+
+    def kept(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        return F.when(value.isNull(), wrong.cast(batch.schema[name].dataType)).otherwise(value)
+
+    return batch.withColumns({k: kept(k) for k in keys})
 
 
 def _absent(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -95,7 +95,8 @@ def append_table(df: DataFrame, name: str) -> None:
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """The batch as a table of its own, however often the load looks at it; so it
-    needs no executor to stay alive. The table goes when the load is done."""
+    is computed once, which a stream with state relies on, and needs no executor
+    to stay alive. The table goes when the load is done."""
     spark = df.sparkSession
     name = scratch_table(spark, "staged")
     _create(df, name)
@@ -115,13 +116,11 @@ def upsert_table(updates: DataFrame, name: str, keys: Sequence[str], buckets: in
     :func:`upsert_bucketed`.
     """
     spark = updates.sparkSession
-    if updates.isEmpty():
-        return
-    if not table_exists(spark, name):
-        nothing = spark.createDataFrame([], _landing(updates.schema))
-        return replace_table(upsert(nothing, updates, keys, **how), name, buckets, keys)
     with staged(updates) as batch:
-        replace_table(upsert(read_table(spark, name), batch, keys, **how), name, buckets, keys)
+        if batch.isEmpty():
+            return
+        target = read_table(spark, name) if table_exists(spark, name) else spark.createDataFrame([], batch.schema)
+        replace_table(upsert(target, batch, keys, **how), name, buckets, keys)
 
 
 def delete_from_table(doomed: DataFrame, name: str, keys: Sequence[str]) -> None:
@@ -159,10 +158,10 @@ def upsert_partitions(updates: DataFrame, name: str, keys: Sequence[str], partit
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
-    if updates.isEmpty():
-        return
     spark = updates.sparkSession
     with staged(updates) as batch:
+        if batch.isEmpty():
+            return
         # As many values as directories the write commits.
         touched = [r[0] for r in batch.select(partition).distinct().collect()]
         if None in touched:

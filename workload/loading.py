@@ -10,9 +10,13 @@ from subledger import Spine
 from subledger.functions.dates import iso_instant, parse_timestamp
 from subledger.functions.scalars import to_number
 from subledger.operators import cleaning, keys, merge
+from subledger.operators.asof import as_of_join
+from subledger.operators.intervals import interval_lookup
+from subledger.operators.rejects import load_with_rejects
 from subledger.session import scratch_path, scratch_table
 from subledger.sources import readers, tables
 from subledger.streaming.incremental import incremental_load
+from subledger.streaming.newest import run_newest_stream
 from subledger.streaming.stream import run_upsert_stream, stream_parquet
 from workload import inputs
 from workload.registry import query
@@ -208,8 +212,9 @@ def upsert_all(spark, sf_dir):
 
 @query(
     "upsert_partial",
-    f"""WITH {TARGET_SQL}, {UPDATES_SQL} SELECT o_orderkey, t.o_custkey, coalesce(u.o_totalprice, t.o_totalprice) AS o_totalprice,
-  t.o_orderstatus FROM t FULL JOIN u USING (o_orderkey)""",
+    f"""WITH {TARGET_SQL}, {UPDATES_SQL} SELECT o_orderkey, CASE WHEN t.o_orderkey IS NULL THEN u.o_custkey ELSE t.o_custkey END AS o_custkey,
+  coalesce(u.o_totalprice, t.o_totalprice) AS o_totalprice,
+  CASE WHEN t.o_orderkey IS NULL THEN u.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus FROM t FULL JOIN u USING (o_orderkey)""",
 )
 def upsert_partial(spark, sf_dir):
     return merge.upsert(
@@ -506,3 +511,107 @@ def tax_postal_codes(spark, sf_dir):
     code = F.when(F.col("s_nationkey") % 2 == 0, (F.col("s_nationkey") + 20000).cast("string"))
     code = code.otherwise(F.concat(F.lit("12"), letter))
     return inputs.load(spark, sf_dir, "supplier").select("s_suppkey", to_number(code).alias("postal_code"))
+
+
+# Shifts of every day that has events: they begin and end at odd times and leave gaps.
+SHIFTS_SQL = """shifts AS (
+  SELECT strftime(day, '%Y%m%d') || kind AS shift, day + to_seconds(3601 * first + 17 * day(day)) AS started,
+    day + to_seconds(3601 * last + 23) AS ended
+  FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events), (VALUES ('a', 1, 7), ('b', 8, 15), ('c', 16, 22)) t(kind, first, last))"""
+
+
+@query(
+    "interval_lookup",
+    f"""WITH {SHIFTS_SQL} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, shift, strftime(started, '%Y-%m-%d %H:%M:%S') AS started
+  FROM events LEFT JOIN shifts ON ts >= started AND ts < ended""",
+)
+def event_shifts(spark, sf_dir):
+    """The shift that each event falls into, if any."""
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "ts")
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(a).alias("first"), F.lit(b).alias("last")) for k, a, b in (("a", 1, 7), ("b", 8, 15), ("c", 16, 22))))
+    shifts = events.select(day.alias("day")).distinct().select("day", F.inline(kinds))
+    start = F.unix_seconds("day") + F.col("first") * 3601 + F.dayofmonth("day") * 17
+    end = F.unix_seconds("day") + F.col("last") * 3601 + 23
+    shifts = shifts.select(
+        F.concat(F.date_format("day", "yyyyMMdd"), "kind").alias("shift"),
+        F.timestamp_seconds(start).alias("started"), F.timestamp_seconds(end).alias("ended"),
+    )
+    return interval_lookup(events, "ts", shifts, "started", "ended", how="left").drop("ended")
+
+
+@query(
+    "payments_as_of_version",
+    """WITH v AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS version, arg_max(o_orderstatus, o_orderkey) AS status
+    FROM orders GROUP BY o_custkey, o_orderdate),
+  p AS (SELECT CASE WHEN l_suppkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_extendedprice AS amount, l_shipdate - INTERVAL 60 DAY AS paid FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  SELECT p.o_custkey, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, amount,
+    strftime(paid, '%Y-%m-%d') AS paid, version, status
+  FROM p ASOF LEFT JOIN v ON p.o_custkey = v.o_custkey AND p.paid >= v.o_orderdate""",
+)
+def payments_as_of_version(spark, sf_dir):
+    """Payments with the order that was the customer's newest then; a third of them are one customer's."""
+    orders = inputs.load(spark, sf_dir, "orders").withColumn("since", F.to_date("o_orderdate"))
+    owners = orders.select("o_orderkey", "o_custkey")
+    lines = inputs.load(spark, sf_dir, "lineitem").join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+    payer = F.when(F.col("l_suppkey") % 3 == 0, 7).otherwise(F.col("o_custkey")).cast("long")
+    payments = lines.select(
+        payer.alias("o_custkey"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_extendedprice").alias("amount"), F.date_sub(F.to_date("l_shipdate"), 60).alias("paid"),
+    )
+    versions = orders.select("o_custkey", "since", F.col("o_orderkey").alias("version"), F.col("o_orderstatus").alias("status"))
+    return as_of_join(payments, versions, ["o_custkey"], "paid", "since", ["version", "status"], tie=["version"])
+
+
+_LANDED_SQL = """landed AS (
+  SELECT CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN CAST(o_orderkey + 1 AS VARCHAR) ELSE CAST(o_orderkey AS VARCHAR) END AS k,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price, o_orderstatus AS status, o_orderkey
+  FROM orders),
+judged AS (
+  SELECT *, concat_ws(';', CASE WHEN price = 'n/a' THEN 'price is no decimal(18,2)' END, CASE WHEN k IS NULL THEN 'k is null' END,
+    CASE WHEN TRY_CAST(price AS DECIMAL(18,2)) >= 400000 THEN 'price below 400000' END) AS why FROM landed),
+placed AS (SELECT *, CASE WHEN why = '' THEN row_number() OVER (PARTITION BY why = '', k ORDER BY CAST(price AS VARCHAR) = 'n/a', CASE WHEN why = '' THEN CAST(price AS DECIMAL(18,2)) END, o_orderkey) END AS rn FROM judged)"""
+
+
+@query(
+    "load_with_rejects",
+    f"""WITH {_LANDED_SQL}
+  SELECT CAST(k AS BIGINT) AS k, CAST(price AS DOUBLE) AS price, status, o_orderkey, NULL AS reasons FROM placed WHERE rn = 1
+  UNION ALL SELECT NULL, NULL, NULL, o_orderkey, CASE WHEN rn > 1 THEN 'k occurs before' ELSE why END FROM placed WHERE rn IS NULL OR rn > 1""",
+)
+def rejected_orders(spark, sf_dir):
+    """Orders as text, some of which don't fit: what was loaded, and what wasn't and why. The load runs twice."""
+    order = F.col("o_orderkey")
+    text = F.when(order % 23 == 0, order + 1).otherwise(order).cast("string")
+    landed = inputs.load(spark, sf_dir, "orders").select(
+        F.when(order % 19 != 0, text).alias("k"),
+        F.when(order % 11 == 0, "n/a").otherwise(inputs.money("o_totalprice").cast("string")).alias("price"),
+        F.col("o_orderstatus").alias("status"), "o_orderkey",
+    )
+    name, rejects = scratch_table(spark, "orders"), scratch_table(spark, "rejects")
+    schema = "k long not null, price decimal(18,2), status string, o_orderkey long"
+    rules = {"price below 400000": F.col("price") < 400_000}
+    for _ in range(2):
+        load_with_rejects(landed, name, rejects, schema, "first", rules, ["k"], ["price", "o_orderkey"])
+    bad = tables.read_table(spark, rejects).select(
+        F.get_json_object("row", "$.o_orderkey").cast("long").alias("o_orderkey"), F.array_join("reasons", ";").alias("reasons")
+    )
+    return tables.read_table(spark, name).unionByName(bad, allowMissingColumns=True)
+
+
+@query(
+    "stream_newest_version",
+    """SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS ts,
+    arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id""",
+)
+def stream_newest_version(spark, sf_dir):
+    """The newest event of each user from a stream of files in no order, in two runs of the job."""
+    events = inputs.load(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    landed, name, progress = scratch_path(spark, "landed"), scratch_table(spark, "newest"), scratch_path(spark, "progress")
+    for parts in ((2, 0), (1, 3)):
+        for part in parts:
+            events.where(F.col("event_id") % 4 == part).coalesce(2).write.mode("append").parquet(landed)
+        stream = stream_parquet(spark, landed, events.schema, files_per_batch=2)
+        run_newest_stream(stream, name, progress, ["user_id"], ["ts", "event_id"], buckets=8)
+    return tables.read_table(spark, name).drop(tables.BUCKET)
