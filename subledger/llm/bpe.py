@@ -60,6 +60,9 @@ class Vocabulary:
         if missing := [b for b in range(256) if chr(b) not in self.ids]:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
         self.automaton.make_automaton()
+        # Matches are looked for in a stretch of a long piece, as each search costs what its text measures.
+        self.reach = max(map(len, self.ids))
+        self.stretch = 16 * self.reach
         self._beside: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int, int] | None] = {}
         self._shorter: dict[int, tuple[int, int] | None] = {}
@@ -145,8 +148,17 @@ class Vocabulary:
         lengths: list[int] = []
         closed = set()  # places from which the end can't be reached
         at, last = 0, -1
-        longest = matches(piece)  # one after another: each byte is a token
-        match = next(longest)[1] if size else None
+        longest, sure = None, 0  # matches one after another, and up to where the longest token is in sight
+        match = None
+
+        def search(place: int) -> None:
+            nonlocal longest, sure, match
+            longest = matches(piece[place : place + self.stretch])
+            sure = size if place + self.stretch >= size else place + self.stretch - self.reach
+            match = next(longest)[1]  # each byte is a token
+
+        if size:
+            search(0)
         while at < size:
             first = match
             while match is not None:
@@ -168,21 +180,26 @@ class Vocabulary:
             lengths.append(length)
             at, last = at + length, token
             if at < size:
-                if match is not first or longest is None:
-                    longest = matches(piece, at)
-                match = next(longest)[1]
+                if match is not first or longest is None or at > sure:
+                    search(at)
+                else:
+                    match = next(longest)[1]
         return out
 
     def prefix_counts(self, piece: str) -> list[int]:
         """Tokens of every prefix of one piece, in bytes, from the empty one on."""
-        size, known = len(piece), self._beside
+        size, known, beside = len(piece), self._beside, self.beside
         last, counts = [-1] + [None] * size, [0] * (size + 1)
+        done = 0  # of the matches with one end only one fits: the others are passed over
         for end, (token, length) in self.automaton.iter(piece):
-            stop = end + 1
-            if last[stop] is None and (before := last[stop - length]) is not None:
-                fits = known.get((before, token))
-                if self.beside(before, token) if fits is None else fits:
-                    last[stop], counts[stop] = token, counts[stop - length] + 1
+            if end < done:
+                continue
+            at = end + 1 - length
+            before = last[at]
+            fits = known.get((before, token))
+            if beside(before, token) if fits is None else fits:
+                done = end + 1
+                last[done], counts[done] = token, counts[at] + 1
         if None in last:
             raise ValueError("no sequence of tokens fits")
         if self.merges is None:
@@ -191,16 +208,20 @@ class Vocabulary:
 
 
 class Remembered(dict):
-    """Results of a function of short texts; forgets all when it is full."""
+    """Results of a function of short texts, in two generations: when the newer
+    one is full, the older one goes, and what is asked for again moves over."""
 
     def __init__(self, function: Callable, most: int = REMEMBERED):
         super().__init__()
-        self.function, self.most = function, most
+        self.function, self.most, self.older = function, most, {}
 
     def __missing__(self, key):
-        value = self.function(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
         if len(key) <= LONGEST_REMEMBERED:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
