@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,10 +82,13 @@ OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
 TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
 
-#: License texts and the short notices that stand for a license.
+_TEXTS = Path(__file__).parent / "license_texts"
+
+#: License texts, those of the folder by the files' names, and the short notices that stand for a license.
 KNOWN = (
     ("MIT", _MIT),
     ("ISC", _ISC),
+    *((path.stem, path.read_text("utf-8")) for path in sorted(_TEXTS.glob("*.txt"))),
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -103,20 +107,41 @@ def _any_of(names: Sequence[str]) -> str:
     return r"\b(?:" + "|".join(f"{first}(?:{'|'.join(more)})" for first, more in rest.items()) + r")\b"
 
 
+#: What a copyright statement begins with, and the words that the text after one may begin with.
+_PLACEHOLDER = r"(?:<[^>]*>|\[[^\]]*\])"
+_MARK = rf"(?:copyright|\(c\)|©)\s*(?:(?:\(c\)|©)\s*)*(?:{_PLACEHOLDER}(?:\s*{_PLACEHOLDER})*|[0-9]{{4}})"
+_GRANT = (
+    r"((?:permission\s+(?:is|to)|redistribution\s+and|(?:licensed|released)\s+under|everyone\s+is\s+permitted"
+    r"|this\s+(?:program|software|library|work|file|code|document|license)|all\s+rights\s+reserved)\b)"
+)
+#: A statement ends before the text that a license goes on with, however its lines break; else with its line.
+STATEMENT = rf"{_MARK}(?:{_PLACEHOLDER}|[^<\[]){{0,200}}?{_GRANT}"
+LINE_STATEMENT = rf"{_MARK}[^\n]*"
+RESERVED = r"all\s+rights\s+reserved"
+#: Names of short licenses that stand before their texts.
+TITLE = r"^(?:the )?(?:mit|isc|expat|x11|(?:new |modified |simplified )?bsd(?: [0-4] clause)?) license (?:mit |isc )?"
+
+
 def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, words only, equal spellings; may be empty."""
+    """Lower case, no copyright statements and titles, words only, equal spellings; may be empty.
+
+    A statement is "copyright", "(c)" or © with a year or a placeholder after
+    it; the word alone is part of a license's text. It ends where a license's
+    text goes on, whatever its lines, or if that isn't near, with its line.
+    """
     lower = F.lower(text)
-    lines = F.regexp_replace(lower, r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$", " ")
-    named = F.contains(lower, F.lit("copyright")) | F.contains(lower, F.lit("(c)"))
-    named = named | F.contains(lower, F.lit("©")) | F.contains(lower, F.lit("all rights reserved"))
+    named = F.contains(lower, F.lit("copyright")) | F.contains(lower, F.lit("(c)")) | F.contains(lower, F.lit("©"))
+    lines = F.regexp_replace(F.regexp_replace(lower, STATEMENT, " $1"), LINE_STATEMENT, " ")
     bare = F.when(named, lines).otherwise(lower)
+    bare = F.when(F.contains(lower, F.lit("reserved")), F.regexp_replace(bare, RESERVED, " ")).otherwise(bare)
+
     def spelled(out: Column) -> Column:
         changed = out
         for theirs, ours in SPELLINGS:
             changed = F.regexp_replace(changed, rf"\b{theirs}\b", ours)
         return F.when(out.rlike(_any_of([s for s, _ in SPELLINGS])), changed).otherwise(out)
 
-    return let(F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " ")), spelled)
+    return let(F.regexp_replace(F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " ")), TITLE, ""), spelled)
 
 
 def digest(text: Column) -> Column:
@@ -140,8 +165,10 @@ def license_scan(df: DataFrame, known: DataFrame, key: str = "doc_id", text: str
     licenses that entire lines of the text name.
 
     ``known`` has columns ``license`` and ``text``. A text is known only as a
-    whole; case, punctuation, white space, copyright lines and spelling don't
-    matter. Null and empty texts have no digest and no license. Rows of one
+    whole; case, punctuation, white space, copyright statements, titles of
+    short licenses and spelling don't matter. Of several names for one text
+    the least counts. An empty table gives no rows, and input columns with the
+    names of outputs give way. Null and empty texts have no digest and no license. Rows of one
     key that have the same text share their notices; keys may be null.
     """
     df = without(df, "text_digest", "license", "notices")

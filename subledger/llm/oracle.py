@@ -137,7 +137,10 @@ FROM f WHERE size % {lost[0]} = {lost[1]} OR size % {damaged[0]} = {damaged[1]}"
 
 
 def _canonical(text: str) -> str:
-    out = rf"""trim(regexp_replace(regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$', ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"""
+    bare = f"regexp_replace(lower({text}), '{licenses.STATEMENT}', ' \\1', 'g')"
+    bare = f"regexp_replace({bare}, '{licenses.LINE_STATEMENT}', ' ', 'g')"
+    bare = f"regexp_replace({bare}, '{licenses.RESERVED}', ' ', 'g')"
+    out = rf"regexp_replace(trim(regexp_replace({bare}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')), '{licenses.TITLE}', '')"
     for theirs, ours in licenses.SPELLINGS:
         out = rf"regexp_replace({out}, '\b{theirs}\b', '{ours}', 'g')"
     return out
