@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subledger.llm.columns import col
+from subledger.llm.columns import col, fresh
 
 # Rows that one task numbers; decides the number of buckets, not the order.
 BUCKET_ROWS = 4_000
+# Slots that one array holds.
+RUN_ROWS = 10_000
 
 
 def _unit(key: Column, shard: int) -> Column:
@@ -19,18 +21,23 @@ def _unit(key: Column, shard: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def rendezvous(key: Column, weights: Sequence[float]) -> Column:
-    """The shard, 0 to ``len(weights)`` - 1, that a key falls into.
+def _units(key: Column, shards: int) -> Column:
+    """The numbers of a key for every shard; a null key is a key too."""
+    text = F.coalesce(key.cast("string"), F.lit("\x00null"))
+    return F.array(*(_unit(text, s) for s in range(shards)))
+
+
+def rendezvous(units: Column, weights: Sequence[float]) -> Column:
+    """The shard, 0 to ``len(weights)`` - 1, that a key of these numbers falls into.
 
     Each shard scores ``-ln(u) / weight`` and the lowest score wins, ties by
     the lower number, so shards take keys in proportion to their weights, and
-    a further shard takes keys only into itself. A null key is a key too.
+    a further shard takes keys only into itself.
     """
     if not weights or min(weights) <= 0:
         raise ValueError("weights must be positive, one for each shard")
-    text = F.coalesce(key.cast("string"), F.lit("\x00null"))
     scores = [
-        F.struct((-F.log(_unit(text, s)) / F.lit(float(w))).alias("score"), F.lit(s).alias("shard"))
+        F.struct((-F.log(F.get(units, F.lit(s))) / F.lit(float(w))).alias("score"), F.lit(s).alias("shard"))
         for s, w in enumerate(weights)
     ]
     return F.array_min(F.array(*scores))["shard"]
@@ -54,7 +61,8 @@ def number_rows(df: DataFrame, shard: str, slot: str, bucket_rows: int = BUCKET_
     digest = F.md5(F.to_json(F.struct(*(col(c) for c in rest)), {"ignoreNullFields": "false"}))
     rows = df.groupBy(*(col(c) for c in rest)).agg(F.count(F.lit(1)).alias("_n"))
     rows = rows.withColumn("_digest", digest)
-    shards, total = df.agg(F.count_distinct(col(shard)), F.count(F.lit(1))).first()
+    shards, total, most = rows.agg(F.count_distinct(col(shard)), F.sum("_n"), F.max("_n")).first()
+    total, most = total or 0, most or 0
     bits = max(0, (total // max(1, shards) // bucket_rows).bit_length())
     bucket = F.conv(F.substring("_digest", 1, 13), 16, 10).cast("long")
     rows = rows.withColumn("_bucket", F.shiftright(bucket, 52 - bits) if bits else F.lit(0).cast("long"))
@@ -68,8 +76,13 @@ def number_rows(df: DataFrame, shard: str, slot: str, bucket_rows: int = BUCKET_
         starts, col(shard).eqNullSafe(F.col("_shard")) & (F.col("_bucket") == F.col("_at"))
     )
     first = F.col("_start") + F.col("_end") - F.col("_n")
-    run = F.explode(F.sequence(first, first + F.col("_n") - 1)).alias(slot)
-    return numbered.select(*(col(c) for c in rest), run)
+    # Runs of bounded length, dealt out where there are several: a row may be repeated any number of times.
+    stop = first + F.col("_n") - 1
+    runs = numbered.select(*(col(c) for c in rest), stop.alias("_stop"), F.explode(F.sequence(first, stop, F.lit(RUN_ROWS))).alias("_first"))
+    if most > RUN_ROWS:
+        runs = runs.repartition("_first", *(col(c) for c in rest))
+    last = F.least(F.col("_first") + RUN_ROWS - 1, F.col("_stop"))
+    return runs.select(*(col(c) for c in rest), F.explode(F.sequence("_first", last)).alias(slot))
 
 
 def shard_rows(
@@ -78,9 +91,14 @@ def shard_rows(
     """All rows and columns of ``df`` with ``shard`` and, if weights of a later
     layout are given, ``grown_shard``. One narrow projection: nothing moves.
 
-    Only the key and the weights decide: rows with equal keys share a shard,
+    Only the key and the weights decide, and an empty table stays empty: rows with equal keys share a shard,
     and rows with a null key form one key. Texts don't matter. An input column
     with the name of an output gives way to it.
     """
-    out = df.withColumn(shard, rendezvous(col(key), weights).cast("int"))
-    return out.withColumn("grown_shard", rendezvous(col(key), grown).cast("int")) if grown is not None else out
+    (units,) = fresh(df, "_units")
+    # Both layouts use the numbers of the shards that they share.
+    out = df.withColumn(units, _units(col(key), max(len(weights), len(grown or ()))))
+    placed = {shard: rendezvous(col(units), weights).cast("int")}
+    if grown is not None:
+        placed["grown_shard"] = rendezvous(col(units), grown).cast("int")
+    return out.withColumns(placed).drop(units)

@@ -1,5 +1,9 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names."""
 
+import hashlib
+import math
+import textwrap
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -136,6 +140,33 @@ def test_licenses(spark, odd, none):
     assert got == {0: "MIT", 1: "MIT", 2: "MIT", 3: "MIT", 4: None, 5: None}
 
 
+def test_licenses_do_not_depend_on_wrapping(spark):
+    """Every known text at several widths and on one line, without its title, with other holders."""
+    known = {}
+    for name, text in licenses.KNOWN:
+        known.setdefault(name, []).append(text)
+    rows = []
+    for name, texts in known.items():
+        for text in texts:
+            words = text.split()
+            rows.append((name, " ".join(words)))
+            for width in (40, 60, 80):
+                rows.append((name, textwrap.fill(" ".join(words), width, break_long_words=False, break_on_hyphens=False)))
+            rows.append((name, text.upper().replace("\n", "\r\n")))
+    mit, isc = dict(licenses.KNOWN[:1])["MIT"], dict(licenses.KNOWN[1:2])["ISC"]
+    rows += [
+        ("MIT", mit.removeprefix("MIT License")), ("MIT", "The MIT License (MIT)" + mit.removeprefix("MIT License")),
+        ("MIT", mit.replace("<year> <copyright holders>", "2020, 2021 Jane Doe\nCopyright (c) 2022 Others\nAll rights reserved.")),
+        ("MIT", " ".join(mit.replace("<year> <copyright holders>", "2020 Jane Doe").split())),
+        ("ISC", " ".join(isc.split())), ("ISC", isc.replace("<year> <owner>", "© 2020 J. Doe")),
+        (None, isc.replace("copyright notice and this permission notice appear", "permission notice appears")),
+        (None, mit.replace("above copyright notice and this", "")), (None, mit + " More."), (None, "Copyright 2020 Jane Doe"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.license_scan(df, licenses.known_licenses(spark)).collect()}
+    assert {i: got[i] for i in range(len(rows))} == {i: name for i, (name, _) in enumerate(rows)}
+
+
 def test_near_duplicates(spark, odd, none):
     keyed = odd.select(F.concat_ws("/", F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")))).alias("k"), "text")
     got = {r.k: r.class_size for r in near_dup.near_duplicates(keyed, "k").collect()}
@@ -160,6 +191,26 @@ def test_shards(odd, none):
     assert sharding.number_rows(sharding.shard_rows(none, "doc_id", [1.0]), "shard", "slot").count() == 0
 
 
+def test_shards_by_brute_force(spark):
+    """Shards of both layouts, weights included; many equal rows are numbered without a gap."""
+    keys = [*map(str, range(400)), None]
+    weights, grown = [1.0, 2.0, 0.5], [1.0, 2.0, 0.5, 1.5]
+
+    def shard(key, weights):
+        def score(s):
+            text = ("\x00null" if key is None else key) + f":{s}"
+            return -math.log((int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)) / weights[s]
+
+        return min(range(len(weights)), key=lambda s: (score(s), s))
+
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {r.k: (r.shard, r.grown_shard) for r in sharding.shard_rows(df, "k", weights, grown).collect()}
+    assert got == {k: (shard(k, weights), shard(k, grown)) for k in keys}
+    equal = spark.range(30_000).select(F.lit(0).alias("shard"), F.lit("x").alias("v"))
+    slots = sharding.number_rows(equal, "shard", "slot").agg(F.min("slot"), F.max("slot"), F.count_distinct("slot")).first()
+    assert tuple(slots) == (0, 29_999, 30_000)
+
+
 def test_decontamination(spark, odd, none):
     items = [
         (1, PASSAGE), (2, "three four five"), (3, None), (4, "..."), (None, "seven eight nine"), (5, PASSAGE),
@@ -185,6 +236,45 @@ def test_fixity(spark):
     assert warc.audit(ours.where("false"), ours.where("false")).count() == 0
 
 
+def test_fixity_without_offsets(spark):
+    """Nothing says which entry another one would have been: 600 rows, not 90,000."""
+    schema = "file string, offset long, record long, length long, digest string"
+
+    def side(mark, count=300):
+        return spark.createDataFrame([("f", None, i, 1, f"{mark}{i}") for i in range(count)], schema)
+
+    kinds = Counter(r.kind for r in warc.audit(side("a"), side("b")).collect())
+    assert kinds == {"missing": 300, "extra": 300}
+    assert warc.audit(side("a"), side("a")).count() == 0
+    assert [r.kind for r in warc.audit(side("a"), side("a").union(side("a", 1))).collect()] == ["extra"]
+    assert [r.record for r in warc.audit(side("a"), side("a").where("record <> 7")).collect()] == [7]
+    ties = spark.createDataFrame([("f", 5, i, 0, f"d{i}") for i in range(3)], schema)
+    others = spark.createDataFrame([("f", 5, 9, 0, "e"), ("f", 5, 0, 0, "d0")], schema)
+    assert sorted(r.kind for r in warc.audit(ties, others).collect()) == ["changed", "missing"]
+
+
+def test_long_repeated_words_take_linear_time():
+    vocabulary = bpe.Vocabulary(*bpe.read_vocabulary(RANKS))
+    for word in ("ab", "thequick"):
+        took = []
+        for size in (200_000, 400_000):
+            best = 9e9
+            for _ in range(3):
+                start = time.process_time()
+                vocabulary.encode(word * (size // len(word)))
+                best = min(best, time.process_time() - start)
+            took.append(best)
+        assert took[1] < 2.5 * took[0] + 0.1
+
+
+def test_remembered_pieces_survive_a_full_memory():
+    calls = []
+    memory = bpe.Remembered(lambda key: calls.append(key) or len(key), most=3)
+    for key in ("a", "b", "c", "d", "a", "b", "a"):
+        assert memory[key] == 1
+    assert calls == ["a", "b", "c", "d"] and len(memory) + len(memory.older) <= 6
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages(spark, odd, none, name):
     stage = dict(corpus_pipeline.STAGES)[name]
