@@ -109,6 +109,9 @@ def _active_words(facts, keys, snapshots, cols, exclude, exclude_like) -> DataFr
     The latest version is looked up among all rows, excluded ones as well.
     """
     active = active_ranges(facts, snapshots, cols).where(without_names(F.col(cols.product), exclude, exclude_like))
+    # Said here, as the joins would say it of some uses only and keep them apart. A row
+    # without a subscription stays: it has no disconnect, so its account isn't lost.
+    active = active.where(F.col(cols.account).isNotNull())
     first, last = positions(snapshots, F.col("_lo"), F.col("_hi"))
     ranges = active.select(*keys, first.alias("_first"), last.alias("_last")).where("_first <= _last")
     counted = ranges.groupBy(*keys, "_first", "_last").agg(F.count("*").alias("_active"))
@@ -123,6 +126,7 @@ def _disconnects(facts, snapshots, window, cols, exclude, exclude_like) -> DataF
     else:
         days = replace(snapshots, end=_last_of_month(snapshots.end), step="day")
     rows = disconnect_rows(facts, days, cols, exclude=exclude, exclude_like=exclude_like)
+    rows = rows.where(F.col(cols.account).isNotNull() & F.col(cols.sub_name).isNotNull())
     ended = rows.groupBy(cols.account, cols.sub_name, F.col("report_date").alias("cancel_date"))
     # Keeps the count in every use, so that all uses share one aggregation.
     return ended.agg(F.count("*").alias("_ended")).where("_ended > 0")
