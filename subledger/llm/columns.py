@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 # Runs of digits, a-z and everything beyond ASCII, in text whose A-Z are lower-cased.
 NOT_IN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What separates words before A-Z are lower-cased.
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,6 +51,11 @@ def words(text: Column) -> Column:
     return pieces(ascii_lower(text), NOT_IN_WORDS)
 
 
+def n_words(text: Column) -> Column:
+    """How many ``words`` a text has, without making them."""
+    return F.size(pieces(text, BETWEEN_WORDS))
+
+
 def indices(count: Column) -> Column:
     """0 to ``count`` - 1, none for a count of 0 or less."""
     return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))

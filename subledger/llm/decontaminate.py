@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.columns import col, fresh, indices, let, text_of, without, words
+from subledger.llm.columns import col, fresh, indices, let, n_words, text_of, without, words
 from subledger.session import shared_dir
 
 #: Words that count as a passage.
@@ -60,8 +60,8 @@ def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
 
 
 def _seeds(texts: DataFrame, items: DataFrame, small: bool, passage: int, gram: int) -> DataFrame:
-    """Distinct ``(_key, _item, _shift)``: a text and an item share a
-    fingerprint, the text's word i + shift being the item's word i.
+    """Distinct ``(_key, _item, _n, _shift)``: a text and an item of n words
+    share a fingerprint, the text's word i + shift being the item's word i.
 
     Items shorter than a passage are one gram; texts give their grams of the
     few lengths that such items have.
@@ -71,40 +71,51 @@ def _seeds(texts: DataFrame, items: DataFrame, small: bool, passage: int, gram:
     for size in sorted(short):
         whole = F.when(F.size("_words") == size, _grams(F.col("_words"), size)).otherwise(whole)
     of_item = F.when(F.size("_words") >= passage, winnow(F.col("_words"), passage, gram)).otherwise(whole)
-    item_prints = items.dropDuplicates(["_item"]).select("_item", F.explode(of_item).alias("_p"))
-    item_prints = item_prints.select("_item", F.col("_p.h").alias("_h"), F.col("_p.at").alias("_i"))
+    item_prints = items.dropDuplicates(["_item"]).select("_item", F.size("_words").alias("_n"), F.explode(of_item).alias("_p"))
+    item_prints = item_prints.select("_item", "_n", F.col("_p.h").alias("_h"), F.col("_p.at").alias("_i"))
     of_text = F.concat(winnow(F.col("_words"), passage, gram), *(_grams(F.col("_words"), n) for n in sorted(short)))
-    prints = texts.select("_key", F.explode(of_text).alias("_p"))
+    prints = texts.select("_key", words(F.col("_text")).alias("_words")).select("_key", F.explode(of_text).alias("_p"))
     prints = prints.select("_key", F.col("_p.h").alias("_h"), F.col("_p.at").alias("_d"))
     met = prints.join(_near(item_prints, small), "_h")
-    return met.select("_key", "_item", (F.col("_d") - F.col("_i")).alias("_shift")).distinct()
+    return met.select("_key", "_item", "_n", (F.col("_d") - F.col("_i")).alias("_shift")).distinct()
 
 
 def _hits(texts: DataFrame, items: DataFrame, seeds: DataFrame, few: bool, small: bool, passage: int) -> DataFrame:
     """``(_key, _item, _at)``: places of the text's words inside an item's windows.
 
     The words of text and item are laid against each other as the seed says,
-    and every run of equal words that is long enough is a hit.
+    and every run of equal words that is long enough is a hit. Texts without a
+    seed are not split into words again, and a seed takes along the words that
+    lie against its item, not the whole text.
     """
-    shifts = seeds.groupBy("_key").agg(F.collect_set(F.struct("_item", "_shift")).alias("_laid"))
-    laid = texts.join(_near(shifts, few), "_key").select("_key", "_words", F.explode("_laid").alias("_l"))
-    from_ = F.greatest(F.lit(0), F.col("_l._shift"))
-    laid = laid.select("_key", F.col("_l._item").alias("_item"), F.col("_l._shift").alias("_shift"), "_words", from_.alias("_from"))
+    shifts = seeds.groupBy("_key").agg(F.collect_set(F.struct("_item", "_n", "_shift")).alias("_laid"))
+
+    def against(w: Column) -> Column:
+        def part(seed: Column) -> Column:
+            first = F.greatest(F.lit(0), seed["_shift"])
+            skip = F.greatest(F.lit(0), -seed["_shift"])
+            length = F.greatest(F.lit(0), F.least(F.size(w) - first, seed["_n"] - skip))
+            return F.struct(
+                seed["_item"].alias("_item"),
+                first.alias("_from"),
+                skip.alias("_skip"),
+                F.slice(w, first + 1, length).alias("_ours"),
+            )
+
+        return F.transform("_laid", part)
+
+    laid = texts.join(_near(shifts, few), "_key")
+    laid = laid.select("_key", F.explode(let(words(F.col("_text")), against)).alias("_l")).select("_key", "_l.*")
     whole = items.dropDuplicates(["_item"]).select("_item", F.col("_words").alias("_theirs"))
-    skip = F.greatest(F.lit(0), -F.col("_shift"))
     laid = laid.join(_near(whole, small), "_item")
-    length = F.least(F.size("_words") - F.col("_from"), F.size("_theirs") - skip)
-    same = F.zip_with(
-        F.slice("_words", F.col("_from") + 1, F.greatest(length, F.lit(0))),
-        F.slice("_theirs", skip + 1, F.greatest(length, F.lit(0))),
-        lambda a, b: a == b,
-    )
+    theirs = F.slice("_theirs", F.col("_skip") + 1, F.size("_ours"))
+    same = F.zip_with("_ours", theirs, lambda a, b: a == b)
     window = F.least(F.lit(passage), F.size("_theirs"))
 
     def inside(equal: Column) -> Column:
         starts = F.filter(
             indices(F.size(equal) - window + 1),
-            lambda j: F.forall(F.slice(equal, j + 1, F.least(F.lit(passage), F.size("_theirs"))), lambda e: e),
+            lambda j: F.forall(F.slice(equal, j + 1, window), lambda e: e),
         )
         return F.array_distinct(F.flatten(F.transform(starts, lambda j: F.sequence(j, j + window - 1))))
 
@@ -139,7 +150,7 @@ def find_contamination(
     identity = F.md5(text_of(text))
     items = _items(benchmark, item, item_text).checkpoint()
     small = (items.agg(F.sum(F.size("_words"))).first()[0] or 0) <= BROADCAST_WORDS
-    texts = df.select(identity.alias("_key"), words(text_of(text)).alias("_words"))
+    texts = df.select(identity.alias("_key"), text_of(text).alias("_text"))
     seeds = _seeds(texts, items, small, passage, gram).checkpoint()
     few = seeds.count() <= BROADCAST_SEEDS
     hits = _hits(texts, items, seeds, few, small, passage).distinct().checkpoint()
@@ -149,7 +160,7 @@ def find_contamination(
     found = counts.join(listed, "_key").withColumnRenamed("_key", key)
     rows = df.withColumn(key, identity).join(_near(found, few), key, "left").drop(key)
     rows = rows.withColumns({
-        "n_words": F.size(words(text_of(text))).cast("long"),
+        "n_words": n_words(text_of(text)).cast("long"),
         "n_hit": F.coalesce("n_hit", F.lit(0)).cast("long"),
         "items": F.coalesce("items", F.array().cast("array<string>")),
     })
