@@ -61,6 +61,44 @@ def indices(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
 
+#: Elements of a block of ``scan``.
+BLOCK = 128
+
+
+def blocks_of(values: Column) -> Column:
+    """Places (from 0) at which blocks of ``BLOCK`` elements begin."""
+    return F.transform(indices(F.ceil(F.size(values) / BLOCK).cast("int")), lambda b: b * BLOCK)
+
+
+def scan(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step`` has made of ``zero`` and the elements up to each one.
+
+    A growing array is copied with every element put to it; blocks keep the
+    copies short: first the state at the start of each block, then the states
+    within it.
+    """
+
+    def of(values: Column) -> Column:
+        part = lambda at: F.slice(values, at + 1, BLOCK)
+
+        def next_block(acc: Column, at: Column) -> Column:
+            state = F.aggregate(part(at), F.element_at(acc, -1), step)
+            return F.concat(acc, F.array(state))
+
+        def next_value(acc: Column, value: Column) -> Column:
+            return F.concat(acc, F.array(step(F.element_at(acc, -1), value)))
+
+        def within(states: Column) -> Column:
+            return F.transform(
+                blocks_of(values),
+                lambda at, b: F.slice(F.aggregate(part(at), F.array(F.get(states, b)), next_value), 2, BLOCK),
+            )
+
+        return F.flatten(let(F.aggregate(blocks_of(values), F.array(zero), next_block), within))
+
+    return let(values, of)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """A name like each of these that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.columns import col, fresh, indices, let, text_of, without
+from subledger.llm.columns import BLOCK, blocks_of, col, fresh, let, scan, text_of, without
 from subledger.llm.trigrams import ANY, Query, trigram_query
 from subledger.session import shared_dir
 
@@ -111,15 +111,26 @@ def _spans(text: Column, rule: Rule) -> Column:
     pattern = F.lit(rule.pattern)
 
     def walk(found: Column, tested: Column, gaps: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(gaps, i))
-            end = start + F.length(F.get(found, i))
-            span = F.array(F.struct(start.alias("start"), end.alias("end")))
-            kept = F.when(F.length(F.get(tested, i)) >= rule.least, F.concat(acc["spans"], span))
-            return F.struct(end.alias("at"), kept.otherwise(acc["spans"]).cast(_SPAN).alias("spans"))
+        sizes = F.transform(
+            found,
+            lambda f, i: F.struct(
+                (F.length(F.get(gaps, i)) + F.length(f)).cast("bigint").alias("step"),
+                F.length(f).alias("size"),
+                F.length(F.get(tested, i)).alias("tested"),
+            ),
+        )
+
+        def placed(sizes: Column) -> Column:
+            ends = scan(sizes, F.lit(0).cast("bigint"), lambda at, s: at + s["step"])
+            every = F.zip_with(
+                sizes,
+                ends,
+                lambda s, end: F.struct((end - s["size"]).alias("start"), end.alias("end"), s["tested"].alias("tested")),
+            )
+            kept = F.filter(every, lambda s: s["tested"] >= rule.least)
+            return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).cast(_SPAN)
 
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
-        return F.aggregate(indices(F.size(found)), start, step, lambda acc: acc["spans"])
+        return let(sizes, placed)
 
     matches = let(
         F.regexp_extract_all(text, pattern, 0),
@@ -186,13 +197,46 @@ def masked(text: Column, secrets: Column, mask: str = "[secret]") -> Column:
     """The text with each span, or run of overlapping spans, behind a mask.
     A null text stays null."""
 
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, F.lit(mask))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    def rest(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    return F.when(F.size(secrets) > 0, F.aggregate(secrets, start, step, rest)).otherwise(text)
+    def hidden(secrets: Column) -> Column:
+        covered = scan(secrets, F.lit(0).cast("bigint"), lambda at, s: F.greatest(at, s["end"]))
+
+        def runs(covered: Column) -> Column:
+            # What stands between the masks: before a span that begins beyond all earlier ones, and the rest.
+            before = F.transform(
+                secrets,
+                lambda s, i: F.struct(
+                    F.coalesce(F.get(covered, i - 1), F.lit(0)).cast("bigint").alias("start"), s["start"].alias("end")
+                ),
+            )
+            rest = F.struct(F.element_at(covered, -1).alias("start"), F.length(text).cast("bigint").alias("end"))
+            return F.concat(F.filter(before, lambda r: r["end"] >= r["start"]), F.array(rest))
+
+        return let(let(covered, runs), lambda kept: _joined(text, kept, mask))
+
+    return F.when(F.size(secrets) > 0, let(secrets, hidden)).otherwise(text)
+
+
+def _joined(text: Column, runs: Column, mask: str) -> Column:
+    """Runs of the text with masks in between. A block of runs is cut out of
+    its own part, so the text isn't walked from its start for each of them."""
+
+    def block(at: Column) -> Column:
+        part = F.slice(runs, at + 1, BLOCK)
+
+        def cut(part: Column) -> Column:
+            first, last = part[0]["start"], F.element_at(part, -1)["end"]
+            here = F.substr(text, (first + 1).cast("int"), (last - first).cast("int"))
+            return let(
+                here,
+                lambda own: F.array_join(
+                    F.transform(
+                        part,
+                        lambda r: F.substr(own, (r["start"] - first + 1).cast("int"), (r["end"] - r["start"]).cast("int")),
+                    ),
+                    mask,
+                ),
+            )
+
+        return let(part, cut)
+
+    return F.array_join(F.transform(blocks_of(runs), block), mask)
