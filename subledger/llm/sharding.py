@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.llm.columns import col, fresh
+from subledger.session import shared_dir
 
 # Rows that one task numbers; decides the number of buckets, not the order.
 BUCKET_ROWS = 4_000
@@ -60,7 +61,9 @@ def number_rows(df: DataFrame, shard: str, slot: str, bucket_rows: int = BUCKET_
     rest = [c for c in df.columns if c != slot]
     digest = F.md5(F.to_json(F.struct(*(col(c) for c in rest)), {"ignoreNullFields": "false"}))
     rows = df.groupBy(*(col(c) for c in rest)).agg(F.count(F.lit(1)).alias("_n"))
-    rows = rows.withColumn("_digest", digest)
+    # Read three times below; written once, so that the input is not scored and digested each time.
+    shared_dir(df.sparkSession)
+    rows = rows.withColumn("_digest", digest).checkpoint()
     shards, total, most = rows.agg(F.count_distinct(col(shard)), F.sum("_n"), F.max("_n")).first()
     total, most = total or 0, most or 0
     bits = max(0, (total // max(1, shards) // bucket_rows).bit_length())
