@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.llm.columns import col
-from subledger.llm.hnsw import padded, plain_ids
+from subledger.llm.hnsw import in_slices, padded, plain_ids
 from subledger.session import scratch_path
 
 #: Rows of a block.
@@ -254,8 +255,10 @@ class Windows:
 FOUND = "block long, place int, anchor_id long, asked int, score long, id long"
 
 
-def search_slice(blocks: DataFrame, anchors: dict[str, np.ndarray], requests: dict[str, np.ndarray], same: bool, k: int) -> DataFrame:
-    """Each task's best rows for all requests of a slice, over the blocks it reads.
+def search_slice(
+    blocks: DataFrame, anchors: dict[str, np.ndarray], requests: dict[str, np.ndarray], same: bool, k: int
+) -> tuple[DataFrame, Broadcast]:
+    """Each task's best rows for all requests of a slice, over the blocks it reads, and the slice as sent.
 
     Vectors of a slice are bounded by :data:`SLICE_BYTES`, and its requests by a
     few for each, so they may be sent to all tasks.
@@ -279,7 +282,7 @@ def search_slice(blocks: DataFrame, anchors: dict[str, np.ndarray], requests: di
             ["block", "place", "anchor_id", "asked", "score", "id"],
         )
 
-    return blocks.mapInArrow(run, FOUND)
+    return blocks.mapInArrow(run, FOUND), sent
 
 
 def _numpy(rows: pa.Table) -> dict[str, np.ndarray]:
@@ -291,13 +294,6 @@ def _numpy(rows: pa.Table) -> dict[str, np.ndarray]:
     return out
 
 
-def _united(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.union(more)
-    return out
-
-
 def _best(found: DataFrame, k: int) -> DataFrame:
     own = Window.partitionBy("block", "place", "asked").orderBy(F.col("score").desc(), "id")
     return found.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
@@ -335,7 +331,7 @@ def hard_negatives(
     def slice_of(i: int) -> dict[str, np.ndarray]:
         return _numpy(anchors.where(part == i).orderBy(*own).toArrow())
 
-    def for_positives(i: int) -> DataFrame:
+    def for_positives(i: int) -> tuple[DataFrame, Broadcast]:
         a = slice_of(i)
         n = len(a["place"])
         requests = {
@@ -344,12 +340,12 @@ def hard_negatives(
         return search_slice(blocks, a, requests, True, positives)
 
     path = scratch_path(spark, "positives")
-    _best(_united([for_positives(i) for i in range(slices)]), positives).write.parquet(path)
+    _best(in_slices(slices, for_positives, scratch_path(spark, "scored")), positives).write.parquet(path)
     found = spark.read.parquet(path).select(
         *own, "anchor_id", F.col("rank").alias("asked"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")
     )
 
-    def for_negatives(i: int) -> DataFrame:
+    def for_negatives(i: int) -> tuple[DataFrame, Broadcast]:
         a = slice_of(i)
         # A slice's positives are a few for each of its anchors.
         p = _numpy(found.where(part == i).select(*own, "asked", "positive_score").toArrow())
@@ -364,7 +360,7 @@ def hard_negatives(
         }
         return search_slice(blocks, a, requests, False, negatives)
 
-    mined = _best(_united([for_negatives(i) for i in range(slices)]), negatives)
+    mined = _best(in_slices(slices, for_negatives, scratch_path(spark, "mined")), negatives)
 
     def named(column: str) -> Column:
         return F.when(F.col(column) != F.lit(int(NO_ID)), F.col(column))

@@ -10,11 +10,12 @@ matrices. What shards find is merged by exact cosine.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -334,8 +335,21 @@ class Found:
         self.scores[query[best], rank[best]], self.ids[query[best], rank[best]] = scores[best], ids[best]
 
 
-def search_slice(index: DataFrame, queries: pa.Table, k: int, beam: int) -> DataFrame:
-    """Each task's best rows for every query of a slice, over the shards it reads.
+def in_slices(slices: int, search: Callable[[int], tuple[DataFrame, Broadcast]], path: str) -> DataFrame:
+    """What the searches of all slices find, written one after another.
+
+    A slice's broadcast goes before the next one is made, so the driver and
+    the executors hold one slice, however many there are.
+    """
+    for i in range(slices):
+        found, sent = search(i)
+        found.write.mode("append").parquet(path)
+        sent.destroy()
+    return found.sparkSession.read.parquet(path)
+
+
+def search_slice(index: DataFrame, queries: pa.Table, k: int, beam: int) -> tuple[DataFrame, Broadcast]:
+    """Each task's best rows for every query of a slice, over the shards it reads, and the slice as sent.
 
     The slice holds :data:`SLICE_BYTES` of vectors at most, so it may be sent to all tasks.
     """
@@ -373,7 +387,7 @@ def search_slice(index: DataFrame, queries: pa.Table, k: int, beam: int) -> Data
             ["shard", "place", "query_id", "vec_id", "score"],
         )
 
-    return index.mapInArrow(run, "shard long, place int, query_id long, vec_id long, score double")
+    return index.mapInArrow(run, "shard long, place int, query_id long, vec_id long, score double"), sent
 
 
 def nearest_rows(
@@ -396,10 +410,11 @@ def nearest_rows(
     count, size = queries.agg(F.count("*"), F.max(F.octet_length("vector"))).first()
     slices = max(1, math.ceil(count * (size or 0) / slice_bytes))
     part = F.pmod(F.xxhash64("shard", "place"), F.lit(slices))
-    parts = [search_slice(index, queries.where(part == i).toArrow(), k, beam) for i in range(slices)]
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.union(more)
+
+    def search(i: int) -> tuple[DataFrame, Broadcast]:
+        return search_slice(index, queries.where(part == i).toArrow(), k, beam)
+
+    found = in_slices(slices, search, scratch_path(spark, "neighbours"))
     own = Window.partitionBy("shard", "place").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
     vec_id = F.when(F.col("vec_id") != F.lit(int(np.iinfo(np.int64).max)), F.col("vec_id"))
