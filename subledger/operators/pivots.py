@@ -27,7 +27,8 @@ def count_pivot(
     column; Spark looks them up first. With ``values`` those have one each,
     named by ``labels`` if given, and ``other`` counts the rows of all other
     categories. ``total`` adds the row total under that name; it is counted
-    from the rows and not from the cells.
+    from the rows and not from the cells. Spark refuses more categories than
+    ``spark.sql.pivotMaxValues``: :func:`count_long` takes any number.
     """
     known = df.where(F.col(index).isNotNull() & F.col(category).isNotNull())
     counts = [F.count(F.lit(1)).alias(total)] if total is not None else []
@@ -46,6 +47,23 @@ def count_pivot(
     return known.groupBy(index).agg(*cells, *counts)
 
 
+def count_long(df: DataFrame, index: str, category: str, count: str = "row_count", totals: bool = False) -> DataFrame:
+    """Rows counted per index value and category, a row for each pair that occurs.
+
+    The cross table for categories without a bound. Rows without an index
+    value or category are left out, and an empty table gives no rows. With
+    ``totals`` come the row totals, the column totals and the total of all:
+    ``all_<index>`` and ``all_<category>`` say over which of the two a row
+    sums, and that column is null there. Rows are counted by pair before they
+    are written out for the totals, so those cost as much as there are pairs.
+    """
+    pairs = _known(df, [index, category]).groupBy(index, category).agg(F.count(F.lit(1)).alias(count))
+    if not totals:
+        return pairs
+    marks = [(F.grouping(c) == 1).alias(f"all_{c}") for c in (index, category)]
+    return pairs.cube(index, category).agg(*marks, F.sum(count).alias(count))
+
+
 def with_total_row(table: DataFrame, index: str, label: str = "Total") -> DataFrame:
     """Cross table with a last row that holds the column totals."""
     cells = [c for c in table.columns if c != index]

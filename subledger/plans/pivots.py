@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from subledger.columns import DEFAULT_COLUMNS, SubscriptionColumns
 from subledger.operators.cleaning import fill_column
-from subledger.operators.pivots import count_pivot, grouped_counts, grouped_sums
+from subledger.operators.pivots import count_long, count_pivot, grouped_counts, grouped_sums
 
 # Fixed values of the term type field.
 TERM_TYPES = ("EVERGREEN", "TERMED")
@@ -45,6 +45,11 @@ def pivot_status(
     return count_pivot(df, day, cols.status, statuses, total=GRAND_TOTAL)
 
 
+def plan_counts(df: DataFrame, cols: SubscriptionColumns = DEFAULT_COLUMNS, day: str = "report_date") -> DataFrame:
+    """Rows per rate plan name and day in long form, with all totals; there may be any number of plans."""
+    return count_long(df, day, cols.rate_plan, totals=True)
+
+
 def product_counts(
     df: DataFrame, cols: SubscriptionColumns = DEFAULT_COLUMNS, day: str = "report_date", sub_id: str = "sub_id"
 ) -> DataFrame:

@@ -226,6 +226,23 @@ def test_letters_do_not_make_numbers(spark):
     assert got == [None, None, 12.0, 1000.0, -0.5, 1.0, None, None, None, None, None, None]
 
 
+def test_long_pivot_of_many_categories(spark):
+    """More categories than columns may be made of, a third of all rows in one pair."""
+    from collections import Counter
+
+    rows = [("d1", f"c{i}") for i in range(12_000)] + [("d2", "c7")] * 6_000 + [("d2", None), (None, "c1")]
+    df = spark.createDataFrame(rows, "d string, c string")
+    known = Counter(r for r in rows if None not in r)
+    got = pivots.count_long(df, "d", "c", totals=True).collect()
+    pairs = {(r["d"], r["c"]): r["row_count"] for r in got if not r["all_d"] and not r["all_c"]}
+    assert pairs == known
+    assert {r["d"]: r["row_count"] for r in got if r["all_c"] and not r["all_d"]} == {"d1": 12_000, "d2": 6_000}
+    assert {r["c"]: r["row_count"] for r in got if r["all_d"] and not r["all_c"]} == Counter(c for _, c in known.elements())
+    assert [tuple(r) for r in got if r["all_d"] and r["all_c"]] == [(None, None, True, True, 18_000)]
+    assert pivots.count_long(df, "d", "c", "n").columns == ["d", "c", "n"]
+    assert pivots.count_long(df.where("false"), "d", "c", totals=True).count() == 0
+
+
 def test_pivots_count_every_row(spark):
     rows = [("d", "A"), ("d", "B"), ("d", "OTHER"), ("e", "OTHER"), ("d", None), (None, "A")]
     df = spark.createDataFrame(rows, "d string, c string")

@@ -336,6 +336,18 @@ def pivot_total_row(spark, sf_dir):
     return with_total_row(pivots.pivot_term_type(_adds(spark, sf_dir)), "report_date")
 
 
+@query(
+    "pivot_long_totals",
+    f"""{ADDS_SQL}, p AS (SELECT report_date, rp_name, grouping(report_date) = 1 AS all_report_date,
+    grouping(rp_name) = 1 AS all_rp_name, count(*) AS row_count
+    FROM adds WHERE report_date IS NOT NULL AND rp_name IS NOT NULL GROUP BY CUBE (report_date, rp_name))
+  SELECT {_date('report_date')} AS report_date, rp_name, all_report_date, all_rp_name, row_count FROM p""",
+)
+def pivot_long_totals(spark, sf_dir):
+    """Each pair of day and rate plan, however many plans there are, and all totals."""
+    return pivots.plan_counts(_adds(spark, sf_dir))
+
+
 @query(
     "product_counts",
     f"""{ADDS_SQL} SELECT {_date('report_date')} AS report_date, product_name, count(sub_id) AS subscription_count
