@@ -321,3 +321,18 @@ def test_stream_upserts_new_files_once(spark, path, name):
     expected += [(4, "no row is too late", "2024-01-01"), (5, "late day", "2024-01-30")]
     assert run() == expected
     assert run() == expected
+
+
+def test_sheets_of_a_bundle_are_read_back_by_their_names(spark):
+    from subledger.plans.pivots import disconnect_pivots
+    from workload.reports import TERMS, _sheets
+
+    rows = [("2024-01-01", "EVERGREEN", None, "Mail", "i1", "Active"), ("2024-01-01", "ROLLING", 5, "Mail", "i2", "Active")]
+    df = spark.createDataFrame(
+        rows, "report_date string, term_type string, renewal_term int, product_name string, sub_id string, sub_status string"
+    )
+    path = scratch_path(spark, "bundle")
+    tables.write_report_bundle(df, lambda stored: disconnect_pivots(stored, TERMS), path)
+    (row,) = _sheets(spark, path).collect()
+    assert (row.EVERGREEN, row.TERMED, row.other_types) == (1, None, 1)
+    assert (row.term_1, row.term_2, row.other_terms, row.rows) == (1, None, 1, 2)
