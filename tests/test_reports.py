@@ -367,6 +367,32 @@ def test_demographics_counts_a_subscription_of_two_accounts_once(spark):
     assert (row.account_count, row.subscription_count, row.product_count) == (2, 1, 2)
 
 
+def test_demographics_rollup(sample, spark):
+    df, rows = sample
+    places = [("A0", "X", None, "c"), ("A0", "X", "s", "c"), ("A0", "X", "s", None), ("A0", "X", "s", None),
+              ("A1", "X", "s", "c"), ("A2", None, "s", "c"), ("A3", "Y", "s", "c"), ("A9", "Y", "s", "c")]
+    # Subscriptions of two accounts, next to those of one.
+    rows = rows + [Row([f"A{i}", *r[1:]]) for i in (0, 1) for r in make_rows(8, 40)]
+    twice = [(f"A{i}", *r[1:]) for i in (0, 1) for r in make_rows(8, 40)]
+    contacts = spark.createDataFrame(places, "account_id string, country string, state string, city string")
+    groups = defaultdict(list)
+    for d in dates(MONTHS):
+        for r in active_on(rows, d):
+            for account, country, state, city in set(places):
+                if account == r.account_id and country is not None:
+                    state = state or "***"
+                    for level, place in enumerate([(country, state, city), (country, state, None), (country, None, None), (None, None, None)]):
+                        groups[d, level, *place].append(r)
+    expected = {k: (len({r.account_id for r in g}), len({r.sub_name for r in g})) for k, g in groups.items()}
+    facts = df.unionByName(spark.createDataFrame(twice, SCHEMA))
+    got = customers.demographics_rollup(facts, contacts, MONTHS)
+    assert {tuple(r)[:5]: tuple(r)[5:] for r in got.collect()} == expected
+    # Dates are written out before the places multiply them, but for shared subscriptions.
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined, dated = (next(i for i, line in enumerate(plan) if x in line) for x in ("Join Inner, (account_id", "Generate explode([0,1,2"))
+    assert joined < dated
+
+
 SCHEDULE = "accounting_period string, revenue_date date, product_name string, region string, currency string, revenue_amount decimal(18,2)"
 PERIODS = "name string, start_date date, end_date date"
 
