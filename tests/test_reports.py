@@ -393,6 +393,22 @@ def test_demographics_rollup(sample, spark):
     assert joined < dated
 
 
+def test_demographics_rows_meet_addresses_as_ranges(sample, spark):
+    df, rows = sample
+    places = [("A0", "X", None, "c"), ("A0", "X", "s", "c"), ("A0", "X", "s", "c"), ("A1", None, None, None)]
+    contacts = spark.createDataFrame(places, "account_id string, country string, state string, city string")
+    got = customers.demographics_rows(df, contacts, MONTHS)
+    columns = ["report_date", "account_id", "sub_name", "sub_id", "country", "state", "city"]
+    expected = Counter(
+        (d, r.account_id, r.sub_name, r.sub_id, *p[1:])
+        for d in dates(MONTHS) for r in active_on(rows, d) for p in set(places) if p[0] == r.account_id
+    )
+    assert Counter(tuple(r) for r in got.select(columns).collect()) == expected
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dated, joined = (next(i for i, line in enumerate(plan) if x in line) for x in ("Generate explode", "Join Inner, (account_id"))
+    assert dated < joined
+
+
 SCHEDULE = "accounting_period string, revenue_date date, product_name string, region string, currency string, revenue_amount decimal(18,2)"
 PERIODS = "name string, start_date date, end_date date"
 
