@@ -34,8 +34,8 @@ CART_SCHEMA = (
     "user:struct<userId:string>>"
 )
 _CHARGE_KINDS = ("onetime", "recurring")
-# An object of any kind, and a list of anything.
-_OBJECT, _LIST = "struct<_:string>", "array<variant>"
+# An object of any kind, and a list of anything, whose elements needn't be taken out.
+_OBJECT, _LIST = "struct<_:string>", "array<struct<_:string>>"
 
 # Fixed values of the cart type field.
 CHANGE, REACTIVATE, UPDATE = "change", "reactivate", "update"
@@ -48,20 +48,24 @@ def _present(items: Column) -> Column:
     return F.filter(items, lambda x: x.isNotNull())
 
 
-def _plans(name: str) -> Column:
-    return _present(F.col(f"_s.{name}"))
+def _plans(sub: Column, name: str) -> Column:
+    return _present(sub[name])
 
 
 def _charges(plan: Column, kind: str) -> Column:
     return _present(F.try_variant_get(plan["charges"][kind], "$", f"array<{_CHARGE}>"))
 
 
-def _subscriptions(
-    df: DataFrame, column: str, keep: Sequence[str], wanted=None, bare_carts: bool = False
-) -> DataFrame:
-    """A row per subscription of the wanted carts: ``keep``, ``_cart``, ``_s``.
+_SUBSCRIPTION_PARTS = ("id", "baseProductId", "subscriptionNumber", "previousSubscriptionNumber", "meta")
+
 
-    The type is tested inside the exploded value. As a filter Spark would move
+def _subscription_rows(df: DataFrame, column: str, keep: Sequence[str], rows, wanted=None, bare_carts: bool = False) -> DataFrame:
+    """The rows that ``rows`` lists of each subscription of the wanted carts:
+    ``keep``, ``_cart``, ``_s`` (the subscription's plain parts) and ``_r``.
+
+    All rows of a document are listed before any is exploded, so its plans and
+    charges, which are still variants, are never written out themselves. The
+    type is tested inside the exploded value. As a filter Spark would move
     it, and the test for empty lists, in front of the parse and parse the text
     once more for each. Text that is no document, and list elements that are
     no subscriptions, give no row here but one of :func:`bad_carts`.
@@ -75,8 +79,14 @@ def _subscriptions(
         listed = F.coalesce(listed, F.when(bare, F.array(F.lit(None).cast(_SUBSCRIPTION))))
     if wanted is not None:
         listed = F.when(wanted(F.col("_cart.type")), listed)
-    subs = carts.select(*keep, "_cart", F.posexplode_outer(listed).alias("_n", "_s"))
-    return subs.where(F.col("_n").isNotNull())
+
+    def placed(sub: Column) -> Column:
+        parts = F.when(sub.isNotNull(), F.struct(*(sub[p].alias(p) for p in _SUBSCRIPTION_PARTS)))
+        return F.transform(rows(sub), lambda row: F.struct(parts.alias("_s"), row.alias("_r")))
+
+    every = F.flatten(F.transform(listed, placed))
+    found = carts.select(*keep, "_cart", F.explode_outer(every).alias("_x")).where(F.col("_x").isNotNull())
+    return found.select(*keep, "_cart", "_x._s", "_x._r")
 
 
 def _problem(level: str, text: Column) -> Column:
@@ -92,26 +102,38 @@ def _is_object(value: Column) -> Column:
 
 
 def _unfit(value: Column, path: str, kind: str) -> Column:
-    """Whether something stands at a path that isn't of this kind."""
+    """Whether something stands at a path that isn't of this kind.
+
+    What fits is told by one look, and needs no other.
+    """
     found = F.try_variant_get(value, path, "variant")
-    there = found.isNotNull() & ~F.is_variant_null(found)
-    return F.coalesce(there & F.try_variant_get(found, "$", kind).isNull(), F.lit(False))
+    return F.try_variant_get(value, path, kind).isNull() & found.isNotNull() & ~F.is_variant_null(found)
 
 
 def _elements(value: Column, path: str) -> Column:
-    return F.coalesce(F.try_variant_get(value, path, _LIST), F.array().cast(_LIST))
+    return F.coalesce(F.try_variant_get(value, path, "array<variant>"), F.array().cast("array<variant>"))
+
+
+def _bad(value: Column, fields: Mapping[str, str]) -> Column:
+    """Whether this is no object, or one with a field of another kind."""
+    out = ~_is_object(value)
+    for path, kind in fields.items():
+        out = out | _unfit(value, path, kind)
+    return out
+
+
+def _unread_one(value: Column, level: str, fields: Mapping[str, str]) -> Column:
+    return F.when(_bad(value, fields), F.array(_problem(level, value))).otherwise(_no_problems())
 
 
 def _unread(values: Column, level: str, fields: Mapping[str, str]) -> Column:
     """Elements that are no objects, and objects with a field of another kind."""
+    return F.transform(F.filter(values, lambda value: _bad(value, fields)), lambda v: _problem(level, v))
 
-    def bad(value: Column) -> Column:
-        out = ~_is_object(value)
-        for path, kind in fields.items():
-            out = out | _unfit(value, path, kind)
-        return out
 
-    return F.transform(F.filter(values, bad), lambda v: _problem(level, v))
+def _each_unread(values: Column, problems) -> Column:
+    """All problems of all elements; each element is looked at once."""
+    return F.coalesce(F.flatten(F.transform(values, problems)), _no_problems())
 
 
 # Fields of a cart document and its parts that aren't plain values.
@@ -133,29 +155,22 @@ def bad_carts(df: DataFrame, column: str = "cart", keep: Sequence[str] = ("id",
     carts = df.select(*keep, F.col(column).alias("_t"), F.try_parse_json(F.col(column)).alias("_v"))
     document = F.col("_v")
 
-    def below(sub: Column) -> Column:
-        plans = [_unread(_elements(sub, f"$.{name}"), "plan", _PLAN_KINDS if name == _LISTS[0] else {}) for name in _LISTS]
-        charges = F.transform(
-            _elements(sub, f"$.{_LISTS[0]}"),
-            lambda plan: F.concat(
-                *(_unread(_elements(plan, f"$.charges.{kind}"), "charge", {"$.priceDetails": _OBJECT}) for kind in _CHARGE_KINDS)
-            ),
-        )
-        return F.concat(*plans, F.coalesce(F.flatten(charges), _no_problems()))
+    def of_plan(plan: Column) -> Column:
+        charges = (_unread(_elements(plan, f"$.charges.{kind}"), "charge", {"$.priceDetails": _OBJECT}) for kind in _CHARGE_KINDS)
+        return F.concat(_unread_one(plan, "plan", _PLAN_KINDS), *charges)
 
-    listed = _elements(document, "$.subscriptions")
-    inner = F.coalesce(F.flatten(F.transform(listed, below)), _no_problems())
-    found = F.concat(_unread(F.array(document), "document", _CART_FIELDS), _unread(listed, "subscription", _SUBSCRIPTION_FIELDS), inner)
+    def of_subscription(sub: Column) -> Column:
+        others = (_unread(_elements(sub, f"$.{name}"), "plan", {}) for name in _LISTS[1:])
+        added = _each_unread(_elements(sub, f"$.{_LISTS[0]}"), of_plan)
+        return F.concat(_unread_one(sub, "subscription", _SUBSCRIPTION_FIELDS), added, *others)
+
+    inner = _each_unread(_elements(document, "$.subscriptions"), of_subscription)
+    found = F.concat(_unread_one(document, "document", _CART_FIELDS), inner)
     whole = F.array(_problem("document", F.col("_t")))
     bad = F.when(_is_object(document), found).when(F.col("_t").isNotNull(), whole)
     return carts.select(*keep, F.explode(bad).alias("_p")).select(*keep, "_p.level", "_p.text")
 
 
-def _rows(subs: DataFrame, keep: Sequence[str], grains: Column) -> DataFrame:
-    rows = subs.select(*keep, "_cart", "_s", F.explode_outer(grains).alias("_r"))
-    return rows.where(F.col("_r").isNotNull())
-
-
 def _plan(plan: Column, status: bool = False) -> Column:
     names = ("ratePlanId", "productId", "type", "family")
     fields = [blank_if_null(plan[n]).alias(n) for n in names]
@@ -274,13 +289,15 @@ def flatten_carts_new(
     empty, and a subscription without plans, give no row. Fields a document
     lacks are empty strings, fields of another kind of row are null.
     """
-    subs = _subscriptions(df, column, keep, lambda kind: type_not_in(kind, (CHANGE, REACTIVATE, UPDATE)))
-    grains = F.concat(
-        _charge_rows(_plans("addRatePlans")),
-        _each(_plans("removeRatePlans"), lambda p: _row("remove", _plan(p))),
-        _each(_plans("existingRatePlans"), lambda p: _row("existing", _plan(p, status=True))),
-    )
-    rows = _rows(subs, keep, grains)
+
+    def grains(sub: Column) -> Column:
+        return F.concat(
+            _charge_rows(_plans(sub, "addRatePlans")),
+            _each(_plans(sub, "removeRatePlans"), lambda p: _row("remove", _plan(p))),
+            _each(_plans(sub, "existingRatePlans"), lambda p: _row("existing", _plan(p, status=True))),
+        )
+
+    rows = _subscription_rows(df, column, keep, grains, lambda kind: type_not_in(kind, (CHANGE, REACTIVATE, UPDATE)))
     removed, existing = F.col("_r.grain") == "remove", F.col("_r.grain") == "existing"
     extra = [F.col("_cart.meta.whois.businessId").alias("business_id")] if business_id else []
     return rows.select(
@@ -311,13 +328,16 @@ def flatten_carts_change(
 ) -> DataFrame:
     """One row per subscription of the change carts, with the last added, the
     last removed and the last existing plan; null where a list is empty."""
-    subs = _subscriptions(df, column, keep, lambda kind: type_in(kind, (CHANGE,)))
+
+    def plans(sub: Column) -> Column:
+        lasts = (F.try_element_at(_plans(sub, x), F.lit(-1)) for x in _LISTS)
+        return F.array(F.struct(*(F.when(p.isNotNull(), _plan(p, status=True)).alias(x) for p, x in zip(lasts, _LISTS, strict=True))))
+
+    subs = _subscription_rows(df, column, keep, plans, lambda kind: type_in(kind, (CHANGE,)))
 
     def last(items: str, prefix: str, fields: Sequence[tuple[str, str]]) -> list[Column]:
-        plan = F.col(f"_{items}")
-        return [F.when(plan.isNotNull(), blank_if_null(plan[n])).alias(prefix + alias) for n, alias in fields]
+        return [F.col(f"_r.{items}.{n}").alias(prefix + alias) for n, alias in fields]
 
-    subs = subs.select(*keep, "_cart", "_s", *(F.try_element_at(_plans(x), F.lit(-1)).alias(f"_{x}") for x in _LISTS))
     return subs.select(
         *keep,
         blank_if_null(F.col("_cart.type")).alias("cart_type"),
@@ -345,8 +365,8 @@ def flatten_carts_reactivate(
     ``bare_carts`` keeps a cart that has no list of subscriptions as one row,
     ``bare_subscriptions`` a subscription without added plans.
     """
-    subs = _subscriptions(df, column, keep, lambda kind: type_in(kind, (REACTIVATE,)), bare_carts)
-    rows = _plan_rows(subs, keep, bare_carts, bare_subscriptions)
+    grains = _plan_grains(bare_carts, bare_subscriptions)
+    rows = _subscription_rows(df, column, keep, grains, lambda kind: type_in(kind, (REACTIVATE,)), bare_carts)
     known = F.col("_s").isNotNull()
     return rows.select(
         *keep,
@@ -372,8 +392,7 @@ def flatten_carts_all(
     bare_subscriptions: bool = True,
 ) -> DataFrame:
     """Charges of the added plans of every cart, whatever its type."""
-    subs = _subscriptions(df, column, keep)
-    rows = _plan_rows(subs, keep, bare_carts=False, bare_subscriptions=bare_subscriptions)
+    rows = _subscription_rows(df, column, keep, _plan_grains(bare_carts=False, bare_subscriptions=bare_subscriptions))
     return rows.select(
         *keep,
         blank_if_null(F.col("_cart.id")).alias("cart_id"),
@@ -388,16 +407,19 @@ def flatten_carts_all(
     )
 
 
-def _plan_rows(subs: DataFrame, keep: Sequence[str], bare_carts: bool, bare_subscriptions: bool) -> DataFrame:
-    plans = F.col("_s.addRatePlans")
-    grains = _charge_rows(_plans("addRatePlans"))
+def _plan_grains(bare_carts: bool, bare_subscriptions: bool):
+    """Rows of a subscription's added plans, and of one that has none."""
     header = F.array(_row("header", F.lit(None)))
-    if bare_carts:
-        grains = F.when(F.col("_s").isNull(), header).otherwise(grains)
-    if bare_subscriptions:
-        no_plans = F.col("_s").isNotNull() & (plans.isNull() | (F.size(plans) == 0))
-        grains = F.when(no_plans, header).otherwise(grains)
-    return _rows(subs, keep, grains)
+
+    def grains(sub: Column) -> Column:
+        rows, plans = _charge_rows(_plans(sub, "addRatePlans")), sub["addRatePlans"]
+        if bare_carts:
+            rows = F.when(sub.isNull(), header).otherwise(rows)
+        if bare_subscriptions:
+            rows = F.when(sub.isNotNull() & (plans.isNull() | (F.size(plans) == 0)), header).otherwise(rows)
+        return rows
+
+    return grains
 
 
 # Refund item fields, the column each one fills, and its type.
@@ -428,7 +450,7 @@ def bad_refund_items(df: DataFrame, column: str = "invoice_items", keep: Sequenc
     """What can't be read of refunds' item lists, a row each: ``level``
     (document or item) and ``text``. Null text has no row."""
     rows = df.select(*keep, F.col(column).alias("_t"), F.try_parse_json(F.col(column)).alias("_v"))
-    listed = F.try_variant_get("_v", "$", _LIST)
+    listed = F.try_variant_get("_v", "$", "array<variant>")
     whole = F.when(F.col("_t").isNotNull(), F.array(_problem("document", F.col("_t"))))
     bad = F.when(listed.isNotNull(), _unread(listed, "item", {})).otherwise(whole)
     return rows.select(*keep, F.explode(bad).alias("_p")).select(*keep, "_p.level", "_p.text")

@@ -1,8 +1,10 @@
 """Shape of the plans: what reaches the scan, what is joined how."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from workload import inputs
 
 QUERIES = contract.queries()
 
@@ -63,3 +65,20 @@ def test_small_updates_do_not_shuffle_the_target(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
+
+
+@pytest.mark.parametrize("name", ["flatten_carts_new", "flatten_carts_change", "flatten_carts_reactivate", "flatten_carts_all"])
+def test_rows_of_carts_are_listed_before_one_explode(spark, data, name):
+    assert plan(QUERIES[name](spark, data)).count("Generate ") == 1
+
+
+def test_bad_carts_take_each_list_out_once(spark, data):
+    text = plan(QUERIES["bad_carts"](spark, data))
+    assert text.count("$.subscriptions, ArrayType(VariantType") == 1
+    assert text.count("$.addRatePlans, ArrayType(VariantType") == 1
+
+
+@pytest.mark.parametrize("made", [inputs.carts, inputs.refunds])
+def test_documents_are_dealt_over_many_tasks(spark, data, made):
+    used = made(spark, data).select(F.spark_partition_id()).distinct().count()
+    assert used >= 4 * spark.sparkContext.defaultParallelism

@@ -30,6 +30,15 @@ def lines_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "lineitem").repartition("l_orderkey")
 
 
+def lines_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines dealt evenly for documents, which take far more time to make
+    and to read than the lines take room: the number of parts is stated, as
+    adaptive execution would merge them by their size to hardly more than there
+    are cores, and leave most of those idle for the last few."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return load(spark, sf_dir, "lineitem").repartition(parts, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)")
 
@@ -311,8 +320,7 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Charges of a kind that nobody reads, next to the others.
     document = F.replace(document, F.lit('"charges":{"onetime"'), F.lit('"charges":{"usage":5,"onetime"'))
-    line = lines_by_order(spark, sf_dir)
-    return line.select(
+    return lines_spread(spark, sf_dir).select(
         F.concat_ws("-", text(ok), text(ln), text(pk), text(F.col("l_suppkey"))).alias("id"),
         F.to_date("l_shipdate").alias("created_at"),
         document.alias("cart"),
@@ -362,7 +370,7 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Some lists hold something else before their items, and some end too early.
     items = F.when(F.col("l_orderkey") % 13 == 0, F.regexp_replace(items, r"^\[\{", '["no item",{')).otherwise(items)
     items = F.when(F.col("l_orderkey") % 89 == 0, F.substr(items, F.lit(1), F.length(items) - 1)).otherwise(items)
-    return lines_by_order(spark, sf_dir).select(
+    return lines_spread(spark, sf_dir).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), ln.cast("string")).alias("id"),
         F.lit("parent").alias("subscription_id"),
         money("l_extendedprice").alias("amount"),
