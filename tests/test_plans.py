@@ -82,3 +82,9 @@ def test_bad_carts_take_each_list_out_once(spark, data):
 def test_documents_are_dealt_over_many_tasks(spark, data, made):
     used = made(spark, data).select(F.spark_partition_id()).distinct().count()
     assert used >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_dates_of_results_are_cast_to_text(spark, data):
+    assert "date_format" not in plan(QUERIES["active_snapshot"](spark, data))
+    kinds = spark.sql("SELECT DATE '1995-01-09' AS d, CAST(NULL AS DATE) AS n, TIMESTAMP '1995-01-09 00:00:01' AS t")
+    assert tuple(inputs.present(kinds).head()) == ("1995-01-09", None, "1995-01-09 00:00:01")
