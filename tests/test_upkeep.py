@@ -171,3 +171,16 @@ def test_upsert_inserts_whole_rows_and_refuses_null_keys(spark):
     assert tuples(got) == [(1, "x", 5, None), (2, "z", 6, 8)]
     with pytest.raises(Exception, match="null in the key k"):
         merge.upsert(target, target.withColumn("k", F.lit(None).cast("int")), ["k"]).collect()
+
+
+def test_a_stored_batch_is_written_once(spark, monkeypatch):
+    from subledger.plans import daily_store
+
+    made = []
+    staged = tables.staged
+    for module in (tables, daily_store):
+        monkeypatch.setattr(module, "staged", lambda df: made.append(df.columns) or staged(df))
+    z = inputs.facts(spark, "/root/testdata/sf0.001").where("account_id = 'A1'")
+    store = DailyStore(*(scratch_table(spark, n) for n in ("f", "s", "t")), FACT_KEY, inputs.DAYS.start, buckets=2)
+    store.load(z)
+    assert len(made) == 1
