@@ -206,6 +206,24 @@ def test_first_report_date_by_brute_force(spark, step):
     assert spark.range(1).select(spine.on_or_after(F.lit(None).cast("date"))).head()[0] is None
 
 
+@pytest.mark.parametrize("step", ["day", "month"])
+def test_ranges_written_out_by_brute_force(spark, step):
+    spine = Spine.of("2023-12-15", "2024-03-20", step)
+    listed = sorted(r[0] for r in spine.frame(spark).collect())
+    assert listed == spine.date_list()
+    ends = [None, *(dt.date(2023, 12, 1) + dt.timedelta(days=d) for d in (0, 13, 14, 15, 31, 32, 62, 91, 110, 111, 140))]
+    pairs = [(i, lo, hi) for i, (lo, hi) in enumerate((lo, hi) for lo in ends for hi in ends)]
+    df = spark.createDataFrame(pairs, "i int, lo date, hi date")
+    want = sorted((i, d) for i, lo, hi in pairs for d in listed if lo is not None and lo <= d and (hi is None or d < hi))
+    got = spine.expand(df, F.col("lo"), F.col("hi"))
+    assert sorted((r.i, r.report_date) for r in got.collect()) == want
+    text = spine.expand(df, F.col("lo"), F.col("hi"), name="on", text=True)
+    assert sorted((r.i, r.on) for r in text.collect()) == [(i, d.isoformat()) for i, d in want]
+    assert text.columns == ["i", "lo", "hi", "on"] and dict(text.dtypes)["on"] == "string"
+    none = Spine.of("2024-01-02", "2024-01-20", "month")
+    assert none.expand(df, F.col("lo"), F.col("hi"), text=True).count() == 0
+
+
 def test_latest_of_needs_every_date(spark):
     df = spark.sql("select date'2024-01-01' a, date'2024-01-02' b, cast(null as date) c")
     got = df.select(dates.latest_of(F.col("a"), F.col("b")), dates.latest_of(F.col("a"), F.col("c"))).head()

@@ -88,3 +88,26 @@ def test_dates_of_results_are_cast_to_text(spark, data):
     assert "date_format" not in plan(QUERIES["active_snapshot"](spark, data))
     kinds = spark.sql("SELECT DATE '1995-01-09' AS d, CAST(NULL AS DATE) AS n, TIMESTAMP '1995-01-09 00:00:01' AS t")
     assert tuple(inputs.present(kinds).head()) == ("1995-01-09", None, "1995-01-09 00:00:01")
+
+
+def test_plain_types_are_made_before_dates_are_written_out(spark, data):
+    text = plan(QUERIES["active_snapshot"](spark, data))
+    per_row = text[: text.index("Generate ")]
+    assert "as string)" not in per_row and "as double)" not in per_row
+    assert "INTERVAL" not in text
+
+
+def test_date_of_eligibility_is_worked_out_once(spark, data):
+    text = plan(QUERIES["active_snapshot"](spark, data))
+    (line,) = [line for line in text.splitlines() if "Project" in line and "AS _from" in line]
+    assert "greatest" not in line
+
+
+def test_hundredths_are_rounded_as_before(spark, data):
+    values = [0.005, 0.015, 0.025, 1.005, 2.675, 0.0049999999999999996, 900.1, 104949.99, 0.07, 1e12 + 0.125, 0.125, 0.375, 0.0]
+    values += [v / 7 for v in range(2000)] + [v / 800 for v in range(2000)]
+    values = [(v,) for v in values + [-v for v in values]] + [(None,)]
+    df = spark.createDataFrame(values, "v double")
+    rounded = F.round(F.col("v") * 100).cast("bigint")
+    assert df.where(~inputs.hundredths("v").eqNullSafe(rounded)).count() == 0
+    assert "round" not in plan(inputs.facts(spark, data).select("mrr")).lower()
