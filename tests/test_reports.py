@@ -409,6 +409,21 @@ def test_demographics_rows_meet_addresses_as_ranges(sample, spark):
     assert dated < joined
 
 
+def test_demographics_rows_of_one_account_are_written_by_several_tasks(sample, spark):
+    df, rows = sample
+    one = df.withColumn("account_id", F.lit("A"))
+    places = [("A", "X", "s", None), ("A", None, None, "c"), ("A", "X", "s", None), (None, "X", "s", "c")]
+    contacts = spark.createDataFrame(places, "account_id string, country string, state string, city string")
+    got = customers.demographics_rows(one.unionByName(df.withColumn("account_id", F.lit(None).cast("string"))), contacts, MONTHS, text_dates=True)
+    columns = ["report_date", "account_id", "sub_name", "sub_id", "country", "state", "city"]
+    expected = Counter(
+        (str(d), "A", r.sub_name, r.sub_id, *p[1:]) for d in dates(MONTHS) for r in active_on(rows, d) for p in set(places) if p[0] == "A"
+    )
+    found = got.select(*columns, F.spark_partition_id()).collect()
+    assert Counter(tuple(r)[:-1] for r in found) == expected
+    assert len({r[-1] for r in found}) > 1
+
+
 SCHEDULE = "accounting_period string, revenue_date date, product_name string, region string, currency string, revenue_amount decimal(18,2)"
 PERIODS = "name string, start_date date, end_date date"
 
