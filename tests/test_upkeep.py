@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -184,3 +185,42 @@ def test_a_stored_batch_is_written_once(spark, monkeypatch):
     store = DailyStore(*(scratch_table(spark, n) for n in ("f", "s", "t")), FACT_KEY, inputs.DAYS.start, buckets=2)
     store.load(z)
     assert len(made) == 1
+
+
+@pytest.mark.parametrize("rows_at_once, most", [(1, 1), (400, 3)])
+def test_a_load_takes_few_buckets_at_once_and_leaves_no_shuffle_files(spark, data, monkeypatch, rows_at_once, most):
+    from subledger.plans import daily_store
+
+    taken = []
+    monkeypatch.setattr(daily_store, "overwrite_partitions", lambda df, *a: taken.append(df.select(tables.BUCKET).distinct().count()) or tables.overwrite_partitions(df, *a))
+    z = inputs.facts(spark, data).where("substr(account_id, 2) % 10 = 1")
+    wrong = z.withColumn("mrr", F.lit(1).cast("decimal(18,2)"))
+    store = DailyStore(*(scratch_table(spark, n) for n in ("f", "s", "t")), FACT_KEY, inputs.DAYS.start, buckets=4, rows_at_once=rows_at_once)
+
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(",")
+        return {b.split("_")[1] for b in blocks.split(",") if b.startswith("shuffle_")}
+
+    before, free = shuffles(), spark.conf.get(tables._FREE)
+    store.load(wrong.where("sub_name <> 'S5'"))
+    store.load(z)
+    assert spark.conf.get(tables._FREE) == free
+    until = time.time() + 10  # files go on another thread
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert taken and max(taken) <= most
+    expected, got = daily.daily_report(z, inputs.DAYS), store.report(spark, inputs.DAYS.end)
+    columns = expected.columns
+    plain = lambda df: Counter(tuple(None if v is None else str(float(v)) if c[:3] in ("mrr", "tcv") else str(v) for c, v in zip(columns, r)) for r in df.select(columns).collect())
+    assert plain(got) == plain(expected)
+
+
+def test_a_spine_without_end_lists_no_dates(spark, monkeypatch):
+    far = dt.date(9999, 12, 31)
+    found = [Spine(dt.date(2024, 1, 2), end, step) for end in (dt.date(2024, 3, 5), far) for step in ("day", "month")]
+    last = [spine.date_list()[-1] for spine in found]
+    monkeypatch.setattr(Spine, "date_list", lambda self: pytest.fail("dates are listed"))
+    for spine, date in zip(found, last):
+        days = spark.createDataFrame([(date,), (min(date, far - dt.timedelta(1)) + dt.timedelta(1),)], "d date")
+        assert [r[0] for r in days.select(spine.reaches(F.col("d"))).collect()] == [True, date == far]
