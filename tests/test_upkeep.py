@@ -224,3 +224,11 @@ def test_a_spine_without_end_lists_no_dates(spark, monkeypatch):
     for spine, date in zip(found, last):
         days = spark.createDataFrame([(date,), (min(date, far - dt.timedelta(1)) + dt.timedelta(1),)], "d date")
         assert [r[0] for r in days.select(spine.reaches(F.col("d"))).collect()] == [True, date == far]
+
+
+def test_a_null_key_changes_no_bucket(spark, data):
+    z = inputs.facts(spark, data).where("account_id IN ('A1', 'A2', 'A3', 'A4')")
+    store = DailyStore(*(scratch_table(spark, n) for n in ("f", "s", "t")), FACT_KEY, inputs.DAYS.start, buckets=4, rows_at_once=1)
+    with pytest.raises(Exception, match="null in the key"):
+        store.load(z.withColumn("rp_id", F.when(F.xxhash64("sub_id") % 7 != 0, F.col("rp_id"))))
+    assert not any(tables.table_exists(spark, t) for t in (store.facts, store.steps, store.totals))
